@@ -73,6 +73,26 @@ def merge_update_query(spark, sf_dir):
     return _shown(spark.table(table))
 
 
+@query(
+    "merge_partitions",
+    f"""
+    WITH {_CHANGES},
+    d AS (SELECT * FROM b WHERE k IS NOT NULL QUALIFY row_number() OVER (PARTITION BY k ORDER BY seq DESC) = 1)
+    SELECT coalesce(c_custkey, k) AS c_custkey, c_name, coalesce(c_nationkey, -1) AS c_nationkey,
+           CASE WHEN k IS NOT NULL THEN bal ELSE c_acctbal END AS c_acctbal,
+           CASE WHEN k IS NOT NULL THEN seg ELSE c_mktsegment END AS c_mktsegment
+    FROM customer FULL JOIN d ON c_custkey = k
+    UNION ALL SELECT -1, NULL, -1, bal, seg FROM b WHERE k IS NULL
+    """,
+)
+def merge_partitions(spark, sf_dir):
+    """The same merge into a table partitioned by the segment, which the merge changes."""
+    table = f"{fresh_database(spark)}.customer"
+    write_table(load(spark, sf_dir, "customer"), table, partition_by=["c_mktsegment"])
+    merge_into(_order_changes(spark, sf_dir), table, ["c_custkey"], sequence="change_no")
+    return _shown(spark.table(table))
+
+
 @query(
     "merge_nothing",
     f"""

@@ -103,6 +103,12 @@ def ntz(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def utc_ntz(instant: Column) -> Column:
+    """An instant as the zone-less timestamp it shows in UTC, whatever the session's zone."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1000000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def blank_to_null(col: Column) -> Column:
     return F.when(F.trim(col) != "", col)
 

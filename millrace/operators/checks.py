@@ -71,32 +71,33 @@ def validate(
     critical: Iterable[str] = (),
     types: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """All checks as one report: required columns, emptiness, NULLs, types.
+    """All checks as one report: required columns, emptiness, NULLs, types; one pass over the data.
 
     ``severity`` is ``error`` for the rules that make the data invalid (a missing
     column, no rows) and ``warning`` for the rest.
     """
-    nulls = null_report(df, critical)
-    null_rows = nulls.select(
-        F.lit("null_values").alias("check"),
-        "column_name",
-        (F.col("null_count") == 0).alias("passed"),
-        F.lit("warning").alias("severity"),
-        F.when(
-            F.col("null_count") > 0, F.concat(F.col("null_count").cast("string"), F.lit(" null values"))
-        ).alias("detail"),
-    )
-    rows = df.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("has_rows").alias("check"),
-        F.lit(None).cast("string").alias("column_name"),
-        (F.col("n") > 0).alias("passed"),
-        F.lit("error").alias("severity"),
-        F.when(F.col("n") == 0, F.lit("no rows")).alias("detail"),
+    present = [c for c in critical if c in df.columns]
+    totals = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(present)],
     )
+
+    def finding(check: str, column: str | None, bad: Column, severity: str, detail: Column) -> Column:
+        return F.struct(
+            F.lit(check).alias("check"),
+            F.lit(column).cast("string").alias("column_name"),
+            (~bad).alias("passed"),
+            F.lit(severity).alias("severity"),
+            F.when(bad, detail).alias("detail"),
+        )
+
+    counted = [finding("has_rows", None, F.col("n") == 0, "error", F.lit("no rows"))]
+    for i, c in enumerate(present):
+        text = F.concat(F.col(f"n{i}").cast("string"), F.lit(" null values"))
+        counted.append(finding("null_values", c, F.col(f"n{i}") > 0, "warning", text))
     return (
         required_columns(df, required)
-        .unionByName(rows)
-        .unionByName(null_rows)
+        .unionByName(totals.select(F.inline(F.array(*counted))))
         .unionByName(type_report(df, types or {}))
     )
 

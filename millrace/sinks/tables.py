@@ -9,16 +9,18 @@ it is writing.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.merge import merge, new_rows
+from millrace.operators.merge import merge, new_rows, one_row_per_key
 from millrace.operators.register import REGISTER_TABLE_DDL
+from millrace.session import settle, sized
 
 ROW_LEVEL_FORMATS = ("iceberg", "delta")
 FILE_FORMATS = ("parquet", "orc")
@@ -140,6 +142,12 @@ def replace(df: DataFrame, table: str) -> int:
     return seen.get["rows"]
 
 
+def _fresh_state(spark: SparkSession, table: str) -> str:
+    current = _location(spark, table)
+    base = current.rsplit("/", 1)[0] if "/__state-" in current else current + "__states"
+    return f"{base}/__state-{uuid.uuid4().hex}"
+
+
 def _swap(rows: DataFrame, table: str, fmt: str) -> None:
     """Write the new state beside the old one, then repoint the table.
 
@@ -148,9 +156,7 @@ def _swap(rows: DataFrame, table: str, fmt: str) -> None:
     """
     spark = rows.sparkSession
     partition_by = _partition_columns(spark, table)
-    current = _location(spark, table)
-    base = current.rsplit("/", 1)[0] if "/__state-" in current else current + "__states"
-    fresh = f"{base}/__state-{uuid.uuid4().hex}"
+    fresh = _fresh_state(spark, table)
     writer = _clustered(rows, partition_by).write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -201,14 +207,78 @@ def overwrite_partitions(df: DataFrame, table: str) -> int:
     partition_by = _partition_columns(spark, table)
     if not partition_by:
         raise ValueError(f"table {table} has no partitions")
-    fmt, where = _format(spark, table), _location(spark, table)
-    writer = _clustered(rows, partition_by).write.format(fmt).partitionBy(*partition_by)
-    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(where)
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    spark.catalog.refreshTable(table)
+    # Writing through the catalog respects partitions that have a folder of their own;
+    # the mode is a session setting there, so it is set for this one command.
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        _clustered(rows, partition_by).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
     return seen.get["rows"]
 
 
+# --- rewriting some partitions of a file table ----------------------------------------------
+
+MAX_PARTITIONS_REWRITTEN = 5_000
+_PLAIN = re.compile(r"[\w. -]+")
+
+
+def _touched(found: DataFrame, partition_by: list[str]) -> list[tuple[str, ...]] | None:
+    """Distinct partition values as texts, or None when there are too many to handle one by one.
+
+    The answer is partition metadata: never more rows than the limit. Values that a
+    folder name would escape, and NULL, also give None; the caller then rewrites the
+    whole table, which is always right.
+    """
+    texts = found.select(*[F.col(c).cast("string").alias(c) for c in partition_by]).distinct()
+    values = [tuple(r) for r in texts.limit(MAX_PARTITIONS_REWRITTEN + 1).collect()]
+    plain = all(v is not None and _PLAIN.fullmatch(v) for row in values for v in row)
+    return values if plain and len(values) <= MAX_PARTITIONS_REWRITTEN else None
+
+
+def _in_partitions(partition_by: list[str], values: list[tuple[str, ...]], schema: T.StructType) -> Column:
+    """A predicate on partition columns alone, so the scan lists only those partitions."""
+
+    def same(c: str, v: str) -> Column:
+        return F.col(f"`{c}`") == F.lit(v).cast(schema[c].dataType)
+
+    if len(partition_by) == 1:
+        (c,) = partition_by
+        return F.col(f"`{c}`").isin(*[F.lit(v).cast(schema[c].dataType) for (v,) in values])
+    cond = F.lit(False)
+    for row in values:
+        one = F.lit(True)
+        for c, v in zip(partition_by, row):
+            one = one & same(c, v)
+        cond = cond | one
+    return cond
+
+
+def _rewrite_partitions(rows: DataFrame, table: str, fmt: str, partition_by: list[str], values: list[tuple]) -> None:
+    """Make ``rows`` the whole content of the partitions ``values`` (and of any new ones).
+
+    The new state goes to a fresh folder; then each partition is pointed at its part
+    of it, or dropped when no row is left. Untouched partitions are not read.
+    """
+    spark = rows.sparkSession
+    fresh = _fresh_state(spark, table)
+    _clustered(rows, partition_by).write.format(fmt).partitionBy(*partition_by).save(fresh)
+    kept = spark.read.schema(spark.table(table).schema).format(fmt).load(fresh)
+    left = _touched(kept, partition_by)
+    if left is None:
+        raise RuntimeError(f"unexpected partitions were written to {fresh}; {table} is unchanged")
+    for row in {*values, *left}:
+        spec = ", ".join(f"`{c}` = '{v}'" for c, v in zip(partition_by, row))
+        folder = "/".join(f"{c}={v}" for c, v in zip(partition_by, row))
+        if row not in left:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+            continue
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{fresh}/{folder}'")
+    spark.catalog.refreshTable(table)
+
+
 def merge_into(
     df: DataFrame,
     table: str,
@@ -216,7 +286,10 @@ def merge_into(
     on_conflict: str = "update",
     sequence: str | None = None,
 ) -> int:
-    """Upsert ``df`` into the table by key; returns the number of rows written for it."""
+    """Upsert ``df`` into the table by key; returns the rows taken in (added, for ``nothing``).
+
+    In a partitioned file table only the partitions that the batch touches are rewritten.
+    """
     spark = df.sparkSession
     if not merge_keys:
         raise ValueError("merge needs keys")
@@ -227,15 +300,34 @@ def merge_into(
     fmt = _format(spark, table)
     if fmt in ROW_LEVEL_FORMATS:
         return _native_merge(df, table, merge_keys, sequence)
-    merged = merge(target, df, merge_keys, on_conflict, sequence)
-    return replace(merged, table)
+    rows = df.count()
+    partition_by = _partition_columns(spark, table)
+    values = _merge_partitions(target, df, merge_keys, partition_by) if partition_by else None
+    if values is None:
+        _swap(_aligned(merge(target, df, merge_keys, on_conflict, sequence), table), table, fmt)
+    else:
+        touched = target.filter(_in_partitions(partition_by, values, target.schema))
+        merged = _aligned(merge(touched, df, merge_keys, on_conflict, sequence), table)
+        _rewrite_partitions(merged, table, fmt, partition_by, values)
+    return rows
+
+
+def _merge_partitions(target, batch, keys, partition_by) -> list[tuple] | None:
+    """Partitions a merge changes: those holding a key of the batch, and those it writes to."""
+    keyed = batch.select(*keys)
+    for k in keys:
+        keyed = keyed.filter(F.col(f"`{k}`").isNotNull())
+    hit = target.select(*dict.fromkeys([*keys, *partition_by])).join(
+        sized(keyed.distinct(), "merge-keys"), keys, "left_semi"
+    ).select(*partition_by)
+    if any(c not in batch.columns for c in partition_by):
+        # New rows would go to the NULL partition: leave that to the full rewrite.
+        return None
+    return _touched(hit.unionByName(batch.select(*partition_by)), partition_by)
 
 
 def _native_merge(df: DataFrame, table: str, keys: list[str], sequence: str | None) -> int:
     """Row-level merge by the table format. Needs the format's package on the session."""
-    from millrace.operators.merge import one_row_per_key
-    from millrace.session import settle
-
     known = df.sparkSession.table(table).columns
     null_key = " OR ".join(f"`{k}` IS NULL" for k in keys)
     batch = one_row_per_key(df.filter(f"NOT ({null_key})"), keys, [sequence] if sequence else None)
@@ -273,8 +365,19 @@ def delete_rows(
         return doomed
     target = spark.table(table)
     kept_if = f"NOT coalesce({condition}, false)" if condition else "false"
+    partition_by = _partition_columns(spark, table)
+    values = None
+    if condition and partition_by:
+        doomed = spark.sql(f"SELECT * FROM {{t}} WHERE {condition}", args=dict(params or {}), t=target)
+        values = _touched(doomed.select(*partition_by), partition_by)
+        if values is not None:
+            target = target.filter(_in_partitions(partition_by, values, target.schema))
     flagged = spark.sql(f"SELECT *, {kept_if} AS __keep FROM {{t}}", args=dict(params or {}), t=target)
     seen = Observation()
     flagged = flagged.observe(seen, F.count_if(~F.col("__keep")).alias("gone"))
-    _swap(flagged.filter("__keep").select(*target.columns), table, fmt)
+    kept = flagged.filter("__keep").select(*target.columns)
+    if values is None:
+        _swap(kept, table, fmt)
+    else:
+        _rewrite_partitions(kept, table, fmt, partition_by, values)
     return seen.get["gone"]

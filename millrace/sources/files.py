@@ -7,6 +7,7 @@ whole with ``skip_errors``.
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections.abc import Callable, Mapping
 from datetime import datetime
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.coerce import NULL_WORDS, NUMBER_PATTERN, null_words_to_null, ntz, to_timestamp
+from millrace.functions.coerce import NULL_WORDS, NUMBER_PATTERN, null_words_to_null, ntz, to_timestamp, utc_ntz
 from millrace.session import sized
 from millrace.sources.workbook import read_workbooks
 from millrace.sources.xmltags import broken_files, child_tags
@@ -40,11 +41,14 @@ READ_TYPES = {
     "bool": "boolean", "boolean": "boolean",
 }
 
+# Encodings as Python names them and as Spark names them.
+CHARSETS = {"iso8859-1": "ISO-8859-1", "ascii": "US-ASCII", "utf_8_sig": "UTF-8", "utf-8-sig": "UTF-8"}
+
 _PATH, _BAD, _RAW, _MARK = "__file_path", "__bad", "__raw_line", "\u0001"
 
 
 def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Name, folder, size and modification time of the files, without reading them."""
+    """Name, folder, size and modification time (UTC) of the files, without reading them."""
     listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
@@ -55,10 +59,15 @@ def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
         F.regexp_extract("path", r"([^/]*)$", 1).alias("filename"),
         _folder(F.col("path")).alias("path"),
         F.col("length").alias("size"),
-        F.col("modificationTime").cast("timestamp_ntz").alias("modified"),
+        utc_ntz(F.col("modificationTime")).alias("modified"),
     )
 
 
+def charset(encoding: str) -> str:
+    name = codecs.lookup(encoding).name
+    return CHARSETS.get(name, name)
+
+
 def _folder(uri: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(uri, r"/[^/]*$", ""), r"^file:/+", "/")
 
@@ -209,7 +218,7 @@ def _token_count(width: int, sep: str, quote: str) -> Column:
 def _read_delimited(spark, path, glob, kind, options, encoding, skip_errors, modified_after) -> DataFrame:
     opts = dict(options)
     sep = opts.pop("delimiter", None) or opts.pop("sep", None) or SEPARATORS.get(kind, ",")
-    encoding = opts.pop("encoding", encoding)
+    encoding = charset(opts.pop("encoding", encoding))
     has_header = opts.pop("header", 0) is not None
     names = opts.pop("names", None)
     dtype = opts.pop("dtype", None) or {}
@@ -347,7 +356,7 @@ def _read_json(spark, path, glob, kind, options, encoding, skip_errors, modified
 
 def _read_json_lines(spark, path, glob, schema, encoding, skip_errors, modified_after) -> DataFrame:
     mode = "PERMISSIVE" if skip_errors else "FAILFAST"
-    reader = _scan(spark, glob, modified_after, mode=mode, columnNameOfCorruptRecord=_RAW, encoding=encoding)
+    reader = _scan(spark, glob, modified_after, mode=mode, columnNameOfCorruptRecord=_RAW, encoding=charset(encoding))
     if schema is None:
         found = reader.json(path).schema
         schema = T.StructType([f for f in found.fields if f.name != _RAW])
@@ -473,7 +482,7 @@ def _read_xml(spark, path, glob, kind, options, encoding, skip_errors, modified_
     for tag in tags:
         reader = _scan(
             spark, glob, modified_after, rowTag=tag, attributePrefix=f"{tag}_", inferSchema=False,
-            mode="PERMISSIVE" if skip_errors else "FAILFAST", columnNameOfCorruptRecord=_RAW, encoding=encoding,
+            mode="PERMISSIVE" if skip_errors else "FAILFAST", columnNameOfCorruptRecord=_RAW, encoding=charset(encoding),
         ).format("xml")
         if schema is None:
             found = reader.load(path).schema
@@ -503,12 +512,7 @@ def _columnar(fmt: str) -> Callable[..., DataFrame]:
         reader = _scan(spark, glob, modified_after, mergeSchema=merge, ignoreCorruptFiles=skip_errors).format(fmt)
         if schema is not None:
             reader = reader.schema(_struct(schema))
-        try:
-            return reader.load(path).withColumn(_PATH, F.col("_metadata.file_path"))
-        except AnalysisException as err:
-            if fmt == "avro" and err.getCondition() == "DATA_SOURCE_NOT_FOUND":
-                raise RuntimeError("reading avro needs the spark-avro package on the session") from err
-            raise
+        return reader.load(path).withColumn(_PATH, F.col("_metadata.file_path"))
 
     return read
 
