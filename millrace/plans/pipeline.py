@@ -31,6 +31,7 @@ from millrace.operators.register import (
 )
 from millrace.operators.steps import apply_steps
 from millrace.plans.ledger import record_run, watermark
+from millrace.session import observed
 from millrace.sinks import jdbc as jdbc_sink
 from millrace.sinks.tables import table_exists, write_table
 from millrace.sources.files import read_files
@@ -366,13 +367,12 @@ def run(
             elif spec.get("transformer", {}).get("validate_schema") and not is_valid(checks(shaped, spec)):
                 status, error = "invalid", "validation failed"
             else:
-                if seen is None:
-                    processed = raw.count()
-                else:
-                    raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
-                    shaped = transform(raw, spec, run_time)
+                if seen is not None:
+                    counted = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
+                    shaped = transform(counted, spec, run_time)
                 loaded = _named(_loaders, "loader", loader.get("type", "table"))(shaped, loader)
-                processed = processed if seen is None else seen.get["rows"]
+                processed = observed(seen, "rows") if seen is not None else None
+                processed = raw.count() if processed is None else processed
                 status = "success" if processed else "no_data"
     except Exception as err:  # recorded, then raised
         status, error, failure = "failed", str(err)[:2000], err

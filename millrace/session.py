@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Settings a job of this library wants; the cluster's own sizing (executors,
 # memory, shuffle partitions) is left to whoever submits it.
@@ -96,3 +97,16 @@ def sized(df: DataFrame, label: str) -> DataFrame:
     is left alone.
     """
     return df if fits_broadcast(df) else settle(df, label)
+
+
+def observed(seen: Observation, name: str) -> int | None:
+    """A count taken while the data was written; None if the optimizer saw there was no data.
+
+    A plan that is empty by its own text loses its observation together with its scan.
+    """
+    try:
+        return seen.get[name]
+    except Py4JJavaError as err:
+        if "assertion failed" in str(err.java_exception):
+            return None
+        raise

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.merge import merge
-from millrace.session import settle
+from millrace.session import observed, settle
 
 DEFAULT_BATCH_ROWS = 10_000
 
@@ -77,4 +77,4 @@ def load(
         writer.option("truncate", "true").mode("overwrite").save()
     else:
         raise ValueError(f"unknown write mode {mode!r}")
-    return seen.get["rows"]
+    return observed(seen, "rows") or 0

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.merge import merge, new_rows, one_row_per_key
 from millrace.operators.register import REGISTER_TABLE_DDL
-from millrace.session import settle, sized
+from millrace.session import observed, settle, sized
 
 ROW_LEVEL_FORMATS = ("iceberg", "delta")
 FILE_FORMATS = ("parquet", "orc")
@@ -127,7 +127,7 @@ def append(df: DataFrame, table: str) -> int:
     spark = df.sparkSession
     rows, seen = _counted(_aligned(df, table))
     _clustered(rows, _partition_columns(spark, table)).write.insertInto(table)
-    return seen.get["rows"]
+    return observed(seen, "rows") or 0
 
 
 def replace(df: DataFrame, table: str) -> int:
@@ -139,7 +139,7 @@ def replace(df: DataFrame, table: str) -> int:
         rows.writeTo(table).overwrite(F.lit(True))
     else:
         _swap(rows, table, fmt)
-    return seen.get["rows"]
+    return observed(seen, "rows") or 0
 
 
 def _fresh_state(spark: SparkSession, table: str) -> str:
@@ -203,7 +203,7 @@ def overwrite_partitions(df: DataFrame, table: str) -> int:
     rows, seen = _counted(_aligned(df, table))
     if _format(spark, table) in ROW_LEVEL_FORMATS:
         rows.writeTo(table).overwritePartitions()
-        return seen.get["rows"]
+        return observed(seen, "rows") or 0
     partition_by = _partition_columns(spark, table)
     if not partition_by:
         raise ValueError(f"table {table} has no partitions")
@@ -215,7 +215,7 @@ def overwrite_partitions(df: DataFrame, table: str) -> int:
         _clustered(rows, partition_by).write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
-    return seen.get["rows"]
+    return observed(seen, "rows") or 0
 
 
 # --- rewriting some partitions of a file table ----------------------------------------------
@@ -364,7 +364,7 @@ def delete_rows(
         spark.sql(f"DELETE FROM {table} WHERE {condition}", args=dict(params or {}))
         return doomed
     target = spark.table(table)
-    kept_if = f"NOT coalesce({condition}, false)" if condition else "false"
+    kept_if = f"NOT coalesce({condition}, false)"
     partition_by = _partition_columns(spark, table)
     values = None
     if condition and partition_by:
@@ -372,6 +372,10 @@ def delete_rows(
         values = _touched(doomed.select(*partition_by), partition_by)
         if values is not None:
             target = target.filter(_in_partitions(partition_by, values, target.schema))
+    if condition is None:
+        gone = target.count()
+        _swap(target.limit(0), table, fmt)
+        return gone
     flagged = spark.sql(f"SELECT *, {kept_if} AS __keep FROM {{t}}", args=dict(params or {}), t=target)
     seen = Observation()
     flagged = flagged.observe(seen, F.count_if(~F.col("__keep")).alias("gone"))
@@ -380,4 +384,4 @@ def delete_rows(
         _swap(kept, table, fmt)
     else:
         _rewrite_partitions(kept, table, fmt, partition_by, values)
-    return seen.get["gone"]
+    return observed(seen, "gone") or 0

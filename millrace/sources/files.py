@@ -141,7 +141,8 @@ def read_files(
             if err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 continue
             raise
-        parts.append(part)
+        if part.columns:
+            parts.append(part)
     if not parts:
         return spark.createDataFrame([], T.StructType([]))
     combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
