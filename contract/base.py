@@ -64,7 +64,7 @@ def order_pages(spark: SparkSession, sf_dir: str, keep: Column | None = None) ->
     """
     orders = load(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
-        F.floor(F.col("o_orderkey") / PAGE_ROWS).cast("bigint").alias("page_no"),
+        F.expr(f"o_orderkey div {PAGE_ROWS}").alias("page_no"),
     ).withColumns(
         {
             "page": F.col("page_no") % FEED_PAGES + 1,
@@ -76,7 +76,7 @@ def order_pages(spark: SparkSession, sf_dir: str, keep: Column | None = None) ->
         item = F.when(keep, item)
     return orders.groupBy("page_no").agg(F.array_sort(F.collect_list(item)).alias("items")).select(
         "page_no",
-        F.concat(F.lit("feed-"), F.floor(F.col("page_no") / FEED_PAGES)).alias("feed"),
+        F.concat(F.lit("feed-"), F.expr(f"page_no div {FEED_PAGES}")).alias("feed"),
         (F.col("page_no") % FEED_PAGES + 1).alias("page"),
         F.to_json("items").alias("items_json"),
     )

@@ -65,7 +65,7 @@ def json_document_items(spark, sf_dir):
     """Documents of three shapes: a list of objects, an object holding one, a bare object."""
     part, folder = load(spark, sf_dir, "part"), new_folder(spark, "json-docs")
     item = F.struct("p_partkey", "p_name", "p_size", "p_retailprice")
-    docs = part.groupBy(F.floor(F.col("p_partkey") / _DOC_ROWS).alias("doc")).agg(
+    docs = part.groupBy(F.expr(f"p_partkey div {_DOC_ROWS}").alias("doc")).agg(
         F.to_json(F.collect_list(item)).alias("items")
     )
     wrapped = F.format_string('{"note": "[{1}]", "empty": [], "codes": [1, 2], "items": %s, "more": [{"z": 1}]}', "items")
@@ -77,7 +77,7 @@ def json_document_items(spark, sf_dir):
 @query("json_scalar_list", "SELECT c_name AS data FROM customer")
 def json_scalar_list(spark, sf_dir):
     customer, folder = load(spark, sf_dir, "customer"), new_folder(spark, "json-lists")
-    docs = customer.groupBy(F.floor(F.col("c_custkey") / _DOC_ROWS).alias("doc")).agg(
+    docs = customer.groupBy(F.expr(f"c_custkey div {_DOC_ROWS}").alias("doc")).agg(
         F.to_json(F.collect_list("c_name")).alias("value")
     )
     docs.write.partitionBy("doc").text(folder)

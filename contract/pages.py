@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from contract.base import load, query
 from millrace.operators.checks import header_drift
 from millrace.sources.html import (
-    anchors,
-    detail_sections,
     next_page_link,
+    read_anchors,
     read_items,
+    read_sections,
     read_table_pages,
     select_first,
     table_headers,
@@ -37,7 +37,7 @@ def _customer_pages(spark, sf_dir, title: str = "Name"):
     )
     head = F.lit(f"<html><body><p>x<table id=t><thead><tr><th>Key</th><th> {title} </th><th>Segment</th></tr></thead>")
     rows = F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", row.alias("html")))), lambda r: r["html"])
-    return customer.groupBy(F.floor(F.col("c_custkey") / _PAGE).alias("page_id")).agg(
+    return customer.groupBy(F.expr(f"c_custkey div {_PAGE}").alias("page_id")).agg(
         F.concat(head, F.array_join(rows, "\n"), F.lit("</table><table><tr><th>No</th></tr></table>")).alias("html")
     )
 
@@ -65,8 +65,7 @@ def html_table_rows(spark, sf_dir):
 )
 def html_anchors(spark, sf_dir):
     """Links of the given pages, broken ones included."""
-    pages = load(spark, sf_dir, "pages")
-    return pages.select("page_id", F.inline(anchors(F.col("html")))).select("page_id", "href")
+    return read_anchors(load(spark, sf_dir, "pages"), ["page_id"]).select("page_id", "href")
 
 
 @query(
@@ -129,8 +128,7 @@ def html_sections(spark, sf_dir):
     # The second row's label encloses its value in the markup, so its own text ends there.
     page = F.replace(page, F.lit("Brand <div"), F.lit("Brand</div><div"))
     pages = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), page.alias("html"))
-    sections = pages.select("page_id", F.explode(detail_sections(F.col("html"))).alias("section", "rows"))
-    return sections.select("page_id", "section", F.explode("rows").alias("label", "value"))
+    return read_sections(pages, ["page_id"])
 
 
 @query(
@@ -153,7 +151,7 @@ def html_fields(spark, sf_dir):
         F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0"),
     )
     items = F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", item.alias("h")))), lambda r: r["h"])
-    pages = part.groupBy(F.floor(F.col("p_partkey") / _PAGE).alias("page_id")).agg(
+    pages = part.groupBy(F.expr(f"p_partkey div {_PAGE}").alias("page_id")).agg(
         F.concat(F.lit("<main>"), F.array_join(items, ""), F.lit("</main>")).alias("html")
     )
     return read_items(

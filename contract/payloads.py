@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from contract.base import FEED_PAGES, ORDER_ITEM, ORDER_PAGES_SQL, load, order_pages, query
 from millrace.functions.payload import elements
-from millrace.session import new_folder
+from millrace.session import new_folder, settle
 from millrace.sources.paged import paged_source
 from millrace.sources.payloads import explode_items, take_pages, with_items
 
@@ -24,6 +24,11 @@ def _orders(pages):
     return explode_items(pages, ["feed"], ORDER_ITEM).select(*[c.strip() for c in _COLUMNS.split(",")])
 
 
+def _landed(pages):
+    """Bodies as a fetcher leaves them: a stored table of ``(feed, page order, body)``."""
+    return with_items(settle(pages, "bodies"))
+
+
 def _body(text: str, *columns):
     return F.format_string(text, *columns)
 
@@ -56,7 +61,7 @@ _PAGE_STOP = "page <= 15 AND NOT (page >= 10 AND (page_no // 20) % 2 = 1)"
 @query("pages_until_last", f"{_SELECT} WHERE {_PAGE_STOP}")
 def pages_until_last(spark, sf_dir):
     pages = order_pages(spark, sf_dir)
-    odd = F.floor(F.col("page_no") / FEED_PAGES) % 2 == 1
+    odd = F.expr(f"page_no div {FEED_PAGES}") % 2 == 1
     items = F.when(odd & (F.col("page") == 10), "[]").otherwise(F.col("items_json"))
     kind = F.col("page") % 3
     more = F.when(F.col("page") == 15, "false").otherwise("true")
@@ -66,7 +71,7 @@ def pages_until_last(spark, sf_dir):
         .when(kind == 1, _body('{"meta": {"next": %s}, "has_more": true, "data": %s}', link, items))
         .otherwise(_body('{"next": %s, "data": %s}', link, items))
     )
-    return _orders(take_pages(with_items(pages.withColumn("body", body)), "page", "feed", "page"))
+    return _orders(take_pages(_landed(pages.select("feed", "page", body.alias("body"))), "page", "feed", "page"))
 
 
 @query("pages_by_offset", f"{_SELECT} WHERE page < 12 OR (page = 12 AND slot < 60)")
@@ -76,7 +81,7 @@ def pages_by_offset(spark, sf_dir):
     landed = pages.select(
         "feed", ((F.col("page") - 1) * 100).alias("offset"), _body('{"data": %s}', "items_json").alias("body")
     )
-    return _orders(take_pages(with_items(landed), "offset", "feed", "offset", limit=100))
+    return _orders(take_pages(_landed(landed), "offset", "feed", "offset", limit=100))
 
 
 @query("pages_by_cursor", f"{_SELECT} WHERE page <= 17")
@@ -84,8 +89,8 @@ def pages_by_cursor(spark, sf_dir):
     pages = order_pages(spark, sf_dir)
     cursor = F.when(F.col("page") == 17, "").otherwise(F.concat(F.lit("c"), F.col("page")))
     body = _body('{"page": {"after": "%s"}, "data": %s}', cursor, "items_json")
-    landed = pages.withColumn("body", body)
-    return _orders(take_pages(with_items(landed), "cursor", "feed", "page", cursor_path="page.after"))
+    landed = pages.select("feed", "page", body.alias("body"))
+    return _orders(take_pages(_landed(landed), "cursor", "feed", "page", cursor_path="page.after"))
 
 
 # For the data source: eight feeds whose pages grow with the data.
@@ -104,15 +109,15 @@ _BLOCK = 10
 def paged_source_query(spark, sf_dir):
     """Pages fetched by a data source: a fetch function over bodies landed in page blocks."""
     folder = new_folder(spark, "bodies")
-    number = F.floor(F.col("page_no") / _FEEDS) + 1
+    number = F.expr(f"page_no div {_FEEDS} + 1")
     landed = order_pages(spark, sf_dir).select(
         F.concat(F.lit("feed-"), F.col("page_no") % _FEEDS).alias("feed"),
         number.alias("number"),
-        F.floor(number / _BLOCK).alias("block"),
+        F.expr(f"(page_no div {_FEEDS} + 1) div {_BLOCK}").alias("block"),
         _body('{"has_more": true, "data": %s}', "items_json").alias("body"),
     )
     landed.repartition("feed", "block").write.partitionBy("feed", "block").parquet(folder)
-    last_page = load(spark, sf_dir, "orders").agg(F.max(F.floor(F.col("o_orderkey") / 100))).first()[0] // _FEEDS + 1
+    last_page = load(spark, sf_dir, "orders").agg(F.max(F.expr("o_orderkey div 100"))).first()[0] // _FEEDS + 1
 
     def fetch(feed: str, params: dict) -> str | None:
         import pyarrow.dataset as ds
@@ -134,4 +139,5 @@ def paged_source_query(spark, sf_dir):
         )
         .load()
     )
-    return _orders(take_pages(with_items(pages), "page", "feed", "page"))
+    # Each page is fetched once: what follows reads the landed bodies.
+    return _orders(take_pages(with_items(settle(pages, "landed")), "page", "feed", "page"))

@@ -7,6 +7,7 @@ ANSI mode.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 
@@ -25,8 +26,8 @@ NULL_WORDS = (
     "nan", "null",
 )
 
-# What counts as a number once commas have become dots.
-NUMBER_PATTERN = r"(?i)^\s*[+-]?(inf|infinity|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?)\s*$"
+# What counts as a number, with a comma or a dot as decimal mark.
+NUMBER_PATTERN = r"^\s*[+-]?(?:(?:\d+[.,]?\d*|[.,]\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
 # Date patterns tried in this order when the caller names none.
 DATE_FORMATS = (
@@ -46,6 +47,10 @@ _DIRECTIVES = {
 }
 
 
+# Digit directives and how many digits they take.
+_WIDTHS = {"%Y": 4, "%m": 2, "%d": 2, "%H": 2, "%M": 2, "%S": 2, "%f": 6}
+
+
 def spark_pattern(fmt: str) -> str:
     """Translate a strptime format; a text without ``%`` is already a Spark pattern."""
     if "%" not in fmt:
@@ -77,10 +82,60 @@ def spark_pattern(fmt: str) -> str:
     return "".join(out)
 
 
+def _digits_only(fmt: str) -> tuple[str, list[tuple[str, int]]] | None:
+    """For a format of digit fields: the pattern of its texts, and where each field starts.
+
+    None for formats with names, halves of the day, zones or short years.
+    """
+    shape, places, at, i = "", [], 1, 0
+    while i < len(fmt):
+        field = fmt[i : i + 2]
+        if field in _WIDTHS and "%f" not in [f for f, _ in places]:
+            places.append((field, at))
+            shape += r"\d{1,6}" if field == "%f" else rf"\d{{{_WIDTHS[field]}}}"
+            at += _WIDTHS[field]
+            i += 2
+        elif fmt[i] == "%" or "%f" in [f for f, _ in places]:
+            return None
+        else:
+            shape += re.escape(fmt[i])
+            at += 1
+            i += 1
+    names = [f for f, _ in places]
+    whole = {"%Y", "%m", "%d"} <= set(names) and len(names) == len(set(names))
+    return (f"^{shape}$", places) if whole else None
+
+
+def _by_place(col: Column, shape: str, places: list[tuple[str, int]]) -> Column:
+    """Put the digit fields in ISO order and cast: no formatter, and no exception on a misfit."""
+    at = dict(places)
+
+    def field(name: str) -> Column:
+        return F.substring(col, at[name], _WIDTHS[name]) if name in at else F.lit("00")
+
+    if [f for f, _ in places] == ["%Y", "%m", "%d"] and at["%m"] == 6 and at["%d"] == 9 and r"\-" in shape:
+        iso = col
+    else:
+        parts = [field("%Y"), F.lit("-"), field("%m"), F.lit("-"), field("%d")]
+        if {"%H", "%M", "%S", "%f"} & set(at):
+            parts += [F.lit(" "), field("%H"), F.lit(":"), field("%M"), F.lit(":"), field("%S")]
+        if "%f" in at:
+            parts += [F.lit("."), field("%f")]
+        iso = F.concat(*parts)
+    return F.when(col.rlike(shape), iso.try_cast("timestamp_ntz"))
+
+
 def to_timestamp(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Text to a zone-less timestamp: the first format that fits wins, else NULL."""
-    tried = [F.try_to_timestamp(col, F.lit(spark_pattern(f))).cast("timestamp_ntz") for f in formats]
-    return tried[0] if len(tried) == 1 else F.coalesce(*tried)
+
+    def tried(fmt: str) -> Column:
+        digits = _digits_only(fmt)
+        if digits:
+            return _by_place(col, *digits)
+        return F.try_to_timestamp(col, F.lit(spark_pattern(fmt))).cast("timestamp_ntz")
+
+    columns = [tried(f) for f in formats]
+    return columns[0] if len(columns) == 1 else F.coalesce(*columns)
 
 
 def to_number(col: Column) -> Column:
@@ -88,8 +143,7 @@ def to_number(col: Column) -> Column:
 
     The pattern guards the cast, which by itself also reads ``1d`` and ``NaN``.
     """
-    dotted = F.replace(col, F.lit(","), F.lit("."))
-    return F.when(dotted.rlike(NUMBER_PATTERN), F.trim(dotted).try_cast("double"))
+    return F.when(col.rlike(NUMBER_PATTERN), F.translate(col, ",", ".").try_cast("double"))
 
 
 def to_boolean(col: Column) -> Column:

@@ -26,24 +26,38 @@ def vertex_label(database: str, table: str) -> str:
     return f"{database}_{table}"
 
 
-def key_id(*keys: str | Column) -> Column:
+def key_id(*keys: str | Column, escape: bool = True) -> Column:
     """Vertex id from key columns. Separators inside a value are escaped, so ids are unique.
 
-    NULL when a key is NULL.
+    NULL when a key is NULL. Values that cannot hold a separator need no escaping.
     """
 
-    def escaped(k):
+    def text(k):
         col = (F.col(k) if isinstance(k, str) else k).cast("string")
-        for ch in ("\\", "!"):
-            col = F.replace(col, F.lit(ch), F.lit("\\" + ch))
+        if escape:
+            for ch in ("\\", "!"):
+                col = F.replace(col, F.lit(ch), F.lit("\\" + ch))
         return col
 
     # concat, unlike concat_ws, is NULL as soon as one part is.
-    parts = [escaped(k) for k in keys]
-    joined = [parts[0]]
-    for p in parts[1:]:
-        joined += [F.lit("!"), p]
-    return F.concat(*joined)
+    parts = [text(keys[0])]
+    for k in keys[1:]:
+        parts += [F.lit("!"), text(k)]
+    return F.concat(*parts)
+
+
+def _id(df: DataFrame, keys: list[str]) -> Column:
+    return key_id(*keys, escape=not all(isinstance(df.schema[k].dataType, T.NumericType) for k in keys))
+
+
+def _complete(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are all known."""
+    absent = [k for k in keys if k not in df.columns]
+    if absent:
+        raise ValueError(f"key columns {absent} are not in the table")
+    for k in keys:
+        df = df.filter(F.col(k).isNotNull())
+    return df
 
 
 def vertices(df: DataFrame, label: str, keys: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
@@ -53,17 +67,10 @@ def vertices(df: DataFrame, label: str, keys: list[str] | None = None, order: li
     one vertex. Rows with a NULL key have no identity and are left out.
     """
     if keys:
-        absent = [k for k in keys if k not in df.columns]
-        if absent:
-            raise ValueError(f"key columns {absent} are not in the table")
-        whole = F.lit(True)
-        for k in keys:
-            whole = whole & F.col(k).isNotNull()
-        one = one_row_per_key(df.filter(whole), keys, order)
-        return one.select(key_id(*keys).alias("id"), F.lit(label).alias("label"), *[c for c in df.columns if c not in keys])
-    one = df.distinct()
-    wide = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
-    return one.select(wide.alias("id"), F.lit(label).alias("label"), *df.columns)
+        one = one_row_per_key(_complete(df, keys), keys, order)
+        return one.select(_id(df, keys).alias("id"), F.lit(label).alias("label"), *[c for c in df.columns if c not in keys])
+    whole = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+    return df.distinct().select(whole.alias("id"), F.lit(label).alias("label"), *df.columns)
 
 
 def edges(
@@ -85,17 +92,19 @@ def edges(
         raise ValueError(f"unknown frequency {frequency!r}")
     sources = [source_key] if isinstance(source_key, str) else list(source_key)
     targets = [target_key] if isinstance(target_key, str) else list(target_key)
-    ends = {*sources, *targets}
     sort_keys = sort_keys or []
-    made = df.select(
-        key_id(*sources).alias("src"),
-        key_id(*targets).alias("dst"),
+    rows = _complete(df, [*sources, *targets])
+    if frequency == "SINGLE" or sort_keys:
+        # Deduplicated on the key columns themselves; the ids are built for what is left.
+        keys = dict.fromkeys([*sources, *targets, *(sort_keys if frequency == "MULTIPLE" else [])])
+        rows = one_row_per_key(rows, list(keys), order)
+    ends = {*sources, *targets}
+    return rows.select(
+        _id(df, sources).alias("src"),
+        _id(df, targets).alias("dst"),
         F.lit(label).alias("label"),
         *[c for c in df.columns if c not in ends or c in sort_keys],
-    ).filter("src is not null and dst is not null")
-    if frequency == "MULTIPLE" and not sort_keys:
-        return made
-    return one_row_per_key(made, ["src", "dst", "label", *(sort_keys if frequency == "MULTIPLE" else [])], order)
+    )
 
 
 def dangling_ends(edge_rows: DataFrame, source_vertices: DataFrame, target_vertices: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from millrace.operators.register import (
 )
 from millrace.operators.steps import apply_steps
 from millrace.plans.ledger import record_run, watermark
-from millrace.session import observed
+from millrace.session import observed, settle
 from millrace.sinks import jdbc as jdbc_sink
 from millrace.sinks.tables import table_exists, write_table
 from millrace.sources.files import read_files
@@ -169,9 +169,13 @@ def _database_source(spark: SparkSession, cfg: dict, run_time: datetime) -> Data
 
 
 def _bodies(spark: SparkSession, cfg: dict) -> DataFrame:
-    """Landed bodies or pages: a catalog table, or a registered data source by format name."""
+    """Landed bodies or pages: a catalog table, or a data source that fetches them.
+
+    Fetched bodies are landed in the shared folder first, so that each is fetched once
+    however often the plan reads it.
+    """
     if cfg.get("format"):
-        return spark.read.format(cfg["format"]).options(**cfg.get("options", {})).load()
+        return settle(spark.read.format(cfg["format"]).options(**cfg.get("options", {})).load(), "landed")
     return spark.table(cfg["table"])
 
 

@@ -21,6 +21,7 @@ RECOMMENDED = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 
+SPLIT_BYTES = 128 * 1024 * 1024
 _SCRATCH = "spark.millrace.folder"
 
 
@@ -99,6 +100,16 @@ def sized(df: DataFrame, label: str) -> DataFrame:
     return df if fits_broadcast(df) else settle(df, label)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small input one partition per core before a step that is heavy on CPU.
+
+    Only below one ordinary split per core: larger inputs have enough partitions of
+    their own and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if estimated_bytes(df) < cores * SPLIT_BYTES else df
+
+
 def observed(seen: Observation, name: str) -> int | None:
     """A count taken while the data was written; None if the optimizer saw there was no data.
 

@@ -326,7 +326,7 @@ def infer_text_types(df: DataFrame, columns: list[str]) -> dict[str, str]:
         col = F.col(f"`{c}`")
         text = F.trim(col)
         whole = F.coalesce(text.rlike(r"^[+-]?\d+$") & text.try_cast("bigint").isNotNull(), F.lit(False))
-        number = F.coalesce(text.rlike(NUMBER_PATTERN), F.lit(False))
+        number = F.coalesce(text.rlike(NUMBER_PATTERN) & ~F.contains(text, F.lit(",")), F.lit(False))
         flag = F.coalesce(col.isin("True", "TRUE", "true", "False", "FALSE", "false"), F.lit(False))
         for kind, fits in (("bigint", whole), ("double", number), ("boolean", flag)):
             aggs.append(F.count_if(col.isNotNull() & ~fits).alias(f"{kind}_{i}"))
@@ -369,35 +369,43 @@ def _read_json_lines(spark, path, glob, schema, encoding, skip_errors, modified_
     return _without_files(rows, broken.select(_PATH))
 
 
-def document_rows(doc: Column) -> Column:
-    """A JSON document to an array of ``(item, is_object)`` rows.
+def document_items(docs: DataFrame, doc: str) -> DataFrame:
+    """JSON documents to one row per item: column ``doc`` becomes ``item`` and ``is_object``.
 
     A list of objects is its elements; another list is one value per element; an
     object is the elements of its first member, in document order, that is a list
     starting with an object, or else itself; a scalar is one value.
     """
-    typed = F.map_entries(F.from_json(doc, "map<string,variant>"))
-    has_list = F.filter(
+    kept = [c for c in docs.columns if c != doc]
+    text = F.col(doc)
+    typed = F.map_entries(F.from_json(text, "map<string,variant>"))
+    with_list = F.filter(
         typed,
         lambda e: F.coalesce(
             F.schema_of_variant(F.try_variant_get(e["value"], "$[0]", "variant")).startswith("OBJECT"), F.lit(False)
         ),
     )
-    key = F.try_element_at(F.transform(has_list, lambda e: e["key"]), F.lit(1))
-    member = F.try_element_at(F.from_json(doc, "map<string,string>"), key)
-    listed = F.from_json(doc, "array<string>")
-    objects_only = F.forall(listed, lambda x: F.coalesce(x.startswith("{"), F.lit(False)))
-
-    def rows(items: Column, is_object: Column) -> Column:
-        return F.transform(items, lambda x: F.struct(x.alias("item"), is_object.alias("is_object")))
-
-    start = F.ltrim(doc)
-    return (
-        F.when(start.startswith("["), rows(listed, objects_only))
-        .when(start.startswith("{") & key.isNotNull(), rows(F.from_json(member, "array<string>"), F.lit(True)))
-        .when(start.startswith("{"), rows(F.array(doc), F.lit(True)))
-        .otherwise(rows(F.from_json(F.concat(F.lit("["), doc, F.lit("]")), "array<string>"), F.lit(False)))
+    first_list = F.try_element_at(F.map_keys(F.map_from_entries(with_list)), F.lit(1))
+    start = F.ltrim(text)
+    keyed = docs.withColumns(
+        {
+            "__key": F.when(start.startswith("{"), first_list),
+            "__kind": F.when(start.startswith("["), "list").when(start.startswith("{"), "object").otherwise("scalar"),
+        }
+    )
+    member = F.try_element_at(F.from_json(text, "map<string,string>"), F.col("__key"))
+    items = (
+        F.when(F.col("__kind") == "list", F.from_json(text, "array<string>"))
+        .when(F.col("__key").isNotNull(), F.from_json(member, "array<string>"))
+        .when(F.col("__kind") == "object", F.array(text))
+        .otherwise(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>"))
     )
+    split = keyed.select(*kept, "__kind", items.alias("__items"))
+    # The flag is a column of its own: inside a function over the items it would be
+    # worked out again for every item.
+    objects_only = F.forall("__items", lambda x: F.coalesce(x.startswith("{"), F.lit(False)))
+    flagged = split.withColumn("is_object", (F.col("__kind") == "object") | ((F.col("__kind") == "list") & objects_only))
+    return flagged.select(*kept, "is_object", F.explode("__items").alias("item"))
 
 
 def infer_object_schema(df: DataFrame, column: str) -> T.StructType:
@@ -426,7 +434,7 @@ def _read_json_documents(spark, path, glob, schema, skip_errors, modified_after)
         _BAD, F.col(_BAD) | F.try_parse_json("doc").isNull()
     )
     docs = _drop_bad_files(docs, skip_errors, "JSON")
-    items = docs.select(_PATH, F.inline(document_rows(F.col("doc"))))
+    items = document_items(docs, "doc")
     objects = items.filter("is_object")
     if schema is None:
         fields = infer_object_schema(objects, "item")

@@ -19,6 +19,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import spread
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Elements without an end tag, and elements whose text is not content.
@@ -327,7 +329,7 @@ def read_table_pages(
     pages: DataFrame, columns: list[str], keep: list[str], html: str = "html", link_label: str = "Anmälan"
 ) -> DataFrame:
     """Table rows of every page, with the named titles as columns and ``details_link``."""
-    rows = pages.select(*keep, F.inline(table_records(F.col(html), link_label)))
+    rows = spread(pages.select(*keep, html)).select(*keep, F.inline(table_records(F.col(html), link_label)))
     return rows.select(
         *keep, "row_no", *[F.try_element_at("cells", F.lit(c)).alias(c) for c in columns], "details_link"
     )
@@ -337,5 +339,19 @@ def read_items(
     pages: DataFrame, item_path: str, fields: dict[str, str], keep: list[str], html: str = "html", table_path=None
 ) -> DataFrame:
     """Declared items of every page, one row per item, one column per field."""
-    rows = pages.select(*keep, F.posexplode(select_items(F.col(html), item_path, fields, table_path)).alias("item_no", "f"))
+    items = select_items(F.col(html), item_path, fields, table_path)
+    rows = spread(pages.select(*keep, html)).select(*keep, F.posexplode(items).alias("item_no", "f"))
     return rows.select(*keep, "item_no", *[F.try_element_at("f", F.lit(n)).alias(n) for n in fields])
+
+
+def read_sections(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
+    """Detail sections of every page as ``(section, label, value)`` rows."""
+    sections = spread(pages.select(*keep, html)).select(
+        *keep, F.explode(detail_sections(F.col(html))).alias("section", "rows")
+    )
+    return sections.select(*keep, "section", F.explode("rows").alias("label", "value"))
+
+
+def read_anchors(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
+    """Links of every page as ``(href, label)`` rows."""
+    return spread(pages.select(*keep, html)).select(*keep, F.inline(anchors(F.col(html))))
