@@ -143,7 +143,7 @@ def to_number(col: Column) -> Column:
 
     The pattern guards the cast, which by itself also reads ``1d`` and ``NaN``.
     """
-    return F.when(col.rlike(NUMBER_PATTERN), F.translate(col, ",", ".").try_cast("double"))
+    return F.when(col.rlike(NUMBER_PATTERN), F.replace(col, F.lit(","), F.lit(".")).try_cast("double"))
 
 
 def to_boolean(col: Column) -> Column:

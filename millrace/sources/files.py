@@ -206,8 +206,11 @@ def _token_count(width: int, sep: str, quote: str) -> Column:
     marked = F.from_csv(
         F.concat(F.col(_RAW), F.lit(sep + _MARK)), fields, {"sep": sep, "quote": quote, "mode": "PERMISSIVE"}
     )
-    cells = F.array(*[marked[f"c{i}"] for i in range(width)])
-    at = F.array_position(cells, _MARK)
+    # Looked at through a one-element array, so the line is parsed once and not per field.
+    places = F.transform(
+        F.array(marked), lambda m: F.array_position(F.array(*[m[f"c{i}"] for i in range(width)]), _MARK)
+    )
+    at = F.element_at(places, 1)
     # The raw line is kept only where the count is off, so a filled last field means too many.
     return (
         F.when(F.col(_RAW).isNull(), F.lit(width))
