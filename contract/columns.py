@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contract.base import RUN_TIME, RUN_TIME_SQL, comma_text, load, query
+from contract.base import RUN_TIME, RUN_TIME_SQL, comma_text, fresh_database, load, query
 from millrace.functions.coerce import convert_types, fill_missing
 from millrace.functions.names import clean_column_names, rename_present
 from millrace.operators.checks import (
@@ -15,7 +15,6 @@ from millrace.operators.checks import (
     null_report,
     schema_drift,
     schema_fingerprint,
-    schema_rows,
     validate,
 )
 from millrace.operators.register import (
@@ -26,6 +25,8 @@ from millrace.operators.register import (
     transform_register,
 )
 from millrace.operators.steps import add_constants, apply_steps
+from millrace.sinks.tables import write_table
+from millrace.sources.tables import list_tables, table_columns
 
 
 def raw_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,10 +264,17 @@ def validation_report(spark, sf_dir):
     """,
 )
 def table_profile(spark, sf_dir):
-    """Column rows of a table beside the NULLs counted in each column."""
-    orders = load(spark, sf_dir, "orders")
-    columns = schema_rows(orders, "orders").select("table_name", "column_name", "position", "data_type")
-    return columns.join(null_report(orders), "column_name")
+    """The catalog's column rows of a stored table beside the NULLs counted in each column."""
+    database = fresh_database(spark)
+    write_table(load(spark, sf_dir, "orders"), f"{database}.orders")
+    columns = table_columns(spark, f"{database}.orders").join(
+        list_tables(spark, database).select(F.concat(F.lit(f"{database}."), "table_name").alias("table_name")), "table_name"
+    )
+    found = columns.join(null_report(spark.table(f"{database}.orders")), "column_name")
+    return found.select(
+        F.substring_index("table_name", ".", -1).alias("table_name"),
+        "column_name", "position", "data_type", "null_count", "row_count",
+    )
 
 
 @query(

@@ -7,6 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from contract.base import RUN_TIME, RUN_TIME_SQL, fresh_database, load, query
+from contract.workbooks import workbook_writer
 from millrace.session import new_folder
 from millrace.sources.files import file_inventory, read_files
 from millrace.streaming.intake import load_available, stream_files
@@ -159,6 +160,50 @@ def corrupt_file_skip(spark, sf_dir):
     return read_files(spark, f"{folder}/*", "*.csv", skip_errors=True)
 
 
+@query(
+    "file_inventory",
+    "SELECT c_mktsegment AS segment, count(*) AS row_count FROM customer GROUP BY c_mktsegment",
+)
+def file_inventory_query(spark, sf_dir):
+    """Inventory rows matched, by folder, name and size, with the files the rows of a scan come from."""
+    folder = new_folder(spark, "inventory")
+    load(spark, sf_dir, "customer").write.partitionBy("c_mktsegment").parquet(folder)
+    listed = file_inventory(spark, f"{folder}/*", "*.parquet")
+    scanned = (
+        spark.read.parquet(folder)
+        .groupBy(
+            F.regexp_replace(F.regexp_replace("_metadata.file_path", "/[^/]*$", ""), "^file:/+", "/").alias("path"),
+            F.col("_metadata.file_name").alias("filename"),
+            F.col("_metadata.file_size").alias("size"),
+        )
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    matched = listed.join(scanned, ["path", "filename", "size"])
+    return matched.groupBy(F.regexp_extract("path", "=([^/]*)$", 1).alias("segment")).agg(F.sum("n").alias("row_count"))
+
+
+@query(
+    "workbook_rows",
+    "SELECT c_custkey, c_name, c_acctbal, CASE WHEN c_acctbal < 0 THEN 'debt' END AS note FROM customer",
+)
+def workbook_rows(spark, sf_dir):
+    """Workbooks of 500 consecutive customers each, read back by sheet name and header row."""
+    folder = new_folder(spark, "workbooks")
+    row = F.struct(
+        "c_custkey", F.col("c_name"), F.col("c_acctbal").cast("string").alias("bal"),
+        F.when(F.col("c_acctbal") < 0, "debt").alias("note"),
+    )
+    books = load(spark, sf_dir, "customer").groupBy(F.expr(f"c_custkey div {_DOC_ROWS}").alias("book")).agg(
+        F.array_sort(F.collect_list(row)).alias("rows")
+    )
+    # Written by the tasks themselves; a task that runs again writes the same file again.
+    books.mapInArrow(workbook_writer(folder), "path string").write.format("noop").mode("overwrite").save()
+    return read_files(
+        spark, folder, "*.xlsx",
+        options={"sheet_name": "customers", "header": 0, "skiprows": 1, "dtype": {"c_name": "str", "note": "str"}},
+    )
+
+
 def _event_files(spark, sf_dir, folder):
     """Events as files in two rounds, the second with later file times; returns the cut between."""
     events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")

@@ -119,11 +119,13 @@ def paged_source_query(spark, sf_dir):
     landed.repartition("feed", "block").write.partitionBy("feed", "block").parquet(folder)
     last_page = load(spark, sf_dir, "orders").agg(F.max(F.expr("o_orderkey div 100"))).first()[0] // _FEEDS + 1
 
+    root = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+
     def fetch(feed: str, params: dict) -> str | None:
         import pyarrow.dataset as ds
         from pyarrow.fs import FileSystem, FileType
 
-        fs, path = FileSystem.from_uri(f"{folder}/feed={feed}/block={params['page'] // _BLOCK}")
+        fs, path = FileSystem.from_uri(f"{root}/feed={feed}/block={params['page'] // _BLOCK}")
         if fs.get_file_info(path).type == FileType.NotFound:
             return None
         found = ds.dataset(path, filesystem=fs, format="parquet")

@@ -273,10 +273,29 @@ def register_table(spark, sf_dir):
     load_register(transform_register(raw, RUN_TIME), table)
     return spark.table(table).select(
         "publication_date", "issuer", "person_in_leading_position", "transaction_type", "transaction_date", "volume",
-        "price", "source", "ingestion_timestamp", F.col("transaction_day").cast("string").alias("transaction_day"),
+        "price", "source", "ingestion_timestamp", F.col("transaction_date_day").cast("string").alias("transaction_day"),
     )
 
 
+@query(
+    "table_formats",
+    f"""
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN 0.0 ELSE o_totalprice END AS o_totalprice,
+           o_orderdate, o_orderstatus, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day
+    FROM orders WHERE o_orderstatus <> 'P'
+    """,
+)
+def table_formats(spark, sf_dir):
+    """Another file format by name: appended, merged, deleted from."""
+    table = f"{fresh_database(spark)}.orders"
+    recent = _orders(spark, sf_dir)
+    write_table(recent, table, "append", ["o_orderstatus"], "orc")
+    zeroed = _orders(spark, sf_dir, "F").withColumn("o_totalprice", F.lit(0.0))
+    write_table(zeroed, table, "merge", fmt="orc", merge_keys=["o_orderkey"])
+    delete_rows(spark, table, "o_orderstatus = 'P'")
+    return spark.table(table).withColumn("day", F.col("o_orderdate").cast("date").cast("string"))
+
+
 # --- graph elements -------------------------------------------------------------------------
 
 

@@ -23,7 +23,7 @@ from millrace.operators.register import REGISTER_TABLE_DDL
 from millrace.session import observed, settle, sized
 
 ROW_LEVEL_FORMATS = ("iceberg", "delta")
-FILE_FORMATS = ("parquet", "orc")
+REGISTER_PARTITIONS = ["days(transaction_date)"]
 
 # Fixed value: the columns of a table created with neither schema nor data.
 DEFAULT_TABLE_DDL = "source STRING, data_timestamp TIMESTAMP_NTZ, ingestion_timestamp TIMESTAMP_NTZ"
@@ -38,6 +38,21 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
+_DAYS = re.compile(r"days\((\w+)\)")
+
+
+def day_column(partition: str) -> tuple[str, str] | None:
+    """For a ``days(x)`` partition: the column x, and the derived day column of a file table."""
+    found = _DAYS.fullmatch(partition)
+    return (found[1], f"{found[1]}_day") if found else None
+
+
+def with_days(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Add the derived day columns a file table is partitioned by."""
+    days = [d for d in map(day_column, partition_by) if d]
+    return df.withColumns({day: F.col(f"`{ts}`").cast("date") for ts, day in days}) if days else df
+
+
 def create_table(
     spark: SparkSession,
     table: str,
@@ -48,7 +63,9 @@ def create_table(
     """Create the table (and its database) if absent; True if it was created.
 
     Columns come from a ``StructType``, a DDL text or the data about to be stored;
-    without any of them the three default columns are used.
+    without any of them the three default columns are used. A partition is a column
+    or ``days(column)``; a plain file table has no day transform, so there the day
+    becomes a column ``<column>_day`` of its own.
     """
     if table_exists(spark, table):
         return False
@@ -57,28 +74,27 @@ def create_table(
     if isinstance(schema, DataFrame):
         schema = schema.schema
     fields = T.StructType.fromDDL(schema or DEFAULT_TABLE_DDL) if not isinstance(schema, T.StructType) else schema
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields.fields)
+    columns = {f.name: f.dataType.simpleString() for f in fields.fields}
+    if fmt not in ROW_LEVEL_FORMATS:
+        for found in filter(None, map(day_column, partition_by or ())):
+            columns[found[1]] = "date"
+        partition_by = [found[1] if (found := day_column(p)) else p for p in partition_by or ()]
+    ddl = ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {fmt}{parts}")
     return True
 
 
 def create_register_table(spark: SparkSession, table: str, fmt: str = "parquet") -> bool:
-    """The fixed insider-trading table, partitioned by day of the transaction.
-
-    A plain file table has no day transform, so the day is a derived column there.
-    """
-    if fmt in ROW_LEVEL_FORMATS:
-        return create_table(spark, table, REGISTER_TABLE_DDL, ["days(transaction_date)"], fmt)
-    return create_table(spark, table, REGISTER_TABLE_DDL + ", transaction_day DATE", ["transaction_day"], fmt)
+    """The fixed insider-trading table, partitioned by day of the transaction."""
+    return create_table(spark, table, REGISTER_TABLE_DDL, REGISTER_PARTITIONS, fmt)
 
 
 def load_register(df: DataFrame, table: str) -> int:
     """Append transformed register records; columns the table lacks are left out."""
-    stored = df.sparkSession.table(table)
-    if "transaction_day" in stored.columns:
-        df = df.withColumn("transaction_day", F.col("transaction_date").cast("date"))
-    return append(df.select(*[c for c in df.columns if c in stored.columns]), table)
+    known = df.sparkSession.table(table).columns
+    df = with_days(df, REGISTER_PARTITIONS)
+    return append(df.select(*[c for c in df.columns if c in known]), table)
 
 
 def _format(spark: SparkSession, table: str) -> str:
@@ -185,6 +201,8 @@ def write_table(df: DataFrame, table: str, mode: str = "append", partition_by=No
         return 0
     if mode in ("error", "errorifexists") and existed:
         raise ValueError(f"table {table} exists")
+    if partition_by and fmt not in ROW_LEVEL_FORMATS:
+        df = with_days(df, partition_by)
     create_table(spark, table, df, partition_by, fmt)
     if mode in ("append", "ignore", "error", "errorifexists"):
         return append(df, table)
@@ -294,22 +312,27 @@ def merge_into(
     if not merge_keys:
         raise ValueError("merge needs keys")
     target = spark.table(table)
+    # A merge reads its batch several times: what it takes in is computed and counted once.
+    counted, seen = _counted(df)
+    batch = settle(counted, "merge-batch")
     if on_conflict in ("nothing", "ignore"):
         # Existing rows stay as they are, so only new rows are written.
-        return append(new_rows(target, df, merge_keys, sequence), table)
+        return append(new_rows(target, batch, merge_keys, sequence), table)
     fmt = _format(spark, table)
-    if fmt in ROW_LEVEL_FORMATS:
-        return _native_merge(df, table, merge_keys, sequence)
-    rows = df.count()
     partition_by = _partition_columns(spark, table)
-    values = _merge_partitions(target, df, merge_keys, partition_by) if partition_by else None
+    values = None
+    if fmt in ROW_LEVEL_FORMATS:
+        _native_merge(batch, table, merge_keys, sequence)
+        return observed(seen, "rows") or 0
+    if partition_by:
+        values = _merge_partitions(target, batch, merge_keys, partition_by)
     if values is None:
-        _swap(_aligned(merge(target, df, merge_keys, on_conflict, sequence), table), table, fmt)
+        _swap(_aligned(merge(target, batch, merge_keys, on_conflict, sequence), table), table, fmt)
     else:
         touched = target.filter(_in_partitions(partition_by, values, target.schema))
-        merged = _aligned(merge(touched, df, merge_keys, on_conflict, sequence), table)
+        merged = _aligned(merge(touched, batch, merge_keys, on_conflict, sequence), table)
         _rewrite_partitions(merged, table, fmt, partition_by, values)
-    return rows
+    return observed(seen, "rows") or 0
 
 
 def _merge_partitions(target, batch, keys, partition_by) -> list[tuple] | None:
@@ -326,14 +349,12 @@ def _merge_partitions(target, batch, keys, partition_by) -> list[tuple] | None:
     return _touched(hit.unionByName(batch.select(*partition_by)), partition_by)
 
 
-def _native_merge(df: DataFrame, table: str, keys: list[str], sequence: str | None) -> int:
+def _native_merge(df: DataFrame, table: str, keys: list[str], sequence: str | None) -> None:
     """Row-level merge by the table format. Needs the format's package on the session."""
     known = df.sparkSession.table(table).columns
     null_key = " OR ".join(f"`{k}` IS NULL" for k in keys)
     batch = one_row_per_key(df.filter(f"NOT ({null_key})"), keys, [sequence] if sequence else None)
-    batch = batch.unionByName(df.filter(null_key))
-    batch = settle(batch.select(*[c for c in df.columns if c in known]), "merge-batch")
-    values = [c for c in batch.columns if c not in keys]
+    batch = batch.unionByName(df.filter(null_key)).select(*[c for c in df.columns if c in known])
     same = [F.col(f"t.{k}") == F.col(f"b.{k}") for k in keys]
     on = same[0]
     for cond in same[1:]:
@@ -342,12 +363,11 @@ def _native_merge(df: DataFrame, table: str, keys: list[str], sequence: str | No
         batch.alias("b")
         .mergeInto(f"{table} AS t", on)
         .whenMatched()
-        .update({c: F.col(f"b.{c}") for c in values})
+        .update({c: F.col(f"b.{c}") for c in batch.columns if c not in keys})
         .whenNotMatched()
         .insert({c: F.col(f"b.{c}") for c in batch.columns})
         .merge()
     )
-    return batch.count()
 
 
 def delete_rows(

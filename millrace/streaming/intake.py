@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.sinks.tables import append, create_table, merge_into
+from millrace.sinks.tables import append, create_table, merge_into, overwrite_partitions
 
 
 def stream_files(
@@ -34,19 +36,28 @@ def load_available(
     merge_keys: list[str] | None = None,
     sequence: str | None = None,
     partition_by: list[str] | None = None,
+    batch_column: str | None = None,
 ) -> StreamingQuery:
     """Take in what has arrived since the last run, then stop.
 
-    ``steps`` are the same transformations a batch job uses. With ``merge_keys`` a
-    batch is upserted, which makes a replayed batch harmless; without them a batch is
-    appended, and a replay after a crash between write and commit appends it again.
+    ``steps`` are the same transformations a batch job uses. A batch that is replayed
+    after a crash between write and commit is harmless with ``merge_keys`` (it is
+    upserted again) and with ``batch_column`` (the table is partitioned by the batch
+    number first, and a batch replaces its own partition). With neither it is
+    appended a second time.
     """
     shaped = steps(stream)
-    create_table(stream.sparkSession, table, shaped.schema, partition_by)
+    schema = shaped.schema
+    if batch_column:
+        partition_by = [batch_column, *(partition_by or [])]
+        schema = T.StructType([*schema.fields, T.StructField(batch_column, T.LongType())])
+    create_table(stream.sparkSession, table, schema, partition_by)
 
-    def store(batch: DataFrame, _: int) -> None:
+    def store(batch: DataFrame, number: int) -> None:
         if merge_keys:
             merge_into(batch, table, merge_keys, sequence=sequence)
+        elif batch_column:
+            overwrite_partitions(batch.withColumn(batch_column, F.lit(number).cast("bigint")), table)
         else:
             append(batch, table)
 

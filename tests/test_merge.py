@@ -168,3 +168,34 @@ def test_unknown_columns_and_modes(spark):
         write_table(spark.createDataFrame([(1,)], "k int"), name, "upsert")
     with pytest.raises(ValueError, match="needs keys"):
         merge_into(spark.createDataFrame([(1,)], "k int"), name, [])
+
+
+def test_days_partition(spark):
+    from datetime import date, datetime
+
+    name = f"{fresh_database(spark)}.t"
+    rows = [(1, datetime(2024, 1, 1, 5)), (2, datetime(2024, 1, 1, 9)), (3, datetime(2024, 1, 2))]
+    df = spark.createDataFrame(rows, "k int, at timestamp_ntz")
+    assert write_table(df, name, partition_by=["days(at)"]) == 3
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["at_day"]
+    assert stored(spark, name)[2] == (3, datetime(2024, 1, 2), date(2024, 1, 2))
+    assert write_table(df.filter("k = 1"), name, "overwrite_partition", ["days(at)"]) == 1
+    assert [r[0] for r in stored(spark, name)] == [1, 3]
+
+
+def test_replayed_stream_batch_replaces_itself(spark, folder):
+    from millrace.sinks.tables import overwrite_partitions
+    from millrace.streaming.intake import load_available, stream_files
+
+    name = f"{fresh_database(spark)}.t"
+    spark.range(3).write.parquet(f"{folder}/in")
+
+    def take_in(mark):
+        stream = stream_files(spark, f"{folder}/in", "parquet", "id bigint")
+        load_available(stream, name, f"{folder}/{mark}", batch_column="intake").awaitTermination()
+
+    take_in("mark")
+    take_in("lost-mark")  # the same files as the same batch number, as after a crash
+    assert stored(spark, name) == [(0, 0), (1, 0), (2, 0)]
+    assert overwrite_partitions(spark.createDataFrame([(9, 1)], "id bigint, intake bigint"), name) == 1
+    assert stored(spark, name) == [(0, 0), (1, 0), (2, 0), (9, 1)]
