@@ -20,20 +20,19 @@ def elements(array_text: Column) -> Column:
     return F.from_json(array_text, "array<string>")
 
 
+def members(text: Column) -> Column:
+    """A JSON object's members, name to value text; NULL for anything else. One parse serves many lookups."""
+    return F.from_json(text, "map<string,string>")
+
+
 def payload_items(body: Column, data_key: str = "data") -> Column:
     """Items of a response body, each as JSON text.
 
     The array under ``data_key`` if the key is there, else the body itself if it
     is an array, else no items.
     """
-    none = F.array().cast("array<string>")
-    keys = F.json_object_keys(body)
-    return F.coalesce(
-        F.when(looks_like_array(body), elements(body)).when(
-            F.array_contains(keys, data_key), elements(F.get_json_object(body, json_path(data_key)))
-        ),
-        none,
-    )
+    listed = F.when(looks_like_array(body), body).otherwise(F.try_element_at(members(body), F.lit(data_key)))
+    return F.coalesce(elements(listed), F.array().cast("array<string>"))
 
 
 def is_truthy(value: Column) -> Column:
@@ -41,20 +40,16 @@ def is_truthy(value: Column) -> Column:
     return F.coalesce(~F.trim(value).isin("", "null", "false", "0", "0.0", "[]", "{}"), F.lit(False))
 
 
-def page_has_next(body: Column, n_items: Column) -> Column:
+def has_next(top: Column, meta: Column, n_items: Column) -> Column:
     """Does a page announce a next one? ``meta.next``, else ``has_more``, else ``next``;
     a page that mentions none of them has a next page as long as it has items.
-    """
-    top = F.json_object_keys(body)
-    meta = F.json_object_keys(F.get_json_object(body, "$.meta"))
-
-    def value(path: str) -> Column:
-        return is_truthy(F.get_json_object(body, path))
 
+    ``top`` and ``meta`` are the members of the body and of its ``meta``.
+    """
     return (
-        F.when(F.array_contains(meta, "next"), value("$.meta.next"))
-        .when(F.array_contains(top, "has_more"), value("$.has_more"))
-        .when(F.array_contains(top, "next"), value("$.next"))
+        F.when(F.map_contains_key(meta, "next"), is_truthy(F.try_element_at(meta, F.lit("next"))))
+        .when(F.map_contains_key(top, "has_more"), is_truthy(F.try_element_at(top, F.lit("has_more"))))
+        .when(F.map_contains_key(top, "next"), is_truthy(F.try_element_at(top, F.lit("next"))))
         .otherwise(n_items > 0)
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -80,9 +81,14 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
 def broadcast_limit(spark: SparkSession) -> int:
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; negative when broadcasts are off."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", text).groups()
+    return int(number) * _UNITS[unit]
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -94,10 +100,10 @@ def sized(df: DataFrame, label: str) -> DataFrame:
 
     A join side derived from a huge table is estimated as huge, so the other,
     really huge side is shuffled before AQE can see the truth. Where the estimate
-    is above the broadcast limit the side is settled first; where it is below, it
-    is left alone.
+    is above the broadcast limit the side is settled first; where it is below, or
+    broadcasts are off, it is left alone.
     """
-    return df if fits_broadcast(df) else settle(df, label)
+    return df if broadcast_limit(df.sparkSession) < 0 or fits_broadcast(df) else settle(df, label)
 
 
 def spread(df: DataFrame) -> DataFrame:

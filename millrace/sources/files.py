@@ -174,6 +174,9 @@ def _without_files(df: DataFrame, files: DataFrame) -> DataFrame:
     return df.join(sized(files.distinct(), "bad-files"), _PATH, "left_anti")
 
 
+# A feed has a handful of header layouts; far more means that the files have no header.
+MAX_LAYOUTS = 1_000
+
 # --- delimited text -------------------------------------------------------------------------
 
 
@@ -197,7 +200,7 @@ def _layouts(spark, path, glob, sep, quote, encoding, modified_after) -> DataFra
     return header.select(_PATH, bare.alias("names"))
 
 
-def _token_count(width: int, sep: str, quote: str) -> Column:
+def _token_count(last: Column, width: int, sep: str, quote: str) -> Column:
     """Fields on a line that is shorter or longer than ``width``; longer counts as width + 1.
 
     A mark appended as one more field is found at its position if the line fits.
@@ -214,7 +217,7 @@ def _token_count(width: int, sep: str, quote: str) -> Column:
     # The raw line is kept only where the count is off, so a filled last field means too many.
     return (
         F.when(F.col(_RAW).isNull(), F.lit(width))
-        .when(F.col(f"c{width - 1}").isNotNull(), F.lit(width + 1))
+        .when(last.isNotNull(), F.lit(width + 1))
         .otherwise(F.coalesce(F.nullif(at, F.lit(0)) - 1, F.lit(width + 1)))
     )
 
@@ -252,7 +255,9 @@ def _read_delimited(spark, path, glob, kind, options, encoding, skip_errors, mod
         columns = first.columns if has_header else [str(i) for i in range(len(first.columns))]
     else:
         layouts = _layouts(spark, path, glob, sep, quote, encoding, modified_after)
-        distinct = layouts.groupBy("names").agg(F.min(_PATH).alias("p")).sort("p").select("names").collect()
+        distinct = layouts.groupBy("names").agg(F.min(_PATH).alias("p")).sort("p").select("names").limit(MAX_LAYOUTS + 1).collect()
+        if len(distinct) > MAX_LAYOUTS:
+            raise ValueError(f"more than {MAX_LAYOUTS} different headers; narrow the pattern")
         if not distinct:
             return spark.createDataFrame([], T.StructType([]))
         columns = list(dict.fromkeys(c for row in distinct for c in row["names"]))
@@ -262,20 +267,22 @@ def _read_delimited(spark, path, glob, kind, options, encoding, skip_errors, mod
     # Every column as text plus the raw line; the parser must see whole lines to
     # notice rows with too many fields, hence no column pruning inside it.
     width = len(columns) if layouts is None else max(len(r["names"]) for r in distinct)
-    positions = [f"c{i}" for i in range(width)]
+    # With one header promised, the names are declared and Spark checks them in every file.
+    promised = same_header and has_header
+    positions = columns if promised else [f"c{i}" for i in range(width)]
     schema = ", ".join(f"`{p}` string" for p in positions) + f", `{_RAW}` string"
     rows = (
         _scan(
             spark, glob, modified_after, header=has_header, mode="PERMISSIVE",
-            columnNameOfCorruptRecord=_RAW, columnPruning=False, **common,
+            columnNameOfCorruptRecord=_RAW, columnPruning=False, enforceSchema=not promised, **common,
         )
         .schema(schema)
         .csv(path)
         .withColumn(_PATH, F.col("_metadata.file_path"))
     )
-    n_fields = _token_count(width, sep, quote)
+    n_fields = _token_count(F.col(f"`{positions[-1]}`"), width, sep, quote)
     if layouts is None:
-        cells = {c: F.col(p) for c, p in zip(columns, positions)}
+        cells = {c: F.col(f"`{p}`") for c, p in zip(columns, positions)}
         too_many = n_fields > width
     else:
         rows = rows.join(sized(layouts, "layouts"), _PATH)

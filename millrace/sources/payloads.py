@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.payload import next_cursor, page_has_next, payload_items
+from millrace.functions.payload import has_next, members, next_cursor, payload_items
 from millrace.session import sized
 
 DEFAULT_MAX_PAGES = 100
@@ -33,15 +33,13 @@ def with_items(
     return pages.withColumn("items", items)
 
 
-def _until_stop(pages: DataFrame, feed: list[str], order: str, stops: Column) -> DataFrame:
-    last = (
-        pages.filter(stops)
-        .groupBy(*feed)
-        .agg(F.min(order).alias(_STOP))
-    )
-    # One row per feed; its true size decides the join, so bodies need not be shuffled.
-    last = sized(last, "last-pages")
-    return pages.join(last, feed, "left").filter(F.col(_STOP).isNull() | (F.col(order) <= F.col(_STOP))).drop(_STOP)
+def _last_kept(facts: DataFrame, feed: list[str], order: str, stops: Column) -> DataFrame:
+    """The first page of each feed that ends it.
+
+    The test sits in the aggregate and not in a filter: a filter would be pushed below
+    the columns it uses, and each body be parsed again for every mention.
+    """
+    return facts.groupBy(*feed).agg(F.min(F.when(stops, F.col(order))).alias(_STOP)).filter(F.col(_STOP).isNotNull())
 
 
 def take_pages(
@@ -69,22 +67,27 @@ def take_pages(
     feed = [feed] if isinstance(feed, str) else list(feed)
     if not feed:
         raise ValueError("pages need a feed column")
-    n_items = F.size("items")
-    if strategy == "page":
-        stops = (n_items == 0) | ~page_has_next(F.col(body), n_items)
-    elif strategy == "offset":
-        stops = n_items < limit
-    elif strategy == "cursor":
-        stops = (n_items == 0) | next_cursor(F.col(body), cursor_path).isNull()
-    elif strategy == "none":
-        return pages
-    else:
+    if strategy not in ("none", "page", "offset", "cursor"):
         raise ValueError(f"unknown paging strategy {strategy!r}")
+    if strategy == "none":
+        return pages
     if max_pages is not None:
         step = limit if strategy == "offset" else 1
         start = first if first is not None else (0 if strategy == "offset" else 1)
         pages = pages.filter(F.col(order) < start + max_pages * step)
-    return _until_stop(pages, feed, order, stops)
+    facts = pages.select(*feed, order, F.size("items").alias("n"), F.col(body).alias("text"))
+    if strategy == "page":
+        facts = facts.withColumn("top", members(F.col("text")))
+        facts = facts.withColumn("meta", members(F.try_element_at("top", F.lit("meta"))))
+        stops = (F.col("n") == 0) | ~has_next(F.col("top"), F.col("meta"), F.col("n"))
+    elif strategy == "offset":
+        stops = F.col("n") < limit
+    else:
+        stops = (F.col("n") == 0) | next_cursor(F.col("text"), cursor_path).isNull()
+    # One row per feed; its true size decides the join, so bodies need not be shuffled.
+    last = sized(_last_kept(facts, feed, order, stops), "last-pages")
+    kept = pages.join(last, feed, "left")
+    return kept.filter(F.col(_STOP).isNull() | (F.col(order) <= F.col(_STOP))).select(*pages.columns)
 
 
 def explode_items(pages: DataFrame, keep: list[str], schema: str) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
+from datetime import date, datetime
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,8 +40,38 @@ def catalog_table(spark: SparkSession, table: str, schema: str | None = None) ->
     return spark.table(f"{schema}.{table}" if schema else table)
 
 
-def jdbc_query(spark: SparkSession, url: str, query: str, properties: Mapping[str, str] | None = None) -> DataFrame:
-    """A query run by the remote database."""
+_BIND = re.compile(r"('(?:[^']|'')*')|(?<![:\w]):([A-Za-z_]\w*)")
+
+
+def sql_literal(value: Any) -> str:
+    """A value as an SQL literal."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def with_literals(query: str, params: Mapping[str, Any] | None) -> str:
+    """Named binds as literals: a remote query is one text. Quoted texts are left alone."""
+    return _BIND.sub(lambda m: m[1] or sql_literal(dict(params or {})[m[2]]), query)
+
+
+def jdbc_query(
+    spark: SparkSession,
+    url: str,
+    query: str,
+    properties: Mapping[str, str] | None = None,
+    params: Mapping[str, Any] | None = None,
+) -> DataFrame:
+    """A query run by the remote database, with named binds."""
+    query = with_literals(query, params)
     return spark.read.format("jdbc").options(url=url, query=query, **dict(properties or {})).load()
 
 
@@ -126,11 +159,8 @@ def catalog_sql(queries: Mapping[str, str], url: str, table: str | None = None,
     if schema is None:
         raise ValueError("name the schema: this server has no default one")
 
-    def literal(text: str | None) -> str:
-        return "'" + (text or "").replace("'", "''") + "'"
-
     text = queries.get(server, queries["standard"])
-    return text.format(table=literal(table), schema=literal(schema))
+    return text.format(table=sql_literal(table or ""), schema=sql_literal(schema))
 
 
 def jdbc_tables(spark: SparkSession, url: str, schema: str | None = None, properties=None) -> DataFrame:

@@ -27,6 +27,7 @@ from millrace.sources.tables import (
     list_tables,
     run_sql,
     table_columns,
+    with_literals,
 )
 
 
@@ -98,6 +99,16 @@ def test_sql_binds(spark):
         run_sql(spark, "SELECT id FROM t_binds WHERE id > :low", injected, views).collect()
 
 
+def test_remote_binds():
+    text = "SELECT ':x', a::int FROM t WHERE d > :last AND n = :n AND s = :s AND z = :z"
+    params = {"last": datetime(2024, 1, 2, 3), "n": 5, "s": "o'x :n", "z": None}
+    assert with_literals(text, params) == (
+        "SELECT ':x', a::int FROM t WHERE d > TIMESTAMP '2024-01-02 03:00:00' AND n = 5 AND s = 'o''x :n' AND z = NULL"
+    )
+    with pytest.raises(KeyError):
+        with_literals("SELECT :missing", {})
+
+
 def test_remote_catalog_queries_and_ranges():
     url = "jdbc:postgresql://h/db"
     assert "table_schema = 'public'" in catalog_sql(_TABLES_SQL, url)

@@ -81,6 +81,16 @@ def test_options(spark, folder):
         read_files(spark, folder, options={"delimitr": ";"})
 
 
+def test_one_header_promised(spark, folder):
+    put(folder, "a.csv", "a,b\n1,x\n")
+    put(folder, "b.csv", "a,b\n2,y\n3\n")
+    opts = {"same_header": True, "dtype": {"a": "int", "b": "str"}}
+    assert rows(read_files(spark, folder, options=opts)) == [(1, "x"), (2, "y"), (3, None)]
+    put(folder, "c.csv", "b,a\ny,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_files(spark, folder, options=opts).collect()
+
+
 def test_no_header_and_other_encoding(spark, folder):
     put(folder, "a.csv", "å,1\nö,2\n".encode("latin-1"))
     df = read_files(spark, folder, options={"header": None, "names": ["t", "n"]}, encoding="latin-1")

@@ -120,6 +120,8 @@ def test_register_job_from_pages(spark):
         ("Annat AB", datetime(2024, 5, 3), 7.0, None, "Swedish FSA"),
         ("Bolag AB", datetime(2024, 5, 2), 1000.5, 12.25, "Swedish FSA"),
     ]
+    spark.createDataFrame([(1, "<p>no table")], "page_id int, html string").write.saveAsTable(f"{database}.bare")
+    assert run(spark, deep_merge(spec, {"source": {"table": f"{database}.bare"}}), NOW).status == "no_data"
     lacking = deep_merge(spec, {"source": {"columns": ["Emittent"]}, "loader": {"table": "not_made"}})
     result = run(spark, lacking, NOW)
     assert result.status == "invalid" and not spark.catalog.tableExists(f"{database}.not_made")
