@@ -24,12 +24,13 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 
 
 def test_a_side_of_unknown_size_is_settled(spark, folder):
-    unknown = spark.sparkContext.parallelize([(i,) for i in range(10)]).toDF("id bigint")
+    unknown = spark.createDataFrame(spark.sparkContext.parallelize([(i,) for i in range(10)]), "id bigint")
     assert not fits_broadcast(unknown)
     known = sized(unknown, "t")
     assert fits_broadcast(known) and known.count() == 10
     spark.range(10).write.parquet(f"{folder}/t")
     small = spark.read.parquet(f"{folder}/t")
+    assert estimated_bytes(small) < 10_000 and broadcast_limit(spark) == 10 << 20
     assert sized(small, "t") is small
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
