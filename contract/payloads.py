@@ -29,7 +29,7 @@ def _landed(pages):
     return with_items(settle(pages, "bodies"))
 
 
-def _body(text: str, *columns):
+def body_text(text: str, *columns):
     return F.format_string(text, *columns)
 
 
@@ -39,10 +39,10 @@ def payload_items(spark, sf_dir):
     pages = order_pages(spark, sf_dir)
     shape = F.col("page") % 4
     body = (
-        F.when(shape == 1, _body('{"data": %s, "meta": {"next": "x"}}', "items_json"))
+        F.when(shape == 1, body_text('{"data": %s, "meta": {"next": "x"}}', "items_json"))
         .when(shape == 2, F.col("items_json"))
-        .when(shape == 3, _body('{"other": %s}', "items_json"))
-        .otherwise(_body('{"next": null, "data": %s}', "items_json"))
+        .when(shape == 3, body_text('{"other": %s}', "items_json"))
+        .otherwise(body_text('{"next": null, "data": %s}', "items_json"))
     )
     return _orders(with_items(pages.withColumn("body", body)))
 
@@ -50,7 +50,7 @@ def payload_items(spark, sf_dir):
 @query("payload_custom", _SELECT)
 def payload_custom(spark, sf_dir):
     """The caller's own extract function, a column function over the body."""
-    pages = order_pages(spark, sf_dir).withColumn("body", _body('{"payload": {"rows": %s}}', "items_json"))
+    pages = order_pages(spark, sf_dir).withColumn("body", body_text('{"payload": {"rows": %s}}', "items_json"))
     return _orders(with_items(pages, extract=lambda body: elements(F.get_json_object(body, "$.payload.rows"))))
 
 
@@ -67,9 +67,9 @@ def pages_until_last(spark, sf_dir):
     more = F.when(F.col("page") == 15, "false").otherwise("true")
     link = F.when(F.col("page") == 15, "null").otherwise('"/p"')
     body = (
-        F.when(kind == 0, _body('{"has_more": %s, "data": %s}', more, items))
-        .when(kind == 1, _body('{"meta": {"next": %s}, "has_more": true, "data": %s}', link, items))
-        .otherwise(_body('{"next": %s, "data": %s}', link, items))
+        F.when(kind == 0, body_text('{"has_more": %s, "data": %s}', more, items))
+        .when(kind == 1, body_text('{"meta": {"next": %s}, "has_more": true, "data": %s}', link, items))
+        .otherwise(body_text('{"next": %s, "data": %s}', link, items))
     )
     return _orders(take_pages(_landed(pages.select("feed", "page", body.alias("body"))), "page", "feed", "page"))
 
@@ -79,7 +79,7 @@ def pages_by_offset(spark, sf_dir):
     """Page 12 of every feed is short; what follows it is not part of the feed."""
     pages = order_pages(spark, sf_dir, keep=(F.col("page") != 12) | (F.col("slot") < 60))
     landed = pages.select(
-        "feed", ((F.col("page") - 1) * 100).alias("offset"), _body('{"data": %s}', "items_json").alias("body")
+        "feed", ((F.col("page") - 1) * 100).alias("offset"), body_text('{"data": %s}', "items_json").alias("body")
     )
     return _orders(take_pages(_landed(landed), "offset", "feed", "offset", limit=100))
 
@@ -88,7 +88,7 @@ def pages_by_offset(spark, sf_dir):
 def pages_by_cursor(spark, sf_dir):
     pages = order_pages(spark, sf_dir)
     cursor = F.when(F.col("page") == 17, "").otherwise(F.concat(F.lit("c"), F.col("page")))
-    body = _body('{"page": {"after": "%s"}, "data": %s}', cursor, "items_json")
+    body = body_text('{"page": {"after": "%s"}, "data": %s}', cursor, "items_json")
     landed = pages.select("feed", "page", body.alias("body"))
     return _orders(take_pages(_landed(landed), "cursor", "feed", "page", cursor_path="page.after"))
 
@@ -114,7 +114,7 @@ def paged_source_query(spark, sf_dir):
         F.concat(F.lit("feed-"), F.col("page_no") % _FEEDS).alias("feed"),
         number.alias("number"),
         F.expr(f"(page_no div {_FEEDS} + 1) div {_BLOCK}").alias("block"),
-        _body('{"has_more": true, "data": %s}', "items_json").alias("body"),
+        body_text('{"has_more": true, "data": %s}', "items_json").alias("body"),
     )
     landed.repartition("feed", "block").write.partitionBy("feed", "block").parquet(folder)
     last_page = load(spark, sf_dir, "orders").agg(F.max(F.expr("o_orderkey div 100"))).first()[0] // _FEEDS + 1

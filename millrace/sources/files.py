@@ -195,11 +195,28 @@ def _layouts(spark, path, glob, sep, quote, encoding, modified_after) -> DataFra
         .withColumn("n", F.monotonically_increasing_id())
     )
     header = lines.groupBy(_PATH).agg(F.min_by("line", "n").alias("line"))
-    names = F.split(F.regexp_replace("line", "^﻿", ""), re.escape(sep))
-    bare = F.transform(names, lambda c: F.trim(c, F.lit(quote)) if quote else c)
+    # A field is quoted, or runs up to the next separator.
+    q, one = re.escape(quote or "\x00"), re.escape(sep)
+    fields = F.regexp_extract_all(
+        F.regexp_replace("line", "^\ufeff", ""), F.lit(f"(?:^|{one})({q}(?:[^{q}]|{q}{q})*{q}|[^{one}]*)"), F.lit(1)
+    )
+    bare = F.transform(
+        fields, lambda c: F.replace(F.regexp_replace(c, f"^{q}|{q}$", ""), F.lit(quote * 2), F.lit(quote)) if quote else c
+    )
     return header.select(_PATH, bare.alias("names"))
 
 
+def _numbered(names: list[str]) -> list[str]:
+    """Repeated titles as ``a``, ``a.1``, ``a.2``."""
+    seen: dict[str, int] = {}
+    out = []
+    for n in names:
+        k = seen.get(n, 0)
+        seen[n] = k + 1
+        out.append(f"{n}.{k}" if k else n)
+    return out
+
+
 def _token_count(last: Column, width: int, sep: str, quote: str) -> Column:
     """Fields on a line that is shorter or longer than ``width``; longer counts as width + 1.
 
@@ -226,8 +243,11 @@ def _read_delimited(spark, path, glob, kind, options, encoding, skip_errors, mod
     opts = dict(options)
     sep = opts.pop("delimiter", None) or opts.pop("sep", None) or SEPARATORS.get(kind, ",")
     encoding = charset(opts.pop("encoding", encoding))
-    has_header = opts.pop("header", 0) is not None
     names = opts.pop("names", None)
+    header = opts.pop("header", None if names else 0)
+    if header not in (None, 0):
+        raise ValueError("the header must be the first row, or absent")
+    has_header = header is not None
     dtype = opts.pop("dtype", None) or {}
     parse_dates = opts.pop("parse_dates", None)
     date_formats = opts.pop("date_formats", None)
@@ -260,9 +280,12 @@ def _read_delimited(spark, path, glob, kind, options, encoding, skip_errors, mod
             raise ValueError(f"more than {MAX_LAYOUTS} different headers; narrow the pattern")
         if not distinct:
             return spark.createDataFrame([], T.StructType([]))
-        columns = list(dict.fromkeys(c for row in distinct for c in row["names"]))
         if len(distinct) == 1:
-            layouts = None
+            columns, layouts = _numbered(distinct[0]["names"]), None
+        elif any(len(set(row["names"])) < len(row["names"]) for row in distinct):
+            raise ValueError("a header repeats a title, and the files have different headers")
+        else:
+            columns = list(dict.fromkeys(c for row in distinct for c in row["names"]))
 
     # Every column as text plus the raw line; the parser must see whole lines to
     # notice rows with too many fields, hence no column pruning inside it.

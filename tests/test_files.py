@@ -81,6 +81,20 @@ def test_options(spark, folder):
         read_files(spark, folder, options={"delimitr": ";"})
 
 
+def test_header_titles(spark, folder):
+    put(folder, "a.csv", '\ufeff"a,x",b,b,"say ""c"""\n1,2,3,4\n')
+    assert read_files(spark, folder).columns == ["a,x", "b", "b.1", 'say "c"']
+    assert [tuple(r) for r in read_files(spark, folder).collect()] == [(1, 2, 3, 4)]
+    put(folder, "b.csv", "b\n9\n")
+    with pytest.raises(ValueError, match="repeats"):
+        read_files(spark, folder)
+    with pytest.raises(ValueError, match="first row"):
+        read_files(spark, folder, options={"header": 2})
+    named = read_files(spark, folder, "b.csv", options={"names": ["n"]})
+    assert rows(named) == [("9",), ("b",)]
+    assert rows(read_files(spark, folder, "b.csv", options={"names": ["n"], "header": 0})) == [(9,)]
+
+
 def test_one_header_promised(spark, folder):
     put(folder, "a.csv", "a,b\n1,x\n")
     put(folder, "b.csv", "a,b\n2,y\n3\n")
