@@ -102,7 +102,8 @@ def exact_groups(
     )
     rest, chain, later = members, 0, None
     while True:
-        heads = _heads(rest, members if chain == 0 else None)
+        # Settled, so that the comparison is a plain join whose row side can be split.
+        heads = settle(_heads(rest, chain == 0), "heads")
         compared = rest.select("key", "doc_id", "text").join(heads, "key")
         differ = compared.filter(F.col("text") != F.col("head_text"))
         rest = settle(differ.select("key", "doc_id", "text"), "chain")
@@ -131,12 +132,10 @@ def _by_key():
     return Window.partitionBy("key").orderBy("text_sha256")
 
 
-def _heads(rest: DataFrame, members: DataFrame | None) -> DataFrame:
+def _heads(rest: DataFrame, first: bool) -> DataFrame:
     """``(key, head_text)``: the text every remaining row of a key is compared with."""
-    if members is not None:
-        own = members.filter(F.col("doc_id").eqNullSafe(F.col("head_id")))
-        return own.groupBy("key").agg(F.max("text").alias("head_text"))
-    return rest.groupBy("key").agg(F.max("text").alias("head_text"))
+    own = rest.filter(F.col("doc_id").eqNullSafe(F.col("head_id"))) if first else rest
+    return own.groupBy("key").agg(F.max("text").alias("head_text"))
 
 
 def _result(joined: DataFrame) -> DataFrame:
