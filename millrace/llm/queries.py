@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the operators registers them."""
 
-from millrace.llm import dedup_exact, mixing, ngram_join, quality_rules  # noqa: F401
+from millrace.llm import dedup_exact, mixing, ngram_join, pii, quality_rules  # noqa: F401
 from millrace.llm.common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
