@@ -47,8 +47,13 @@ def byte_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words, and each text's place in them (one more than there are texts)."""
+    return hashed_words(data, offsets)[:2]
+
+
+def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of all words, each text's place in them (one more than there are texts), and words' last bytes."""
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.uint8)
     inside = ~_IS_SPACE[data]
     # A word ends where its text ends, too.
     first = np.zeros(len(data) + 1, bool)
@@ -72,4 +77,5 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     inverse[0] = 1
     np.cumprod(inverse, out=inverse)
     h = (sums[ends] - sums[starts]) * inverse[starts]
-    return mix(h ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))), np.searchsorted(starts, offsets)
+    hashes = mix(h ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    return hashes, np.searchsorted(starts, offsets), data[ends - 1]

@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the operators registers them."""
 
-from millrace.llm import dedup_exact, language, mixing, ngram_join, packing, pii, quality_rules, toxicity  # noqa: F401
+from millrace.llm import brown_lm, dedup_exact, language, mixing, ngram_join, packing, pii, quality_rules, toxicity  # noqa: F401
 from millrace.llm.common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
