@@ -148,16 +148,20 @@ def _result(joined: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text another, kept row has; columns as they were."""
     names = docs.columns
-    kept = exact_groups(docs).filter("kept").select(
-        F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"), F.col("text_sha256").alias("kept_sha")
+    groups = settle(exact_groups(docs), "groups")
+    kept = groups.filter("kept").select(
+        F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key"), F.col("text_sha256").alias("_kept_sha")
     )
     text = text_of(docs)
     same = (
-        docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (text_key(text) == kept["kept_key"])
-        & (F.sha2(text, 256) == kept["kept_sha"])
+        (text_key(text) == kept["_kept_key"]) & docs["doc_id"].cast("long").eqNullSafe(kept["_kept_id"])
+        & (F.sha2(text, 256) == kept["_kept_sha"])
     )
-    joined = docs.join(kept, same).dropDuplicates(["kept_id", "kept_key", "kept_sha"])
-    return joined.select(*[joined[f"`{c}`"] for c in names])
+    joined = docs.join(kept, same)
+    # Rows that repeat the kept row's id and text would all come through.
+    if not groups.filter("NOT kept AND doc_id <=> keep_id").isEmpty():
+        joined = joined.dropDuplicates(["_kept_id", "_kept_key", "_kept_sha"])
+    return joined.select(*[docs[f"`{c}`"] for c in names])
 
 
 @query(
