@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import SPACE, load, query, text_of
+from millrace.session import settle
 
 WINDOW = 8
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 400
 SYMBOLS = "[#*$%&|<>]"
 SPLITTER = f"[{SPACE}]+"
 
@@ -53,38 +54,47 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPLITTER), lambda w: w != "")
 
 
-def window_hashes(words: Column) -> Column:
-    """64-bit hashes of all 8-word windows, in order; empty below 8 words."""
-
-    def doubled(h: Column, step: int) -> Column:
-        n = F.greatest(F.size(h) - step, F.lit(0))
-        return F.zip_with(F.slice(h, F.lit(1), n), F.slice(h, F.lit(step + 1), n), lambda a, b: F.xxhash64(a, b))
-
-    return doubled(doubled(doubled(F.transform(words, lambda w: F.xxhash64(w)), 1), 2), 4)
-
-
-def repeated_words(hashes: Column) -> Column:
-    """Words under windows whose hash occurs twice or more."""
-    placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    n = F.size(hashes)
-    none = F.array(F.struct(F.lit(None).cast("long").alias("h"), F.lit(-1).alias("i")))
-    before = F.concat(none, F.slice(placed, F.lit(1), F.greatest(n - 1, F.lit(0))))
-    after = F.concat(F.slice(placed, F.lit(2), F.greatest(n - 1, F.lit(0))), none)
-    # (place, whether its hash has an equal neighbour in the sorted order)
-    marked = F.zip_with(
-        F.zip_with(placed, before, lambda a, b: F.struct(a["i"].alias("i"), a["h"].alias("h"), a["h"].eqNullSafe(b["h"]).alias("e"))),
-        after,
-        lambda a, b: F.when(a["e"] | a["h"].eqNullSafe(b["h"]), a["i"]),
-    )
-    places = F.array_sort(F.filter(marked, lambda i: i.isNotNull()))
-    start = F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).cast("long").alias("n"))
+def with_window_hashes(df: DataFrame) -> DataFrame:
+    """Adds ``_hashes``: 64-bit hashes of all 8-word windows of ``_words``, in order; empty below 8 words.
+
+    Each doubling is a column of its own, so that it is computed once.
+    """
+    df = df.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
+    for step in (1, 2, 4):
+        n = F.greatest(F.size("_hashes") - step, F.lit(0))
+        df = df.withColumn("_hashes", F.zip_with(
+            F.slice("_hashes", F.lit(1), n), F.slice("_hashes", F.lit(step + 1), n), lambda a, b: F.xxhash64(a, b)
+        ))
+    return df
+
+
+def with_repeated_words(df: DataFrame) -> DataFrame:
+    """Adds ``n_repeat_words``: words under windows whose hash occurs twice or more.
+
+    Only texts with fewer distinct hashes than windows go on; there, windows are sorted by hash, and those with an
+    equal neighbour keep their place.
+    """
+    pair = "array<struct<h:bigint,i:int>>"
+    none = F.array(F.struct(F.lit(None).cast("bigint").alias("h"), F.lit(-1).alias("i")))
+    df = with_window_hashes(df)
+    repeats = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
+    placed = F.array_sort(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.cast("int").alias("i"))))
+    df = df.withColumn("_placed", F.when(repeats, placed).otherwise(F.array().cast(pair)))
+    n = F.greatest(F.size("_placed") - 1, F.lit(0))
+    df = df.withColumn("_before", F.zip_with(
+        "_placed", F.concat(none, F.slice("_placed", F.lit(1), n)),
+        lambda a, b: F.struct(a["i"].alias("i"), a["h"].alias("h"), (a["h"] == b["h"]).alias("e")),
+    ))
+    df = df.withColumn("_places", F.array_sort(F.filter(F.zip_with(
+        "_before", F.slice("_placed", F.lit(2), n),
+        lambda a, b: F.when(F.coalesce(a["e"], F.lit(False)) | F.coalesce(a["h"] == b["h"], F.lit(False)), a["i"]),
+    ), lambda i: i.isNotNull())))
     counted = F.aggregate(
-        places, start,
+        "_places", F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).cast("long").alias("n")),
         lambda s, i: F.struct(i.alias("last"), (s["n"] + F.least(i - s["last"], F.lit(WINDOW))).alias("n")),
         lambda s: s["n"],
     )
-    distinct = F.size(F.array_distinct(hashes))
-    return F.when(distinct == n, F.lit(0).cast("long")).otherwise(counted)
+    return df.withColumn("n_repeat_words", counted).drop("_hashes", "_placed", "_before", "_places")
 
 
 def measures(text: Column) -> dict[str, Column]:
@@ -97,7 +107,6 @@ def measures(text: Column) -> dict[str, Column]:
         "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
         "n_lines": F.size(lines).cast("long"),
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-        "n_repeat_words": repeated_words(F.col("_hashes")),
     }
 
 
@@ -106,9 +115,9 @@ def measured(docs: DataFrame, names: list[str] | None = None) -> DataFrame:
     text = text_of(docs)
     kept = docs.withColumn("_words", words_of(text))
     if names is None or "n_repeat_words" in names:
-        kept = kept.withColumn("_hashes", window_hashes(F.col("_words")))
+        kept = with_repeated_words(kept)
     found = {n: c for n, c in measures(text).items() if names is None or n in names}
-    return kept.withColumns(found).drop("_words", "_hashes")
+    return kept.withColumns(found).drop("_words")
 
 
 @dataclass(frozen=True)
@@ -120,7 +129,7 @@ class Estimate:
 
 def estimate(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
     """Cost and selectivity of each rule on the first ``sample_rows`` rows that Spark finds."""
-    sample = docs.limit(sample_rows).select("text")
+    sample = settle(docs.select("text").limit(sample_rows), "sample")
     found = []
     for rule in rules:
         began = time.perf_counter()
