@@ -117,8 +117,6 @@ def paged_source_query(spark, sf_dir):
         body_text('{"has_more": true, "data": %s}', "items_json").alias("body"),
     )
     landed.repartition("feed", "block").write.partitionBy("feed", "block").parquet(folder)
-    last_page = load(spark, sf_dir, "orders").agg(F.max(F.expr("o_orderkey div 100"))).first()[0] // _FEEDS + 1
-
     root = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
 
     def fetch(feed: str, params: dict) -> str | None:
@@ -137,9 +135,43 @@ def paged_source_query(spark, sf_dir):
         spark.read.format("order_pages")
         .options(
             strategy="page", feeds=json.dumps([f"feed-{i}" for i in range(_FEEDS)]),
-            max_pages=last_page + 2, pages_per_task=_BLOCK,
+            tasks_per_feed=_BLOCK,
         )
         .load()
     )
     # Each page is fetched once: what follows reads the landed bodies.
     return _orders(take_pages(with_items(settle(pages, "landed")), "page", "feed", "page"))
+
+
+@query("payload_custom_end", f"{_SELECT} WHERE page <= 9")
+def payload_custom_end(spark, sf_dir):
+    """The caller's own extract function says NULL for page 10: the feed ends there."""
+    pages = order_pages(spark, sf_dir)
+    body = F.when(F.col("page") == 10, F.lit('{"gone": true}')).otherwise(body_text('{"rows": %s}', "items_json"))
+    landed = settle(pages.select("feed", "page", body.alias("body")), "bodies")
+    items = with_items(landed, extract=lambda b: elements(F.get_json_object(b, "$.rows")))
+    return _orders(take_pages(items, "page", "feed", "page"))
+
+
+@query(
+    "pages_long_feed",
+    """
+    SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders
+    """,
+)
+def pages_long_feed(spark, sf_dir):
+    """One feed of all pages, numbered from 101 on, through a job: as many pages as the data has, none dropped."""
+    from contract.base import RUN_TIME, fresh_database
+    from millrace.plans.pipeline import run
+
+    database = fresh_database(spark)
+    order_pages(spark, sf_dir).select(
+        F.lit("all").alias("feed"), (F.col("page_no") + 101).alias("page"),
+        body_text('{"has_more": true, "data": %s}', "items_json").alias("body"),
+    ).write.saveAsTable(f"{database}.bodies")
+    spec = {
+        "job_id": "long", "loader": {"database": database, "table": "stored"},
+        "source": {"type": "api", "table": f"{database}.bodies", "pagination_strategy": "page", "item_schema": ORDER_ITEM},
+    }
+    run(spark, spec, RUN_TIME)
+    return spark.table(f"{database}.stored")

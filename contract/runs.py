@@ -92,11 +92,11 @@ def run_watermarks(spark, sf_dir):
     "run_alerts",
     f"""
     WITH l AS ({LEDGER_SQL})
-    SELECT job_id, run_id, 'failure' AS rule, 'Job ' || job_id || ' failed: ' || error_message AS message
+    SELECT job_id, run_id, 'failure' AS rule, job_id || ' ended with an error: ' || error_message AS message
     FROM l WHERE status = 'failed'
-    UNION ALL SELECT job_id, run_id, 'validation_failure', 'Data validation failed for job ' || job_id
+    UNION ALL SELECT job_id, run_id, 'validation_failure', job_id || ' was refused by its checks'
     FROM l WHERE status = 'invalid'
-    UNION ALL SELECT job_id, run_id, 'zero_records', 'No data extracted from source for job ' || job_id
+    UNION ALL SELECT job_id, run_id, 'zero_records', job_id || ' found no rows'
     FROM l WHERE status <> 'failed' AND rows_processed = 0
     """,
 )
@@ -104,42 +104,42 @@ def run_alerts(spark, sf_dir):
     return alerts(_ledger(spark, sf_dir), alert_on_zero_records=True)
 
 
-def _sales_spec(spark, sf_dir) -> dict:
-    """Daily sales as CSV files, and the job that takes them in."""
-    folder = new_folder(spark, "daily-sales")
-    sales = load(spark, sf_dir, "lineitem").select(
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
-        F.format_string("%05d", "l_suppkey").alias("store_id"),
-        F.concat(F.lit("sku"), F.col("l_partkey")).alias("sku"),
-        (F.col("l_quantity") - 1).cast("int").alias("quantity"),
-        F.col("l_extendedprice").alias("revenue"),
+def _shipping_spec(spark, sf_dir) -> dict:
+    """Shipped lines as CSV files, and the job that takes them in."""
+    folder = new_folder(spark, "shipping")
+    lines = load(spark, sf_dir, "lineitem").select(
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("left_dock"),
+        F.format_string("S%06d", "l_suppkey").alias("shipper"),
+        F.concat(F.lit("P"), F.col("l_partkey")).alias("part"),
+        (F.col("l_quantity") - 1).cast("int").alias("pieces"),
+        F.col("l_extendedprice").alias("amount"),
         "l_returnflag",
     )
-    sales.write.option("header", True).csv(folder)
+    lines.write.option("header", True).csv(folder)
     return {
-        "job_id": "daily_sales",
+        "job_id": "shipping",
         "source": {
             "type": "csv", "source_path": folder, "file_pattern": "part-*.csv",
             "file_options": {
-                "delimiter": ",", "encoding": "utf-8", "header": 0, "parse_dates": ["date"],
-                "dtype": {"store_id": "str", "sku": "str", "quantity": "int", "revenue": "float", "l_returnflag": "str"},
+                "delimiter": ",", "encoding": "utf-8", "header": 0, "parse_dates": ["left_dock"],
+                "dtype": {"shipper": "str", "part": "str", "pieces": "int", "amount": "float", "l_returnflag": "str"},
                 "same_header": True,
             },
         },
         "transformer": {
             "type": "base",
-            "date_columns": ["date"],
-            "numeric_columns": ["quantity", "revenue"],
+            "date_columns": ["left_dock"],
+            "numeric_columns": ["pieces", "amount"],
             "handle_missing_values": "fill_null",
-            "required_columns": ["location_id", "unit_price"],
+            "required_columns": ["sender", "per_piece"],
             "transformations": [
-                {"add_column": {"name": "unit_price", "formula": "revenue / quantity"}},
-                {"rename_columns": {"store_id": "location_id"}},
-                {"filter": {"condition": "quantity > 0"}},
+                {"filter": {"condition": "pieces >= 1"}},
+                {"rename_columns": {"shipper": "sender"}},
+                {"add_column": {"name": "per_piece", "formula": "amount / pieces"}},
             ],
         },
         "loader": {
-            "type": "table", "database": fresh_database(spark), "table": "daily_sales", "write_mode": "append",
+            "type": "table", "database": fresh_database(spark), "table": "shipped", "write_mode": "append",
             "partition_by": "l_returnflag",
         },
     }
@@ -148,22 +148,22 @@ def _sales_spec(spark, sf_dir) -> dict:
 @query(
     "pipeline_job",
     """
-    SELECT CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS date, printf('%05d', l_suppkey) AS location_id,
-           'sku' || CAST(l_partkey AS VARCHAR) AS sku, CAST(l_quantity - 1 AS BIGINT) AS quantity,
-           l_extendedprice AS revenue, l_extendedprice / (l_quantity - 1) AS unit_price, l_returnflag
+    SELECT CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS left_dock, printf('S%06d', l_suppkey) AS sender,
+           'P' || CAST(l_partkey AS VARCHAR) AS part, CAST(l_quantity - 1 AS BIGINT) AS pieces,
+           l_extendedprice AS amount, l_extendedprice / (l_quantity - 1) AS per_piece, l_returnflag
     FROM lineitem WHERE l_quantity > 1
     """,
 )
 def pipeline_job(spark, sf_dir):
-    spec = _sales_spec(spark, sf_dir)
+    spec = _shipping_spec(spark, sf_dir)
     run(spark, spec, RUN_TIME)
-    return spark.table(f"{spec['loader']['database']}.daily_sales")
+    return spark.table(f"{spec['loader']['database']}.shipped")
 
 
 @query(
     "pipeline_counts",
     """
-    SELECT 'daily_sales' AS job_id, 'daily_sales_20240601120000' AS run_id, 'success' AS status,
+    SELECT 'shipping' AS job_id, 'shipping_20240601120000' AS run_id, 'success' AS status,
            CAST(90 AS DOUBLE) AS duration_seconds, count(*) AS rows_processed,
            count(*) FILTER (l_quantity > 1) AS rows_loaded, count(*) FILTER (l_quantity > 1) AS table_rows
     FROM lineitem
@@ -173,11 +173,42 @@ def pipeline_counts(spark, sf_dir):
     """The ledger row of the job: rows read and stored are counted while they are written."""
     from datetime import timedelta
 
-    spec = _sales_spec(spark, sf_dir)
+    spec = _shipping_spec(spark, sf_dir)
     database = spec["loader"]["database"]
     run(spark, spec, RUN_TIME, ledger=f"{database}.ledger", now=lambda: RUN_TIME + timedelta(seconds=90))
-    stored = spark.table(f"{database}.daily_sales").agg(F.count(F.lit(1)).alias("table_rows"))
+    stored = spark.table(f"{database}.shipped").agg(F.count(F.lit(1)).alias("table_rows"))
     entry = spark.table(f"{database}.ledger").withColumn("k", F.lit(1))
     return entry.join(stored.withColumn("k", F.lit(1)), "k").select(
         "job_id", "run_id", "status", "duration_seconds", "rows_processed", "rows_loaded", "table_rows"
     )
+
+
+@query(
+    "pipeline_alerts",
+    """
+    SELECT 'orders-' || o_orderstatus AS job_id, rule, message
+    FROM (SELECT DISTINCT o_orderstatus FROM orders) s, (
+        VALUES ('zero_records', ' found no rows'), ('structure_change', ' has other columns (new: extra)')) r(rule, rest),
+        (SELECT 1) one, LATERAL (SELECT 'orders-' || o_orderstatus || rest AS message) m
+    """,
+)
+def pipeline_alerts(spark, sf_dir):
+    """Per order status: a job whose second run has no rows, and whose third has a column more."""
+    database = fresh_database(spark)
+    orders = load(spark, sf_dir, "orders")
+    orders.write.saveAsTable(f"{database}.src")
+    for status in [r[0] for r in orders.select("o_orderstatus").distinct().collect()]:  # three values
+        spec = {
+            "job_id": f"orders-{status}",
+            "source": {"type": "db", "query": f"SELECT * FROM {database}.src WHERE o_orderstatus = :s", "query_params": {"s": status}},
+            "loader": {"database": database, "table": f"kept_{status}", "write_mode": "replace"},
+            "monitoring": {"alert_on_zero_records": True, "alert_on_structure_change": True},
+        }
+        run(spark, spec, RUN_TIME, ledger=f"{database}.ledger")
+        run(spark, spec, RUN_TIME, {"source": {"query_params": {"s": "none"}}}, ledger=f"{database}.ledger")
+        wider = f"SELECT *, 1 AS extra FROM {database}.src WHERE o_orderstatus = :s"
+        try:
+            run(spark, spec, RUN_TIME, {"source": {"query": wider}, "monitoring": {"alert_on_failure": False}}, ledger=f"{database}.ledger")
+        except ValueError:
+            pass  # the table has no such column; the alert says so
+    return spark.table(f"{database}.ledger_alerts").select("job_id", "rule", "message")

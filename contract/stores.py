@@ -149,16 +149,16 @@ def replace_table(spark, sf_dir):
 
 @query(
     "write_modes",
-    f"SELECT *, CAST(0 AS BIGINT) AS second_ignore, TRUE AS refused FROM ({_ORDERS_SQL}) o WHERE o_orderstatus = 'F'",
+    f"SELECT *, CAST(0 AS BIGINT) AS second_ignore, TRUE AS refused FROM ({_ORDERS_SQL}) o",
 )
 def write_modes(spark, sf_dir):
     """``ignore`` writes once and then not again, ``error`` refuses an existing table."""
     table = f"{fresh_database(spark)}.orders"
-    write_table(_orders(spark, sf_dir, "F"), table, "ignore")
-    second = write_table(_orders(spark, sf_dir, "O"), table, "ignore")
+    write_table(_orders(spark, sf_dir), table, "ignore")
+    second = write_table(_orders(spark, sf_dir), table, "ignore")
     refused = False
     try:
-        write_table(_orders(spark, sf_dir, "O"), table, "error")
+        write_table(_orders(spark, sf_dir), table, "error")
     except ValueError:
         refused = True
     return spark.table(table).withColumns(
@@ -392,3 +392,58 @@ def graph_dangling(spark, sf_dir):
 )
 def graph_valid_edges(spark, sf_dir):
     return valid_edges(*_supply(spark, sf_dir))
+
+
+@query(
+    "merge_null_partition",
+    """
+    SELECT o_orderkey, o_custkey % 210 AS bucket, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS prio,
+           CASE WHEN o_orderkey % 3 = 0 THEN -1.0 ELSE o_totalprice END AS o_totalprice
+    FROM orders
+    """,
+)
+def merge_null_partition(spark, sf_dir):
+    """Two partition columns with some 1,050 partitions, NULL among their values; the batch touches most of them."""
+    table = f"{fresh_database(spark)}.orders"
+    rows = load(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_custkey") % 210).alias("bucket"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("prio"), "o_totalprice",
+    )
+    write_table(rows, table, partition_by=["bucket", "prio"])
+    batch = rows.filter("o_orderkey % 3 = 0").withColumn("o_totalprice", F.lit(-1.0))
+    merge_into(batch, table, ["o_orderkey"])
+    return spark.table(table).select("o_orderkey", "bucket", "prio", "o_totalprice")
+
+
+@query(
+    "replace_partitioned",
+    """
+    SELECT o_orderkey, o_totalprice * 2 AS o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus = 'F'
+    """,
+)
+def replace_partitioned(spark, sf_dir):
+    """A partitioned table is replaced from its own rows, twice."""
+    table = f"{fresh_database(spark)}.orders"
+    rows = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    write_table(rows, table, partition_by=["o_orderpriority"])
+    replace(spark.table(table).filter("o_orderstatus = 'F'"), table)
+    replace(spark.table(table).withColumn("o_totalprice", F.col("o_totalprice") * 2), table)
+    return spark.table(table).select("o_orderkey", "o_totalprice", "o_orderpriority")
+
+
+@query(
+    "merge_days",
+    """
+    SELECT event_id, CASE WHEN event_type = 'click' THEN ts + INTERVAL 40 DAY ELSE ts END AS ts,
+           strftime(CASE WHEN event_type = 'click' THEN ts + INTERVAL 40 DAY ELSE ts END, '%Y-%m-%d') AS ts_day
+    FROM events
+    """,
+)
+def merge_days(spark, sf_dir):
+    """Events by day; a merge moves some to other days, and the derived day moves along."""
+    table = f"{fresh_database(spark)}.events"
+    events = load(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type")
+    write_table(events.select("event_id", "ts"), table, partition_by=["days(ts)"])
+    moved = events.filter("event_type = 'click'").select("event_id", F.expr("ts + INTERVAL 40 DAYS").alias("ts"))
+    merge_into(moved, table, ["event_id"])
+    return spark.table(table).select("event_id", "ts", F.col("ts_day").cast("string").alias("ts_day"))

@@ -28,8 +28,14 @@ def one_row_per_key(df: DataFrame, keys: list[str], order: list[str] | None = No
     if not rest:
         return df.dropDuplicates(keys)
     lead = [c for c in (order or []) if c in rest]
+    maps = [c for c in rest if "map<" in df.schema[c].dataType.simpleString()]
     row = F.struct(*[F.col(f"`{c}`") for c in lead + [c for c in rest if c not in lead]])
-    pick = F.max(row) if last else F.min(row)
+    if maps:
+        # Maps have no order: rows go by the sequence, then by their text.
+        by = F.struct(*[F.col(f"`{c}`") for c in lead], F.to_json(row))
+        pick = F.max_by(row, by) if last else F.min_by(row, by)
+    else:
+        pick = F.max(row) if last else F.min(row)
     return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(pick.alias(_ROW)).select(
         *[F.col(f"`{c}`") if c in keys else F.col(f"{_ROW}.`{c}`").alias(c) for c in df.columns]
     )
@@ -65,8 +71,8 @@ def merge_update(
     would all land in one partition.
 
     ``narrow``: with a batch small enough to broadcast, the target is scanned twice
-    (once for its keys only) and never shuffled; otherwise one full outer join
-    shuffles both sides once. Decided from the batch's size unless given.
+    (once for its keys only) and never shuffled; otherwise a left join
+    and an anti join for new keys shuffle both sides. Decided from the batch's size unless given.
     """
     stored = batch.columns if sequence is None or sequence in target.columns else [
         c for c in batch.columns if c != sequence
@@ -99,7 +105,10 @@ def merge_update(
             fresh.join(hit_keys, keys, "left_anti"), allowMissingColumns=True
         )
     else:
-        merged = known.join(changes, keys, "full_outer").select(*columns)
+        # Left join and anti join instead of one full outer join: there, no side of a hot key can be split.
+        merged = known.join(changes, keys, "left").select(*columns).unionByName(
+            fresh.join(known.select(*keys), keys, "left_anti"), allowMissingColumns=True
+        )
     keyless = [target.filter(null_key), batch.filter(null_key).select(*stored)]
     for part in keyless:
         merged = merged.unionByName(part, allowMissingColumns=True)

@@ -98,6 +98,13 @@ def search_register(
     def day(value):
         return value.date() if isinstance(value, datetime) else value
 
+    # A table stored by day has the day as partition column: the same bounds there leave out folders.
+    partition = f"{date_col}_day"
+    if partition in df.columns:
+        if start is not None:
+            df = df.filter(F.col(partition) >= F.lit(day(start)))
+        if end is not None:
+            df = df.filter(F.col(partition) <= F.lit(day(end)))
     if start is not None:
         df = df.filter(F.col(date_col) >= F.lit(day(start)).cast("timestamp_ntz"))
     if end is not None:

@@ -93,6 +93,12 @@ def watermarks(ledger: DataFrame, run_time: datetime) -> DataFrame:
     return ledger.groupBy("job_id").agg(F.coalesce(start, ntz(run_time - FIRST_WINDOW)).alias("watermark"))
 
 
+def last_success(ledger: DataFrame, job_id: str) -> datetime | None:
+    """The start of the job's last successful run, None without one."""
+    done = ledger.filter((F.col("job_id") == job_id) & (F.col("status") == "success"))
+    return done.agg(F.max("start_time")).first()[0]
+
+
 def watermark(ledger: DataFrame, job_id: str, run_time: datetime) -> datetime:
     row = watermarks(ledger.filter(F.col("job_id") == job_id), run_time).first()
     return row["watermark"] if row else run_time - FIRST_WINDOW
@@ -108,11 +114,11 @@ def alerts(
     failed = F.col("status") == "failed"
     rules = [
         (alert_on_failure, "failure", failed,
-         F.concat(F.lit("Job "), F.col("job_id"), F.lit(" failed: "), F.coalesce("error_message", F.lit("")))),
+         F.concat(F.col("job_id"), F.lit(" ended with an error: "), F.coalesce("error_message", F.lit("")))),
         (alert_on_validation_failure, "validation_failure", F.col("status") == "invalid",
-         F.concat(F.lit("Data validation failed for job "), F.col("job_id"))),
+         F.concat(F.col("job_id"), F.lit(" was refused by its checks"))),
         (alert_on_zero_records, "zero_records", ~failed & (F.col("rows_processed") == 0),
-         F.concat(F.lit("No data extracted from source for job "), F.col("job_id"))),
+         F.concat(F.col("job_id"), F.lit(" found no rows"))),
     ]
     fired = [
         F.when(cond, F.struct(F.lit(name).alias("rule"), message.alias("message")))
@@ -122,3 +128,30 @@ def alerts(
     if not fired:
         return ledger.select("job_id", "run_id", F.lit("").alias("rule"), F.lit("").alias("message")).limit(0)
     return ledger.select("job_id", "run_id", F.inline(F.array_compact(F.array(*fired))))
+
+
+def run_alerts(
+    job_id: str, status: str, processed: int, error: str | None, changed: str | None, wanted: dict
+) -> list[tuple[str, str]]:
+    """``(rule, message)`` of the alerts that one run fires, by its ``monitoring`` settings.
+
+    The defaults are those of ``alerts``; a changed structure is told on request only.
+    """
+    rules = [
+        ("failure", wanted.get("alert_on_failure", True), status == "failed", f"{job_id} ended with an error: {error or ''}"),
+        ("validation_failure", wanted.get("alert_on_validation_failure", True), status == "invalid", f"{job_id} was refused by its checks"),
+        ("zero_records", wanted.get("alert_on_zero_records", False), status != "failed" and not processed, f"{job_id} found no rows"),
+        ("structure_change", wanted.get("alert_on_structure_change", False), changed is not None, f"{job_id} has other columns ({changed})"),
+    ]
+    return [(rule, message) for rule, on, fired, message in rules if on and fired]
+
+
+def record_alerts(spark: SparkSession, table: str, job_id: str, run_time: datetime, fired: list[tuple[str, str]]) -> None:
+    """Append the alerts of one run; the table is created with the first."""
+    if fired:
+        rows = spark.createDataFrame(
+            [(job_id, run_time, rule, message) for rule, message in fired],
+            "job_id string, start_time timestamp_ntz, rule string, message string",
+        )
+        create_table(spark, table, rows)
+        append(rows.coalesce(1), table)

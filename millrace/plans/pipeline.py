@@ -12,7 +12,7 @@ import os
 import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -26,22 +26,24 @@ from millrace.operators.register import (
     REGISTER_CRITICAL,
     REGISTER_REQUIRED,
     REGISTER_TYPES,
+    default_window,
     search_register,
     transform_register,
 )
 from millrace.operators.steps import apply_steps
-from millrace.plans.ledger import record_run, watermark
+from millrace.plans.ledger import last_success, record_alerts, record_run, run_alerts
 from millrace.session import observed, settle
 from millrace.sinks import jdbc as jdbc_sink
-from millrace.sinks.tables import table_exists, write_table
+from millrace.sinks.tables import stored_days, table_exists, write_table
 from millrace.sources.files import read_files
 from millrace.sources.html import read_items, read_table_pages
-from millrace.sources.payloads import DEFAULT_LIMIT, DEFAULT_MAX_PAGES, explode_items, take_pages, with_items
+from millrace.sources.payloads import DEFAULT_LIMIT, explode_items, take_pages, with_items
 from millrace.sources.tables import catalog_table, extract_table, jdbc_query, jdbc_table, run_sql
 
 Source = Callable[[SparkSession, dict, datetime], DataFrame]
 Transformer = Callable[[DataFrame, dict, datetime], DataFrame]
 Loader = Callable[[DataFrame, dict], int]
+Checks = Callable[[DataFrame, dict], DataFrame]  # a report as `validate` gives it
 
 
 # --- spec helpers ---------------------------------------------------------------------------
@@ -99,6 +101,7 @@ def as_frame(spark: SparkSession, data: Any, schema: str | None = None) -> DataF
 
 _sources: dict[str, Source] = {}
 _transformers: dict[str, Transformer] = {}
+_checks: dict[str, Checks] = {}
 _loaders: dict[str, Loader] = {}
 
 
@@ -106,8 +109,12 @@ def register_source(name: str, read: Source) -> None:
     _sources[name.lower()] = read
 
 
-def register_transformer(name: str, transform: Transformer) -> None:
+def register_transformer(name: str, transform: Transformer, checks: Checks | None = None) -> None:
+    """``checks`` judges what the transformer made, in place of the checks that the spec declares."""
     _transformers[name.lower()] = transform
+    _checks.pop(name.lower(), None)
+    if checks is not None:
+        _checks[name.lower()] = checks
 
 
 def register_loader(name: str, load: Loader) -> None:
@@ -145,10 +152,12 @@ def _file_source(file_type: str | None) -> Source:
 
 
 def _last_start(spark: SparkSession, cfg: dict, run_time: datetime) -> datetime | None:
+    """The start of the job's last success. Without one everything is read, unless the spec gives ``first_days``."""
     ledger = cfg.get("ledger")
-    if ledger and table_exists(spark, ledger):
-        return watermark(spark.table(ledger), cfg["job_id"], run_time)
-    return watermark(spark.createDataFrame([], "job_id string, status string, start_time timestamp_ntz"), "", run_time)
+    found = last_success(spark.table(ledger), cfg["job_id"]) if ledger and table_exists(spark, ledger) else None
+    if found is None and cfg.get("first_days") is not None:
+        return run_time - timedelta(days=cfg["first_days"])
+    return found
 
 
 def _database_source(spark: SparkSession, cfg: dict, run_time: datetime) -> DataFrame:
@@ -185,7 +194,7 @@ def _api_source(spark: SparkSession, cfg: dict, run_time: datetime) -> DataFrame
     kept = take_pages(
         pages, cfg.get("pagination_strategy", "none"), feed, order, cfg.get("body", "body"),
         cfg.get("limit", DEFAULT_LIMIT), cfg.get("cursor_path", "meta.next_cursor"),
-        cfg.get("max_pages", DEFAULT_MAX_PAGES),
+        cfg.get("max_pages"),
     )
     return explode_items(kept, [], cfg["item_schema"]).drop("item_no")
 
@@ -232,14 +241,22 @@ def _base(df: DataFrame, cfg: dict, run_time: datetime) -> DataFrame:
 
 
 def _register(df: DataFrame, cfg: dict, run_time: datetime) -> DataFrame:
+    """The register's records, searched if the spec says so; ``search_days`` is the window before the run."""
     out = transform_register(df, run_time)
     window = {k: cfg[k] for k in ("start", "end", "issuer", "person") if k in cfg}
+    if cfg.get("search_days") is not None:
+        start, end = default_window(run_time, cfg["search_days"])
+        window = {"start": start, "end": end, **window}
     return search_register(out, **window) if window else out
 
 
+def _register_checks(df: DataFrame, cfg: dict) -> DataFrame:
+    return validate(df, REGISTER_REQUIRED, REGISTER_CRITICAL, REGISTER_TYPES)
+
+
 register_transformer("base", _base)
-register_transformer("fsa", _register)
-register_transformer("swedish_fsa", _register)
+register_transformer("fsa", _register, _register_checks)
+register_transformer("swedish_fsa", _register, _register_checks)
 
 
 # --- loaders --------------------------------------------------------------------------------
@@ -304,6 +321,7 @@ class RunResult:
     rows_processed: int
     rows_loaded: int
     error: str | None = None
+    alerts: tuple[tuple[str, str], ...] = ()  # (rule, message)
 
 
 def extract(spark: SparkSession, spec: Mapping[str, Any], run_time: datetime) -> DataFrame:
@@ -327,9 +345,10 @@ def required_by(spec: Mapping[str, Any]) -> list[str]:
 
 def checks(df: DataFrame, spec: Mapping[str, Any]) -> DataFrame:
     """The check report of transformed data, as the spec's transformer declares it."""
-    if _is_register(spec):
-        return validate(df, REGISTER_REQUIRED, REGISTER_CRITICAL, REGISTER_TYPES)
     cfg = spec.get("transformer", {})
+    own = _checks.get(cfg.get("type", "base").lower())
+    if own is not None:
+        return own(df, cfg)
     return validate(df, required_by(spec), cfg.get("critical_columns", ()), cfg.get("expected_types", {}))
 
 
@@ -344,16 +363,18 @@ def run(
     """Run one job. Rows read and stored are counted during the write, in one pass.
 
     Structural checks (missing columns) come first and cost nothing; the write
-    happens only if they pass and, with ``validate_schema``, the data has rows.
-    A failure is recorded in the ledger and raised.
+    happens only if they pass and, with ``validate_schema``, the checks hold. What
+    replaces stored rows is written only if there are new ones. A failure is recorded
+    in the ledger and raised. ``monitoring`` of the spec says which alerts are wanted;
+    those that fire are returned and kept beside the ledger, in ``<ledger>_alerts``.
     """
     spec = deep_merge(spec, overrides or {})
     spec = resolve_variables(spec)
     job_id = spec.get("job_id", "job")
-    clock = now or (lambda: datetime.now())
+    clock = now or (lambda: datetime.now(timezone.utc).replace(tzinfo=None))
     if ledger:
         spec["source"] = {**spec["source"], "ledger": spec["source"].get("ledger", ledger)}
-    status, processed, loaded, error, failure = "success", 0, 0, None, None
+    status, processed, loaded, error, failure, changed = "success", 0, 0, None, None, None
     try:
         raw = extract(spark, spec, run_time)
         if not raw.columns:
@@ -369,10 +390,13 @@ def run(
             checked = not missing and spec.get("transformer", {}).get("validate_schema")
             if missing:
                 status, error = "invalid", f"missing required columns: {missing}"
-            elif checked and not is_valid(checks(shaped, spec)):
-                # The columns are there, so the rule that failed is the one about rows.
+            elif loader.get("write_mode") in _REPLACING and shaped.isEmpty():
                 status = "no_data"
+            elif checked and not is_valid(checks(shaped, spec)):
+                # The columns are there: no rows, or rows that the transformer's own checks refuse.
+                status = "no_data" if shaped.isEmpty() else "invalid"
             else:
+                changed = structure_change(shaped, loader)
                 if seen is not None:
                     counted = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
                     shaped = transform(counted, spec, run_time)
@@ -381,9 +405,29 @@ def run(
                 processed = raw.count() if processed is None else processed
                 status = "success" if processed else "no_data"
     except Exception as err:  # recorded, then raised
-        status, error, failure = "failed", str(err)[:2000], err
+        status, error, failure = "failed", str(err), err
+    fired = run_alerts(job_id, status, processed, error, changed, spec.get("monitoring", {}))
     if ledger:
         record_run(spark, ledger, job_id, run_time, clock(), status, processed, loaded, error)
+        record_alerts(spark, f"{ledger}_alerts", job_id, run_time, fired)
     if failure:
         raise failure
-    return RunResult(status, processed, loaded, error)
+    return RunResult(status, processed, loaded, error, tuple(fired))
+
+
+_REPLACING = ("replace", "overwrite", "overwrite_partition")
+
+
+def structure_change(df: DataFrame, loader: Mapping[str, Any]) -> str | None:
+    """How the columns about to be stored differ from the stored ones; None if they don't, or nothing is stored yet."""
+    table = ".".join(p for p in (loader.get("catalog"), loader.get("database"), loader["table"]) if p)
+    if loader.get("type", "table") not in ("table", "iceberg", "delta", "delta_lake") or not table_exists(df.sparkSession, table):
+        return None
+    days = {day for day, _ in stored_days(df.sparkSession, table)}
+    stored = {f.name: f.dataType.simpleString() for f in df.sparkSession.table(table).schema.fields if f.name not in days}
+    given = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    parts = [
+        ("missing", sorted(set(stored) - set(given))), ("new", sorted(set(given) - set(stored))),
+        ("of another type", sorted(c for c in stored if c in given and stored[c] != given[c])),
+    ]
+    return "; ".join(f"{what}: {', '.join(names)}" for what, names in parts if names) or None

@@ -4,17 +4,22 @@ A table is a catalog table. Formats with their own row-level commands (``iceberg
 ``delta``) use them. Plain file tables (``parquet``, ``orc``) have none: replacing,
 merging and deleting write the new state to a fresh folder and then point the table
 at it, so a failed job leaves the old state in place and a job may read the table
-it is writing.
+it is writing. Nothing of the old state is dropped before the new one is in place:
+a table that is set up anew takes the name in two renames, and partitions are
+repointed from a list that is stored first. What a crash in between leaves is
+finished, or undone, by the next access.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Mapping
 from typing import Any
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,16 +80,65 @@ def create_table(
         schema = schema.schema
     fields = T.StructType.fromDDL(schema or DEFAULT_TABLE_DDL) if not isinstance(schema, T.StructType) else schema
     columns = {f.name: f.dataType.simpleString() for f in fields.fields}
+    days, where = [], ""
     if fmt not in ROW_LEVEL_FORMATS:
-        for found in filter(None, map(day_column, partition_by or ())):
-            columns[found[1]] = "date"
+        days = [(day, ts) for ts, day in filter(None, map(day_column, partition_by or ()))]
+        columns.update({day: "date" for day, _ in days})
         partition_by = [found[1] if (found := day_column(p)) else p for p in partition_by or ()]
+        # A folder of its own: dropping or repointing the table never deletes a state.
+        where = f" LOCATION '{_first_state(spark, table)}'"
     ddl = ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {fmt}{parts}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {fmt}{parts}{where}{_properties({_DAYS_KEPT: json.dumps(days)} if days else {})}")
     return True
 
 
+_DAYS_KEPT, _PENDING = "millrace.days", "millrace.pending"
+
+
+def _properties(values: Mapping[str, str]) -> str:
+    return f" TBLPROPERTIES ({', '.join(f'{_text(k)} = {_text(v)}' for k, v in values.items())})" if values else ""
+
+
+def _text(value: str) -> str:
+    """A SQL text literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _first_state(spark: SparkSession, table: str) -> str:
+    database, _, name = table.rpartition(".")
+    base = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri.rstrip("/")
+    return f"{base}/{name}__states/__state-{uuid.uuid4().hex}"
+
+
+def _stored_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def stored_days(spark: SparkSession, table: str) -> list[tuple[str, str]]:
+    """The table's derived day columns, each with the column it comes from."""
+    return [tuple(x) for x in json.loads(_stored_properties(spark, table).get(_DAYS_KEPT, "[]"))]
+
+
+def recover(spark: SparkSession, table: str) -> None:
+    """Finish or undo a change of state that was cut short; does nothing otherwise."""
+    old, following = f"{table}__old", f"{table}__next"
+    if not table_exists(spark, table):
+        if table_exists(spark, old):
+            # Between the renames: the new state is complete if it is there.
+            source = following if table_exists(spark, following) else old
+            spark.sql(f"ALTER TABLE {source} RENAME TO {table}")
+        else:
+            return
+    if table_exists(spark, old):
+        spark.sql(f"DROP TABLE {old}")
+    if table_exists(spark, following):
+        spark.sql(f"DROP TABLE {following}")
+    pending = _stored_properties(spark, table).get(_PENDING)
+    if pending:
+        _repoint(spark, table, pending)
+
+
 def create_register_table(spark: SparkSession, table: str, fmt: str = "parquet") -> bool:
     """The fixed insider-trading table, partitioned by day of the transaction."""
     return create_table(spark, table, REGISTER_TABLE_DDL, REGISTER_PARTITIONS, fmt)
@@ -112,8 +166,12 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def _aligned(df: DataFrame, table: str) -> DataFrame:
-    """``df`` with the table's columns in the table's order: absent ones NULL, unknown ones an error."""
+    """``df`` with the table's columns in the table's order: absent ones NULL, unknown ones an error.
+
+    Derived days are always those of the columns they come from.
+    """
     target = df.sparkSession.table(table).schema
+    df = _with_stored_days(df, table)
     unknown = sorted(set(df.columns) - set(target.names))
     if unknown:
         raise ValueError(f"table {table} has no columns {unknown}")
@@ -125,6 +183,11 @@ def _aligned(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def _with_stored_days(df: DataFrame, table: str) -> DataFrame:
+    days = {day: ts for day, ts in stored_days(df.sparkSession, table) if ts in df.columns}
+    return df.withColumns({day: F.col(f"`{ts}`").cast("date") for day, ts in days.items()}) if days else df
+
+
 def _clustered(df: DataFrame, partition_by: list[str]) -> DataFrame:
     """Gather rows by output partition, so a day is a few files and not one per task.
 
@@ -141,20 +204,23 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 def append(df: DataFrame, table: str) -> int:
     """Add rows; returns how many, counted during the write."""
     spark = df.sparkSession
-    rows, seen = _counted(_aligned(df, table))
-    _clustered(rows, _partition_columns(spark, table)).write.insertInto(table)
+    recover(spark, table)
+    # Counted after the shuffle: a map task that runs again is not counted twice.
+    rows, seen = _counted(_clustered(_aligned(df, table), _partition_columns(spark, table)))
+    rows.write.insertInto(table)
     return observed(seen, "rows") or 0
 
 
 def replace(df: DataFrame, table: str) -> int:
     """Make ``df`` the table's whole content; the table's columns stay as declared."""
     spark = df.sparkSession
-    rows, seen = _counted(_aligned(df, table))
+    recover(spark, table)
+    rows = _aligned(df, table)
     fmt = _format(spark, table)
-    if fmt in ROW_LEVEL_FORMATS:
-        rows.writeTo(table).overwrite(F.lit(True))
-    else:
-        _swap(rows, table, fmt)
+    if fmt not in ROW_LEVEL_FORMATS:
+        return _swap(rows, table, fmt)
+    rows, seen = _counted(rows)
+    rows.writeTo(table).overwrite(F.lit(True))
     return observed(seen, "rows") or 0
 
 
@@ -164,38 +230,62 @@ def _fresh_state(spark: SparkSession, table: str) -> str:
     return f"{base}/__state-{uuid.uuid4().hex}"
 
 
-def _swap(rows: DataFrame, table: str, fmt: str) -> None:
-    """Write the new state beside the old one, then repoint the table.
+def _swap(rows: DataFrame, table: str, fmt: str) -> int:
+    """Write the new state beside the old one, then repoint the table; returns the rows written.
 
-    The superseded folder is left to readers that still use it and to the owner's
-    retention rule.
+    The superseded folder is left to readers that still use it and to ``expire_states``.
     """
     spark = rows.sparkSession
     partition_by = _partition_columns(spark, table)
     fresh = _fresh_state(spark, table)
-    writer = _clustered(rows, partition_by).write.format(fmt)
+    counted, seen = _counted(_clustered(rows, partition_by))
+    writer = counted.write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(fresh)
     if partition_by:
         # Partitions carry their own locations, so the table is set up anew over the
         # written folder and takes the old one's name.
-        following = f"{table}__next"
-        spark.sql(f"DROP TABLE IF EXISTS {following}")
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.table(table).schema.fields)
-        names = ", ".join(f"`{c}`" for c in partition_by)
-        spark.sql(f"CREATE TABLE {following} ({ddl}) USING {fmt} PARTITIONED BY ({names}) LOCATION '{fresh}'")
+        following, old = f"{table}__next", f"{table}__old"
+        spark.sql(f"CREATE TABLE {following} LIKE {table} USING {fmt} LOCATION '{fresh}'")
+        kept = {k: v for k, v in _stored_properties(spark, table).items() if not k.startswith(("transient", "spark.", "view."))}
+        if kept:
+            spark.sql(f"ALTER TABLE {following} SET{_properties(kept)}")
+        comment = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Comment'").head(1)
+        if comment:
+            spark.sql(f"COMMENT ON TABLE {following} IS {_text(comment[0]['data_type'])}")
         spark.sql(f"ALTER TABLE {following} RECOVER PARTITIONS")
-        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
         spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
+        spark.sql(f"DROP TABLE {old}")
     else:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
     spark.catalog.refreshTable(table)
+    return observed(seen, "rows") or 0
+
+
+def expire_states(spark: SparkSession, table: str) -> list[str]:
+    """Folders of states that neither the table nor a partition of it points at any more, for the owner to remove.
+
+    They are only named: readers that began before the last change may still use them.
+    """
+    base = _location(spark, table).rsplit("/", 1)[0]
+    used = {_location(spark, table)}
+    if _partition_columns(spark, table):
+        found = spark.table(table).select(F.regexp_extract("_metadata.file_path", r"^(.*/__state-[0-9a-f]+)", 1)).distinct()
+        used |= {unquote(r[0]) for r in found.collect()}  # a row per state
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = [f.getPath().toString() for f in fs.listStatus(path)] if fs.exists(path) else []
+    plain = lambda x: re.sub(r"^\w+:/+", "/", x)  # noqa: E731  a location may or may not name its file system
+    kept = {plain(u) for u in used}
+    return [f for f in there if "/__state-" in f and not f.endswith("__pending") and plain(f) not in kept]
 
 
 def write_table(df: DataFrame, table: str, mode: str = "append", partition_by=None, fmt: str = "parquet", **kw) -> int:
     """Store ``df`` by mode. Modes that differ when the table exists are decided before creating it."""
     spark = df.sparkSession
+    recover(spark, table)
     existed = table_exists(spark, table)
     if mode == "ignore" and existed:
         return 0
@@ -218,82 +308,80 @@ def write_table(df: DataFrame, table: str, mode: str = "append", partition_by=No
 def overwrite_partitions(df: DataFrame, table: str) -> int:
     """Replace exactly the partitions that ``df`` has rows for."""
     spark = df.sparkSession
-    rows, seen = _counted(_aligned(df, table))
+    recover(spark, table)
+    rows = _aligned(df, table)
     if _format(spark, table) in ROW_LEVEL_FORMATS:
+        rows, seen = _counted(rows)
         rows.writeTo(table).overwritePartitions()
         return observed(seen, "rows") or 0
+    # Both the content and the touched partitions come from these rows: they are computed once.
+    rows = settle(rows, "partitions")
     partition_by = _partition_columns(spark, table)
     if not partition_by:
         raise ValueError(f"table {table} has no partitions")
-    # Writing through the catalog respects partitions that have a folder of their own;
-    # the mode is a session setting there, so it is set for this one command.
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        _clustered(rows, partition_by).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
-    return observed(seen, "rows") or 0
+    return _rewrite_partitions(rows, table, _format(spark, table), partition_by, rows.select(*partition_by))
 
 
 # --- rewriting some partitions of a file table ----------------------------------------------
 
-MAX_PARTITIONS_REWRITTEN = 5_000
-_PLAIN = re.compile(r"[\w. -]+")
-
+def _only_touched(target: DataFrame, touched: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The rows of the touched partitions, any number of them, NULL included.
 
-def _touched(found: DataFrame, partition_by: list[str]) -> list[tuple[str, ...]] | None:
-    """Distinct partition values as texts, or None when there are too many to handle one by one.
-
-    The answer is partition metadata: never more rows than the limit. Values that a
-    folder name would escape, and NULL, also give None; the caller then rewrites the
-    whole table, which is always right.
+    Each partition column is bounded by its own list of values, so the scan leaves out
+    other folders; which combinations are meant is a semi join.
     """
-    texts = found.select(*[F.col(c).cast("string").alias(c) for c in partition_by]).distinct()
-    values = [tuple(r) for r in texts.limit(MAX_PARTITIONS_REWRITTEN + 1).collect()]
-    plain = all(v is not None and _PLAIN.fullmatch(v) for row in values for v in row)
-    return values if plain and len(values) <= MAX_PARTITIONS_REWRITTEN else None
-
-
-def _in_partitions(partition_by: list[str], values: list[tuple[str, ...]], schema: T.StructType) -> Column:
-    """A predicate on partition columns alone, so the scan lists only those partitions."""
-
-    def same(c: str, v: str) -> Column:
-        return F.col(f"`{c}`") == F.lit(v).cast(schema[c].dataType)
-
-    if len(partition_by) == 1:
-        (c,) = partition_by
-        return F.col(f"`{c}`").isin(*[F.lit(v).cast(schema[c].dataType) for (v,) in values])
-    cond = F.lit(False)
-    for row in values:
-        one = F.lit(True)
-        for c, v in zip(partition_by, row):
-            one = one & same(c, v)
-        cond = cond | one
-    return cond
-
-
-def _rewrite_partitions(rows: DataFrame, table: str, fmt: str, partition_by: list[str], values: list[tuple]) -> None:
-    """Make ``rows`` the whole content of the partitions ``values`` (and of any new ones).
-
-    The new state goes to a fresh folder; then each partition is pointed at its part
-    of it, or dropped when no row is left. Untouched partitions are not read.
+    schema, bounds = target.schema, F.lit(True)
+    for c in partition_by:
+        values = [r[0] for r in touched.select(F.col(c)).distinct().collect()]  # partition metadata
+        some = F.col(f"`{c}`").isin(*[F.lit(v).cast(schema[c].dataType) for v in values if v is not None])
+        bounds = bounds & (some | F.col(f"`{c}`").isNull() if None in values else some)
+    named = touched.select(*[F.col(c).alias(f"__{c}") for c in partition_by])
+    same = F.lit(True)
+    for c in partition_by:
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"__{c}"))
+    return target.filter(bounds).join(named, same, "left_semi")
+
+
+def _rewrite_partitions(rows: DataFrame, table: str, fmt: str, partition_by: list[str], touched: DataFrame) -> int:
+    """Make ``rows`` the whole content of the partitions in ``touched`` (and of any new ones); returns the rows written.
+
+    The new state goes to a fresh folder, then the list of what each partition is to
+    point at; then the partitions are repointed from that list, or dropped when no row
+    is left. Untouched partitions are not read.
     """
     spark = rows.sparkSession
     fresh = _fresh_state(spark, table)
-    _clustered(rows, partition_by).write.format(fmt).partitionBy(*partition_by).save(fresh)
-    kept = spark.read.schema(spark.table(table).schema).format(fmt).load(fresh)
-    left = _touched(kept, partition_by)
-    if left is None:
-        raise RuntimeError(f"unexpected partitions were written to {fresh}; {table} is unchanged")
-    for row in {*values, *left}:
-        spec = ", ".join(f"`{c}` = '{v}'" for c, v in zip(partition_by, row))
-        folder = "/".join(f"{c}={v}" for c, v in zip(partition_by, row))
-        if row not in left:
+    counted, seen = _counted(_clustered(rows, partition_by))
+    counted.write.format(fmt).partitionBy(*partition_by).save(fresh)
+    texts = [F.col(f"`{c}`").cast("string").alias(c) for c in partition_by]
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1).alias("__folder")
+    written = spark.read.schema(spark.table(table).schema).format(fmt).load(fresh).select(*texts, folder).distinct()
+    gone = touched.select(*texts, F.lit(None).cast("string").alias("__folder"))
+    moves = written.unionByName(gone).groupBy(*partition_by).agg(F.max("__folder").alias("__folder"))
+    moves.write.parquet(f"{fresh}__pending")
+    spark.sql(f"ALTER TABLE {table} SET{_properties({_PENDING: fresh + '__pending'})}")
+    _repoint(spark, table, f"{fresh}__pending")
+    return observed(seen, "rows") or 0
+
+
+def _repoint(spark: SparkSession, table: str, pending: str) -> None:
+    """Point partitions where a stored list says; doing it again changes nothing."""
+    partition_by = _partition_columns(spark, table)
+    there = {unquote(r[0]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    added = []
+    for row in spark.read.parquet(pending).toLocalIterator():  # partition metadata
+        spec = ", ".join(f"`{c}` = {'NULL' if row[c] is None else _text(row[c])}" for c in partition_by)
+        known = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in partition_by) in there
+        where = None if row["__folder"] is None else _text(unquote(row["__folder"]))
+        if where is None:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-            continue
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
-        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{fresh}/{folder}'")
+        elif known:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {where}")
+        else:
+            added.append(f"PARTITION ({spec}) LOCATION {where}")
+    for i in range(0, len(added), 200):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added[i:i + 200])}")
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{_PENDING}')")
     spark.catalog.refreshTable(table)
 
 
@@ -311,42 +399,43 @@ def merge_into(
     spark = df.sparkSession
     if not merge_keys:
         raise ValueError("merge needs keys")
+    recover(spark, table)
     target = spark.table(table)
     # A merge reads its batch several times: what it takes in is computed and counted once.
-    counted, seen = _counted(df)
+    counted, seen = _counted(_with_stored_days(df, table))
     batch = settle(counted, "merge-batch")
     if on_conflict in ("nothing", "ignore"):
         # Existing rows stay as they are, so only new rows are written.
         return append(new_rows(target, batch, merge_keys, sequence), table)
     fmt = _format(spark, table)
     partition_by = _partition_columns(spark, table)
-    values = None
     if fmt in ROW_LEVEL_FORMATS:
         _native_merge(batch, table, merge_keys, sequence)
-        return observed(seen, "rows") or 0
-    if partition_by:
-        values = _merge_partitions(target, batch, merge_keys, partition_by)
-    if values is None:
+    elif not partition_by:
         _swap(_aligned(merge(target, batch, merge_keys, on_conflict, sequence), table), table, fmt)
     else:
-        touched = target.filter(_in_partitions(partition_by, values, target.schema))
-        merged = _aligned(merge(touched, batch, merge_keys, on_conflict, sequence), table)
-        _rewrite_partitions(merged, table, fmt, partition_by, values)
+        touched = settle(_merge_partitions(target, batch, merge_keys, partition_by), "touched")
+        old = _only_touched(target, touched, partition_by)
+        merged = _aligned(merge(old, batch, merge_keys, on_conflict, sequence), table)
+        _rewrite_partitions(merged, table, fmt, partition_by, touched)
     return observed(seen, "rows") or 0
 
 
-def _merge_partitions(target, batch, keys, partition_by) -> list[tuple] | None:
-    """Partitions a merge changes: those holding a key of the batch, and those it writes to."""
+def _merge_partitions(target, batch, keys, partition_by) -> DataFrame:
+    """Partitions a merge changes: those holding a key of the batch, and those it writes to.
+
+    New rows of a batch without a partition column go to NULL, so that one counts, too.
+    """
     keyed = batch.select(*keys)
     for k in keys:
         keyed = keyed.filter(F.col(f"`{k}`").isNotNull())
     hit = target.select(*dict.fromkeys([*keys, *partition_by])).join(
         sized(keyed.distinct(), "merge-keys"), keys, "left_semi"
     ).select(*partition_by)
-    if any(c not in batch.columns for c in partition_by):
-        # New rows would go to the NULL partition: leave that to the full rewrite.
-        return None
-    return _touched(hit.unionByName(batch.select(*partition_by)), partition_by)
+    aimed = batch.select(*[
+        (F.col(f"`{c}`") if c in batch.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in partition_by
+    ])
+    return hit.unionByName(aimed).distinct()
 
 
 def _native_merge(df: DataFrame, table: str, keys: list[str], sequence: str | None) -> None:
@@ -378,30 +467,30 @@ def delete_rows(
     Returns how many, counted while the kept rows are written. A row for which the
     condition is NULL stays.
     """
+    recover(spark, table)
     fmt = _format(spark, table)
-    if condition is not None and fmt in ROW_LEVEL_FORMATS:
-        doomed = spark.sql(f"SELECT count(*) FROM {table} WHERE {condition}", args=dict(params or {})).first()[0]
-        spark.sql(f"DELETE FROM {table} WHERE {condition}", args=dict(params or {}))
+    if fmt in ROW_LEVEL_FORMATS:
+        where = f" WHERE {condition}" if condition is not None else ""
+        doomed = spark.sql(f"SELECT count(*) FROM {table}{where}", args=dict(params or {})).first()[0]
+        spark.sql(f"DELETE FROM {table}{where}", args=dict(params or {}))
         return doomed
     target = spark.table(table)
-    kept_if = f"NOT coalesce({condition}, false)"
-    partition_by = _partition_columns(spark, table)
-    values = None
-    if condition and partition_by:
-        doomed = spark.sql(f"SELECT * FROM {{t}} WHERE {condition}", args=dict(params or {}), t=target)
-        values = _touched(doomed.select(*partition_by), partition_by)
-        if values is not None:
-            target = target.filter(_in_partitions(partition_by, values, target.schema))
     if condition is None:
         gone = target.count()
         _swap(target.limit(0), table, fmt)
         return gone
-    flagged = spark.sql(f"SELECT *, {kept_if} AS __keep FROM {{t}}", args=dict(params or {}), t=target)
-    seen = Observation()
-    flagged = flagged.observe(seen, F.count_if(~F.col("__keep")).alias("gone"))
+    partition_by, touched = _partition_columns(spark, table), None
+    if partition_by:
+        doomed = spark.sql(f"SELECT * FROM {{t}} WHERE {condition}", args=dict(params or {}), t=target)
+        touched = settle(doomed.select(*partition_by).distinct(), "touched")
+        target = _only_touched(target, touched, partition_by)
+    flagged = spark.sql(
+        f"SELECT *, NOT coalesce({condition}, false) AS __keep FROM {{t}}", args=dict(params or {}), t=target
+    )
+    before = flagged.agg(F.count_if(~F.col("__keep"))).first()[0]
     kept = flagged.filter("__keep").select(*target.columns)
-    if values is None:
+    if touched is None:
         _swap(kept, table, fmt)
     else:
-        _rewrite_partitions(kept, table, fmt, partition_by, values)
-    return observed(seen, "gone") or 0
+        _rewrite_partitions(kept, table, fmt, partition_by, touched)
+    return before

@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 from pyspark import cloudpickle
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
-from millrace.sources.payloads import DEFAULT_LIMIT, DEFAULT_MAX_PAGES
+from millrace.sources.payloads import DEFAULT_LIMIT
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -34,9 +34,21 @@ def cursor_in(body: str, path: str):
     return value or None
 
 
-class _Range(InputPartition):
-    def __init__(self, feed: str, first: int, last: int):
-        self.feed, self.first, self.last = feed, first, last
+class _Stride(InputPartition):
+    """Pages ``first``, ``first + step``, … of a feed, up to the first one that is past the end."""
+
+    def __init__(self, feed: str, first: int, step: int):
+        self.feed, self.first, self.step = feed, first, step
+
+
+def has_items(body: str, data_key: str) -> bool:
+    """Whether a body lists items: under the key, or as a list itself. A body that says neither counts as one."""
+    try:
+        value = json.loads(body)
+    except ValueError:
+        return True
+    listed = value.get(data_key, [None]) if isinstance(value, dict) else value
+    return not isinstance(listed, list) or bool(listed)
 
 
 class _Reader(DataSourceReader):
@@ -46,21 +58,18 @@ class _Reader(DataSourceReader):
         if self.strategy not in ("none", "page", "offset", "cursor"):
             raise ValueError(f"unknown paging strategy {self.strategy!r}")
         self.feeds = json.loads(options.get("feeds", '[""]'))
-        self.max_pages = int(options.get("max_pages", DEFAULT_MAX_PAGES))
-        self.pages_per_task = int(options.get("pages_per_task", 10))
+        self.max_pages = int(options["max_pages"]) if options.get("max_pages") else None
+        self.tasks = max(1, int(options.get("tasks_per_feed", 8)))
+        self.data_key = options.get("data_key", "data")
         self.limit = int(options.get("limit", DEFAULT_LIMIT))
         self.names = {k: options.get(f"{k}_param", k) for k in ("page", "offset", "limit", "cursor")}
         self.cursor_path = options.get("cursor_path", "meta.next_cursor")
 
     def partitions(self) -> list[InputPartition]:
+        """Numbered pages are dealt to ``tasks_per_feed`` tasks in turn, so neither a total nor a cap is needed."""
         if self.strategy in ("none", "cursor"):
-            return [_Range(f, 1, 1 if self.strategy == "none" else self.max_pages) for f in self.feeds]
-        step = self.pages_per_task
-        return [
-            _Range(f, at, min(at + step - 1, self.max_pages))
-            for f in self.feeds
-            for at in range(1, self.max_pages + 1, step)
-        ]
+            return [_Stride(f, 1, 1) for f in self.feeds]
+        return [_Stride(f, first, self.tasks) for f in self.feeds for first in range(1, self.tasks + 1)]
 
     def _params(self, number: int) -> dict:
         if self.strategy == "page":
@@ -69,9 +78,9 @@ class _Reader(DataSourceReader):
             return {self.names["limit"]: self.limit, self.names["offset"]: (number - 1) * self.limit}
         return {}
 
-    def read(self, part: _Range) -> Iterator[tuple]:
-        cursor = None
-        for number in range(part.first, part.last + 1):
+    def read(self, part: _Stride) -> Iterator[tuple]:
+        cursor, number = None, part.first
+        while self.max_pages is None or number <= self.max_pages:
             params = self._params(number)
             if cursor:
                 params[self.names["cursor"]] = cursor
@@ -80,43 +89,54 @@ class _Reader(DataSourceReader):
                 return
             order = (number - 1) * self.limit if self.strategy == "offset" else number
             yield part.feed, order, body
+            if self.strategy == "none" or not has_items(body, self.data_key):
+                return
             if self.strategy == "cursor":
                 cursor = cursor_in(body, self.cursor_path)
                 if cursor is None:
                     return
+            number += part.step
 
 
 class _CursorStream(SimpleDataSourceStreamReader):
-    """One page per offset: the offset is the cursor of the page to read next."""
+    """One page of every feed per batch: the offset holds, per feed, the page and the cursor to read next.
+
+    A cursor is known only from the page before it, so pages are fetched where offsets are kept, in the driver:
+    for feeds that grow by single pages. A backlog is read by the batch reader, a task per feed.
+    """
 
     def __init__(self, fetch: Fetch, options: dict):
         self.fetch = fetch
-        self.feed = json.loads(options.get("feeds", '[""]'))[0]
+        self.feeds = json.loads(options.get("feeds", '[""]'))
         self.name = options.get("cursor_param", "cursor")
         self.path = options.get("cursor_path", "meta.next_cursor")
 
     def initialOffset(self) -> dict:
-        return {"page": 1, "cursor": None}
+        return {f: {"page": 1, "cursor": None} for f in self.feeds}
 
-    def _page(self, start: dict) -> tuple[list[tuple], dict]:
-        if start["page"] > 1 and start["cursor"] is None:  # the last page has been read
-            return [], start
-        body = self.fetch(self.feed, {self.name: start["cursor"]} if start["cursor"] else {})
+    def _page(self, feed: str, at: dict) -> tuple[list[tuple], dict]:
+        if at["page"] > 1 and at["cursor"] is None:  # the last page has been read
+            return [], at
+        body = self.fetch(feed, {self.name: at["cursor"]} if at["cursor"] else {})
         if body is None:
-            return [], start
-        return [(self.feed, start["page"], body)], {"page": start["page"] + 1, "cursor": cursor_in(body, self.path)}
+            return [], at
+        return [(feed, at["page"], body)], {"page": at["page"] + 1, "cursor": cursor_in(body, self.path)}
 
     def read(self, start: dict):
-        rows, end = self._page(start)
+        rows, end = [], {}
+        for feed, at in start.items():
+            got, end[feed] = self._page(feed, at)
+            rows += got
         return iter(rows), end
 
     def readBetweenOffsets(self, start: dict, end: dict):
         rows = []
-        while start["page"] < end["page"]:
-            got, start = self._page(start)
-            if not got:
-                break
-            rows += got
+        for feed, at in start.items():
+            while at["page"] < end[feed]["page"]:
+                got, at = self._page(feed, at)
+                if not got:
+                    break
+                rows += got
         return iter(rows)
 
 
@@ -124,7 +144,8 @@ def paged_source(fetch: Fetch, name: str = "paged") -> type[DataSource]:
     """A data source class for ``spark.dataSource.register`` that fetches with ``fetch(feed, params)``.
 
     Options: ``strategy`` (none, page, offset, cursor), ``feeds`` (JSON list),
-    ``limit``, ``max_pages``, ``pages_per_task``, ``<x>_param`` names, ``cursor_path``.
+    ``limit``, ``max_pages`` (no cap unless given), ``tasks_per_feed``, ``data_key``,
+    ``<x>_param`` names, ``cursor_path``.
     """
 
     class PagedSource(DataSource):

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from millrace.functions.payload import has_next, members, next_cursor, payload_items
 from millrace.session import sized
 
-DEFAULT_MAX_PAGES = 100
 DEFAULT_LIMIT = 100
 _STOP = "__last_kept"
 
@@ -30,16 +29,19 @@ def with_items(
 ) -> DataFrame:
     """Add ``items`` (array of JSON texts) from the body, by key or by the caller's column function."""
     items = extract(F.col(body)) if extract else payload_items(F.col(body), data_key)
-    return pages.withColumn("items", items)
+    # A function that finds nothing may say NULL: such a page has no items, and ends its feed as one.
+    return pages.withColumn("items", F.coalesce(items, F.array().cast("array<string>")))
 
 
-def _last_kept(facts: DataFrame, feed: list[str], order: str, stops: Column) -> DataFrame:
-    """The first page of each feed that ends it.
+def _last_kept(facts: DataFrame, feed: list[str], order: str, stops: Column, cap: Column | None) -> DataFrame:
+    """The last page of each feed that is kept: the first that ends it, or the last under the cap.
 
     The test sits in the aggregate and not in a filter: a filter would be pushed below
     the columns it uses, and each body be parsed again for every mention.
     """
-    return facts.groupBy(*feed).agg(F.min(F.when(stops, F.col(order))).alias(_STOP)).filter(F.col(_STOP).isNotNull())
+    stop = F.min(F.when(stops, F.col(order)))
+    last = stop if cap is None else F.least(stop, cap)
+    return facts.groupBy(*feed).agg(last.alias(_STOP)).filter(F.col(_STOP).isNotNull())
 
 
 def take_pages(
@@ -51,7 +53,6 @@ def take_pages(
     limit: int = DEFAULT_LIMIT,
     cursor_path: str = "meta.next_cursor",
     max_pages: int | None = None,
-    first: int | None = None,
 ) -> DataFrame:
     """Keep each feed's pages up to the one that ends it. ``pages`` carries ``items``.
 
@@ -60,9 +61,9 @@ def take_pages(
     ``cursor``: the first page without items, or without a next cursor.
     ``none``: all pages.
 
-    An ending page without items contributes nothing, so it may stay. ``max_pages``
-    is the fetch cap of the protocol: pages numbered ``first`` (1, or offset 0)
-    and up are kept while fewer than that many precede them.
+    An ending page without items contributes nothing, so it may stay. There is no cap
+    unless the caller gives one: ``max_pages`` pages from each feed's own first page on,
+    whatever numbers its pages carry.
     """
     feed = [feed] if isinstance(feed, str) else list(feed)
     if not feed:
@@ -71,10 +72,9 @@ def take_pages(
         raise ValueError(f"unknown paging strategy {strategy!r}")
     if strategy == "none":
         return pages
+    cap = None
     if max_pages is not None:
-        step = limit if strategy == "offset" else 1
-        start = first if first is not None else (0 if strategy == "offset" else 1)
-        pages = pages.filter(F.col(order) < start + max_pages * step)
+        cap = F.min(order) + (max_pages - 1) * (limit if strategy == "offset" else 1)
     facts = pages.select(*feed, order, F.size("items").alias("n"), F.col(body).alias("text"))
     if strategy == "page":
         facts = facts.withColumn("top", members(F.col("text")))
@@ -85,7 +85,7 @@ def take_pages(
     else:
         stops = (F.col("n") == 0) | next_cursor(F.col("text"), cursor_path).isNull()
     # One row per feed; its true size decides the join, so bodies need not be shuffled.
-    last = sized(_last_kept(facts, feed, order, stops), "last-pages")
+    last = sized(_last_kept(facts, feed, order, stops, cap), "last-pages")
     kept = pages.join(last, feed, "left")
     return kept.filter(F.col(_STOP).isNull() | (F.col(order) <= F.col(_STOP))).select(*pages.columns)
 

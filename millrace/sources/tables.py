@@ -19,9 +19,19 @@ def run_sql(
     spark: SparkSession, query: str, params: Mapping[str, Any] | None = None, views: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
     """SQL text with ``:name`` binds over the session's tables and the given views."""
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(query, args=dict(params or {}))
+    if not views:
+        return spark.sql(query, args=dict(params or {}))
+    # The names hold for this query only: views of the caller's that bear them come back.
+    before = {name: spark.table(name) for name in views if any(t.name == name and t.isTemporary for t in spark.catalog.listTables())}
+    try:
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(query, args=dict(params or {}))
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
+            if name in before:
+                before[name].createOrReplaceTempView(name)
 
 
 def extract_table(

@@ -1,6 +1,7 @@
 """Merges against a plain model, in every form the plan can take."""
 
 from collections import Counter
+from datetime import datetime
 
 import pytest
 from hypothesis import given, settings
@@ -199,3 +200,74 @@ def test_replayed_stream_batch_replaces_itself(spark, folder):
     assert stored(spark, name) == [(0, 0), (1, 0), (2, 0)]
     assert overwrite_partitions(spark.createDataFrame([(9, 1)], "id bigint, intake bigint"), name) == 1
     assert stored(spark, name) == [(0, 0), (1, 0), (2, 0), (9, 1)]
+
+
+def test_partitions_with_nulls_and_odd_names(spark):
+    from millrace.sinks.tables import delete_rows, merge_into, overwrite_partitions, replace, write_table
+
+    table = f"{fresh_database(spark)}.t"
+    rows = [(i, ["a b", "x/y:z", "it's", None][i % 4], i % 3, i) for i in range(24)]
+    df = spark.createDataFrame(rows, "k int, p string, q int, v int")
+    write_table(df, table, partition_by=["p", "q"])
+    batch = spark.createDataFrame([(3, None, 0, 100), (99, None, 2, 101), (1, "new", 1, 102)], "k int, p string, q int, v int")
+    assert merge_into(batch, table, ["k"]) == 3
+    want = {r[0]: r for r in rows} | {3: (3, None, 0, 100), 99: (99, None, 2, 101), 1: (1, "new", 1, 102)}
+    read = lambda: {r["k"]: (r["k"], r["p"], r["q"], r["v"]) for r in spark.table(table).collect()}
+    assert read() == want and spark.table(table).count() == len(want)
+    assert delete_rows(spark, table, "p = :p", {"p": "it's"}) == 6
+    want = {k: r for k, r in want.items() if r[1] != "it's"}
+    assert read() == want
+    overwrite_partitions(spark.createDataFrame([(7, "x/y:z", 0, 1)], "k int, p string, q int, v int"), table)
+    want = {k: r for k, r in want.items() if (r[1], r[2]) != ("x/y:z", 0)} | {7: (7, "x/y:z", 0, 1)}
+    assert read() == want
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('owner.note' = 'keep')")
+    assert replace(df, table) == 24 and read() == {r[0]: r for r in rows}
+    assert spark.sql(f"SHOW TBLPROPERTIES {table} ('owner.note')").first()["value"] == "keep"
+
+
+@pytest.mark.parametrize("step", range(1, 12))
+def test_a_replace_that_stops_anywhere_loses_nothing(spark, step, monkeypatch):
+    from millrace.sinks import tables
+
+    table = f"{fresh_database(spark)}.t"
+    schema = "k int, p int"
+    tables.write_table(spark.createDataFrame([(1, 1), (2, 2)], schema), table, partition_by=["p"])
+    done, plain = [], type(spark).sql
+
+    def failing(self, query, *a, **kw):
+        if query.startswith(("CREATE TABLE", "ALTER", "DROP")):
+            done.append(query)
+            if len(done) == step:
+                raise RuntimeError("stopped")
+        return plain(self, query, *a, **kw)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    try:
+        tables.replace(spark.createDataFrame([(3, 3)], schema), table)
+        stopped = False
+    except RuntimeError:
+        stopped = True
+    monkeypatch.setattr(type(spark), "sql", plain)
+    tables.recover(spark, table)
+    got = sorted(r["k"] for r in spark.table(table).collect())
+    assert got in ([1, 2], [3]) and (stopped or got == [3])
+
+
+def test_days_follow_their_timestamps(spark):
+    from millrace.sinks.tables import append, merge_into, write_table
+
+    table = f"{fresh_database(spark)}.t"
+    schema = "k int, at timestamp_ntz"
+    rows = lambda *x: spark.createDataFrame([(k, datetime(2024, 1, d)) for k, d in x], schema)
+    write_table(rows((1, 1), (2, 2)), table, partition_by=["days(at)"])
+    append(rows((3, 3)), table)
+    merge_into(rows((1, 9), (4, 4)), table, ["k"])
+    got = {r["k"]: str(r["at_day"]) for r in spark.table(table).collect()}
+    assert got == {1: "2024-01-09", 2: "2024-01-02", 3: "2024-01-03", 4: "2024-01-04"}
+
+
+def test_one_row_per_key_with_maps(spark):
+    from millrace.operators.merge import one_row_per_key
+
+    df = spark.sql("SELECT * FROM VALUES (1, 1, map('a', 1)), (1, 2, map('b', 2)) AS t(k, s, m)")
+    assert one_row_per_key(df, ["k"], ["s"]).first()["m"] == {"b": 2}

@@ -132,7 +132,7 @@ def test_paged_source(spark, strategy, pages):
     spark.dataSource.register(paged_source(fetch, f"fetch_{strategy}"))
     got = (
         spark.read.format(f"fetch_{strategy}")
-        .options(strategy=strategy, feeds='["a", "b"]', limit=2, limit_param="size", max_pages=20, pages_per_task=3)
+        .options(strategy=strategy, feeds='["a", "b"]', limit=2, limit_param="size", max_pages=20, tasks_per_feed=3)
         .load()
     )
     assert got.count() == 2 * pages

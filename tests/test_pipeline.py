@@ -35,31 +35,31 @@ def test_spec_helpers(spark):
 
 
 @pytest.fixture
-def customers(spark):
-    name = f"{fresh_database(spark)}.customers"
+def keepers(spark):
+    name = f"{fresh_database(spark)}.keepers"
     df = spark.createDataFrame(
-        [(1, "a", "2024-01-01"), (2, "b", "2024-02-01"), (3, "c", "bad")], "customer_id int, name string, updated_at string"
+        [(1, "a", "2024-01-01"), (2, "b", "2024-02-01"), (3, "c", "bad")], "keeper int, name string, seen_on string"
     )
     df.write.saveAsTable(name)
     return name
 
 
-def test_database_job_merges(spark, customers):
-    database = customers.split(".")[0]
+def test_database_job_merges(spark, keepers):
+    database = keepers.split(".")[0]
     spec = {
-        "job_id": "db", "source": {"type": "postgresql", "schema": database, "table": "customers",
-                                   "columns": ["customer_id", "name", "updated_at"],
+        "job_id": "db", "source": {"type": "postgresql", "schema": database, "table": "keepers",
+                                   "columns": ["keeper", "name", "seen_on"],
                                    "where_clause": "name <> :skip", "where_params": {"skip": "a"}},
-        "transformer": {"type": "base", "date_columns": ["updated_at"], "handle_missing_values": "fill_null"},
+        "transformer": {"type": "base", "date_columns": ["seen_on"], "handle_missing_values": "fill_null"},
         "loader": {"type": "table", "database": database, "table": "stored", "write_mode": "merge",
-                   "merge_keys": ["customer_id"]},
+                   "merge_keys": ["keeper"]},
     }
     first = run(spark, spec, NOW)
     assert (first.status, first.rows_processed, first.rows_loaded) == ("success", 2, 2)
     run(spark, spec, NOW, overrides={"source": {"where_params": {"skip": "b"}}})
     got = sorted(tuple(r) for r in spark.table(f"{database}.stored").collect())
     assert got == [(1, "a", datetime(2024, 1, 1)), (2, "b", datetime(2024, 2, 1)), (3, "c", None)]
-    query = {**spec, "source": {"type": "db", "query": f"SELECT customer_id FROM {customers} WHERE customer_id > :k",
+    query = {**spec, "source": {"type": "db", "query": f"SELECT keeper FROM {keepers} WHERE keeper > :k",
                                 "query_params": {"k": 1}},
              "loader": {"database": database, "table": "asked"}}
     assert run(spark, query, NOW).rows_loaded == 2
@@ -71,12 +71,12 @@ def test_incremental_file_job(spark, folder):
     database = fresh_database(spark)
     ledger = f"{database}.ledger"
     spec = {
-        "job_id": "sales",
-        "source": {"type": "csv", "source_path": folder, "file_pattern": "daily_*.csv", "incremental": True,
-                   "add_file_metadata": True, "file_options": {"dtype": {"store_id": "str"}}},
-        "transformer": {"required_columns": ["location_id"],
-                        "transformations": [{"rename_columns": {"store_id": "location_id"}}]},
-        "loader": {"database": database, "table": "sales"},
+        "job_id": "boxes",
+        "source": {"type": "csv", "source_path": folder, "file_pattern": "boxes_*.csv", "incremental": True, "first_days": 7,
+                   "add_file_metadata": True, "file_options": {"dtype": {"depot": "str"}}},
+        "transformer": {"required_columns": ["site"],
+                        "transformations": [{"rename_columns": {"depot": "site"}}]},
+        "loader": {"database": database, "table": "boxes"},
     }
 
     def drop(name, text, at):
@@ -85,16 +85,19 @@ def test_incremental_file_job(spark, folder):
         stamp = (at - datetime(1970, 1, 1)).total_seconds()
         os.utime(f"{folder}/{name}", (stamp, stamp))
 
-    drop("daily_0.csv", "store_id,n\n00,0\n", NOW - timedelta(days=30))
-    drop("daily_1.csv", "store_id,n\n01,1\n", NOW - timedelta(days=1))
+    drop("boxes_0.csv", "depot,n\n00,0\n", NOW - timedelta(days=30))
+    drop("boxes_1.csv", "depot,n\n01,1\n", NOW - timedelta(days=1))
     clock = lambda: NOW + timedelta(minutes=5)
     assert run(spark, spec, NOW, ledger=ledger, now=clock).rows_loaded == 1  # a week back
-    drop("daily_2.csv", "store_id,n\n02,2\n", NOW + timedelta(minutes=1))  # lands while the first run is active
+    drop("boxes_2.csv", "depot,n\n02,2\n", NOW + timedelta(minutes=1))  # lands while the first run is active
     later = NOW + timedelta(hours=1)
     assert run(spark, spec, later, ledger=ledger, now=lambda: later).rows_loaded == 1
     last = later + timedelta(hours=1)
     assert run(spark, spec, last, ledger=ledger, now=lambda: last).status == "no_data"
-    assert sorted(r["location_id"] for r in spark.table(f"{database}.sales").collect()) == ["01", "02"]
+    assert sorted(r["site"] for r in spark.table(f"{database}.boxes").collect()) == ["01", "02"]
+    everything = {**spec, "job_id": "all", "loader": {"database": database, "table": "everything"}}
+    everything["source"] = {k: v for k, v in spec["source"].items() if k != "first_days"}
+    assert run(spark, everything, last, ledger=f"{database}.other").rows_loaded == 3  # the first run has no window
     entries = [(r["status"], r["rows_loaded"]) for r in spark.table(ledger).sort("start_time").collect()]
     assert entries == [("success", 1), ("success", 1), ("no_data", 0)]
 
@@ -160,11 +163,11 @@ def test_api_job(spark):
     assert sorted(r["amount"] for r in spark.table(f"{database}.transactions").collect()) == [1.5, 2.5, 3.5]
 
 
-def test_graph_loader(spark, customers):
-    database = customers.split(".")[0]
+def test_graph_loader(spark, keepers):
+    database = keepers.split(".")[0]
     spec = {
-        "source": {"type": "db", "table": customers},
-        "loader": {"type": "graph", "database": database, "table": "people", "primary_keys": ["customer_id"]},
+        "source": {"type": "db", "table": keepers},
+        "loader": {"type": "graph", "database": database, "table": "people", "primary_keys": ["keeper"]},
     }
     assert run(spark, spec, NOW).rows_loaded == 3
     got = {(r["id"], r["label"]) for r in spark.table(f"{database}.people").collect()}
@@ -186,3 +189,34 @@ def test_user_parts_and_failures(spark):
     with pytest.raises(Exception, match="boom"):
         run(spark, bad, NOW, ledger=ledger, now=lambda: NOW)
     assert [r["status"] for r in spark.table(ledger).collect()] == ["failed", "failed"]
+
+
+def test_empty_input_replaces_nothing(spark):
+    database = fresh_database(spark)
+    spark.range(5).write.saveAsTable(f"{database}.src")
+    spec = {"job_id": "j", "source": {"type": "db", "query": f"SELECT id FROM {database}.src WHERE id < :n", "query_params": {"n": 5}},
+            "loader": {"database": database, "table": "kept", "write_mode": "replace"},
+            "monitoring": {"alert_on_zero_records": True, "alert_on_structure_change": True}}
+    assert run(spark, spec, NOW).rows_loaded == 5
+    empty = run(spark, spec, NOW, overrides={"source": {"query_params": {"n": 0}}}, ledger=f"{database}.ledger")
+    assert empty.status == "no_data" and [a[0] for a in empty.alerts] == ["zero_records"]
+    assert spark.table(f"{database}.kept").count() == 5
+    assert [r["rule"] for r in spark.table(f"{database}.ledger_alerts").collect()] == ["zero_records"]
+    wider = run(spark, {**spec, "loader": {**spec["loader"], "write_mode": "append"},
+                        "source": {"type": "db", "query": f"SELECT cast(id AS int) AS id FROM {database}.src"}}, NOW)
+    assert wider.alerts == (("structure_change", "j has other columns (of another type: id)"),)
+
+
+def test_transformer_brings_its_own_checks(spark):
+    from millrace.operators.checks import validate
+
+    database = fresh_database(spark)
+    spark.range(3).write.saveAsTable(f"{database}.src")
+    register_transformer(
+        "strict", lambda df, cfg, at: df.withColumn("n", F.lit(None).cast("int")), lambda df, cfg: validate(df, ["absent"], [], {})
+    )
+    spec = {"job_id": "strict", "source": {"type": "db", "table": "src", "schema": database},
+            "transformer": {"type": "strict", "validate_schema": True}, "loader": {"database": database, "table": "out"}}
+    result = run(spark, spec, NOW)
+    assert result.status == "invalid" and [a[0] for a in result.alerts] == ["validation_failure"]
+    assert not spark.catalog.tableExists(f"{database}.out")
