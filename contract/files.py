@@ -248,3 +248,17 @@ def stream_intake(spark, sf_dir):
             ),
         ).awaitTermination()
     return spark.table(table)
+
+
+@query(
+    "xml_nested_path",
+    "SELECT CAST(s_suppkey AS VARCHAR) AS k, s_name AS n FROM supplier",
+)
+def xml_nested_path(spark, sf_dir):
+    """The same tag under two parents, and a root tag that also occurs deeper: only elements at the path are rows."""
+    supplier, folder = load(spark, sf_dir, "supplier"), new_folder(spark, "xml-nested")
+    item = F.struct(F.col("s_suppkey").alias("k"), F.col("s_name").alias("n"))
+    supplier.select(
+        F.struct(item.alias("item")).alias("wanted"), F.struct(item.alias("item"), F.lit("x").alias("root")).alias("other")
+    ).write.format("xml").options(rootTag="root", rowTag="row").save(folder)
+    return read_files(spark, folder, "*", file_type="xml", options={"xpath": "/root/row/wanted/item"})

@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.coerce import NULL_WORDS, NUMBER_PATTERN, null_words_to_null, ntz, to_timestamp, utc_ntz
-from millrace.session import sized
+from millrace.session import settle, sized
 from millrace.sources.workbook import read_workbooks
-from millrace.sources.xmltags import broken_files, child_tags
+from millrace.sources.xmltags import path_rows
 
 # File type or extension, and the reader it selects.
 FORMATS = {
@@ -174,9 +174,6 @@ def _without_files(df: DataFrame, files: DataFrame) -> DataFrame:
     return df.join(sized(files.distinct(), "bad-files"), _PATH, "left_anti")
 
 
-# A feed has a handful of header layouts; far more means that the files have no header.
-MAX_LAYOUTS = 1_000
-
 # --- delimited text -------------------------------------------------------------------------
 
 
@@ -275,9 +272,7 @@ def _read_delimited(spark, path, glob, kind, options, encoding, skip_errors, mod
         columns = first.columns if has_header else [str(i) for i in range(len(first.columns))]
     else:
         layouts = _layouts(spark, path, glob, sep, quote, encoding, modified_after)
-        distinct = layouts.groupBy("names").agg(F.min(_PATH).alias("p")).sort("p").select("names").limit(MAX_LAYOUTS + 1).collect()
-        if len(distinct) > MAX_LAYOUTS:
-            raise ValueError(f"more than {MAX_LAYOUTS} different headers; narrow the pattern")
+        distinct = layouts.groupBy("names").agg(F.min(_PATH).alias("p")).sort("p").select("names").collect()
         if not distinct:
             return spark.createDataFrame([], T.StructType([]))
         if len(distinct) == 1:
@@ -486,59 +481,34 @@ def _read_json_documents(spark, path, glob, schema, skip_errors, modified_after)
 # --- XML ------------------------------------------------------------------------------------
 
 
-def _root_children(spark, path, glob, modified_after) -> list[str]:
-    """Distinct tags of the root's children; the answer is as small as the vocabulary."""
-    files = _scan(spark, glob, modified_after).format("binaryFile").load(path).select("path", "content")
-    tags = files.mapInArrow(child_tags, "tag string").distinct().sort("tag").collect()
-    return [r["tag"] for r in tags]
-
-
-def _broken_xml(spark, path, glob, modified_after) -> DataFrame:
-    files = _scan(spark, glob, modified_after).format("binaryFile").load(path)
-    files = files.select(F.col("_metadata.file_path").alias("path"), "content")
-    return files.mapInArrow(broken_files, f"`{_PATH}` string")
-
-
-def _flat_xml(df: DataFrame) -> DataFrame:
-    """Child elements as text: the text of a child with attributes, the last of a repeated one."""
-    out = []
-    for f in df.schema.fields:
-        col, dtype = F.col(f"`{f.name}`"), f.dataType
-        if isinstance(dtype, T.ArrayType):
-            col, dtype = F.try_element_at(col, F.lit(-1)), dtype.elementType
-        if isinstance(dtype, T.StructType):
-            col = col["_VALUE"] if "_VALUE" in dtype.names else F.lit(None)
-        out.append(col.cast("string").alias(f.name))
-    return df.select(*out)
-
-
 def _read_xml(spark, path, glob, kind, options, encoding, skip_errors, modified_after) -> DataFrame:
+    """Elements at a path, found in one streaming pass over each document; their names are those that occur."""
     opts = dict(options)
     xpath = opts.pop("xpath", "/root/*")
     schema = opts.pop("schema", None)
     if opts:
         raise ValueError(f"unknown XML options {sorted(opts)}")
-    last = xpath.rstrip("/").split("/")[-1]
-    tags = _root_children(spark, path, glob, modified_after) if last == "*" else [last]
-    parts = []
-    for tag in tags:
-        reader = _scan(
-            spark, glob, modified_after, rowTag=tag, attributePrefix=f"{tag}_", inferSchema=False,
-            mode="PERMISSIVE" if skip_errors else "FAILFAST", columnNameOfCorruptRecord=_RAW, encoding=charset(encoding),
-        ).format("xml")
-        if schema is None:
-            found = reader.load(path).schema
-            fields = T.StructType([f for f in found.fields if f.name != _RAW])
-        else:
-            fields = _struct(schema)
-        rows = reader.schema(fields).load(path).withColumn(_PATH, F.col("_metadata.file_path"))
-        parts.append(_flat_xml(rows))
-    if not parts:
-        return spark.createDataFrame([], T.StructType([]))
-    combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    files = _scan(spark, glob, modified_after).format("binaryFile").load(path)
+    files = files.select(F.col("_metadata.file_path").alias("path"), "content")
+    parsed = settle(
+        files.mapInArrow(path_rows(xpath, charset(encoding)), "path string, rows array<map<string,string>>, error string"), "xml"
+    ).withColumnRenamed("path", _PATH)
+    broken = parsed.filter(F.col("error").isNotNull()).select(_PATH)
+    if not skip_errors:
+        first = parsed.filter(F.col("error").isNotNull()).select(_PATH, "error").head(1)
+        if first:
+            raise ValueError(f"{first[0][0]} is not well formed: {first[0]['error']}")
+    rows = parsed.select(F.explode("rows").alias("row"), _PATH)
     if skip_errors:
-        combined = _without_files(combined, _broken_xml(spark, path, glob, modified_after))
-    return combined
+        rows = _without_files(rows, broken)
+    if schema is not None:
+        fields = _struct(schema).fields
+        return rows.select(*[F.try_element_at("row", F.lit(f.name)).cast(f.dataType).alias(f.name) for f in fields], _PATH)
+    # As many names as the vocabulary has, however many elements.
+    names = [r[0] for r in rows.select(F.explode(F.map_keys("row"))).distinct().sort("col").collect()]
+    if not names:
+        return spark.createDataFrame([], T.StructType([]))
+    return rows.select(*[F.try_element_at("row", F.lit(n)).alias(n) for n in names], _PATH)
 
 
 # --- columnar and workbook ------------------------------------------------------------------

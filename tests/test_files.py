@@ -187,6 +187,20 @@ def test_xml(spark, folder):
     assert rows(read_files(spark, folder, options=opts, skip_errors=True), "item_id", "m", "n", "r") == want
 
 
+def test_xml_paths(spark, folder):
+    put(
+        folder, "a.xml",
+        '<root><a><item><n>1</n></item></a><b><item><n>2</n></item><x><a><item><n>3</n></item></a></x></b><n>top</n></root>',
+    )
+    read = lambda p: rows(read_files(spark, folder, options={"xpath": p}), "n")
+    assert read("./a/item") == [("1",)] == read("/root/a/item")
+    assert read("//item") == [("1",), ("2",), ("3",)] and read("//a/item") == [("1",), ("3",)]
+    assert read("/root/*/item") == [("1",), ("2",)]
+    for bad in ("./a[1]", "a::b", "./a/@n"):
+        with pytest.raises(ValueError):
+            read(bad)
+
+
 def test_columnar_with_missing_columns_and_broken_file(spark, folder):
     spark.range(2).write.parquet(f"{folder}/x/a")
     spark.range(5, 7).selectExpr("id", "id * 2 AS twice").write.parquet(f"{folder}/x/b")
