@@ -72,20 +72,20 @@ def _folder(uri: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(uri, r"/[^/]*$", ""), r"^file:/+", "/")
 
 
-def _types_present(spark: SparkSession, path: str, pattern: str) -> list[str]:
-    """The distinct extensions under ``path``; the answer is as small as the format table."""
+def _types_present(spark: SparkSession, path: str, pattern: str, skip_errors: bool) -> tuple[list[str], bool]:
+    """The distinct known extensions under ``path``, and whether there are others, which ``skip_errors`` passes over."""
     try:
         names = file_inventory(spark, path, pattern)
     except AnalysisException as err:
         if err.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return [], False
         raise
     ext = F.lower(F.regexp_extract("filename", r"\.([^.]*)$", 1))
     known = F.when(ext.isin(*FORMATS), ext).otherwise(F.lit("?"))
     found = [r[0] for r in names.select(known.alias("ext")).distinct().sort("ext").collect()]
-    if "?" in found:
+    if "?" in found and not skip_errors:
         raise ValueError(f"{path}/{pattern} holds files of unsupported type; narrow the pattern")
-    return found
+    return [x for x in found if x != "?"], "?" in found
 
 
 def _glob_for(pattern: str, ext: str) -> str:
@@ -123,14 +123,16 @@ def read_files(
     gives an empty table without columns.
     """
     options = dict(options or {})
-    present = _types_present(spark, path, pattern) if file_type is None or file_type == "file" else None
+    present, others = None, False
+    if file_type is None or file_type == "file":
+        present, others = _types_present(spark, path, pattern, skip_errors)
     if present is None:
         file_type = file_type.lower()
         if file_type not in FORMATS:
             raise ValueError(f"unsupported file type {file_type!r}")
         scans = [(file_type, pattern)]
     else:
-        scans = [(ext, _glob_for(pattern, ext) if len(present) > 1 else pattern) for ext in present]
+        scans = [(ext, _glob_for(pattern, ext) if len(present) > 1 or others else pattern) for ext in present]
     parts = []
     for kind, glob in scans:
         read = _READERS[FORMATS[kind]]
@@ -177,7 +179,7 @@ def _without_files(df: DataFrame, files: DataFrame) -> DataFrame:
 # --- delimited text -------------------------------------------------------------------------
 
 
-def _layouts(spark, path, glob, sep, quote, encoding, modified_after) -> DataFrame:
+def _layouts(spark, path, glob, sep, quote, encoding, modified_after, comment=None) -> DataFrame:
     """``(file, header)`` for every file, the header as a list of column names.
 
     Lines keep their order inside a split and the first split of a file starts at
@@ -189,6 +191,7 @@ def _layouts(spark, path, glob, sep, quote, encoding, modified_after) -> DataFra
         .csv(path)
         .select("line", F.col("_metadata.file_path").alias(_PATH), F.col("_metadata.file_block_start").alias("at"))
         .filter("at = 0")
+        .filter(~F.startswith("line", F.lit(comment)) if comment else F.lit(True))
         .withColumn("n", F.monotonically_increasing_id())
     )
     header = lines.groupBy(_PATH).agg(F.min_by("line", "n").alias("line"))
@@ -271,7 +274,7 @@ def _read_delimited(spark, path, glob, kind, options, encoding, skip_errors, mod
         first = _scan(spark, glob, modified_after, header=has_header, **common).csv(path)
         columns = first.columns if has_header else [str(i) for i in range(len(first.columns))]
     else:
-        layouts = _layouts(spark, path, glob, sep, quote, encoding, modified_after)
+        layouts = _layouts(spark, path, glob, sep, quote, encoding, modified_after, comment)
         distinct = layouts.groupBy("names").agg(F.min(_PATH).alias("p")).sort("p").select("names").collect()
         if not distinct:
             return spark.createDataFrame([], T.StructType([]))

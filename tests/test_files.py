@@ -187,6 +187,21 @@ def test_xml(spark, folder):
     assert rows(read_files(spark, folder, options=opts, skip_errors=True), "item_id", "m", "n", "r") == want
 
 
+def test_comment_lines_before_the_header(spark, folder):
+    put(folder, "a.csv", "# made by hand\nk,v\n1,a\n# more\n2,b\n")
+    put(folder, "b.csv", "# other\nv,k\nc,3\n")
+    got = read_files(spark, folder, options={"comment": "#"})
+    assert rows(got, "k", "v") == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_unknown_extensions_are_passed_over_on_request(spark, folder):
+    put(folder, "a.csv", "k\n1\n")
+    put(folder, "b.doc", "nothing to read")
+    with pytest.raises(ValueError):
+        read_files(spark, folder)
+    assert rows(read_files(spark, folder, skip_errors=True), "k") == [(1,)]
+
+
 def test_xml_paths(spark, folder):
     put(
         folder, "a.xml",
