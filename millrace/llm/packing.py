@@ -94,11 +94,14 @@ def _token_rows(tokenizer: str):
     return work
 
 
-def schedule(totals: dict[str | None, int], targets: dict[str | None, float] | None = None) -> list[tuple]:
-    """``(source, phase, start, take, before, size, base)``: what each queue gives in each phase.
-
-    In a phase of ``size`` tokens from position ``base`` on, a queue gives ``take`` tokens from its place ``start``;
-    the queues before it, in order, give ``before``.
+def schedule(
+    totals: dict[str | None, int], targets: dict[str | None, float] | None = None, window: int = WINDOW * SEQUENCE
+) -> list[tuple]:
+    """``(source, phase, start, take, lead, whole, before, size, base)``: what each queue gives in each phase.
+
+    In a phase of ``size`` tokens from position ``base`` on, a source gives ``take`` tokens from its place ``start``.
+    Sources that are due less than two tokens a window share a queue of ``whole`` tokens with others, ``lead`` of
+    which come first; otherwise ``whole`` is ``take``. The queues before it, in order, give ``before``.
     """
     order = sorted(totals, key=lambda s: (s is None, s or ""))
     left = {s: totals[s] for s in order if totals[s]}
@@ -110,31 +113,54 @@ def schedule(totals: dict[str | None, int], targets: dict[str | None, float] | N
         rounds = min(left[s] / share[s] for s in left if share[s] > 0)
         take = {s: left[s] if share[s] > 0 and left[s] / share[s] <= rounds else min(left[s], int(rounds * share[s])) for s in left}
         size, before = sum(take.values()), 0
-        for s in order:
-            if take.get(s):
-                rows.append((s, phase, totals[s] - left[s], take[s], before, size, base))
-                before += take[s]
+        for queue in _queues([s for s in order if take.get(s)], take, size, window):
+            whole, lead = sum(take[s] for s in queue), 0
+            for s in queue:
+                rows.append((s, phase, totals[s] - left[s], take[s], lead, whole, before, size, base))
+                lead += take[s]
+            before += whole
         base += size
         phase += 1
         left = {s: left[s] - take[s] for s in left if left[s] > take[s]}
     return rows
 
 
+def _queues(order: list, take: dict, size: int, window: int) -> list[list]:
+    """The sources by queue, so that each queue is due two tokens a window at least, or is the only one.
+
+    Below that, rounding could take back a token that an earlier window has given.
+    """
+    queues, small = [], []
+    for s in order:
+        if take[s] * window >= 2 * size:
+            queues.append([s])
+            continue
+        small.append(s)
+        if sum(take[x] for x in small) * window >= 2 * size:
+            queues.append(small)
+            small = []
+    if small and queues:
+        max(queues, key=lambda q: sum(take[x] for x in q)).extend(small)
+    elif small:
+        queues.append(small)
+    return queues
+
+
 def _spread(tokens: int, before: int, size: int) -> int:
     """How many of the first ``tokens`` of a phase come from the queues that give ``before`` of its ``size``."""
     return min(tokens, size) * before // size
 
 
 def pieces(at: int, n: int, phases: list[tuple], window: int = WINDOW * SEQUENCE):
-    """``(start, length, position)`` for a document at place ``at`` of its queue; pieces end with their sequence."""
+    """``(start, length, position)`` for a document at place ``at`` of its source; pieces end with their sequence."""
     done = 0
-    for start, take, before, size, base in phases:
+    for start, take, lead, whole, before, size, base in phases:
         while done < n and start <= at + done < start + take:
-            c = at + done - start
-            w = c * size // (take * window)
+            c = lead + at + done - start
+            w = c * size // (whole * window)
 
             def got(w):
-                return _spread(w * window, before + take, size) - _spread(w * window, before, size)
+                return _spread(w * window, before + whole, size) - _spread(w * window, before, size)
 
             while got(w) > c:
                 w -= 1
@@ -142,7 +168,7 @@ def pieces(at: int, n: int, phases: list[tuple], window: int = WINDOW * SEQUENCE
                 w += 1
             ahead = _spread((w + 1) * window, before, size) - _spread(w * window, before, size)
             position = base + w * window + ahead + (c - got(w))
-            length = min(n - done, got(w + 1) - c, SEQUENCE - position % SEQUENCE)
+            length = min(n - done, got(w + 1) - c, start + take - at - done, SEQUENCE - position % SEQUENCE)
             yield done, length, position
             done += length
 
@@ -173,7 +199,7 @@ def _piece_rows(with_ids: bool):
     return work
 
 
-_PHASES = ("p_start", "p_take", "p_before", "p_size", "p_base")
+_PHASES = ("p_start", "p_take", "p_lead", "p_whole", "p_before", "p_size", "p_base")
 
 
 def pack(
