@@ -7,8 +7,9 @@ into fragments (ranges). Fragments are worked on separately and only counts are
    has too. A set with a link lacks at most a fifth of its n-grams in its partner, so after summing, a set that
    lacks more is done. The first half of the fragments is enough for this (the bound is on the number lacking).
    Tasks combine before the shuffle: an n-gram that many texts hold is sent once per chunk of texts.
-2. *Candidates among the survivors*: each set's n-grams in the first half of the order, rarest first; two linked
-   sets share one of the first ``lacking + 1`` of them. Rows of one n-gram are paired with a single pivot only.
+2. *Candidates among the survivors*: each set's n-grams that another survivor holds, rarest first. The rest count
+   as lacking, so some sets end here; two linked sets share one of the first n-grams, as many as may be lacking and
+   one more. Rows of one n-gram are paired with a single pivot only.
 3. *Partial overlaps*: for each candidate pair, each fragment's overlap is counted separately; the sums decide.
 4. Components of the links so far; n-grams whose rows are not all in one component then pair the rest, across
    components only, so groups of near copies never give all their pairs.
@@ -38,7 +39,9 @@ from millrace.session import settle
 N = 5
 PERCENT = 80
 FRAGMENT_NGRAMS = 2_000_000
-OVERLAP_FRAGMENTS = 16
+OVERLAP_FRAGMENTS = 4
+COUNT_BITS = 4
+BUCKET_SETS = 200_000
 _HALF = np.uint64(1 << 63)
 _ODD = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -154,8 +157,37 @@ def _fragment_rows(n, fragments):
     return work
 
 
-def _shared_counts(table: pa.Table) -> pa.Table:
-    """One fragment: for each set, how many of its n-grams another set holds too (never too few)."""
+def _shared_counts(buckets):
+    """One fragment: for each set, how many of its n-grams another set holds too (never too few).
+
+    Counts leave in packed rows, one per bucket of sets, so that there are no more rows than fragments times buckets.
+    """
+
+    def work(table: pa.Table) -> pa.Table:
+        sets, counts = _count_shared(table)
+        bucket = (mix(sets.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        sets, counts, bucket = sets[order], counts[order], bucket[order]
+        cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+        used = np.flatnonzero(np.diff(cuts)).tolist()
+        return pa.table({
+            "bucket": pa.array(used, pa.int32()),
+            "sets": pa.array([sets[cuts[k]:cuts[k + 1]].tobytes() for k in used], pa.binary()),
+            "counts": pa.array([counts[cuts[k]:cuts[k + 1]].astype(np.int32).tobytes() for k in used], pa.binary()),
+        })
+
+    return work
+
+
+def _sum_counts(table: pa.Table) -> pa.Table:
+    """One bucket of sets: the sums over all fragments."""
+    sets = np.frombuffer(b"".join(table.column("sets").to_pylist()), np.int64)
+    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int32)
+    named, place = np.unique(sets, return_inverse=True)
+    return pa.table({"set_a": pa.array(named), "shared": pa.array(np.bincount(place, counts, len(named)).astype(np.int64))})
+
+
+def _count_shared(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     grams, sets, many, out_sets, out_counts = [], [], [], [], []
     for g, o, s, m in zip(*(table.column(c).to_pylist() for c in ("grams", "owner", "sets", "many"))):
         named = np.frombuffer(s, np.int64)
@@ -179,10 +211,10 @@ def _shared_counts(table: pa.Table) -> pa.Table:
         found, counts = np.unique(pairs[:, 0], return_counts=True)
         out_sets.append(found)
         out_counts.append(counts.astype(np.int64))
-    return pa.table({
-        "set_a": pa.array(np.concatenate(out_sets) if out_sets else [], pa.int64()),
-        "shared": pa.array(np.concatenate(out_counts) if out_counts else [], pa.int64()),
-    })
+    if not out_sets:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    named, place = np.unique(np.concatenate(out_sets), return_inverse=True)
+    return named, np.bincount(place, np.concatenate(out_counts), len(named)).astype(np.int64)
 
 
 def _overlap_rows(n):
@@ -196,7 +228,7 @@ def _overlap_rows(n):
                 for k, own in enumerate(ngram_sets(data, offsets, n)):
                     if wanted[i + k] != int.from_bytes(_tag(own)[:8], "little", signed=True):
                         continue
-                    place = (own >> np.uint64(60)).astype(np.int64)
+                    place = (own >> np.uint64(62)).astype(np.int64)
                     cuts = np.searchsorted(place, np.arange(OVERLAP_FRAGMENTS + 1))
                     for f in np.flatnonzero(np.diff(cuts)).tolist():
                         rows.append((nodes[i + k], len(own), f, own[cuts[f]:cuts[f + 1]].view(np.int64)))
@@ -213,7 +245,8 @@ def _linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that link: partial overlaps per fragment, summed per pair."""
     left = parts.select(F.col("id").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("grams").alias("grams_a"))
     right = parts.select(F.col("id").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("grams").alias("grams_b"))
-    partial = pairs.select("a", "b").join(right, "b").join(left, ["a", "fragment"]).select(
+    # Always by shuffle: both sides grow with the input.
+    partial = pairs.select("a", "b").hint("merge").join(right, "b").hint("merge").join(left, ["a", "fragment"]).select(
         "a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap")
     )
     summed = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap"))
@@ -223,48 +256,59 @@ def _linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
 def _may_link(x: str, y: str, percent: int):
     """Whether two rows of one n-gram can belong to linked sets, by size and by their places in the order."""
     n_x, n_y = F.col(f"{x}.n"), F.col(f"{y}.n")
-    low = F.least(f"{x}.place", f"{y}.place") + 1 + F.least(
+    most = F.least(f"{x}.place", f"{y}.place") + F.least(
         F.col(f"{x}.m") - F.col(f"{x}.place"), F.col(f"{y}.m") - F.col(f"{y}.place")
     )
-    most = low + F.least(f"{x}.rest", f"{y}.rest")
+    # In each fragment they share no more than the fewer of what either shares with anybody.
+    within = F.aggregate(
+        F.zip_with(F.col(f"{x}.by_part"), F.col(f"{y}.by_part"), lambda a, b: F.least(a, b)), F.lit(0), lambda s, v: s + v
+    )
     return (
         (100 * F.least(n_x, n_y) >= percent * F.greatest(n_x, n_y)) & ((100 + percent) * most >= percent * (n_x + n_y))
+        & ((100 + percent) * within >= percent * (n_x + n_y))
     )
 
 
 def _prefixes(parts: DataFrame, percent: int) -> DataFrame:
-    """``(gram, id, n, m, rest, place)``: each set's rarest n-grams of the order's first half that others hold too."""
-    half = parts.filter(F.col("fragment") < OVERLAP_FRAGMENTS // 2)
-    rows = half.select("id", "n", F.explode("grams").alias("gram"))
+    """``(gram, id, n, m, by_part, place)``: each set's rarest n-grams among the ``m`` that other sets hold, too.
+
+    ``by_part`` counts the m by fragment of the order, of ``2 ** COUNT_BITS`` equal ones.
+    """
+    rows = parts.select("id", "n", F.explode("grams").alias("gram"))
     shared = settle(rows.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1"), "shared")
     known = rows.join(shared, "gram").groupBy("id", "n").agg(
         F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("order")
-    )
-    sizes = half.groupBy(F.col("id").alias("of")).agg(F.sum(F.size("grams")).alias("half"))
-    most = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    # Of m shared n-grams in the half, a partner holds all but `most` less the half - m that nobody holds.
-    length = F.col("m") - (F.col("half") - most) + 1
+    ).withColumn("m", F.size("order")).withColumn(
+        "_parts", F.transform("order", lambda e: F.shiftrightunsigned(e["gram"], 64 - COUNT_BITS).cast("int"))
+    ).withColumn("by_part", F.transform(
+        F.sequence(F.lit(0), F.lit((1 << COUNT_BITS) - 1)), lambda f: F.size(F.filter("_parts", lambda p: p == f))
+    ))
+    # A partner holds at least `needed` of the m; so it holds one of any m - needed + 1.
+    needed = F.ceil(F.col("n") * percent / 100)
     return (
-        known.withColumn("m", F.size("order")).join(sizes, F.col("id") == F.col("of"))
-        .withColumn("rest", F.col("n") - F.col("half"))
-        .withColumn("prefix", F.slice("order", F.lit(1), F.greatest(F.least(length, F.col("m")), F.lit(0)).cast("int")))
-        .select("id", "n", "m", "rest", F.posexplode("prefix").alias("place", "e"))
-        .select(F.col("e.gram").alias("gram"), "id", "n", "m", "rest", "place")
+        known.filter(F.col("m") >= needed)
+        .withColumn("prefix", F.slice("order", F.lit(1), (F.col("m") - needed + 1).cast("int")))
+        .select("id", "n", "m", "by_part", F.posexplode("prefix").alias("place", "e"))
+        .select(F.col("e.gram").alias("gram"), "id", "n", "m", "by_part", "place")
     )
 
 
 def _pivot_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
-    """Each row of an n-gram with the n-gram's smallest set."""
-    pivots = prefixes.groupBy("gram").agg(F.min(F.struct("id", "n", "m", "rest", "place")).alias("p"), F.count("*").alias("rows"))
+    """Each row of an n-gram with the n-gram's pivot: the set that lacks the fewest n-grams of its own elsewhere.
+
+    In a group of modified copies that is the least modified one, to which all others are nearest.
+    """
+    best = F.min(F.struct((F.col("n") - F.col("m")).alias("lack"), "id", "n", "m", "by_part", "place"))
+    pivots = prefixes.groupBy("gram").agg(best.alias("p"), F.count("*").alias("rows"))
     pivots = settle(pivots.filter("rows > 1").select("gram", "p.*"), "pivots").alias("x")
-    met = pivots.join(prefixes.alias("y"), "gram").filter("x.id < y.id").filter(_may_link("x", "y", percent))
-    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    met = pivots.join(prefixes.alias("y"), "gram").filter("x.id != y.id").filter(_may_link("x", "y", percent))
+    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
 def _other_pairs(prefixes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs that share an n-gram and are not in one component yet."""
     known = prefixes.join(labels.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select(
-        "gram", "id", "n", "m", "rest", "place", F.coalesce("component", "id").alias("component")
+        "gram", "id", "n", "m", "by_part", "place", F.coalesce("component", "id").alias("component")
     )
     known = settle(known, "known")
     mixed = known.groupBy("gram").agg(F.min("component").alias("main"), F.max("component").alias("top")).filter("main < top")
@@ -292,9 +336,10 @@ def similarity_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -
     parts = texts.mapInArrow(
         _fragment_rows(n, fragments), "fragment int, grams binary, owner binary, sets binary, many binary"
     )
+    buckets = max(1, math.ceil(reps.count() / BUCKET_SETS))
     shared = (
-        parts.groupBy("fragment").applyInArrow(_shared_counts, "set_a long, shared long")
-        .groupBy("set_a").agg(F.sum("shared").alias("shared"))
+        parts.groupBy("fragment").applyInArrow(_shared_counts(buckets), "bucket int, sets binary, counts binary")
+        .groupBy("bucket").applyInArrow(_sum_counts, "set_a long, shared long")
     )
     survivors = settle(
         reps.join(shared, "set_a").filter(F.col("shared") >= F.col("half") - (F.col("n") - F.ceil(F.col("n") * percent / 100)))
@@ -303,7 +348,7 @@ def similarity_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -
     )
     # 2. Their n-grams, by fragment.
     theirs = (
-        texts.join(survivors, F.col("doc_id") == F.col("rep"))
+        texts.join(survivors.hint("merge"), F.col("doc_id") == F.col("rep"))
         .select("doc_id", "id", "set_a", "text", F.xxhash64("text").alias("h"))
         .dropDuplicates(["doc_id", "id", "h"]).select("id", "set_a", "text")
     )
