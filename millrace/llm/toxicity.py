@@ -33,10 +33,11 @@ from millrace.llm.common import held_out, load, query, text_of
 from millrace.session import settle
 
 EXAMPLES = 4096
-TERMS = 2048
+TERMS = 1024
 MIN_G = 25.0
 K = 15
 BLOCK = 64
+FIRST_BLOCKS = 8
 THRESHOLD = 0.3
 CACHE = 50_000
 WORD_CACHE = 200_000
@@ -61,6 +62,8 @@ class Index:
     none_score: float = 0.0
     steps: tuple = field(default=((), ()))
     words: dict = field(default_factory=dict)
+    heads: frozenset | None = None
+    dense: np.ndarray | None = None
 
     def terms_of(self, word: str) -> tuple[int, ...]:
         forms = (word, *(word[:k] + "*" for k in STEMS if len(word) > k))
@@ -73,8 +76,11 @@ class Index:
     def vector(self, text: str | None) -> tuple:
         """``((term, tf), …)`` of a text, by term."""
         counts: dict[int, int] = {}
-        known = self.words
-        for w in _WORDS.findall((text or "").lower()):
+        known, first = self.words, STEMS[0]
+        if self.heads is None:
+            self.heads = frozenset(w.rstrip("*")[:first] for w in self.vocab)
+        heads = self.heads
+        for w in [w for w in _WORDS.findall((text or "").lower()) if w[:first] in heads]:
             found = known.get(w)
             for t in self.terms_of(w) if found is None else found:
                 counts[t] = counts.get(t, 0) + 1
@@ -85,6 +91,15 @@ class Index:
         w = np.array([1 + math.log(n) for _, n in vector]) * self.idf[terms]
         return terms, w / math.sqrt(float(w @ w))
 
+    def rows(self) -> np.ndarray:
+        """Each term's posting list as an array over blocks and places in them."""
+        if self.dense is None:
+            blocks = self.block_max.shape[1]
+            self.dense = np.zeros((len(self.block_max), blocks * BLOCK))
+            self.dense[np.repeat(np.arange(len(self.starts)), self.starts[:, -1] - self.starts[:, 0]), self.entry] = self.weight
+            self.dense = self.dense.reshape(-1, blocks, BLOCK)
+        return self.dense
+
     def nearest(self, vector: tuple, k: int, without: int | None = None) -> list[tuple[float, int]]:
         """``(cosine, entry)`` of the nearest entries that hold ``k`` examples, nearest first.
 
@@ -94,28 +109,29 @@ class Index:
             return []
         terms, w = self.unit(vector)
         bounds = w @ self.block_max[terms]
-        found: list[tuple[float, int]] = []
-        held, least = 0, 0.0
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or (held >= k and bounds[b] < least - 1e-9):
-                break
-            scores = np.zeros(BLOCK)
-            for t, x in zip(terms.tolist(), w.tolist()):
-                i, j = self.starts[t, b], self.starts[t, b + 1]
-                if j > i:
-                    scores[self.entry[i:j] - b * BLOCK] += x * self.weight[i:j]
-            for e in np.flatnonzero(scores > max(0.0, least - 1e-9 if held >= k else 0.0)).tolist():
-                found.append((round(float(scores[e]), 9), b * BLOCK + e))
-            found.sort(key=lambda x: (-x[0], x[1]))
-            held, kept = 0, 0
-            for _, e in found:
-                kept += 1
-                held += int(self.votes[e, 2]) - (e == without)
-                if held >= k:
-                    break
-            del found[kept:]
-            least = found[-1][0] if found else 0.0
-        return [x for x in found if x[1] != without or self.votes[x[1], 2] > 1]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[:int((bounds > 0).sum())]
+        # The blocks with the greatest bounds first; then those that can still hold one of the k nearest.
+        cosine, entry = self._scored(terms, w, order[:FIRST_BLOCKS], k)
+        least = cosine.min() if len(cosine) > k else 0.0
+        rest = order[FIRST_BLOCKS:]
+        rest = rest[bounds[rest] >= least - 1e-9]
+        if len(rest):
+            more, others = self._scored(terms, w, rest, k)
+            cosine, entry = np.r_[cosine, more], np.r_[entry, others]
+        best = np.lexsort((entry, -cosine))
+        held = np.cumsum(self.votes[entry[best], 2] - (entry[best] == without))
+        best = best[:int(np.searchsorted(held, k)) + 1]
+        return [
+            (c, e) for c, e in zip(cosine[best].tolist(), entry[best].tolist()) if e != without or self.votes[e, 2] > 1
+        ]
+
+    def _scored(self, terms: np.ndarray, w: np.ndarray, blocks: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of the entries of these blocks that share a term with the text, the ``k + 1`` nearest and their equals."""
+        scores = np.round(np.tensordot(w, self.rows()[terms[:, None], blocks[None, :]], 1).ravel(), 9)
+        least = np.partition(scores, -k - 1)[-k - 1] if len(scores) > k else 0.0
+        hit = np.flatnonzero((scores >= least) & (scores > 0))
+        return scores[hit], blocks[hit // BLOCK] * BLOCK + hit % BLOCK
 
     def raw(self, near: list[tuple[float, int]], without: tuple[int, int] | None = None) -> float | None:
         """The share of the weighted votes that are toxic; None without neighbours."""
