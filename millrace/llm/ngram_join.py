@@ -341,8 +341,10 @@ def similarity_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -
         parts.groupBy("fragment").applyInArrow(_shared_counts(buckets), "bucket int, sets binary, counts binary")
         .groupBy("bucket").applyInArrow(_sum_counts, "set_a long, shared long")
     )
+    # A set that shares nothing in the first half has no row there, but may lack as many as it has there.
     survivors = settle(
-        reps.join(shared, "set_a").filter(F.col("shared") >= F.col("half") - (F.col("n") - F.ceil(F.col("n") * percent / 100)))
+        reps.join(shared, "set_a", "left")
+        .filter(F.coalesce("shared", F.lit(0)) >= F.col("half") - (F.col("n") - F.ceil(F.col("n") * percent / 100)))
         .select("rep", "set_a", "id"),
         "survivors",
     )

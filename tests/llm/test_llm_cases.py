@@ -147,6 +147,19 @@ def test_components_of_modified_copies(spark):
     assert got == want and 1 < len({c for _, c in want.values()}) < 60
 
 
+def test_components_of_short_texts(spark):
+    """Pairs of 8- to 14-word texts, one a prefix of the other: most share no n-gram or few in the order's first half."""
+    made = []
+    for i in range(420):
+        words = [f"s{i}w{k}" for k in range(8 + i % 6 + 1)]
+        made += [(2 * i, " ".join(words[:-1]), "en", "a", 1), (2 * i + 1, " ".join(words), "en", "a", 1)]
+    docs = table(spark, made)
+    want = brute_components(docs.collect())
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows(ngram_join.similarity_components(docs))}
+    assert got == want and len({c for _, c in want.values()}) == 420
+    assert ngram_join.keep_one_of_each(docs).count() == 420
+
+
 def test_keep_one_of_each(odd, none):
     out = ngram_join.keep_one_of_each(odd)
     assert out.columns == odd.columns
