@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -51,12 +52,27 @@ _SIBLING = {
     "li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"),
     "option": ("select",),
 }
-_MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|cookie\w*|consent|gdpr|notice\w*|notification\w*|popup|modal|overlay|newsletter|"
-    r"subscribe\w*|paywall|nav\w*|menu\w*|breadcrumb\w*|sidebar\w*|widget\w*|footer|comment\w*|disqus\w*|repl(?:y|ies)|respond|"
-    r"related|recommend\w*|share|sharing|social|toolbar|pagination|pager|login|signup|search\w*|skip)(?:$|[\s_-])", re.I
+_WORDS = (
+    r"ads?|advert[a-z0-9]*|adsense|sponsor[a-z0-9]*|promo[a-z0-9]*|cookies?[a-z0-9]*|consent|gdpr|notice[a-z0-9]*|notification[a-z0-9]*|popup|modal|overlay|newsletter|"
+    r"subscribe[a-z0-9]*|paywall|nav[a-z0-9]*|menu[a-z0-9]*|breadcrumb[a-z0-9]*|sidebar[a-z0-9]*|widget[a-z0-9]*|footer|comment[a-z0-9]*|disqus[a-z0-9]*|repl(?:y|ies)|respond|"
+    r"related|recommend[a-z0-9]*|share|sharing|social|toolbar|pagination|pager|login|signup|search[a-z0-9]*|skip"
 )
-_HEADING = re.compile(r"(?:^|[\s_-])(?:header|masthead|banner|topbar)(?:$|[\s_-])", re.I)
+_TOP = "header|masthead|banner|topbar"
+# What may stand around a word in a class name that names the element itself; has-sidebar, no-menu or tag-search name a state.
+_BEFORE = "site|main|page|post|entry|article|global|top|bottom|left|right|primary|secondary|sub|mobile|desktop|user|reader|mini|sticky|js|the"
+_AFTER = (
+    "area|bar|block|box|btns?|buttons?|container|content|form|holder|icons?|inner|links?|list|outer|panel|posts?|articles?|section|slot|"
+    "top|bottom|left|right|primary|secondary|main|unit|wrap|wrapper|thread|text|title|items?|group|row|to|item|message|banner|[0-9]+"
+)
+
+
+def _named(words: str) -> re.Pattern:
+    """Matches classes and ids one of which, as a whole, names one of ``words``."""
+    return re.compile(rf"(?:^|\s)(?:(?:{_BEFORE})[_-]+)*(?>(?:{words})(?![a-z0-9]))(?:[_-]+(?>(?:{words}|{_AFTER})(?![a-z0-9])))*+(?:$|\s)", re.I)
+
+
+_MARKED, _HEADING = _named(_WORDS), _named(_TOP)
+_COMMENTS = _named(r"comment[a-z0-9]*|disqus[a-z0-9]*|repl(?:y|ies)|respond")
 
 
 class Page:
@@ -148,8 +164,15 @@ class Page:
     def attributes(self, i: int) -> dict[str, str]:
         return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(self.attrs[i])} if self.attrs[i].strip() else {}
 
-    def dropped(self, i: int, inside: bool) -> bool:
-        """Whether the element at ``i`` is marked as no main text; ``inside``: it is in an article."""
+    def _names(self, i: int) -> str:
+        a = self.attributes(i)
+        return f"{a.get('class', '')} {a.get('id', '')}"
+
+    def dropped(self, i: int, inside: bool, by_name: bool = True) -> bool:
+        """Whether the element at ``i`` is marked as no main text; ``inside``: it is in an article.
+
+        Without ``by_name`` its class and id don't count.
+        """
         tag = self.value[i]
         if tag in _DROPPED or (tag == "header" and not inside):
             return True
@@ -158,7 +181,7 @@ class Page:
         a = self.attributes(i)
         if not a:
             return False
-        names = f"{a.get('class', '')} {a.get('id', '')}"
+        names = self._names(i) if by_name else ""
         return (
             a.get("role", "").lower() in _ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
             or "display:none" in a.get("style", "").replace(" ", "").lower()
@@ -166,21 +189,34 @@ class Page:
         )
 
     def roots(self) -> list[int]:
-        """The elements whose text is the page's: outermost articles, else main elements, else all."""
-        found: dict[str, list[int]] = {"article": [], "main": []}
+        """The elements whose text is the page's: outermost articles, else main elements, else all.
+
+        Class words alone never leave out an article or what holds one or a main element; only articles in a
+        container of reader comments stand back behind others.
+        """
+        starts = [i for i, k in enumerate(self.kind) if k == "<"]
+        main = {
+            i for i in starts if self.value[i] == "main" or "main" in self.attrs[i] and self.attributes(i).get("role") == "main"
+        }
+        held = [i for i in starts if self.value[i] == "article" or i in main]
+        articles, mains, comments, remarks = [], [], [], -1
         i = 0
         while i < len(self.kind):
             if self.kind[i] == "<":
                 tag = self.value[i]
-                if tag == "main" or "main" in self.attrs[i] and self.attributes(i).get("role") == "main":
-                    found["main"].append(i)
-                elif tag not in ("html", "body") and self.dropped(i, False):
+                at = bisect_left(held, i)
+                holds = at < len(held) and held[at] < self.end[i]
+                if i in main:
+                    mains.append(i)
+                elif tag not in ("html", "body") and self.dropped(i, False, not holds):
                     i = self.end[i]
                 elif tag == "article":
-                    found["article"].append(i)
+                    (comments if i < remarks else articles).append(i)
                     i = self.end[i]
+                elif holds and i > remarks and tag not in ("html", "body") and _COMMENTS.search(self._names(i)):
+                    remarks = self.end[i]
             i += 1
-        return found["article"] or found["main"][:1]
+        return articles or mains[:1] or comments
 
     def subtrees(self) -> set[int]:
         """Hashes of the elements that may be template, each once."""

@@ -491,6 +491,24 @@ def test_page_text_rules():
     assert one("<div>" * 3000 + "deep" + "</div>" * 10) == "deep"
 
 
+@pytest.mark.parametrize("wrapper", [
+    '<div class="content has-sidebar"><article>{}</article></div>',
+    '<article class="post comment-open category-social tag-search">{}</article>',
+    '<div id="page" class="no-menu">{}</div>',
+    '<div id="page" class="no-menu"><main>{}</main></div>',
+    '<div class="widget"><div class="banner"><article class="related">{}</article></div></div>',
+    '<main><article class="comment">{}</article></main>',
+])
+def test_class_words_never_drop_an_article(wrapper):
+    text = '<p>Kept.</p><div class="site-nav">n</div><ul class="share-buttons"><li>s</ul><section id="comments">c</section>'
+    assert one(f"<body>{wrapper.format(text)}</body>") == "Kept."
+
+
+def test_comments_outside_the_article():
+    page = "<body><article><p>Kept.</p></article><section id=comments><article class=comment>c</article></section></body>"
+    assert one(page) == "Kept." and one(page.replace("article", "main", 2).replace("</article>", "</main>", 1)) == "Kept."
+
+
 def test_templates_are_found_per_host(spark):
     made = [
         (i, f"http://h.example/{i}", f"<body><div>Site slogan</div><div><p>Own text {i} of this page.</p></div><div><p>Terms apply</p></div></body>")
