@@ -1,11 +1,12 @@
 """Main text of web pages, with site templates found by recurring subtrees.
 
 Pages are parsed into elements; every element outside the article's prose has a hash of its subtree (tags and text,
-not attributes). Spark counts, per host, on how many pages each hash occurs, once a page and combined map-side, so
-a host with a third of all pages is counted by all tasks. A subtree on at least ``MIN_PAGES`` pages and ``SHARE``
-percent of its host's pages is template. There are at most 100 / ``SHARE`` times as many of these as a page has
-elements, so each host's list is short however many pages it has. A second parse deletes them, and what tags, roles
-and class names mark as menu, header, footer, sidebar, notice, advert, form or reader comments.
+not attributes). Spark counts, per host, with how many different main texts each hash occurs, combined map-side, so
+a host with a third of all pages is counted by all tasks. A subtree with at least ``MIN_PAGES`` of them is template,
+however many pages the host has; copies of an article have one main text, so what belongs to it stays. (Modified
+copies have several.) Templates are joined to the hashes of distinct pages, row by row, and each page gets its own;
+no list grows with a host. A second parse deletes them, and what tags, roles and class names mark as menu, header,
+footer, sidebar, notice, advert, form or reader comments.
 
 What is left of the ``article`` elements (else of ``main``, else of the page) is the text: its blocks, each with
 white space as single spaces, in page order. Paragraphs and headings inside an article are never taken for template:
@@ -31,7 +32,6 @@ from millrace.llm.common import load, query
 from millrace.session import settle
 
 MIN_PAGES = 5
-SHARE = 20
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>", re.S
@@ -272,30 +272,50 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
 
 
+_HASHED = pa.schema([("host", pa.string()), ("key", pa.string()), ("main", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+
+
 def _hash_rows(batches):
     for batch in batches:
-        found = [list(Page(x).subtrees()) if x else [] for x in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["host", "hashes"])
+        main, found = [], []
+        for source in batch.column(2).to_pylist():
+            page = Page(source)
+            text = "\n\n".join(page.blocks()).encode("utf-8", "surrogatepass")
+            main.append(int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True))
+            found.append(list(page.subtrees()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(main, pa.int64()), pa.array(found, pa.list_(pa.int64()))], schema=_HASHED
+        )
 
 
-def template_hashes(pages: DataFrame, min_pages: int = MIN_PAGES, share: int = SHARE) -> DataFrame:
-    """``(host, template)``: the hashes of each host's recurring subtrees, for hosts that have any."""
+def page_templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``(host, key, template)``: the hashes of the recurring subtrees of each distinct page (``key``: md5 of its html)."""
+    html = pages["html"].cast("string")
     hashed = settle(
-        pages.select(host_of(pages["url"]).alias("host"), pages["html"].cast("string").alias("html")).filter("host != ''")
-        .mapInArrow(_hash_rows, "host string, hashes array<long>"),
+        pages.select(host_of(pages["url"]).alias("host"), F.md5(html).alias("key"), html.alias("html"))
+        .filter("host != '' AND html != ''")
+        .mapInArrow(_hash_rows, "host string, key string, main long, hashes array<long>")
+        .dropDuplicates(["host", "key"]),
         "subtrees",
     )
-    size = hashed.groupBy(F.col("host").alias("of")).agg(F.count("*").alias("pages"))
-    counts = hashed.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
-    often = counts.filter(F.col("n") >= min_pages).join(size, F.col("host") == F.col("of")).filter(F.col("n") * 100 >= F.col("pages") * share)
-    return settle(often.groupBy("host").agg(F.collect_list("hash").alias("template")), "template")
+    each = hashed.select("host", "key", "main", F.explode("hashes").alias("hash"))
+    often = settle(
+        each.select("host", "hash", "main").distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
+        .filter(F.col("n") >= min_pages).select("host", "hash"),
+        "template",
+    )
+    return settle(each.join(often, ["host", "hash"]).groupBy("host", "key").agg(F.collect_set("hash").alias("template")), "templates")
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: int = SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """``(page_id, url, text, n_chars, n_blocks)``, one row per row of ``pages``."""
-    template = template_hashes(pages, min_pages, share).withColumnRenamed("host", "_host")
-    joined = pages.join(template, host_of(pages["url"]) == template["_host"], "left").select(
-        pages["page_id"], pages["url"], pages["html"].cast("string").alias("html"), template["template"]
+    html = pages["html"].cast("string")
+    template = page_templates(pages, min_pages).select(F.col("host").alias("_host"), F.col("key").alias("_key"), "template")
+    own = pages.select(
+        pages["page_id"], pages["url"], html.alias("html"), host_of(pages["url"]).alias("_of"), F.md5(html).alias("_md5")
+    )
+    joined = own.join(template, (F.col("_of") == F.col("_host")) & (F.col("_md5") == F.col("_key")), "left").select(
+        "page_id", "url", "html", "template"
     )
 
     def work(batches):

@@ -526,3 +526,12 @@ def test_templates_are_found_per_host(spark):
 def test_articles_that_recur_stay(spark):
     pages = table(spark, [(i, f"http://h.example/{i}", "<body><nav>m</nav><article><h1>Same</h1><p>All alike.</p></article></body>") for i in range(30)], PAGES)
     assert {r["text"] for r in rows(page_text.extract(pages))} == {"Same\n\nAll alike."}
+
+
+def test_templates_of_a_part_of_a_large_host(spark):
+    """A block on 8 of 80 pages of a host is template; the table of an article on 20 pages is not."""
+    block, rows_of = "<div>In this section</div>", "<table><tr><td>1</td></tr></table>"
+    made = [(i, f"http://h.example/{i}", f"<body><article><p>Text {i}.</p>{block if i < 8 else ''}</article></body>") for i in range(80)]
+    made += [(100 + i, f"http://h.example/{i}", f"<body><div>{i}</div><article><p>Copy.</p>{rows_of}</article></body>") for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in rows(page_text.extract(table(spark, made, PAGES)))}
+    assert all(got[i] == f"Text {i}." for i in range(80)) and all(got[100 + i] == "Copy.\n\n1" for i in range(20))
