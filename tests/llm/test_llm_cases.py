@@ -269,6 +269,21 @@ def test_trees_add_numbers_written_like_phone_numbers(spark):
     assert out[0] == "please call <phone> today"
 
 
+def test_trees_add_spelled_addresses_and_short_cards(spark):
+    """Among as many base spans, and many numbers that lack the check digit; the bound is taken for each kind."""
+    made = []
+    for i in range(40):
+        made += [f"write u{i % 7}@mail.example now", f"u{i % 7}@host is no address", "card 4111 1111 1111 1111 ok", "card 4111 1111 1111 1112 ok"]
+        made += ["write joe (at) example (dot) com. Then wait", "write joe[at]example.com now", "card 378282246310005 ok", "card 378282246310006 ok"]
+    docs = table(spark, [(i, t, "en", "a", 1) for i, t in enumerate(made)])
+    got = defaultdict(set)
+    for r in rows(pii.span_table(docs, fit_rows=20)):
+        t = made[r["doc_id"]]
+        got[t] |= {(x["kind"], t[x["s"]:x["e"]]) for x in r["spans"] if x["kind"] in ("email", "card")}
+    assert got[made[4]] == {("email", "joe (at) example (dot) com")} and got[made[5]] == {("email", "joe[at]example.com")}
+    assert got[made[6]] == {("card", "378282246310005")} and got[made[7]] == got[made[1]] == got[made[3]] == set()
+
+
 def test_boosting_learns_and_thresholds_hold():
     x = np.array([[a, b] for a in range(8) for b in range(8)])
     n = np.full(len(x), 10.0)
