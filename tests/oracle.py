@@ -31,12 +31,17 @@ def expected(sf_dir: str, sql: str) -> tuple[pd.DataFrame, dict[str, str]]:
     return rel.df(), types
 
 
+def _shown(v) -> str:
+    """A value as text; pandas turns whole numbers beside nulls into floats."""
+    if isinstance(v, float):
+        return str(int(v)) if v.is_integer() else repr(float(v))
+    return "" if v is None else str(v)
+
+
 def _rows(df: pd.DataFrame) -> list[tuple]:
     out = df[sorted(df.columns)].astype(object)
     out = out.where(out.notna(), None)
-    keyed = [tuple("" if v is None else (repr(float(v)) if isinstance(v, float) else str(v)) for v in r)
-             for r in out.itertuples(index=False, name=None)]
-    return sorted(keyed)
+    return sorted(tuple(map(_shown, r)) for r in out.itertuples(index=False, name=None))
 
 
 def differences(spark, sf_dir: str, query, sql: str) -> list[str]:
