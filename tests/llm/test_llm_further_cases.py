@@ -1,9 +1,13 @@
 """Edge cases of the fill-in-the-middle transformation, the secret scan and the ranked search."""
 
+import base64
 import hashlib
+import json
 import random
 import re
 import sys
+import time
+import zlib
 from pathlib import Path
 
 import pyarrow as pa
@@ -11,7 +15,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 
-from millrace.llm import fill_middle
+from millrace.llm import fill_middle, secret_scan
 from test_llm_cases import clashing, none, odd, rows, table  # noqa: F401
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
@@ -59,3 +63,138 @@ def test_texts_that_hold_a_mark_stay_plain(spark, none):  # noqa: F811
     assert all(r["form"] == "plain" for r in got if re.search("<[PSM]>", r["restored"]))
     assert {r["form"] for r in got} == {"plain", "psm", "spm"} and all(r["restored"].startswith("a b ") for r in got)
     assert fill_middle.fill_middle(none).count() == 0
+
+
+# --- secrets ----------------------------------------------------------------------------------------------------
+
+
+def brute_secrets(text):
+    """The three patterned kinds, as matched one after another."""
+    kw = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+    kinds = (
+        (rf"(?:{kw})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", lambda m: len(m[1]) >= 12),
+        ("AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18), ("[0-9a-f]+", lambda m: len(m[0]) >= 16),
+    )
+    found = sorted((m.start(), k, m.end()) for k, (p, fits) in enumerate(kinds) for m in re.finditer(p, text or "") if fits(m))
+    return [f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in found]
+
+
+def found_in(text):
+    return [(kind, text[start:end]) for kind, start, end, _ in secret_scan.spans_of(pa.array([text], pa.large_string()))[0]]
+
+
+def der(tag, body):
+    size = len(body)
+    head = bytes([size]) if size < 128 else (lambda b: bytes([0x80 | len(b)]) + b)(size.to_bytes((size.bit_length() + 7) // 8))
+    return bytes([tag]) + head + body
+
+
+def der_int(n):
+    return der(2, n.to_bytes(n.bit_length() // 8 + 1))
+
+
+def ssh_string(body):
+    return len(body).to_bytes(4) + body
+
+
+P, Q = random.Random(1).getrandbits(512) | 1, random.Random(2).getrandbits(500) | 1
+RSA = der(0x30, b"".join(map(der_int, (0, P * Q, 65537, 12345, P, Q, 1, 2, 3))))
+EC = der(0x30, der_int(1) + der(4, bytes(range(32))) + der(0xA0, der(6, b"\x2a\x86\x48")))
+WRAPPED = der(0x30, der_int(0) + der(0x30, der(6, b"\x2b\x65\x70")) + der(4, der(4, bytes(range(32)))))
+LOCKED = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d"))) + der(4, bytes(48)))
+OPENSSH = b"openssh-key-v1\0" + ssh_string(b"none") + ssh_string(b"none") + ssh_string(b"") + (1).to_bytes(4) + ssh_string(
+    ssh_string(b"ssh-ed25519") + ssh_string(bytes(32))) + ssh_string(bytes(136))
+KEYS = {"rsa": RSA, "elliptic curve": EC, "wrapped": WRAPPED, "encrypted wrapped": LOCKED, "openssh": OPENSSH}
+
+
+def b64(data, url=False):
+    return (base64.urlsafe_b64encode if url else base64.b64encode)(data).decode()
+
+
+def lines(text, width=64, end="\n"):
+    return end.join(text[i:i + width] for i in range(0, len(text), width))
+
+
+def jwt(head, size, payload=b'{"sub": 1}'):
+    return ".".join(b64(x, True).rstrip("=") for x in (json.dumps(head).encode(), payload, bytes(range(97, 97 + 26)) * 12)[:2]) + "." + b64(
+        bytes(i % 251 for i in range(size)), True).rstrip("=")
+
+
+@pytest.mark.parametrize("kind", KEYS)
+def test_keys_are_found_in_every_wrapping(kind):
+    data = KEYS[kind]
+    plain = b64(data)
+    forms = [plain, b64(data, True).rstrip("="), lines(plain), lines(plain, 70, "\\n"), lines(plain, 64, "\r\n  "), data.hex(), data.hex().upper()]
+    if kind != "openssh":
+        forms.append(":".join(f"{x:02x}" for x in data))
+    else:
+        forms = forms[:5]  # its lengths are looked for in base64, as it is always written
+    for form in forms:
+        text = f"żó see <{form}> and MORE words\nMostly1234567890abcdef here"
+        assert [x for k, x in found_in(text) if k == "key"] == [form], form[:30]
+    armoured = f"-----BEGIN PRIVATE KEY-----\n{lines(plain)}\n-----END PRIVATE KEY-----\nMuch later words that follow it all"
+    assert [x for k, x in found_in(armoured) if k == "key"] == [lines(plain)]
+
+
+@pytest.mark.parametrize("kind", KEYS)
+def test_damaged_keys_and_public_ones_are_not_reported(kind):
+    data = bytearray(KEYS[kind])
+    cut = bytes(data[:-3])
+    data[1 if kind != "openssh" else 18] ^= 0x41
+    public = der(0x30, der(0x30, der(6, b"\x2a\x86\x48") + der(5, b"")) + der(3, b"\0" + der(0x30, der_int(P * Q) + der_int(65537))))
+    for form in (bytes(data), cut, public, der(0x30, der_int(7) * 9), der(0x30, b"".join(map(der_int, (0, P * Q + 2, 3, 4, P, Q, 1, 2, 3))))):
+        for text in (f"key {b64(form)} end", f"key {form.hex()} end"):
+            assert [k for k, _ in found_in(text) if k not in secret_scan.BASE] == []
+
+
+def test_hostile_texts_take_linear_time():
+    parts = ("b3BlbnNzaC1rZXktdjEA\n", b64(OPENSSH[:40]) + "\n", b64(RSA[:90]) + "\n", "ey" * 20 + ".", "token=", "3082" * 8 + "\n", "M" * 16 + "\n", "basic " * 3)
+    began = time.perf_counter()
+    for part in parts:
+        found_in(part * (1_000_000 // len(part)))
+    assert time.perf_counter() - began < 30
+
+
+def test_password_armour():
+    body = lines(b64(bytes(range(200)) + bytes(56)))
+    text = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: DES-EDE3-CBC,0123456789ABCDEF\n\n{body}\n-----END RSA PRIVATE KEY-----"
+    assert [x.strip() for k, x in found_in(text) if k == "key"] == [body]
+
+
+def test_signed_tokens_need_header_payload_and_signature():
+    good = [jwt({"alg": "HS256"}, 32), jwt({"typ": "JWT", "alg": "RS256"}, 256), jwt({"alg": "ES384", "x": [1]}, 96)]
+    bad = [jwt({"alg": "HS256"}, 31), jwt({"alg": "none"}, 32), jwt({"typ": "x"}, 32), jwt({"alg": ["HS256"]}, 32), jwt({"alg": "HS256"}, 32, b"[1]"), "eyes.on.you"]
+    text = " ; ".join(good + bad)
+    assert [x for k, x in found_in(text) if k == "token"] == good
+
+
+def test_basic_credentials_and_checksums():
+    part = "abcDEF0123456789abcDEF01234567"
+    n, sign = zlib.crc32(part.encode()), ""
+    while n:
+        n, k = divmod(n, 62)
+        sign = secret_scan._BASE62[k] + sign
+    sign = sign.rjust(6, "0")
+    text = f"Authorization: Basic {b64(b'ann:open sesame')} and basic information ghp_{part}{sign} ghp_{part}{sign[::-1]}"
+    got = [(k, x) for k, x in found_in(text) if k in ("basic", "checked")]
+    assert got == [("basic", b64(b"ann:open sesame")), ("checked", f"ghp_{part}{sign}")]
+
+
+def test_patterned_spans_of_random_texts():
+    draw = random.Random(9)
+    pieces = ["token", "ToKen", "api_key", "APIKEY", "\u212aey", "\u017fecret", "secret", "password", "=", ":", " ", '"', "'", "abcdef012345", "0" * 16, "AKIA", "ABCDEFGH",
+              "12345678", "x", "ż", "\n", "é😀", "a/b+c=d-e.f_g", "deadbeefdeadbeef"]
+    texts = ["".join(draw.choices(pieces, k=draw.randrange(30))) for _ in range(4000)]
+    for text, spans in zip(texts, secret_scan.spans_of(pa.array(texts, pa.large_string()))):
+        assert [f"{k}:{a}:{b}" for k, a, b, _ in spans if k in secret_scan.BASE] == brute_secrets(text), text
+
+
+@pytest.mark.parametrize("make", [lambda d: d, clashing])
+def test_find_secrets(spark, odd, none, make):  # noqa: F811
+    extra = table(spark, [(20, f"x token: {'z' * 12} {b64(EC)}", "en", "a", 1), (20, f"x token: {'z' * 12} {b64(EC)}", "en", "a", 1), (21, "w " * 500_000 + "AKIA" + "Q7" * 8, "en", "a", 1)])
+    got = rows(secret_scan.find_secrets(make(odd.unionByName(extra))))
+    assert len(got) == odd.count() + 3
+    of = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["found"]] for r in got}
+    assert of[21] == [("access", 1_000_000, 1_000_020)] and of[20] == [("assign", 2, 21), ("key", 22, 22 + len(b64(EC)))]
+    assert all(of[i] == [] for i in of if i not in (20, 21))
+    assert secret_scan.find_secrets(none).count() == 0

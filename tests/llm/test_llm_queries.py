@@ -17,6 +17,7 @@ import corpus_pipeline
 from millrace.llm.queries import ORACLE, QUERIES
 from oracle import differences
 from test_llm_cases import WORD, brute_base, brute_components
+from test_llm_further_cases import brute_secrets
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -82,6 +83,17 @@ def test_op10(spark):
         assert r["text"] == "\n\n".join(b for b in blocks if b)
 
 
+def test_op12(spark, docs):
+    texts = {d["doc_id"]: d["text"] for d in docs}
+    got = result(spark, "op12_secret_scan")
+    assert len(got) == len(texts)
+    for r in got:
+        want = brute_secrets(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(w.startswith(k) for w in want) for k in ("assign", "access", "hex")]
+        assert [s for s in r["spans"].split(",") if s.split(":")[0] in ("assign", "access", "hex")] == want
+
+
 def check_pieces(rows):
     sequences, of = defaultdict(list), defaultdict(int)
     for r in rows:
