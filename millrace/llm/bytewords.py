@@ -45,16 +45,21 @@ def byte_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int
         i = j
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words, and each text's place in them (one more than there are texts)."""
-    return hashed_words(data, offsets)[:2]
+    return hashed_words(data, offsets, between)[:2]
 
 
-def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """64-bit hashes of all words, each text's place in them (one more than there are texts), and words' last bytes."""
+def hashed_words(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _IS_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of all words, each text's place in them (one more than there are texts), and words' last bytes.
+
+    ``between`` says which bytes stand between words.
+    """
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.uint8)
-    inside = ~_IS_SPACE[data]
+    inside = ~between[data]
     # A word ends where its text ends, too.
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True

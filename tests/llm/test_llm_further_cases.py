@@ -3,19 +3,22 @@
 import base64
 import hashlib
 import json
+import math
 import random
 import re
 import sys
 import time
 import zlib
+from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 
-from millrace.llm import fill_middle, secret_scan
+from millrace.llm import fill_middle, ranked_search, secret_scan
 from test_llm_cases import clashing, none, odd, rows, table  # noqa: F401
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
@@ -198,3 +201,91 @@ def test_find_secrets(spark, odd, none, make):  # noqa: F811
     assert of[21] == [("access", 1_000_000, 1_000_020)] and of[20] == [("assign", 2, 21), ("key", 22, 22 + len(b64(EC)))]
     assert all(of[i] == [] for i in of if i not in (20, 21))
     assert secret_scan.find_secrets(none).count() == 0
+
+
+# --- ranked search ----------------------------------------------------------------------------------------------
+
+
+def brute_search(docs, items, top=10):
+    """``(item_id, rank, doc_id, score)`` by scoring every document for every item."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+    def terms(text):
+        return term.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+    counted = [(i, Counter(terms(t))) for i, t in docs]
+    counted = [(i, c) for i, c in counted if c]
+    documents, total = len(counted), sum(c.total() for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    wanted = defaultdict(set)
+    for i, t in items:
+        wanted[i].update(terms(t))
+    out = []
+    for item, own in wanted.items():
+        scores = []
+        for i, c in counted:
+            m = 10 + 90 * c.total() * documents // total
+            score = sum(
+                math.floor(1000 * math.log((2 * documents + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m)) for t in own if c[t]
+            )
+            if score > 0:
+                scores.append((-score, i is None, i))
+        out += [(item, k + 1, i, -s) for k, (s, _, i) in enumerate(sorted(scores, key=lambda x: (x[:2], x[2] or 0))[:top])]
+    return sorted(out, key=repr)
+
+
+def searched(docs, items, **kw):
+    index = ranked_search.build(docs, kw.pop("shard_bytes", ranked_search.SHARD_BYTES))
+    return sorted(((r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in ranked_search.search(index, items, **kw).collect()), key=repr)
+
+
+ITEMS = "item_id long, text string"
+
+
+@pytest.mark.parametrize("shard_bytes", [1, 3000, 1 << 24])
+def test_ranked_search_equals_brute_force(spark, shard_bytes):
+    draw = random.Random(3)
+    words = [f"W{i}" for i in range(40)] + ["ü", "日本", "x_y", "a-b", "\x00", "é1"]
+    docs = [(i, " ".join(draw.choices(words, [1 / (k + 1) for k in range(len(words))], k=draw.randrange(60)))) for i in range(400)]
+    docs += [(i + 500, docs[7][1]) for i in range(60)] + [(3, docs[9][1]), (3, docs[9][1]), (None, docs[7][1]), (None, "w39")]
+    draw.shuffle(docs)
+    items = [(i, " ".join(draw.choices(words, k=draw.randrange(30)))) for i in range(60)] + [(5, "w0 w39"), (70, docs[0][1])]
+    got = searched(table(spark, docs, "doc_id long, text string").repartition(3), table(spark, items, ITEMS), shard_bytes=shard_bytes)
+    assert got == brute_search(docs, items)
+
+
+def test_ranked_search_in_blocks_gives_the_same(spark):
+    draw = random.Random(4)
+    docs = [(i, " ".join(f"t{draw.randrange(30)}" for _ in range(draw.randrange(1, 20)))) for i in range(200)]
+    items = [(i, f"t{i} t{i + 1} t{i + 7}") for i in range(25)]
+    frame, asked = table(spark, docs, "doc_id long, text string"), table(spark, items, ITEMS)
+    assert searched(frame, asked, block_terms=20, top=3) == brute_search(docs, items, 3)
+
+
+@pytest.mark.parametrize("make", [lambda d: d, clashing])
+def test_ranked_search_of_odd_texts(spark, odd, none, make):  # noqa: F811
+    items = [(1, "word1 thing2 ONE"), (2, None), (3, ""), (None, "mail w59999"), (4, "-- ?"), (5, "日本語"), (6, "unheard of")]
+    asked = table(spark, items, ITEMS)
+    docs = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    assert searched(make(odd), asked.withColumn("rank", asked["item_id"]).withColumn("term", asked["text"])) == brute_search(docs, items)
+    assert searched(none, asked) == [] and searched(odd, table(spark, [], ITEMS)) == []
+    assert searched(table(spark, [(1, " - "), (2, None)], "doc_id long, text string"), asked) == []
+
+
+def test_treaps_survive_writing():
+    draw = np.random.default_rng(1)
+    for rows, columns, n in ((1, 1, 1), (1, 900, 300), (900, 1, 300), (1000, 37, 5000), (3, 3, 9)):
+        cells = np.unique(draw.integers(0, rows * columns, n))
+        r, c = np.divmod(cells, columns)
+        impact = draw.integers(1, 1_000_000, len(cells))
+        treap = ranked_search.Treap.of(r, c, impact)
+        leaf = treap.masks == 0
+        assert sorted(zip(treap.rows, treap.columns, treap.maxima[leaf])) == sorted(zip(r, c, impact))
+        assert (treap.maxima[treap.parents()] >= treap.maxima[1:]).all() and treap.maxima[0] == impact.max()
+    ids, texts = pa.array([5, None, 2]), pa.array(["a b", "b b c", "c d"], pa.large_string())
+    row = ranked_search.shard_of(ids, texts, 3, 7)
+    back = ranked_search.treap_of({**row, "doc_ids": None})
+    assert row["doc_ids"].to_pylist() == [2, 5, None] and (np.diff(np.frombuffer(row["frequencies"], np.int32)) <= 0).all()
+    lengths, found = np.array([2, 2, 3])[back.columns], back.maxima[back.masks == 0]
+    once, twice = (ranked_search.impacts(np.full(6, k), lengths, 3, 7) for k in (1, 2))
+    assert len(found) == 6 and (found == once).sum() == 5 and (found == twice).sum() == 1
