@@ -37,7 +37,7 @@ from millrace.llm.common import load, query
 from millrace.session import new_folder, settle
 
 TOP = 10
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 SHARD_DOCS = 1 << 15
 BLOCK_TERMS = 1 << 20
 # Ranges halved at once; bounds are looked at again after each round.
