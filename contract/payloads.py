@@ -8,11 +8,12 @@ import sys
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from contract.base import FEED_PAGES, ORDER_ITEM, ORDER_PAGES_SQL, load, order_pages, query
+from contract.base import FEED_PAGES, ORDER_ITEM, ORDER_PAGES_SQL, fresh_database, order_pages, query
 from millrace.functions.payload import elements
 from millrace.session import new_folder, settle
 from millrace.sources.paged import paged_source
 from millrace.sources.payloads import explode_items, take_pages, with_items
+from millrace.streaming.intake import load_available
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -98,51 +99,107 @@ _FEEDS = 8
 _BLOCK = 10
 
 
-@query(
-    "paged_source",
+def _served(spark, sf_dir, feeds: int, body):
+    """A fetch function over orders landed as page bodies in blocks: ``(feed, page number) -> body``, None past the end.
+
+    ``body`` makes the response text from ``items_json``, ``number`` (of the page in its feed) and ``last``.
     """
-    SELECT 'feed-' || CAST((o_orderkey // 100) % 8 AS VARCHAR) AS feed, o_orderkey, o_custkey, o_totalprice,
-           o_orderpriority
-    FROM orders
-    """,
-)
-def paged_source_query(spark, sf_dir):
-    """Pages fetched by a data source: a fetch function over bodies landed in page blocks."""
     folder = new_folder(spark, "bodies")
-    number = F.expr(f"page_no div {_FEEDS} + 1")
-    landed = order_pages(spark, sf_dir).select(
-        F.concat(F.lit("feed-"), F.col("page_no") % _FEEDS).alias("feed"),
-        number.alias("number"),
-        F.expr(f"(page_no div {_FEEDS} + 1) div {_BLOCK}").alias("block"),
-        body_text('{"has_more": true, "data": %s}', "items_json").alias("body"),
+    pages = order_pages(spark, sf_dir)
+    final = pages.agg(F.max("page_no")).first()[0]
+    number = F.expr(f"page_no div {feeds} + 1")
+    landed = pages.select(
+        F.concat(F.lit("feed-"), F.col("page_no") % feeds).alias("feed"), number.alias("number"),
+        F.expr(f"(page_no div {feeds} + 1) div {_BLOCK}").alias("block"), "items_json",
+        (F.col("page_no") + feeds > final).alias("last"),
     )
+    landed = landed.select("feed", "number", "block", body.alias("body"))
     landed.repartition("feed", "block").write.partitionBy("feed", "block").parquet(folder)
     root = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
 
-    def fetch(feed: str, params: dict) -> str | None:
+    def serve(feed: str, number: int) -> str | None:
         import pyarrow.dataset as ds
         from pyarrow.fs import FileSystem, FileType
 
-        fs, path = FileSystem.from_uri(f"{root}/feed={feed}/block={params['page'] // _BLOCK}")
+        fs, path = FileSystem.from_uri(f"{root}/feed={feed}/block={number // _BLOCK}")
         if fs.get_file_info(path).type == FileType.NotFound:
             return None
         found = ds.dataset(path, filesystem=fs, format="parquet")
-        rows = found.to_table(columns=["body"], filter=ds.field("number") == params["page"])
+        rows = found.to_table(columns=["body"], filter=ds.field("number") == number)
         return rows.column("body")[0].as_py() if rows.num_rows else None
 
-    spark.dataSource.register(paged_source(fetch, "order_pages"))
-    pages = (
-        spark.read.format("order_pages")
-        .options(
-            strategy="page", feeds=json.dumps([f"feed-{i}" for i in range(_FEEDS)]),
-            tasks_per_feed=_BLOCK,
-        )
-        .load()
-    )
+    return serve
+
+
+def _feeds(count: int) -> str:
+    return json.dumps([f"feed-{i}" for i in range(count)])
+
+
+def _by_feed(count: int) -> str:
+    return f"""
+    SELECT 'feed-' || CAST((o_orderkey // 100) % {count} AS VARCHAR) AS feed, o_orderkey, o_custkey, o_totalprice,
+           o_orderpriority
+    FROM orders
+    """
+
+
+def _cursor_body():
+    after = F.when(F.col("last"), "null").otherwise(F.format_string('"at-%d"', F.col("number") + 1))
+    return body_text('{"page": {"after": %s}, "data": %s}', after, "items_json")
+
+
+@query("paged_source", _by_feed(_FEEDS))
+def paged_source_query(spark, sf_dir):
+    """Pages fetched by a data source: a fetch function over bodies landed in page blocks."""
+    serve = _served(spark, sf_dir, _FEEDS, body_text('{"has_more": true, "data": %s}', "items_json"))
+    spark.dataSource.register(paged_source(lambda feed, params: serve(feed, params["page"]), "order_pages"))
+    pages = spark.read.format("order_pages").options(strategy="page", feeds=_feeds(_FEEDS), tasks_per_feed=_BLOCK).load()
     # Each page is fetched once: what follows reads the landed bodies.
     return _orders(take_pages(with_items(settle(pages, "landed")), "page", "feed", "page"))
 
 
+@query("paged_source_offset", _by_feed(_FEEDS))
+def paged_source_offset(spark, sf_dir):
+    """The same feeds asked for by limit and offset, under a service's own parameter names."""
+    serve = _served(spark, sf_dir, _FEEDS, body_text('{"data": %s}', "items_json"))
+    spark.dataSource.register(
+        paged_source(lambda feed, params: serve(feed, params["from"] // params["count"] + 1), "order_offsets")
+    )
+    pages = spark.read.format("order_offsets").options(
+        strategy="offset", feeds=_feeds(_FEEDS), tasks_per_feed=_BLOCK, limit=100, limit_param="count", offset_param="from",
+    ).load()
+    return _orders(with_items(settle(pages, "landed")))
+
+
+@query("paged_source_cursor", _by_feed(_FEEDS))
+def paged_source_cursor(spark, sf_dir):
+    """The same feeds led by cursors: a task per feed."""
+    serve = _served(spark, sf_dir, _FEEDS, _cursor_body())
+    spark.dataSource.register(
+        paged_source(lambda feed, params: serve(feed, int(params.get("after", "at-1")[3:])), "order_cursors")
+    )
+    pages = spark.read.format("order_cursors").options(
+        strategy="cursor", feeds=_feeds(_FEEDS), cursor_param="after", cursor_path="page.after",
+    ).load()
+    return _orders(take_pages(with_items(settle(pages, "landed")), "cursor", "feed", "page", cursor_path="page.after"))
+
+
+@query("paged_stream_cursor", _by_feed(2))
+def paged_stream_cursor(spark, sf_dir):
+    """Two cursor feeds as a stream into a table: a span of three pages, then, after a restart, all the rest."""
+    serve = _served(spark, sf_dir, 2, _cursor_body())
+    spark.dataSource.register(
+        paged_source(lambda feed, params: serve(feed, int(params.get("after", "at-1")[3:])), "order_stream")
+    )
+    table, marks, checkpoint = f"{fresh_database(spark)}.bodies", new_folder(spark, "marks"), new_folder(spark, "checkpoint")
+    for pages in (3, 0):
+        stream = spark.readStream.format("order_stream").options(
+            strategy="cursor", feeds=_feeds(2), cursor_param="after", cursor_path="page.after", marks=marks, pages_per_batch=pages,
+        ).load()
+        load_available(stream, table, checkpoint).awaitTermination()
+    return _orders(with_items(spark.table(table)))
+
+
 @query("payload_custom_end", f"{_SELECT} WHERE page <= 9")
 def payload_custom_end(spark, sf_dir):
     """The caller's own extract function says NULL for page 10: the feed ends there."""
@@ -161,7 +218,7 @@ def payload_custom_end(spark, sf_dir):
 )
 def pages_long_feed(spark, sf_dir):
     """One feed of all pages, numbered from 101 on, through a job: as many pages as the data has, none dropped."""
-    from contract.base import RUN_TIME, fresh_database
+    from contract.base import RUN_TIME
     from millrace.plans.pipeline import run
 
     database = fresh_database(spark)

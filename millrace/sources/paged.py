@@ -3,18 +3,20 @@
 The source yields landed bodies ``(feed, page, body)``; which pages count and what
 items they hold is then DataFrame work (``sources.payloads``). Page and offset
 feeds are split into ranges of pages that are fetched in parallel. A cursor is only
-known from the page before, so a cursor feed is one task — feeds run side by side —
-or a stream whose offset is the cursor.
+known from the page before, so a cursor feed is one task; feeds run side by side.
+As a stream, feeds are read in spans of pages, on executors too.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import sys
+import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from millrace.sources.payloads import DEFAULT_LIMIT
 
@@ -71,24 +73,23 @@ class _Reader(DataSourceReader):
             return [_Stride(f, 1, 1) for f in self.feeds]
         return [_Stride(f, first, self.tasks) for f in self.feeds for first in range(1, self.tasks + 1)]
 
-    def _params(self, number: int) -> dict:
+    def params(self, number: int, cursor: str | None) -> dict:
         if self.strategy == "page":
             return {self.names["page"]: number}
         if self.strategy == "offset":
             return {self.names["limit"]: self.limit, self.names["offset"]: (number - 1) * self.limit}
-        return {}
+        return {self.names["cursor"]: cursor} if cursor else {}
+
+    def order(self, number: int) -> int:
+        return (number - 1) * self.limit if self.strategy == "offset" else number
 
     def read(self, part: _Stride) -> Iterator[tuple]:
         cursor, number = None, part.first
         while self.max_pages is None or number <= self.max_pages:
-            params = self._params(number)
-            if cursor:
-                params[self.names["cursor"]] = cursor
-            body = self.fetch(part.feed, params)
+            body = self.fetch(part.feed, self.params(number, cursor))
             if body is None:  # past the end
                 return
-            order = (number - 1) * self.limit if self.strategy == "offset" else number
-            yield part.feed, order, body
+            yield part.feed, self.order(number), body
             if self.strategy == "none" or not has_items(body, self.data_key):
                 return
             if self.strategy == "cursor":
@@ -98,46 +99,145 @@ class _Reader(DataSourceReader):
             number += part.step
 
 
-class _CursorStream(SimpleDataSourceStreamReader):
-    """One page of every feed per batch: the offset holds, per feed, the page and the cursor to read next.
+class _Span(InputPartition):
+    """The pages of a feed from where its span ``number - 1`` ended."""
+
+    def __init__(self, feed: str, number: int):
+        self.feed, self.number = feed, number
+
+
+class _Marks:
+    """Where each span of each feed ended: small files in a folder that the driver and all executors share.
+
+    A mark is written once. A span that is read again reads exactly the pages its mark names, so a replayed batch
+    holds the rows of the first one, however the feed has grown since.
+    """
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def _folder(self, feed: str):
+        from pyarrow.fs import FileSystem
+
+        plain = "://" not in self.root and not self.root.startswith("file:")
+        fs, path = FileSystem.from_uri(f"file://{self.root}" if plain else self.root)
+        return fs, f"{path}/{hashlib.sha256(feed.encode()).hexdigest()}"
+
+    def numbers(self, feed: str) -> list[int]:
+        from pyarrow.fs import FileSelector
 
-    A cursor is known only from the page before it, so pages are fetched where offsets are kept, in the driver:
-    for feeds that grow by single pages. A backlog is read by the batch reader, a task per feed.
+        fs, folder = self._folder(feed)
+        found = fs.get_file_info(FileSelector(folder, allow_not_found=True))
+        return sorted(int(f.base_name) for f in found if f.base_name.isdigit())
+
+    def get(self, feed: str, number: int) -> dict | None:
+        fs, folder = self._folder(feed)
+        try:
+            with fs.open_input_stream(f"{folder}/{number}") as file:
+                return json.loads(file.read())
+        except FileNotFoundError:
+            return None
+
+    def put(self, feed: str, number: int, mark: dict) -> None:
+        fs, folder = self._folder(feed)
+        fs.create_dir(folder, recursive=True)
+        draft = f"{folder}/.{number}-{uuid.uuid4().hex}"
+        with fs.open_output_stream(draft) as file:
+            file.write(json.dumps(mark).encode())
+        fs.move(draft, f"{folder}/{number}")
+
+    def forget(self, feed: str, below: int) -> None:
+        fs, folder = self._folder(feed)
+        for number in self.numbers(feed):
+            if number < below:
+                fs.delete_file(f"{folder}/{number}")
+
+
+class _SpanStream(DataSourceStreamReader):
+    """Feeds read in spans of pages, a task per feed and batch; an offset counts the spans of each feed.
+
+    The next cursor is known only once a page is read, so it stays where pages are read: the task that reads a span
+    leaves a mark of a few bytes, with the page and cursor that follow. The driver looks at marks only, to see which
+    feeds go on. A feed that has ended is asked once more by every newly started query, so scheduled runs find pages
+    that have come since; pages that were there are not read again.
     """
 
     def __init__(self, fetch: Fetch, options: dict):
-        self.fetch = fetch
-        self.feeds = json.loads(options.get("feeds", '[""]'))
-        self.name = options.get("cursor_param", "cursor")
-        self.path = options.get("cursor_path", "meta.next_cursor")
+        if not options.get("marks"):
+            raise ValueError("a stream of pages needs the option 'marks': a folder that the driver and all executors share")
+        self.pages = _Reader(fetch, options)
+        self.feeds = self.pages.feeds
+        self.marks = _Marks(options["marks"].rstrip("/"))
+        self.most = int(options.get("pages_per_batch", 100)) or None
+        self.asked_again: dict[str, int] | None = None
 
     def initialOffset(self) -> dict:
-        return {f: {"page": 1, "cursor": None} for f in self.feeds}
-
-    def _page(self, feed: str, at: dict) -> tuple[list[tuple], dict]:
-        if at["page"] > 1 and at["cursor"] is None:  # the last page has been read
-            return [], at
-        body = self.fetch(feed, {self.name: at["cursor"]} if at["cursor"] else {})
-        if body is None:
-            return [], at
-        return [(feed, at["page"], body)], {"page": at["page"] + 1, "cursor": cursor_in(body, self.path)}
-
-    def read(self, start: dict):
-        rows, end = [], {}
-        for feed, at in start.items():
-            got, end[feed] = self._page(feed, at)
-            rows += got
-        return iter(rows), end
-
-    def readBetweenOffsets(self, start: dict, end: dict):
-        rows = []
-        for feed, at in start.items():
-            while at["page"] < end[feed]["page"]:
-                got, at = self._page(feed, at)
-                if not got:
-                    break
-                rows += got
-        return iter(rows)
+        return {f: 0 for f in self.feeds}
+
+    def _last(self, feed: str) -> tuple[int, bool]:
+        """The number of the feed's last finished span (-1 without one), and whether the feed ended there."""
+        numbers = self.marks.numbers(feed)
+        if not numbers:
+            return -1, False
+        mark = self.marks.get(feed, numbers[-1])
+        return numbers[-1], bool(mark and mark["ended"])
+
+    def latestOffset(self) -> dict:
+        last = {f: self._last(f) for f in self.feeds}
+        if self.asked_again is None:
+            self.asked_again = {f: n for f, (n, ended) in last.items() if ended}
+        return {f: n + 1 + (not ended or self.asked_again.get(f) == n) for f, (n, ended) in last.items()}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return [_Span(f, k) for f in end for k in range(start.get(f, 0), end[f])]
+
+    def read(self, part: _Span) -> Iterator[tuple]:
+        at = {"page": 1, "cursor": None, "last": None, "ended": False}
+        if part.number:
+            at = self.marks.get(part.feed, part.number - 1)
+            if at is None:
+                raise RuntimeError(f"the mark before span {part.number} of feed {part.feed!r} is gone: marks belong to one checkpoint")
+        known, first = self.marks.get(part.feed, part.number), at["page"]
+        if at["ended"]:
+            at = self._once_more(part.feed, at)
+        while not at["ended"] and (at["page"] < known["page"] if known else not self.most or at["page"] < first + self.most):
+            body = self._body(part.feed, at)
+            if body is None:
+                at = {**at, "ended": True}
+            else:
+                yield part.feed, self.pages.order(at["page"]), body
+                at = self._after(at, body)
+        if known is None:
+            self.marks.put(part.feed, part.number, at)
+        elif at["page"] != known["page"]:
+            raise RuntimeError(f"feed {part.feed!r} has fewer pages than when span {part.number} was first read")
+
+    def _body(self, feed: str, at: dict) -> str | None:
+        if self.pages.max_pages is not None and at["page"] > self.pages.max_pages:
+            return None
+        return self.pages.fetch(feed, self.pages.params(at["page"], at["cursor"]))
+
+    def _after(self, at: dict, body: str) -> dict:
+        more = self.pages.strategy != "none" and has_items(body, self.pages.data_key)
+        cursor = cursor_in(body, self.pages.cursor_path) if self.pages.strategy == "cursor" and more else None
+        if self.pages.strategy == "cursor":
+            more = cursor is not None
+        return {"page": at["page"] + 1, "cursor": cursor, "last": at["cursor"], "ended": not more}
+
+    def _once_more(self, feed: str, at: dict) -> dict:
+        """Where to go on in a feed that had ended: at a page that was not there, or behind one that led no further."""
+        if self.pages.strategy == "none":
+            return at
+        if self.pages.strategy != "cursor" or at["page"] == 1:
+            return {**at, "ended": False}
+        body = self.pages.fetch(feed, self.pages.params(at["page"] - 1, at["last"]))
+        cursor = None if body is None else cursor_in(body, self.pages.cursor_path)
+        return at if cursor is None else {**at, "cursor": cursor, "ended": False}
+
+    def commit(self, end: dict) -> None:
+        """The mark a feed's next span begins at stays."""
+        for feed, number in end.items():
+            self.marks.forget(feed, number - 1)
 
 
 def paged_source(fetch: Fetch, name: str = "paged") -> type[DataSource]:
@@ -145,7 +245,8 @@ def paged_source(fetch: Fetch, name: str = "paged") -> type[DataSource]:
 
     Options: ``strategy`` (none, page, offset, cursor), ``feeds`` (JSON list),
     ``limit``, ``max_pages`` (no cap unless given), ``tasks_per_feed``, ``data_key``,
-    ``<x>_param`` names, ``cursor_path``.
+    ``<x>_param`` names, ``cursor_path``. A stream takes two more: ``marks``, a folder of its own that driver and
+    executors share, and ``pages_per_batch`` (of each feed; 0 for all that there are).
     """
 
     class PagedSource(DataSource):
@@ -159,7 +260,7 @@ def paged_source(fetch: Fetch, name: str = "paged") -> type[DataSource]:
         def reader(self, schema) -> DataSourceReader:
             return _Reader(fetch, dict(self.options))
 
-        def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
-            return _CursorStream(fetch, dict(self.options))
+        def streamReader(self, schema) -> DataSourceStreamReader:
+            return _SpanStream(fetch, dict(self.options))
 
     return PagedSource

@@ -1,6 +1,7 @@
 """Response bodies: items, where a feed ends, paged sources."""
 
 import json
+import os
 
 import pytest
 from hypothesis import given, settings
@@ -141,24 +142,70 @@ def test_paged_source(spark, strategy, pages):
     assert values == ([10, 11] if strategy == "none" else [*[n * 10 + i for n in range(1, 7) for i in (0, 1)], 70])
 
 
-def test_cursor_stream(spark, folder):
-    bodies = BODIES
+@pytest.mark.parametrize("strategy", ["cursor", "offset"])
+def test_stream_of_spans(spark, folder, strategy):
+    """Spans of two pages, restarts, a feed that grows after its end, and a batch that is read twice."""
+    shown = f"{folder}/shown"
+    with open(shown, "w") as file:
+        file.write("4")
 
     def fetch(feed, params):
-        return bodies.get(int(params.get("cursor") or 1))
+        if feed == "none":
+            return None
+        with open(shown) as file:
+            last = int(file.read())
+        number = params["offset"] // 2 + 1 if "offset" in params else int(params.get("page") or params.get("cursor") or 1)
+        if number > last:
+            return None
+        return json.dumps({"data": [{"v": number}], "meta": {"next_cursor": str(number + 1) if number < last else None}})
+
+    name = f"spans_{strategy}"
+    spark.dataSource.register(paged_source(fetch, name))
+
+    def run():
+        stream = spark.readStream.format(name).options(
+            strategy=strategy, feeds='["a", "none", "b"]', pages_per_batch=2, limit=2, marks=f"{folder}/marks",
+        ).load()
+        # A batch has its own folder, so one that is read again replaces what it stored before.
+        stream.writeStream.foreachBatch(lambda b, n: b.write.mode("overwrite").parquet(f"{folder}/out/batch={n}")).option(
+            "checkpointLocation", f"{folder}/mark").trigger(availableNow=True).start().awaitTermination()
+        step = 2 if strategy == "offset" else 1
+        rows = spark.read.parquet(f"{folder}/out").collect()
+        return {f: sorted(r["page"] // step + (strategy == "offset") for r in rows if r["feed"] == f) for f in "ab"}
+
+    assert run() == {"a": [1, 2], "b": [1, 2]}
+    assert run() == {"a": [1, 2, 3, 4], "b": [1, 2, 3, 4]}
+    assert run() == {"a": [1, 2, 3, 4], "b": [1, 2, 3, 4]}
+    with open(shown, "w") as file:
+        file.write("5")
+    assert run() == {"a": [1, 2, 3, 4, 5], "b": [1, 2, 3, 4, 5]}
+    # A batch whose rows were stored but not committed is read once more: the same rows, though the feed has grown.
+    newest = max((f for f in os.listdir(f"{folder}/mark/commits") if f.isdigit()), key=int)
+    for gone in (newest, f".{newest}.crc"):
+        os.unlink(f"{folder}/mark/commits/{gone}")
+    with open(shown, "w") as file:
+        file.write("9")
+    assert run() == {"a": [1, 2, 3, 4, 5], "b": [1, 2, 3, 4, 5]}
+    assert spark.read.parquet(f"{folder}/out/batch={newest}").count() == 2
+    for _ in range(3):
+        got = run()
+    assert got == {"a": [*range(1, 10)], "b": [*range(1, 10)]}
+
+
+def test_stream_bodies_are_fetched_by_executors_only(spark, folder):
+    driver = os.getpid()
 
-    spark.dataSource.register(paged_source(fetch, "cursor_stream"))
-    stream = spark.readStream.format("cursor_stream").options(strategy="cursor", feeds='["a"]').load()
-    query = (
-        stream.writeStream.format("parquet").option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/mark").trigger(processingTime="100 milliseconds").start()
-    )
-    try:
-        for _ in range(60):
-            query.processAllAvailable()
-            if query.lastProgress and spark.read.schema("page bigint").parquet(f"{folder}/out").count() >= 7:
-                break
-    finally:
-        query.stop()
-    got = spark.read.parquet(f"{folder}/out")
-    assert sorted(r["page"] for r in got.collect()) == list(range(1, 8))
+    def fetch(feed, params):
+        assert os.environ.get("SPARK_EXECUTOR_DIRS") or os.getpid() != driver
+        with open(f"{folder}/{feed}-{params.get('cursor') or 1}-{os.getppid()}", "w"):
+            return BODIES.get(int(params.get("cursor") or 1))
+
+    spark.dataSource.register(paged_source(fetch, "counted_stream"))
+    stream = spark.readStream.format("counted_stream").options(
+        strategy="cursor", feeds='["a", "b"]', pages_per_batch=0, marks=f"{folder}/marks").load()
+    stream.writeStream.format("noop").option("checkpointLocation", f"{folder}/mark").trigger(availableNow=True).start().awaitTermination()
+    fetched = sorted(f.rsplit("-", 1)[0] for f in os.listdir(folder) if f[1] == "-")
+    assert fetched == sorted(f"{f}-{n}" for f in "ab" for n in range(1, 8))
+    with pytest.raises(Exception, match="marks"):
+        spark.readStream.format("counted_stream").options(strategy="cursor").load().writeStream.format("noop").option(
+            "checkpointLocation", f"{folder}/mark2").trigger(availableNow=True).start().awaitTermination()
