@@ -7,6 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from contract.base import RUN_TIME, RUN_TIME_SQL, fresh_database, load, query
+from contract.damage import damage
 from contract.workbooks import workbook_writer
 from millrace.session import new_folder
 from millrace.sources.files import file_inventory, read_files
@@ -160,6 +161,64 @@ def corrupt_file_skip(spark, sf_dir):
     return read_files(spark, f"{folder}/*", "*.csv", skip_errors=True)
 
 
+@query(
+    "delimited_comments",
+    """
+    SELECT c_custkey, c_name, c_acctbal, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS c_mktsegment FROM customer
+    """,
+)
+def delimited_comments(spark, sf_dir):
+    """Two layouts, each file with comment lines and a blank one before its header, and comments between its lines."""
+    customer, folder = load(spark, sf_dir, "customer"), new_folder(spark, "comments")
+    columns = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
+    for part, kept in ((0, columns), (1, columns[2::-1])):
+        # One group of consecutive keys is a file's text; lines are put together, so that their order holds.
+        lines = customer.filter(F.col("c_custkey") % 2 == part).select(
+            F.expr("c_custkey div 500").alias("block"), "c_custkey", F.concat_ws(";", *kept).alias("line"),
+        ).groupBy("block").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "line"))).alias("rows"))
+        body = F.array_join(F.transform("rows", lambda r: r["line"]), "\n# a remark; with; separators\n")
+        text = F.concat(F.lit("#exported\n\n# for; review\n"), F.lit(";".join(kept) + "\n"), body)
+        lines.select(text.alias("value"), "block").repartition("block").write.partitionBy("block").text(f"{folder}/{part}")
+    return read_files(
+        spark, f"{folder}/*/*", "*.txt", options={"delimiter": ";", "comment": "#", "dtype": {"c_name": "str", "c_mktsegment": "str"}}
+    )
+
+
+@query(
+    "columnar_widening",
+    """
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS line_no, CAST(l_quantity AS DOUBLE) AS quantity,
+           CASE WHEN l_linenumber % 3 <> 2 THEN l_returnflag END AS l_returnflag
+    FROM lineitem
+    """,
+)
+def columnar_widening(spark, sf_dir):
+    """Parquet and ORC files that hold a column as int, bigint or double, and of which some lack a column."""
+    lineitem, folder = load(spark, sf_dir, "lineitem"), new_folder(spark, "widths")
+    layouts = ((0, "parquet", "int", "int"), (1, "parquet", "bigint", "double"), (2, "parquet", "int", "bigint"), (0, "orc", "bigint", "int"), (1, "orc", "int", "double"))
+    for part, fmt, line, quantity in layouts:
+        mine = lineitem.filter((F.col("l_linenumber") % 3 == part) & ((F.col("l_orderkey") % 2 == 0) == (fmt == "parquet") if part < 2 else F.lit(True)))
+        mine.select(
+            "l_orderkey", F.col("l_linenumber").cast(line).alias("line_no"), F.col("l_quantity").cast(quantity).alias("quantity"),
+            *(["l_returnflag"] if part < 2 else []),
+        ).write.format(fmt).save(f"{folder}/{fmt}-{part}")
+    return read_files(spark, f"{folder}/*")
+
+
+@query("corrupt_columnar_skip", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment NOT IN ('MACHINERY', 'BUILDING')")
+def corrupt_columnar_skip(spark, sf_dir):
+    """Parquet and ORC files of which one segment's are damaged in the last row group, or stripe: those are dropped whole."""
+    customer, folder = load(spark, sf_dir, "customer"), new_folder(spark, "damaged")
+    for fmt, odd in (("parquet", 1), ("orc", 0)):
+        mine = customer.filter(F.col("c_custkey") % 2 == odd).select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+        mine.write.options(**{"parquet.block.size": 4096, "parquet.block.size.row.check.min": 20}).format(fmt).partitionBy(
+            "c_mktsegment").save(f"{folder}/{fmt}")
+        for segment in ("MACHINERY", "BUILDING"):
+            files = spark.read.format("binaryFile").load(f"{folder}/{fmt}/c_mktsegment={segment}").select("path")
+            files.mapInArrow(damage(fmt), "path string").write.format("noop").mode("overwrite").save()
+    return read_files(spark, f"{folder}/*/*", skip_errors=True)
+
+
 @query(
     "file_inventory",
     "SELECT c_mktsegment AS segment, count(*) AS row_count FROM customer GROUP BY c_mktsegment",

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.coerce import NULL_WORDS, NUMBER_PATTERN, null_words_to_null, ntz, to_timestamp, utc_ntz
 from millrace.session import settle, sized
+from millrace.sources.opened import broken_files, footers, header_lines, layouts, listed, one_of_each_layout, openable
 from millrace.sources.workbook import read_workbooks
 from millrace.sources.xmltags import path_rows
 
@@ -179,27 +180,36 @@ def _without_files(df: DataFrame, files: DataFrame) -> DataFrame:
 # --- delimited text -------------------------------------------------------------------------
 
 
-def _layouts(spark, path, glob, sep, quote, encoding, modified_after, comment=None) -> DataFrame:
-    """``(file, header)`` for every file, the header as a list of column names.
+def _first_lines(spark, path, glob, encoding, modified_after, comment=None) -> DataFrame:
+    """``(file, line)``: the first line of each file that is neither blank nor a comment.
 
-    Lines keep their order inside a split and the first split of a file starts at
-    byte 0, so the header is the first line by running id among those lines.
+    Tasks open the files and read up to that line. Where the file system is one that only Spark knows, the lines of
+    every first split are read: they keep their order, and the split begins at byte 0.
     """
+    files = listed(_scan(spark, glob, modified_after), path)
+    if openable(files):
+        return header_lines(files, encoding, comment).select(F.col("path").alias(_PATH), "line")
     lines = (
         _scan(spark, glob, modified_after, sep=_MARK, quote="", header=False, encoding=encoding)
         .schema("line string")
         .csv(path)
-        .select("line", F.col("_metadata.file_path").alias(_PATH), F.col("_metadata.file_block_start").alias("at"))
+        .select(
+            F.regexp_replace("line", "^\ufeff", "").alias("line"), F.col("_metadata.file_path").alias(_PATH),
+            F.col("_metadata.file_block_start").alias("at"),
+        )
         .filter("at = 0")
         .filter(~F.startswith("line", F.lit(comment)) if comment else F.lit(True))
         .withColumn("n", F.monotonically_increasing_id())
     )
-    header = lines.groupBy(_PATH).agg(F.min_by("line", "n").alias("line"))
+    return lines.groupBy(_PATH).agg(F.min_by("line", "n").alias("line"))
+
+
+def _layouts(spark, path, glob, sep, quote, encoding, modified_after, comment=None) -> DataFrame:
+    """``(file, header)`` for every file, the header as a list of column names."""
+    header = _first_lines(spark, path, glob, encoding, modified_after, comment)
     # A field is quoted, or runs up to the next separator.
     q, one = re.escape(quote or "\x00"), re.escape(sep)
-    fields = F.regexp_extract_all(
-        F.regexp_replace("line", "^\ufeff", ""), F.lit(f"(?:^|{one})({q}(?:[^{q}]|{q}{q})*{q}|[^{one}]*)"), F.lit(1)
-    )
+    fields = F.regexp_extract_all("line", F.lit(f"(?:^|{one})({q}(?:[^{q}]|{q}{q})*{q}|[^{one}]*)"), F.lit(1))
     bare = F.transform(
         fields, lambda c: F.replace(F.regexp_replace(c, f"^{q}|{q}$", ""), F.lit(quote * 2), F.lit(quote)) if quote else c
     )
@@ -517,17 +527,101 @@ def _read_xml(spark, path, glob, kind, options, encoding, skip_errors, modified_
 # --- columnar and workbook ------------------------------------------------------------------
 
 
+# Numeric types from narrow to wide; a column of several takes the widest.
+_WIDTHS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def wider(name: str, types: set[str]) -> str:
+    """The type that holds values of all these types: the wider number, timestamp over date, text for scalars of other kinds."""
+    if len(types) == 1:
+        return next(iter(types))
+    if types <= set(_WIDTHS):
+        widest = max(types, key=_WIDTHS.index)
+        return "double" if widest == "float" and types & {"int", "bigint"} else widest
+    decimals = [T.DataType.fromDDL(t) for t in types if t.startswith("decimal")]
+    if decimals and all(t.startswith("decimal") or t in _WIDTHS for t in types):
+        if types & {"float", "double"}:
+            return "double"
+        digits = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+        whole = max([d.precision - d.scale for d in decimals] + [digits[t] for t in types if t in digits])
+        scale = max(d.scale for d in decimals)
+        return f"decimal({whole + scale},{scale})" if whole + scale <= 38 else "double"
+    if types <= {"date", "timestamp", "timestamp_ntz"}:
+        return "timestamp" if "timestamp" in types else "timestamp_ntz"
+    nested = sorted(t for t in types if t.startswith(("struct", "array", "map", "binary", "variant")))
+    if nested:
+        raise ValueError(f"column {name} has types that do not combine: {sorted(types)}")
+    return "string"
+
+
+def _widened(parts: list[DataFrame]) -> DataFrame:
+    """Rows of all parts under one schema, each column in the type that holds its types."""
+    types: dict[str, set[str]] = {}
+    for part in parts:
+        for field in part.schema.fields:
+            types.setdefault(field.name, set()).add(field.dataType.simpleString())
+    target = {name: wider(name, found) for name, found in types.items()}
+
+    def cast(part: DataFrame) -> DataFrame:
+        own = dict(part.dtypes)
+        return part.select(*[
+            F.col(f"`{c}`") if own[c] == target[c] else F.col(f"`{c}`").cast(target[c]).alias(c) for c in part.columns
+        ])
+
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(cast, parts))
+
+
+# Broken files up to this number are left out of the listing by name.
+MOST_NAMED = 500
+
+
 def _columnar(fmt: str) -> Callable[..., DataFrame]:
     def read(spark, path, glob, kind, options, encoding, skip_errors, modified_after) -> DataFrame:
+        """One scan with Spark's merged schema; where types differ between files, one scan for each layout, widened.
+
+        With ``skip_errors`` every row group is read once before, side by side, and files with a broken one are left
+        out whole: by name in the listing, which keeps the scan strict, or, beyond ``MOST_NAMED`` of them, by a join
+        behind a scan that passes over what is broken. Avro, and files that only Spark's readers can open, are left
+        to ``ignoreCorruptFiles``.
+        """
         opts = dict(options)
         schema = opts.pop("schema", None)
         merge = opts.pop("merge_schema", True)
         if opts:
             raise ValueError(f"unknown {fmt} options {sorted(opts)}")
-        reader = _scan(spark, glob, modified_after, mergeSchema=merge, ignoreCorruptFiles=skip_errors).format(fmt)
-        if schema is not None:
-            reader = reader.schema(_struct(schema))
-        return reader.load(path).withColumn(_PATH, F.col("_metadata.file_path"))
+
+        def scan(paths, given=None, ignore=False):
+            reader = _scan(spark, glob, modified_after, mergeSchema=merge, ignoreCorruptFiles=ignore).format(fmt)
+            reader = reader if given is None else reader.schema(_struct(given))
+            return reader.load(paths).withColumn(_PATH, F.col("_metadata.file_path"))
+
+        files = listed(_scan(spark, glob, modified_after), path)
+        if fmt == "avro" or not openable(files):
+            return scan(path, schema, skip_errors)
+        if not skip_errors:
+            try:
+                return scan(path, schema)
+            except Exception as err:
+                if "CANNOT_MERGE_SCHEMA" not in str(err):
+                    raise
+            return _widened([scan(paths) for paths in layouts(settle(footers(files, fmt), "footers"))])
+        seen = settle(footers(files, fmt), "footers")
+        bad = settle(broken_files(seen, fmt), "broken").select(F.col("path").alias(_PATH))
+        good = seen.join(bad, F.col("path") == F.col(_PATH), "left_anti")
+        if schema is None:
+            some = one_of_each_layout(good)
+            if not some:
+                return spark.createDataFrame([], T.StructType([]))
+            try:
+                schema = scan(some).drop(_PATH).schema
+            except Exception as err:
+                if "CANNOT_MERGE_SCHEMA" not in str(err):
+                    raise
+                return _widened([scan(paths) for paths in layouts(good)])
+        named = [r[0] for r in bad.limit(MOST_NAMED + 1).collect()]
+        if len(named) > MOST_NAMED:
+            return _without_files(scan(path, schema, ignore=True), bad)
+        return scan(path, schema).filter(~F.col(_PATH).isin(named)) if named else scan(path, schema)
 
     return read
 

@@ -1,13 +1,17 @@
 """File scans on small folders: shapes, edge cases, broken files."""
 
+import gzip
 import os
 import zipfile
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
-from millrace.sources.files import file_inventory, read_files
+from millrace.sources import files as files_module
+from millrace.sources import opened
+from millrace.sources.files import file_inventory, read_files, wider
 
 
 def put(folder, name, text):
@@ -307,3 +311,86 @@ def test_workbooks(spark, folder):
     assert rows(read_files(spark, folder, "*.xlsx", options=opts, skip_errors=True), "n") == [(1.0,), (2.5,)]
     with pytest.raises(Exception, match="cannot parse"):
         read_files(spark, folder, "*.xlsx", options=opts).collect()
+
+
+# --- facts found by opening files -------------------------------------------------------------------------------
+
+
+def test_headers_are_read_from_the_first_bytes(spark, folder):
+    big = "a;b\n" + "1;2\n" * 500_000
+    pre = "\ufeff# note\n\n  \n#more; or less\n"
+    put(folder, "a.csv", pre + big)
+    put(folder, "b %41.csv", big.replace("\n", "\r\n"))
+    put(folder, "c.csv", "#" + "x" * 200_000 + "\nb;c\n3;4\n")
+    put(folder, "d.csv", "# only remarks\n")
+    put(folder, "e.csv", "b;a")
+    with gzip.open(f"{folder}/f.csv.gz", "wt") as file:
+        file.write("a;b\n5;6\n")
+    files = opened.listed(spark.read, folder)
+    assert opened.openable(files) and opened.openable(files.limit(0))
+    got = {r["path"].rsplit("/", 1)[1]: (r["line"], r["bytes_read"]) for r in opened.header_lines(files, "utf-8", "#").collect()}
+    assert {k: v[0] for k, v in got.items()} == {"a.csv": "a;b", "b%20%2541.csv": "a;b", "c.csv": "b;c", "e.csv": "b;a", "f.csv.gz": "a;b"}
+    assert got["a.csv"][1] <= opened.BLOCK_BYTES and got["b%20%2541.csv"][1] <= opened.BLOCK_BYTES and got["c.csv"][1] <= 200_000 + 2 * opened.BLOCK_BYTES
+    rows = read_files(spark, folder, "*.csv*", "csv", {"delimiter": ";", "comment": "#"})
+    assert sorted(rows.columns) == ["a", "b", "c"] and rows.count() == 1_000_002
+    assert rows.filter("c = 4 AND b = 3 AND a IS NULL").count() == 1
+
+
+def test_header_in_wide_encoding(spark, folder):
+    with open(f"{folder}/a.csv", "w", encoding="utf-16") as file:
+        file.write("å,b\n1,2\n")
+    files = opened.listed(spark.read, folder)
+    assert [r["line"] for r in opened.header_lines(files, "utf-16").collect()] == ["å,b"]
+
+
+def part(spark, folder, name, fmt, **columns):
+    spark.range(3).select(*[F.expr(x).alias(c) for c, x in columns.items()]).coalesce(1).write.format(fmt).save(f"{folder}/{name}")
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_columns_of_several_types_are_widened(spark, folder, fmt):
+    part(spark, folder, "a", fmt, k="cast(id AS int)", d="cast(id AS decimal(5,2))", t="date'2024-01-01'", s="cast(id AS string)", n="named_struct('x', id)")
+    part(spark, folder, "b", fmt, k="id", d="cast(id AS decimal(9,1))", t="timestamp_ntz'2024-01-01 10:00:00'", s="id", extra="'z'")
+    part(spark, folder, "c", fmt, k="cast(id AS double) / 2", d="id", s="true")
+    part(spark, folder, "d", fmt, k="cast(id AS smallint)")
+    got = read_files(spark, f"{folder}/*", f"*.{fmt}", fmt)
+    assert dict(got.dtypes) == {
+        "k": "double", "d": "decimal(21,2)", "t": "timestamp_ntz", "s": "string", "n": "struct<x:bigint>", "extra": "string",
+    }
+    assert sorted(r["k"] for r in got.collect()) == sorted([*range(3)] * 3 + [0, 0.5, 1]) and got.count() == 12
+    assert got.filter("s = 'true'").count() == 3 and got.filter("extra = 'z' AND t = '2024-01-01 10:00:00'").count() == 3
+    part(spark, folder, "e", fmt, n="array(id)")
+    with pytest.raises(ValueError, match="do not combine"):
+        read_files(spark, f"{folder}/*", f"*.{fmt}", fmt)
+
+
+def test_wider_types():
+    assert wider("c", {"int", "float"}) == "double" and wider("c", {"smallint", "float"}) == "float"
+    assert wider("c", {"decimal(10,2)", "bigint"}) == "decimal(21,2)" and wider("c", {"decimal(38,2)", "decimal(38,20)"}) == "double"
+    assert wider("c", {"date", "timestamp"}) == "timestamp" and wider("c", {"boolean", "int"}) == "string"
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+@pytest.mark.parametrize("named", [500, 0])
+def test_files_broken_anywhere_are_left_out_whole(spark, folder, monkeypatch, fmt, named):
+    """Damage in the last of several row groups, a cut file, one that is something else; the scan of the rest stays strict."""
+    from contract.damage import damage
+
+    monkeypatch.setattr(files_module, "MOST_NAMED", named)
+    wide = spark.range(4000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    for name in "abc":
+        wide.coalesce(1).write.options(**{"parquet.block.size": 4096, "parquet.block.size.row.check.min": 50, "orc.stripe.size": 8192}).format(
+            fmt).save(f"{folder}/{name}")
+    bad = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").load(f"{folder}/a").select("path")
+    bad.mapInArrow(damage(fmt), "path string").collect()
+    (cut,) = [f"{folder}/b/{f}" for f in os.listdir(f"{folder}/b") if f.endswith(fmt) and not f.startswith(".")]
+    os.truncate(cut, os.path.getsize(cut) * 2 // 3)
+    put(folder, f"c/other.{fmt}", "not a table")
+    files = opened.listed(spark.read.option("pathGlobFilter", f"*.{fmt}"), f"{folder}/*")
+    seen = opened.footers(files, fmt)
+    assert fmt == "orc" or seen.agg(F.max("units")).first()[0] > 1
+    assert opened.broken_files(seen, fmt).count() == 3
+    got = read_files(spark, f"{folder}/*", f"*.{fmt}", fmt, skip_errors=True)
+    assert got.count() == 4000 and got.select("v").distinct().count() == 4000
+    with pytest.raises(Exception):
+        read_files(spark, f"{folder}/*", f"*.{fmt}", fmt).count()
