@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contract.base import load, query
+from contract.base import RUN_TIME, fresh_database, load, query
 from millrace.operators.checks import header_drift
+from millrace.plans.pipeline import run
 from millrace.sources.html import (
     next_page_link,
     read_anchors,
@@ -15,6 +16,7 @@ from millrace.sources.html import (
     select_first,
     table_headers,
 )
+from millrace.sources.lists import read_listed_tables
 
 # A rendered page holds the rows of 50 consecutive unique keys.
 _PAGE = 50
@@ -85,7 +87,7 @@ def html_titles(spark, sf_dir):
     SELECT page_id,
            CASE WHEN page_id % 3 = 0 THEN 'https://host.example/reg/list?page=' || CAST(page_id + 1 AS VARCHAR)
                 WHEN page_id % 3 = 1 THEN 'https://host.example/next/' || CAST(page_id AS VARCHAR) END AS next_url,
-           CASE WHEN page_id % 3 = 2 THEN '/p/' || CAST(page_id AS VARCHAR) END AS declared_url
+           CASE WHEN page_id % 3 = 2 THEN 'further/' || CAST(page_id AS VARCHAR) END AS declared_url
     FROM pages
     """,
 )
@@ -97,16 +99,83 @@ def html_next_links(spark, sf_dir):
         F.col("page_id"), F.col("page_id") + 1,
     )
     word = F.format_string('<ul class=pagination><li><a>2</a><li><a href="/next/%d">Nästa</a></ul>', "page_id")
-    other = F.format_string('<ul class="pages"><li><a class="pagination-next" href="/p/%d">Nästa</a></ul>', "page_id")
+    other = F.format_string('<nav><em rel="onward"><b data-to="further/%d">Nästa</b></em></nav>', "page_id")
     bar = F.when(kind == 0, number).when(kind == 1, word).otherwise(other)
     pages = load(spark, sf_dir, "pages").select("page_id", F.replace("html", F.lit("<body>"), F.concat(F.lit("<body>"), bar)).alias("html"))
     return pages.select(
         "page_id",
         next_page_link(F.col("html"), F.col("page_id"), "https://host.example/reg/").alias("next_url"),
-        select_first(F.col("html"), "//a[@class='pagination-next']/@href").alias("declared_url"),
+        select_first(F.col("html"), "//em[@rel='onward']/b/@data-to").alias("declared_url"),
     )
 
 
+# Lists of 20 landed pages. Lists with an odd number have a page without records at 12, the others no link from 15 on.
+_LIST = 20
+_ON_LIST = "page <= 15 AND NOT (list % 2 = 1 AND page >= 12)"
+
+
+def _address(page_id):
+    """A page's URL says nothing about its place."""
+    return F.concat(F.lit("https://host.example/reg/"), F.md5(page_id.cast("string")))
+
+
+def _numbered(pages):
+    return pages.withColumns({
+        "list": F.expr(f"page_id div {_LIST}"), "page": F.col("page_id") % _LIST + 1, "url": _address(F.col("page_id")),
+        "next": F.md5((F.col("page_id") + 1).cast("string")),
+    })
+
+
+@query(
+    "html_pages_until_last",
+    f"""
+    SELECT list, page, page AS place, "Key", details_link FROM (
+        SELECT c_custkey // 50 // 20 AS list, (c_custkey // 50) % 20 + 1 AS page, CAST(c_custkey AS VARCHAR) AS "Key",
+               CASE WHEN c_mktsegment = 'BUILDING' THEN '/d/' || CAST(c_custkey AS VARCHAR) END AS details_link
+        FROM customer WHERE c_acctbal >= 0
+    ) WHERE {_ON_LIST}
+    """,
+)
+def html_pages_until_last(spark, sf_dir):
+    """Table pages of many lists, in no order: each list ends at a page without records or without a next link."""
+    pages = _numbered(_customer_pages(spark, sf_dir))
+    by_number = F.format_string('<ul class="pagination"><li><a href="%s">%d</a></ul>', "next", F.col("page") + 1)
+    by_word = F.format_string("<ul class='pagination'><li><a href='%s'>Nästa</a></ul>", "next")
+    bar = F.when((F.col("page") == 15) & (F.col("list") % 2 == 0), "").when(F.col("page") % 2 == 0, by_number).otherwise(by_word)
+    body = F.when((F.col("page") == 12) & (F.col("list") % 2 == 1), "<p>Inga</p>").otherwise(F.col("html"))
+    landed = pages.select("list", "page", "url", F.concat(body, bar).alias("html"))
+    return read_listed_tables(landed, ["Key"], ["list", "page"], F.col("page") == 1, feed="list").drop("row_no")
+
+
+@query(
+    "html_declared_list",
+    f"""
+    SELECT list, page, CAST(p_partkey AS VARCHAR) AS code FROM (
+        SELECT p_partkey // 50 // 20 AS list, (p_partkey // 50) % 20 + 1 AS page, p_partkey FROM part
+    ) WHERE {_ON_LIST}
+    """,
+)
+def html_declared_list(spark, sf_dir):
+    """A job over landed pages that declares its items and its next link by selectors."""
+    pages = _numbered(_part_cards(spark, sf_dir))
+    ended = (F.col("page") == 15) & (F.col("list") % 2 == 0)
+    onward = F.when(ended, "").otherwise(F.format_string("<footer><u data-step='on'><a href='%s'>fler</a></u></footer>", "next"))
+    body = F.when((F.col("page") == 12) & (F.col("list") % 2 == 1), "<main></main>").otherwise(F.col("html"))
+    database = fresh_database(spark)
+    pages.select(F.col("list").alias("feed"), "list", "page", "url", F.concat(body, onward).alias("html")).write.saveAsTable(
+        f"{database}.landed"
+    )
+    run(spark, {
+        "job_id": "cards", "loader": {"database": database, "table": "stored"},
+        "source": {
+            "type": "web_scraper", "table": f"{database}.landed", "keep": ["list", "page"],
+            "pagination": {"enabled": True, "next_page_xpath": "//u[@data-step='on']/a/@href"},
+            "extraction": {"item_xpath": "//li[@data-card='part']", "fields": {"code": "./@data-code"}},
+        },
+    }, RUN_TIME)
+    return spark.table(f"{database}.stored")
+
+
 @query(
     "html_sections",
     """
@@ -131,40 +200,36 @@ def html_sections(spark, sf_dir):
     return read_sections(pages, ["page_id"])
 
 
+def _part_cards(spark, sf_dir):
+    """Parts as list items with an attribute, a heading, a definition pair that some lack, and a machine-readable day."""
+    part = load(spark, sf_dir, "part")
+    card = F.format_string(
+        "<li data-card='part' data-code='%d'><h4 id=n%d>%s</h4>%s<time datetime='2024-01-%s'>i år</time>",
+        F.col("p_partkey"), F.col("p_partkey"), F.col("p_name"),
+        F.when(F.col("p_size") > 10, F.format_string("<dl><dt>mått</dt><dd data-unit='cm'> %d,5 </dd></dl>", "p_size")).otherwise(""),
+        F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0"),
+    )
+    cards = F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", card.alias("h")))), lambda r: r["h"])
+    return part.groupBy(F.expr(f"p_partkey div {_PAGE}").alias("page_id")).agg(
+        F.concat(F.lit("<main><ol>"), F.array_join(cards, "</li>"), F.lit("</li></ol></main>")).alias("html")
+    )
+
+
 @query(
     "html_fields",
     """
-    SELECT p_partkey // 50 AS page_id, CAST(p_partkey % 50 AS INTEGER) AS item_no, p_name AS product_name,
-           CAST(p_size AS VARCHAR) || ',5' AS price, CASE WHEN p_size > 10 THEN 'SEK' END AS currency,
-           '2024-01-' || lpad(CAST(p_size % 28 + 1 AS VARCHAR), 2, '0') AS updated_date
+    SELECT p_partkey // 50 AS page_id, CAST(p_partkey % 50 AS INTEGER) AS item_no, CAST(p_partkey AS VARCHAR) AS code,
+           p_name AS heading, CASE WHEN p_size > 10 THEN CAST(p_size AS VARCHAR) || ',5' END AS extent,
+           '2024-01-' || lpad(CAST(p_size % 28 + 1 AS VARCHAR), 2, '0') AS seen_on
     FROM part
     """,
 )
 def html_fields(spark, sf_dir):
-    """Declared extraction: a field map of selectors over product items."""
-    part = load(spark, sf_dir, "part")
-    item = F.format_string(
-        "<div class='product-item'><h3 class='product-title'>%s</h3><p><span class='price'> %d,5 </span>%s"
-        "<meta itemprop='dateModified' content='2024-01-%s'></div>",
-        F.col("p_name"), F.col("p_size"),
-        F.when(F.col("p_size") > 10, "<span class='currency'>SEK</span>").otherwise(""),
-        F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0"),
-    )
-    items = F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", item.alias("h")))), lambda r: r["h"])
-    pages = part.groupBy(F.expr(f"p_partkey div {_PAGE}").alias("page_id")).agg(
-        F.concat(F.lit("<main>"), F.array_join(items, ""), F.lit("</main>")).alias("html")
-    )
-    return read_items(
-        pages,
-        "//div[@class='product-item']",
-        {
-            "product_name": ".//h3[@class='product-title']/text()",
-            "price": ".//span[@class='price']/text()",
-            "currency": ".//span[@class='currency']/text()",
-            "updated_date": ".//meta[@itemprop='dateModified']/@content",
-        },
-        ["page_id"],
-    )
+    """Declared extraction: a map of selectors over the items of a list."""
+    fields = {
+        "code": "./@data-code", "heading": "./h4/text()", "extent": ".//dd[@data-unit='cm']/text()", "seen_on": ".//time/@datetime",
+    }
+    return read_items(_part_cards(spark, sf_dir), "//li[@data-card='part']", fields, ["page_id"])
 
 
 @query(

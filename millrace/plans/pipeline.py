@@ -37,6 +37,7 @@ from millrace.sinks import jdbc as jdbc_sink
 from millrace.sinks.tables import stored_days, table_exists, write_table
 from millrace.sources.files import read_files
 from millrace.sources.html import read_items, read_table_pages
+from millrace.sources.lists import read_listed_items, read_listed_tables
 from millrace.sources.payloads import DEFAULT_LIMIT, explode_items, take_pages, with_items
 from millrace.sources.tables import catalog_table, extract_table, jdbc_query, jdbc_table, run_sql
 
@@ -200,16 +201,33 @@ def _api_source(spark: SparkSession, cfg: dict, run_time: datetime) -> DataFrame
 
 
 def _scraper_source(spark: SparkSession, cfg: dict, run_time: datetime) -> DataFrame:
+    """Records of all landed pages, or, with ``pagination``, of those on their list.
+
+    A list begins where ``first_page`` holds: at ``base_url`` if that is given, else at page 1.
+    """
     pages, keep = _bodies(spark, cfg), list(cfg.get("keep", []))
-    extraction = cfg.get("extraction")
+    extraction, paging, html = cfg.get("extraction"), cfg.get("pagination") or {}, cfg.get("html", "html")
+    listed = {}
+    if paging and paging.get("enabled", True):
+        url, feed = cfg.get("url", "url"), cfg.get("feed", "feed")
+        first = cfg.get("first_page") or (F.col(url) == cfg["base_url"] if cfg.get("base_url") else "page = 1")
+        listed = {
+            "first": F.expr(first) if isinstance(first, str) else first, "html": html, "url": url,
+            "feed": feed if feed in pages.columns else None, "base_url": cfg.get("base_url"),
+            "sequence": cfg.get("sequence"), "max_pages": paging.get("max_pages"),
+        }
     if extraction:
-        rows = read_items(
-            pages, extraction["item_xpath"], extraction["fields"], keep, cfg.get("html", "html"),
-            extraction.get("table_xpath"),
-        ).drop("item_no")
+        item, fields, table = extraction["item_xpath"], extraction["fields"], extraction.get("table_xpath")
+        if listed:
+            rows = read_listed_items(pages, item, fields, paging.get("next_page_xpath"), keep, table_path=table, **listed)
+        else:
+            rows = read_items(pages, item, fields, keep, html, table)
+        return rows.drop("item_no", "place")
+    if listed:
+        rows = read_listed_tables(pages, list(cfg["columns"]), keep, page=cfg.get("page", "page"), **listed)
     else:
-        rows = read_table_pages(pages, list(cfg["columns"]), keep, cfg.get("html", "html")).drop("row_no")
-    return rows
+        rows = read_table_pages(pages, list(cfg["columns"]), keep, html)
+    return rows.drop("row_no", "place")
 
 
 for _name in ("file", "csv", "excel", "json", "xml", "parquet", "avro", "orc"):

@@ -119,7 +119,7 @@ class _TreeBuilder(HTMLParser):
         self.open[-1].parts.append(_Node("template", {}))  # keeps neighbours apart, is no content
 
 
-def _tree(html: str) -> _Node:
+def parse(html: str) -> _Node:
     builder = _TreeBuilder()
     try:
         builder.feed(html)
@@ -135,7 +135,7 @@ def _link(scope: _Node, label: str) -> str | None:
     return anchor.attrs.get("href") if anchor else None
 
 
-def _table_records(root: _Node, link_label: str) -> list[dict]:
+def table_records_of(root: _Node, link_label: str) -> list[dict]:
     table = root.find("table")
     lines = table.find_all("tr") if table else []
     if not lines:
@@ -150,13 +150,13 @@ def _table_records(root: _Node, link_label: str) -> list[dict]:
     return out
 
 
-def _table_headers(root: _Node) -> list[str] | None:
+def table_titles(root: _Node) -> list[str] | None:
     table = root.find("table")
     first = table.find("tr") if table else None
     return [th.text() for th in first.find_all("th")] if first else None
 
 
-def _next_link(root: _Node, page: int, label: str, base: str) -> str | None:
+def next_link(root: _Node, page: int, label: str, base: str) -> str | None:
     bar = root.find("ul", "pagination")
     if bar is None:
         return None
@@ -187,7 +187,7 @@ _STEP = re.compile(
 )
 
 
-def _steps(path: str) -> list[dict]:
+def selector(path: str) -> list[dict]:
     text, at, out = path.lstrip("."), 0, []
     while at < len(text):
         found = _STEP.match(text, at)
@@ -200,7 +200,7 @@ def _steps(path: str) -> list[dict]:
 
 def _select(scopes: list[_Node], path: str) -> list:
     """Elements, or strings when the path ends in ``text()`` or ``@attribute``."""
-    for step in _steps(path):
+    for step in selector(path):
         if step["attr"]:
             return [n.attrs[step["attr"]] for n in scopes if step["attr"] in n.attrs]
         if step["text"]:
@@ -217,7 +217,7 @@ def _select(scopes: list[_Node], path: str) -> list:
     return scopes
 
 
-def _fields(root: _Node, table: str | None, item: str, fields: dict[str, str]) -> list[list[tuple[str, str | None]]]:
+def field_records(root: _Node, table: str | None, item: str, fields: dict[str, str]) -> list[list[tuple[str, str | None]]]:
     scopes = _select([root], table) if table else [root]
     out = []
     for node in _select(scopes, item if item.startswith((".", "/")) else f".//{item}"):
@@ -231,24 +231,24 @@ def _fields(root: _Node, table: str | None, item: str, fields: dict[str, str]) -
     return out
 
 
-def _first_string(root: _Node, path: str) -> str | None:
+def first_string(root: _Node, path: str) -> str | None:
     hits = _select([root], path)
     return hits[0] if hits and isinstance(hits[0], str) else None
 
 
-_ROWS = "array<struct<row_no:int,cells:map<string,string>,details_link:string>>"
-_ROWS_ARROW = pa.list_(
-    pa.struct(
-        [("row_no", pa.int32()), ("cells", pa.map_(pa.string(), pa.string())), ("details_link", pa.string())]
-    )
-)
 _TEXTS_ARROW = pa.map_(pa.string(), pa.string())
+# Table rows and declared items, as Spark and as Arrow write their types.
+ROWS = (
+    "array<struct<row_no:int,cells:map<string,string>,details_link:string>>",
+    pa.list_(pa.struct([("row_no", pa.int32()), ("cells", _TEXTS_ARROW), ("details_link", pa.string())])),
+)
+ITEMS = ("array<map<string,string>>", pa.list_(_TEXTS_ARROW))
 
 
 def _over_pages(fn: Callable[[_Node], object], ddl: str, arrow: pa.DataType, html: Column) -> Column:
     @F.arrow_udf(ddl)
     def run(pages: pa.Array) -> pa.Array:
-        return pa.array([None if p is None else fn(_tree(p)) for p in pages.to_pylist()], type=arrow)
+        return pa.array([None if p is None else fn(parse(p)) for p in pages.to_pylist()], type=arrow)
 
     return run(html)
 
@@ -259,12 +259,12 @@ def table_records(html: Column, link_label: str = "Anmälan") -> Column:
     Titles are the ``th`` texts of the first row; a later row counts if it has as
     many ``td`` cells as there are titles.
     """
-    return _over_pages(lambda root: _table_records(root, link_label), _ROWS, _ROWS_ARROW, html)
+    return _over_pages(lambda root: table_records_of(root, link_label), *ROWS, html)
 
 
 def table_headers(html: Column) -> Column:
     """Titles of the page's first table; NULL without a table."""
-    return _over_pages(_table_headers, "array<string>", pa.list_(pa.string()), html)
+    return _over_pages(table_titles, "array<string>", pa.list_(pa.string()), html)
 
 
 def detail_sections(html: Column) -> Column:
@@ -281,7 +281,7 @@ def next_page_link(html: Column, page: Column, base_url: str = "", label: str =
     def run(pages: pa.Array, numbers: pa.Array) -> pa.Array:
         return pa.array(
             [
-                None if p is None or n is None else _next_link(_tree(p), n, label, base_url)
+                None if p is None or n is None else next_link(parse(p), n, label, base_url)
                 for p, n in zip(pages.to_pylist(), numbers.to_pylist())
             ],
             pa.string(),
@@ -292,8 +292,8 @@ def next_page_link(html: Column, page: Column, base_url: str = "", label: str =
 
 def select_first(html: Column, path: str) -> Column:
     """First string a selector finds, such as ``//a[@class='pagination-next']/@href``."""
-    _steps(path)
-    return _over_pages(lambda root: _first_string(root, path), "string", pa.string(), html)
+    selector(path)
+    return _over_pages(lambda root: first_string(root, path), "string", pa.string(), html)
 
 
 def select_items(html: Column, item_path: str, fields: dict[str, str], table_path: str | None = None) -> Column:
@@ -303,13 +303,10 @@ def select_items(html: Column, item_path: str, fields: dict[str, str], table_pat
     ending in an element, ``text()`` or ``@attr``.
     """
     for path in [*fields.values(), *([table_path] if table_path else [])]:
-        _steps(path)
+        selector(path)
     fields = dict(fields)
     return _over_pages(
-        lambda root: _fields(root, table_path, item_path, fields),
-        "array<map<string,string>>",
-        pa.list_(_TEXTS_ARROW),
-        html,
+        lambda root: field_records(root, table_path, item_path, fields), *ITEMS, html
     )
 
 

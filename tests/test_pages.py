@@ -12,6 +12,7 @@ from millrace.sources.html import (
     table_headers,
     table_records,
 )
+from millrace.sources.lists import follow, item_parts, table_parts
 
 
 def one(spark, html, column):
@@ -104,3 +105,57 @@ def test_other_columns_do_not_pass_through_python(spark):
     df = spark.createDataFrame([(1, "wide", "<a href=x>y</a>")], "id int, other string, html string")
     plan = df.select("id", "other", anchors(F.col("html")))._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan
+
+
+# --- lists over several pages -------------------------------------------------------------------------------
+
+
+def listing(spark, rows):
+    """``(feed, page, url, records, next)`` as landed pages."""
+    made = [
+        (feed, page, url, "<table><tr><th>K</th></tr>" + "".join(f"<tr><td>{url}{i}</td></tr>" for i in range(records)) + "</table>"
+         + (f"<ul class=pagination><li><a href='{onward}'>Nästa</a></ul>" if onward else ""))
+        for feed, page, url, records, onward in rows
+    ]
+    return spark.createDataFrame(made, "feed string, page long, url string, html string")
+
+
+def places(frame, **options):
+    found = follow(frame, table_parts(F.col("html"), F.col("url"), F.col("page"), base_url=""), F.col("page") == 1, **options)
+    return sorted((r["feed"], r["place"], r["url"], len(r["records"])) for r in found.collect())
+
+
+def test_lists_are_followed_by_their_links(spark):
+    long = [("l", 1 if i == 1 else 50, f"p{i}", 1, f"p{i + 1}") for i in range(1, 100)]
+    frame = listing(spark, [
+        *long, ("a", 1, "a1", 2, "a9"), ("a", 9, "a9", 1, "a5"), ("a", 5, "a5", 0, "a6"), ("a", 6, "a6", 3, None),  # ends without records
+        ("b", 1, "b1", 1, "b2"), ("b", 2, "b2", 1, "b3"), ("b", 3, "b3", 1, "b2"),  # a ring
+        ("c", 1, "c1", 1, "gone"), ("d", 1, "d1", 0, "d2"), ("d", 2, "d2", 1, None), ("e", 2, "e2", 1, None),  # not landed; empty; no first page
+        ("f", 1, "a1", 1, "a9"), ("g", 1, None, 1, "x"), (None, 1, "n1", 1, "n2"), (None, 2, "n2", 1, None),
+    ])
+    got = places(frame.filter("feed IS NOT NULL"))
+    assert [g[:3] for g in got if g[0] != "l"] == [
+        ("a", 1, "a1"), ("a", 2, "a9"), ("b", 1, "b1"), ("b", 2, "b2"), ("b", 3, "b3"), ("c", 1, "c1"), ("f", 1, "a1"),
+    ]
+    assert [g for g in got if g[0] == "l"] == [("l", i, f"p{i}", 1) for i in range(1, 100)]
+    assert [r["url"] for r in follow(
+        frame.filter("feed IS NULL"), table_parts(F.col("html"), F.col("url"), F.col("page"), ""), F.col("page") == 1).sort("place").collect()
+    ] == ["n1", "n2"]
+    assert places(frame.filter("feed = 'l'"), max_pages=3) == [("l", i, f"p{i}", 1) for i in (1, 2, 3)]
+    assert places(frame.limit(0)) == []
+
+
+def test_a_page_landed_twice_counts_once(spark):
+    frame = listing(spark, [("a", 1, "u1", 1, "u2"), ("a", 2, "u2", 1, "u3"), ("a", 2, "u2", 2, "u4"), ("a", 3, "u3", 1, None), ("a", 3, "u4", 1, None)])
+    frame = frame.withColumn("visit", F.length("html"))
+    assert places(frame, sequence="visit") == [("a", 1, "u1", 1), ("a", 2, "u2", 2), ("a", 3, "u4", 1)]
+
+
+def test_lists_parse_markup_once_and_without_it_in_joins(spark):
+    frame = listing(spark, [("a", 1, "u1", 1, "u2"), ("a", 2, "u2", 1, None)])
+    listed = follow(frame, table_parts(F.col("html"), F.col("url"), F.col("page"), ""), F.col("page") == 1)
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEval" not in plan and "html" not in listed.columns
+    declared = item_parts(F.col("html"), F.col("url"), "//tr/td", {"v": "./text()"}, "//ul/li/a/@href", base_url="")
+    rows = follow(frame, declared, F.col("page") == 1).select("place", F.inline(F.transform("records", lambda r: F.struct(r["v"].alias("v")))))
+    assert sorted(map(tuple, rows.collect())) == [(1, "u10"), (2, "u20")]
