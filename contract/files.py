@@ -11,7 +11,7 @@ from contract.damage import damage
 from contract.workbooks import workbook_writer
 from millrace.session import new_folder
 from millrace.sources.files import file_inventory, read_files
-from millrace.streaming.intake import load_available, stream_files
+from millrace.streaming.intake import LedgerListener, load_available, stream_files
 
 
 @query(
@@ -309,6 +309,59 @@ def stream_intake(spark, sf_dir):
     return spark.table(table)
 
 
+_EVENT_FIELDS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+
+
+def _forget_commit(spark, checkpoint: str) -> None:
+    """Make a checkpoint that of a run which crashed after storing its last batch and before saying so."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    newest = max((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().isdigit()), key=lambda p: int(p.getName()))
+    fs.delete(newest, False)
+
+
+@query("stream_replay", "SELECT event_id, user_id, event_type FROM events")
+def stream_replay(spark, sf_dir):
+    """A batch that was stored but not committed is run again, without keys or a batch column: no row comes twice."""
+    folder, table = new_folder(spark, "replay"), f"{fresh_database(spark)}.events"
+    mark = new_folder(spark, "replay-mark")
+    for _ in _event_files(spark, sf_dir, folder):
+        for crashed in (True, False):
+            stream = stream_files(spark, folder, "parquet", _EVENT_FIELDS, "*.parquet").select("event_id", "user_id", "event_type")
+            load_available(stream, table, mark, partition_by=["event_type"]).awaitTermination()
+            if crashed:
+                _forget_commit(spark, mark)
+    return spark.table(table)
+
+
+@query(
+    "stream_run_ledger",
+    """
+    SELECT 'events-intake' AS job_id, 'success' AS status, count(*) AS rows_processed,
+           count(*) FILTER (event_type <> 'error') AS rows_loaded
+    FROM events GROUP BY ts < TIMESTAMP '2024-01-15'
+    """,
+)
+def stream_run_ledger(spark, sf_dir):
+    """A stream's batches as runs in the ledger, with the rows taken in and those stored."""
+    folder, database = new_folder(spark, "observed"), fresh_database(spark)
+    mark = new_folder(spark, "observed-mark")
+    listener = LedgerListener(spark, f"{database}.runs")
+    spark.streams.addListener(listener)
+    try:
+        for _ in _event_files(spark, sf_dir, folder):
+            stream = stream_files(spark, folder, "parquet", _EVENT_FIELDS, "*.parquet")
+            load_available(
+                stream, f"{database}.events", mark, lambda df: df.filter("event_type <> 'error'"), job_id="events-intake"
+            ).awaitTermination()
+        # Progress is told from a queue of its own.
+        spark._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        spark.streams.removeListener(listener)
+    return spark.table(f"{database}.runs").select("job_id", "status", "rows_processed", "rows_loaded")
+
+
 @query(
     "xml_nested_path",
     "SELECT CAST(s_suppkey AS VARCHAR) AS k, s_name AS n FROM supplier",
