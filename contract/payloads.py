@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from contract.base import FEED_PAGES, ORDER_ITEM, ORDER_PAGES_SQL, fresh_database, order_pages, query
 from millrace.functions.payload import elements
 from millrace.session import new_folder, settle
+from millrace.sources.extracts import register_extract
 from millrace.sources.paged import paged_source
 from millrace.sources.payloads import explode_items, take_pages, with_items
+from millrace.sources.tables import run_sql
 from millrace.streaming.intake import load_available
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -200,6 +202,39 @@ def paged_stream_cursor(spark, sf_dir):
     return _orders(with_items(spark.table(table)))
 
 
+def _lines(body: str):
+    """Order lines of a body that nests them by priority, and leaves the priority to the group."""
+    for group in json.loads(body)["groups"]:
+        for order, price in group["orders"].items():
+            yield {"o_orderkey": order, "o_totalprice": price, "o_orderpriority": group["priority"]}
+
+
+@query(
+    "payload_udtf",
+    f"SELECT feed, o_orderkey, o_totalprice, o_orderpriority FROM ({ORDER_PAGES_SQL}) p WHERE o_totalprice > 1000",
+)
+def payload_udtf(spark, sf_dir):
+    """A caller's own Python extract over nested bodies, called from SQL with the columns it is to give."""
+    orders = explode_items(with_items(order_pages(spark, sf_dir), extract=lambda _: elements(F.col("items_json"))), ["feed", "page"], ORDER_ITEM)
+    grouped = orders.groupBy("feed", "page", "o_orderpriority").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("o_orderkey").cast("string"), "o_totalprice"))).alias("orders")
+    )
+    bodies = grouped.groupBy("feed", "page").agg(
+        F.to_json(F.struct(F.collect_list(F.struct(F.col("o_orderpriority").alias("priority"), "orders")).alias("groups"))).alias("body")
+    )
+    register_extract(spark, "order_lines", _lines)
+    return run_sql(
+        spark,
+        """
+        SELECT p.feed, i.* FROM bodies p,
+               LATERAL order_lines(
+                   p.body, CAST(NULL AS STRUCT<o_orderkey: BIGINT, o_totalprice: DOUBLE, o_orderpriority: STRING>)) i
+        WHERE i.o_totalprice > :least
+        """,
+        {"least": 1000}, {"bodies": settle(bodies, "bodies")},
+    )
+
+
 @query("payload_custom_end", f"{_SELECT} WHERE page <= 9")
 def payload_custom_end(spark, sf_dir):
     """The caller's own extract function says NULL for page 10: the feed ends there."""

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from contract.base import load, query
-from millrace.sources.tables import extract_table, run_sql
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from contract.base import fresh_database, load, query
+from millrace.sources.tables import balanced_cuts, extract_table, range_predicates, run_sql
 
 
 @query(
@@ -119,3 +124,26 @@ RANGE_JOIN = """
 @query("sql_range_join", RANGE_JOIN.format(days="400"))
 def sql_range_join(spark, sf_dir):
     return run_sql(spark, RANGE_JOIN.format(days="'400'"), views=_views(spark, sf_dir, "orders", "lineitem"))
+
+
+@query(
+    "ranged_extract",
+    """
+    SELECT l_orderkey, count(*) AS line_count, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+    FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN NULL WHEN l_orderkey % 3 = 1 THEN 7 ELSE l_orderkey * l_orderkey END AS l_orderkey,
+                 l_extendedprice FROM lineitem)
+    GROUP BY l_orderkey
+    """,
+)
+def ranged_extract(spark, sf_dir):
+    """A table whose keys are missing, repeated or far apart, read in ranges that hold about equally many rows."""
+    key = F.when(F.col("l_orderkey") % 3 == 1, 7).when(F.col("l_orderkey") % 3 == 2, F.col("l_orderkey") * F.col("l_orderkey"))
+    stored = f"{fresh_database(spark)}.far"
+    load(spark, sf_dir, "lineitem").select(key.alias("l_orderkey"), "l_extendedprice").write.saveAsTable(stored)
+    low, high, rows = spark.sql(f"SELECT min(l_orderkey), max(l_orderkey), count(*) FROM {stored}").first()
+    cuts = balanced_cuts(lambda text: run_sql(spark, text).collect(), stored, "l_orderkey", low, high, rows, 8)
+    ranges = [extract_table(spark.table(stored), None, p) for p in range_predicates("l_orderkey", cuts)]
+    read = reduce(DataFrame.unionByName, ranges)
+    return read.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("total")
+    )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date, datetime
 from decimal import Decimal
 from typing import Any
@@ -94,23 +94,36 @@ def jdbc_table(
     rows_per_read: int = 1_000_000,
     fetch_rows: int = DEFAULT_FETCH_ROWS,
     properties: Mapping[str, str] | None = None,
+    find_key: bool = False,
 ) -> DataFrame:
-    """A remote table, read in parallel ranges of a numeric or date key.
+    """A remote table, read in parallel ranges of a whole-number or date key.
 
-    The key's bounds and the row count come from one small remote aggregate; each
-    task reads its own range, in batches of ``fetch_rows``. Ranges are disjoint and
-    cover everything (NULL keys go with the first), so nothing is read twice or
-    missed, whatever ties the key has. Without a key the table is one task.
+    The key's bounds and the row count come from one small remote aggregate. Ranges of a whole-number key hold about
+    equally many rows, however the keys are spread: where to cut is asked of the database by counts of key intervals
+    (``balanced_cuts``). Each task reads its own range, in batches of ``fetch_rows``. Ranges are disjoint and cover
+    everything (NULL keys go with the first), so nothing is read twice or missed, whatever ties the key has. With
+    ``find_key`` the first primary-key column is taken where none is given; without a key the table is one task.
     """
-    reader = spark.read.format("jdbc").options(
-        url=url, dbtable=table, fetchsize=str(fetch_rows), **dict(properties or {})
-    )
+    options = {"fetchsize": str(fetch_rows), **dict(properties or {})}
+    if key is None and find_key:
+        schema, _, name = table.rpartition(".")
+        found = jdbc_primary_key(spark, url, name, schema or None, properties).head(1)
+        key = found[0]["column_name"] if found else None
+    reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
     if key is None:
         return reader.load()
-    bounds = jdbc_query(
-        spark, url, f"SELECT min({key}) AS lo, max({key}) AS hi, count(*) AS n FROM {table}", properties
-    ).first()
-    return reader.options(**key_ranges(key, bounds[0], bounds[1], int(bounds[2]), rows_per_read, partitions)).load()
+
+    def ask(query: str) -> list:
+        return jdbc_query(spark, url, query, properties).collect()  # a row per interval
+
+    low, high, rows = ask(f"SELECT min({key}) AS lo, max({key}) AS hi, count(*) AS n FROM {table}")[0]
+    if isinstance(low, Decimal) and low == int(low) and high == int(high):
+        low, high = int(low), int(high)
+    if not isinstance(low, int):
+        return reader.options(**key_ranges(key, low, high, int(rows), rows_per_read, partitions)).load()
+    parts = partitions or max(1, -(-int(rows) // rows_per_read))
+    cuts = balanced_cuts(ask, table, key, low, high, int(rows), parts)
+    return spark.read.jdbc(url, table, predicates=range_predicates(key, cuts), properties=options)
 
 
 def key_ranges(key: str, low: Any, high: Any, rows: int, rows_per_read: int, partitions: int | None) -> dict[str, str]:
@@ -121,6 +134,55 @@ def key_ranges(key: str, low: Any, high: Any, rows: int, rows_per_read: int, par
     return {"partitionColumn": key, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(parts)}
 
 
+INTERVALS = 1000
+
+
+def balanced_cuts(
+    ask: Callable[[str], list], table: str, key: str, low: int, high: int, rows: int, parts: int, intervals: int = INTERVALS
+) -> list[int]:
+    """Keys at which to cut a table so that the ``parts`` ranges hold about equally many rows; fewer where keys repeat.
+
+    ``ask`` runs SQL at the database and returns its rows. It counts the rows of ``intervals`` equal key intervals;
+    one that holds more than half a range's rows is counted again more finely, down to single keys. So skewed keys cost
+    a few counts, and never more rows than intervals come back.
+    """
+    share = rows / parts
+    counted: list[tuple[int, int]] = []  # (first key, rows), by key
+    open_spans = [(low, high, rows)]
+    while open_spans and parts > 1:
+        first, last, held = open_spans.pop()
+        width = -(-(last - first + 1) // intervals)
+        if held <= share / 2 or first == last:
+            counted.append((first, held))
+            continue
+        found = ask(
+            f"SELECT floor(({key} - {first}) / {width}) AS part, count(*) AS n FROM {table} "
+            f"WHERE {key} BETWEEN {first} AND {last} GROUP BY floor(({key} - {first}) / {width})"
+        )
+        for part, n in ((int(r[0]), int(r[1])) for r in found):
+            start = min(first + part * width, last)
+            if width == 1:
+                counted.append((start, n))
+            else:
+                open_spans.append((start, min(last, start + width - 1), n))
+    # Rows without a key go with the first range.
+    cuts, seen = [], rows - sum(n for _, n in counted)
+    for start, n in sorted(counted):
+        # A range ends before the interval that would take it further past its share than it is short of it.
+        if seen and seen + n / 2 > share * (len(cuts) + 1) and len(cuts) < parts - 1:
+            cuts.append(start)
+        seen += n
+    return cuts
+
+
+def range_predicates(key: str, cuts: list[int]) -> list[str]:
+    """Disjoint conditions for the ranges between cuts; the first one takes NULL keys, too."""
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{key} >= {a} AND {key} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{key} < {cuts[0]} OR {key} IS NULL", *inner, f"{key} >= {cuts[-1]}"]
+
+
 # The servers' own catalog views. Names come in as SQL literals.
 _COLUMNS_SQL = {
     "standard": (

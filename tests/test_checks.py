@@ -18,6 +18,8 @@ from millrace.operators.graph import edges, key_id, property_types, vertices
 from millrace.plans.ledger import alerts, last_runs, watermark
 from millrace.sinks.jdbc import column_types
 from millrace.sources.tables import (
+    balanced_cuts,
+    range_predicates,
     _COLUMNS_SQL,
     _KEYS_SQL,
     _TABLES_SQL,
@@ -172,3 +174,34 @@ def test_ledger_reports(spark):
     fired = found(alerts(ledger, alert_on_zero_records=True).select("run_id", "rule"))
     assert fired == [("r00", "zero_records"), ("r12", "failure"), ("r13", "failure")]
     assert found(alerts(ledger, False, False, False)) == []
+
+
+@pytest.mark.parametrize("keys", [
+    list(range(1000)), [5] * 900 + list(range(100)), [i**3 for i in range(500)], [0] * 10, [-(10**12), *range(300), 10**15],
+    [10**17 + i for i in range(400)] + [3],
+])
+def test_ranges_hold_equally_many_rows_of_skewed_keys(spark, keys):
+    """Over a view in place of a server: the counts are plain SQL."""
+    spark.createDataFrame([(k,) for k in [*keys, None, None]], "k long").createOrReplaceTempView("far_keys")
+    asked = []
+
+    def ask(text):
+        asked.append(text)
+        got = spark.sql(text).collect()
+        assert len(got) <= 21
+        return got
+
+    cuts = balanced_cuts(ask, "far_keys", "k", min(keys), max(keys), len(keys) + 2, 5, intervals=20)
+    counts = [spark.table("far_keys").filter(p).count() for p in range_predicates("k", cuts)]
+    assert sum(counts) == len(keys) + 2 and cuts == sorted(set(cuts))
+    heaviest = max(keys.count(k) for k in set(keys)) if len(set(keys)) < 500 else 1
+    assert max(counts) <= 1.5 * (len(keys) + 2) / 5 + heaviest
+    assert len(asked) <= 60
+    assert balanced_cuts(ask, "far_keys", "k", min(keys), max(keys), len(keys) + 2, 1) == []
+    spark.catalog.dropTempView("far_keys")
+
+
+def test_range_predicates():
+    assert range_predicates("k", []) == ["1 = 1"]
+    assert range_predicates("k", [3]) == ["k < 3 OR k IS NULL", "k >= 3"]
+    assert range_predicates("k", [3, 9]) == ["k < 3 OR k IS NULL", "k >= 3 AND k < 9", "k >= 9"]

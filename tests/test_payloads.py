@@ -2,6 +2,8 @@
 
 import json
 import os
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from hypothesis import given, settings
@@ -9,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions.payload import next_cursor, payload_items
+from millrace.sources.extracts import register_extract
 from millrace.sources.paged import paged_source
 from millrace.sources.payloads import explode_items, take_pages, with_items
 
@@ -209,3 +212,32 @@ def test_stream_bodies_are_fetched_by_executors_only(spark, folder):
     with pytest.raises(Exception, match="marks"):
         spark.readStream.format("counted_stream").options(strategy="cursor").load().writeStream.format("noop").option(
             "checkpointLocation", f"{folder}/mark2").trigger(availableNow=True).start().awaitTermination()
+
+
+def test_extracts_called_from_sql(spark):
+    def items(body):
+        return json.loads(body)["rows"]
+
+    register_extract(spark, "rows_of", items)
+    register_extract(spark, "rows_of_good", items, skip_errors=True)
+    bodies = [
+        (1, '{"rows": [{"a": 1, "b": "x", "c": 2, "d": "2024-01-02", "e": {"f": [1, 2]}, "g": {"k": true}, "h": 1.5, "i": "2024-01-02T03:04:05"}, {"b": {"z": 1}}]}'),
+        (2, None), (3, '{"rows": []}'), (4, '{"rows": [{"a": 1}, {"a": 1.5}]}'), (5, "no json"),
+    ]
+    spark.createDataFrame(bodies, "n int, body string").createOrReplaceTempView("bodies")
+    columns = (
+        "CAST(NULL AS STRUCT<a: BIGINT, b: STRING, c: DOUBLE, d: DATE, e: STRUCT<f: ARRAY<DOUBLE>>, g: MAP<STRING, BOOLEAN>, "
+        "h: DECIMAL(5,2), i: TIMESTAMP_NTZ>)"
+    )
+    one = "CAST(NULL AS STRUCT<a: BIGINT>)"
+    got = spark.sql(f"SELECT b.n, i.* FROM (SELECT * FROM bodies WHERE n < 4) b, LATERAL rows_of(b.body, {columns}) i")
+    assert [f.dataType.simpleString() for f in got.schema.fields[1:]] == [
+        "bigint", "string", "double", "date", "struct<f:array<double>>", "map<string,boolean>", "decimal(5,2)", "timestamp_ntz"]
+    first, second = got.collect()
+    assert tuple(first) == (1, 1, "x", 2.0, date(2024, 1, 2), ([1.0, 2.0],), {"k": True}, Decimal("1.50"), datetime(2024, 1, 2, 3, 4, 5))
+    assert second["b"] == '{"z": 1}' and second["a"] is None
+    assert spark.sql(f"SELECT count(*) FROM bodies b, LATERAL rows_of_good(b.body, {one}) i").first()[0] == 2
+    for bad in (f"SELECT * FROM bodies b, LATERAL rows_of(b.body, {one}) i", "SELECT * FROM bodies b, LATERAL rows_of(b.body, b.body) i"):
+        with pytest.raises(Exception):
+            spark.sql(bad).collect()
+    spark.catalog.dropTempView("bodies")
