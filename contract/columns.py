@@ -347,8 +347,8 @@ def schema_drift_query(spark, sf_dir):
     SELECT table_name,
            md5('[' || string_agg('{{"name":"' || column_name || '","type":"' || data_type || '","nullable":true}}', ','
                                  ORDER BY column_name) || ']') AS fingerprint
-    FROM new_cols GROUP BY table_name
+    FROM (SELECT * FROM old_cols UNION SELECT * FROM new_cols) GROUP BY table_name
     """,
 )
 def schema_fingerprint_query(spark, sf_dir):
-    return schema_fingerprint(_payload_columns(load(spark, sf_dir, "events").filter("ts >= '2024-01-15'")))
+    return schema_fingerprint(_payload_columns(load(spark, sf_dir, "events")))

@@ -410,51 +410,72 @@ def _read_json_lines(spark, path, glob, schema, encoding, skip_errors, modified_
     return _without_files(rows, broken.select(_PATH))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _is_list_of_objects(value: Column) -> Column:
+    first = F.schema_of_variant(F.try_variant_get(value, "$[0]", "variant"))
+    return F.coalesce(F.startswith(first, F.lit("OBJECT")), F.lit(False))
+
+
+def _last_of_each(entries: Column) -> Column:
+    """Members of an object, each name once: where it stood first, with its last value."""
+    names = F.transform(entries, lambda e: e["key"])
+    once = F.array_distinct(names)
+    repeated = F.transform(
+        once, lambda n: F.struct(n.alias("key"), F.element_at(F.filter(entries, lambda e: e["key"] == n), -1)["value"].alias("value"))
+    )
+    return F.when(F.size(once) == F.size(names), entries).otherwise(repeated)
+
+
 def document_items(docs: DataFrame, doc: str) -> DataFrame:
-    """JSON documents to one row per item: column ``doc`` becomes ``item`` and ``is_object``.
+    """JSON documents to one row per item: column ``doc`` becomes ``item``, a variant, and ``is_object``.
 
     A list of objects is its elements; another list is one value per element; an
     object is the elements of its first member, in document order, that is a list
-    starting with an object, or else itself; a scalar is one value.
+    starting with an object, or else itself; a scalar is one value. A document is
+    parsed once: an object to its members, which keeps their order, anything else to
+    a variant. Of a repeated member the last value counts; within values that needs
+    the session setting ``spark.sql.variant.allowDuplicateKeys``. A document that is
+    no JSON is one row with ``item`` NULL and ``is_object`` NULL.
     """
     kept = [c for c in docs.columns if c != doc]
     text = F.col(doc)
-    typed = F.map_entries(F.from_json(text, "map<string,variant>"))
-    with_list = F.filter(
-        typed,
-        lambda e: F.coalesce(
-            F.schema_of_variant(F.try_variant_get(e["value"], "$[0]", "variant")).startswith("OBJECT"), F.lit(False)
-        ),
-    )
-    first_list = F.try_element_at(F.map_keys(F.map_from_entries(with_list)), F.lit(1))
-    start = F.ltrim(text)
-    keyed = docs.withColumns(
-        {
-            "__key": F.when(start.startswith("{"), first_list),
-            "__kind": F.when(start.startswith("["), "list").when(start.startswith("{"), "object").otherwise("scalar"),
-        }
-    )
-    member = F.try_element_at(F.from_json(text, "map<string,string>"), F.col("__key"))
-    items = (
-        F.when(F.col("__kind") == "list", F.from_json(text, "array<string>"))
-        .when(F.col("__key").isNotNull(), F.from_json(member, "array<string>"))
-        .when(F.col("__kind") == "object", F.array(text))
-        .otherwise(F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>"))
-    )
-    split = keyed.select(*kept, "__kind", items.alias("__items"))
-    # The flag is a column of its own: inside a function over the items it would be
-    # worked out again for every item.
-    objects_only = F.forall("__items", lambda x: F.coalesce(x.startswith("{"), F.lit(False)))
-    flagged = split.withColumn("is_object", (F.col("__kind") == "object") | ((F.col("__kind") == "list") & objects_only))
-    return flagged.select(*kept, "is_object", F.explode("__items").alias("item"))
+    is_object = F.startswith(F.ltrim(text), F.lit("{"))
+    no_json = F.array(F.struct(F.lit(None).cast("boolean").alias("is_object"), F.lit(None).cast("variant").alias("item")))
+
+    def rows(flag: Column, items: Column) -> Column:
+        return F.transform(items, lambda v: F.struct(flag.alias("is_object"), v.alias("item")))
+
+    def of_object(entries: Column) -> Column:
+        listed = F.try_element_at(F.filter(entries, lambda e: _is_list_of_objects(e["value"])), F.lit(1))["value"]
+        whole = F.array(F.to_variant_object(F.map_from_entries(entries)))
+        return rows(F.lit(True), _once(listed, lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), whole)))
+
+    def of_value(value: Column) -> Column:
+        def of_list(items):
+            return rows(F.forall(items, lambda v: F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))), items)
+
+        listed = F.when(F.startswith(F.schema_of_variant(value), F.lit("ARRAY")), F.try_variant_get(value, "$", "array<variant>"))
+        return _once(listed, lambda v: F.coalesce(of_list(v), rows(F.lit(False), F.array(value))))
+
+    members = F.map_entries(F.from_json(text, "map<string,variant>"))
+    found = F.when(
+        is_object, _once(members, lambda m: F.when(m.isNotNull(), _once(_last_of_each(m), of_object)))
+    ).otherwise(_once(F.try_parse_json(text), lambda v: F.when(v.isNotNull(), of_value(v))))
+    # The outer form: for the other one a filter that parses again would be put before it.
+    out = docs.select(*kept, F.explode_outer(F.coalesce(found, no_json)).alias("__row")).filter("__row IS NOT NULL")
+    return out.select(*kept, "__row.is_object", "__row.item")
 
 
 def infer_object_schema(df: DataFrame, column: str) -> T.StructType:
-    """The schema of JSON object texts, from all rows, in one aggregation.
+    """The schema of variants that are objects, from all rows, in one aggregation.
 
     Numbers with a fraction are double, members of several types are string.
     """
-    found = df.agg(F.schema_of_variant_agg(F.parse_json(column)).alias("s")).first()["s"]
+    found = df.agg(F.schema_of_variant_agg(column).alias("s")).first()["s"]
     if found is None or not found.startswith("OBJECT<"):
         return T.StructType([])
     ddl = re.sub(r"\bOBJECT<", "STRUCT<", found)
@@ -467,15 +488,28 @@ def _struct(schema: str | T.StructType) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
+def _member(item: Column, field: T.StructField) -> Column:
+    """A member of a variant in its declared type; NULL where it is absent or does not fit."""
+    if "'" not in field.name and "\\" not in field.name:
+        return F.try_variant_get(item, f"$['{field.name}']", field.dataType.simpleString())
+    return F.from_json(F.to_json(item), T.StructType([field]))[field.name]
+
+
+_REPEATS = "spark.sql.variant.allowDuplicateKeys"
+
+
 def _read_json_documents(spark, path, glob, schema, skip_errors, modified_after) -> DataFrame:
     docs = _scan(spark, glob, modified_after, wholetext=True).text(path).select(
         F.trim("value").alias("doc"), F.col("_metadata.file_path").alias(_PATH)
     )
-    docs = docs.withColumn(_BAD, F.col("doc") == "").withColumn(
-        _BAD, F.col(_BAD) | F.try_parse_json("doc").isNull()
-    )
-    docs = _drop_bad_files(docs, skip_errors, "JSON")
-    items = document_items(docs, "doc")
+    before = spark.conf.get(_REPEATS, None)
+    spark.conf.set(_REPEATS, "true")
+    try:
+        # Written once parsed: types, scalars and rows are all taken from the variants.
+        parsed = settle(document_items(docs, "doc").withColumn(_BAD, F.col("is_object").isNull()), "items")
+    finally:
+        spark.conf.unset(_REPEATS) if before is None else spark.conf.set(_REPEATS, before)
+    items = _drop_bad_files(parsed, skip_errors, "JSON")
     objects = items.filter("is_object")
     if schema is None:
         fields = infer_object_schema(objects, "item")
@@ -483,12 +517,14 @@ def _read_json_documents(spark, path, glob, schema, skip_errors, modified_after)
     else:
         fields = _struct(schema)
         with_scalars = "data" in fields.names
-    parsed = items.withColumn("o", F.from_json(F.when(F.col("is_object"), F.col("item")), fields)) if fields.names else items
-    out = {n: F.col(f"o.`{n}`") for n in fields.names}
+    item = F.when(F.col("is_object"), F.col("item"))
+    out = {f.name: _member(item, f) for f in fields.fields}
     if with_scalars:
-        data = F.when(~F.col("is_object"), F.col("item"))
+        value = F.col("item")
+        text = F.coalesce(F.try_variant_get(value, "$", "string"), F.when(~F.is_variant_null(value), F.to_json(value)))
+        data = F.when(~F.col("is_object"), text)
         out["data"] = F.coalesce(data, out["data"].cast("string")) if "data" in out else data
-    return parsed.select(*[c.alias(n) for n, c in out.items()], _PATH)
+    return items.select(*[c.alias(n) for n, c in out.items()], _PATH)
 
 
 # --- XML ------------------------------------------------------------------------------------

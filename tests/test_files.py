@@ -23,7 +23,7 @@ def put(folder, name, text):
 
 
 def rows(df, *columns):
-    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()), key=repr)
+    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)
 
 
 def test_delimited_defaults(spark, folder):
@@ -151,6 +151,11 @@ def test_single_file_and_pattern(spark, folder):
         ('"word"', [("word",)]),
         ("42", [("42",)]),
         ("[]", []),
+        ('{"a": 1, "rows": [{"k": 1}], "rows": [{"k": 2, "k": 3}, {"k": 4}]}', [(3,), (4,)]),
+        ('{"a": 1, "b": 2, "a": [{"z": 5}]}', [(5,)]),
+        ('{"b": [{"y": 1}], "a": [{"z": 5}], "b": 7}', [(5,)]),
+        ('[{"it\'s": 1, "a b": 2, "c.d": [1.5], "e": null}]', [(2, [1.5], None, 1)]),
+        ('[null, [1, {"a": 2}], {"b": "x"}, true]', [(None,), ('[1,{"a":2}]',), ('{"b":"x"}',), ("true",)]),
     ],
 )
 def test_json_documents(spark, folder, text, want):
@@ -158,6 +163,27 @@ def test_json_documents(spark, folder, text, want):
     assert rows(read_files(spark, folder)) == sorted(want, key=repr)
 
 
+def test_json_documents_are_parsed_once(spark, folder):
+    put(folder, "a.json", '{"x": 1, "rows": [{"a": 1}]}')
+    plans = []
+    real = files_module.settle
+
+    def settled(df, label):
+        plans.append((label, df._jdf.queryExecution().optimizedPlan().numberedTreeString()))
+        return real(df, label)
+
+    files_module.settle = settled
+    try:
+        got = read_files(spark, folder)
+    finally:
+        files_module.settle = real
+    (items,) = [p for label, p in plans if label == "items"]
+    assert items.count("from_json") == 1 and items.lower().replace("_", "").count("parsejson(") == 1
+    later = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "from_json" not in later and "parse_json" not in later and rows(got) == [(1,)]
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "false"
+
+
 def test_json_mixed_and_broken_documents(spark, folder):
     put(folder, "a.json", '[{"a": 1}]')
     put(folder, "b.json", '{"a": 2, "c": null}')
