@@ -400,12 +400,16 @@ def run(
         else:
             loader = dict(spec.get("loader", {}))
             loader.setdefault("table", f"data_{job_id}")
-            # A merge reads its input several times and checks read it once more;
-            # an observation counts one pass, so it rides on plain writes only.
-            seen = Observation() if loader.get("write_mode") != "merge" else None
-            shaped = transform(raw, spec, run_time)
-            missing = [c for c in required_by(spec) if c not in shaped.columns]
+            missing = [c for c in required_by(spec) if c not in transform(raw, spec, run_time).columns]
             checked = not missing and spec.get("transformer", {}).get("validate_schema")
+            looks = not missing and (checked or loader.get("write_mode") in ("merge", *_REPLACING))
+            seen = None if looks and not _can_land(raw) else Observation()
+            if seen is not None:
+                raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
+            if looks and seen is not None:
+                # More than one look at the rows: the source is read once, to land them. Else the count rides on the write.
+                raw = settle(raw.toDF(*[f"c{i}" for i in range(len(raw.columns))]), "landed").toDF(*raw.columns)
+            shaped = transform(raw, spec, run_time)
             if missing:
                 status, error = "invalid", f"missing required columns: {missing}"
             elif loader.get("write_mode") in _REPLACING and shaped.isEmpty():
@@ -415,11 +419,8 @@ def run(
                 status = "no_data" if shaped.isEmpty() else "invalid"
             else:
                 changed = structure_change(shaped, loader)
-                if seen is not None:
-                    counted = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
-                    shaped = transform(counted, spec, run_time)
                 loaded = _named(_loaders, "loader", loader.get("type", "table"))(shaped, loader)
-                processed = observed(seen, "rows") if seen is not None else None
+                processed = None if seen is None else observed(seen, "rows")
                 processed = raw.count() if processed is None else processed
                 status = "success" if processed else "no_data"
     except Exception as err:  # recorded, then raised
@@ -433,6 +434,11 @@ def run(
     return RunResult(status, processed, loaded, error, tuple(fired))
 
 
+def _can_land(df: DataFrame) -> bool:
+    """Whether files can hold the columns: a column of nothing but NULL has no type to store."""
+    return "void" not in df.schema.simpleString()
+
+
 _REPLACING = ("replace", "overwrite", "overwrite_partition")
 
 

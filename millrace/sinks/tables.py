@@ -279,7 +279,7 @@ def expire_states(spark: SparkSession, table: str) -> list[str]:
     there = [f.getPath().toString() for f in fs.listStatus(path)] if fs.exists(path) else []
     plain = lambda x: re.sub(r"^\w+:/+", "/", x)  # noqa: E731  a location may or may not name its file system
     kept = {plain(u) for u in used}
-    return [f for f in there if "/__state-" in f and not f.endswith("__pending") and plain(f) not in kept]
+    return [f for f in there if "/__state-" in f and not f.endswith(("__pending", "__touched")) and plain(f) not in kept]
 
 
 def write_table(df: DataFrame, table: str, mode: str = "append", partition_by=None, fmt: str = "parquet", **kw) -> int:
@@ -314,73 +314,94 @@ def overwrite_partitions(df: DataFrame, table: str) -> int:
         rows, seen = _counted(rows)
         rows.writeTo(table).overwritePartitions()
         return observed(seen, "rows") or 0
-    # Both the content and the touched partitions come from these rows: they are computed once.
-    rows = settle(rows, "partitions")
     partition_by = _partition_columns(spark, table)
     if not partition_by:
         raise ValueError(f"table {table} has no partitions")
-    return _rewrite_partitions(rows, table, _format(spark, table), partition_by, rows.select(*partition_by))
+    return _rewrite_partitions(rows, table, _format(spark, table), partition_by)
 
 
 # --- rewriting some partitions of a file table ----------------------------------------------
 
+# Values up to this number are named in the filter of a scan.
+MOST_NAMED = 1000
+
+
 def _only_touched(target: DataFrame, touched: DataFrame, partition_by: list[str]) -> DataFrame:
     """The rows of the touched partitions, any number of them, NULL included.
 
-    Each partition column is bounded by its own list of values, so the scan leaves out
-    other folders; which combinations are meant is a semi join.
+    Few values of a partition column are named, so the scan leaves out other folders; beyond ``MOST_NAMED`` the join
+    prunes them while it runs. Which combinations are meant is a semi join.
     """
-    schema, bounds = target.schema, F.lit(True)
-    for c in partition_by:
-        values = [r[0] for r in touched.select(F.col(c)).distinct().collect()]  # partition metadata
-        some = F.col(f"`{c}`").isin(*[F.lit(v).cast(schema[c].dataType) for v in values if v is not None])
-        bounds = bounds & (some | F.col(f"`{c}`").isNull() if None in values else some)
-    named = touched.select(*[F.col(c).alias(f"__{c}") for c in partition_by])
-    same = F.lit(True)
+    schema, bounds, same = target.schema, F.lit(True), F.lit(True)
     for c in partition_by:
-        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"__{c}"))
-    return target.filter(bounds).join(named, same, "left_semi")
-
-
-def _rewrite_partitions(rows: DataFrame, table: str, fmt: str, partition_by: list[str], touched: DataFrame) -> int:
-    """Make ``rows`` the whole content of the partitions in ``touched`` (and of any new ones); returns the rows written.
+        values = [r[0] for r in touched.select(F.col(c)).distinct().sort(F.asc_nulls_first(c)).limit(MOST_NAMED + 1).collect()]
+        if len(values) <= MOST_NAMED:
+            some = F.col(f"`{c}`").isin(*[F.lit(v).cast(schema[c].dataType) for v in values if v is not None])
+            bounds = bounds & (some | F.col(f"`{c}`").isNull() if None in values else some)
+        # Pruning at run time knows plain equality only.
+        named = F.col(f"__{c}")
+        same = same & (F.col(f"`{c}`").eqNullSafe(named) if None in values else F.col(f"`{c}`") == named)
+    keys = touched.select(*[F.col(c).alias(f"__{c}") for c in partition_by])
+    # A condition that always holds: Spark prunes at run time only by a side that has a filter.
+    keys = keys.filter(F.xxhash64(*keys.columns) >= -(1 << 63))
+    return target.filter(bounds).join(keys, same, "left_semi")
+
+
+def _rewrite_partitions(
+    rows: DataFrame, table: str, fmt: str, partition_by: list[str], touched: DataFrame | None = None
+) -> int:
+    """Make ``rows`` the whole content of the partitions they belong to and of those in ``touched``; returns the rows written.
 
-    The new state goes to a fresh folder, then the list of what each partition is to
-    point at; then the partitions are repointed from that list, or dropped when no row
-    is left. Untouched partitions are not read.
+    The new state goes to a fresh folder; then the table is told of it, and the partitions are repointed to what the
+    folder holds, or dropped when no row of a touched one is left. Untouched partitions are not read.
     """
     spark = rows.sparkSession
     fresh = _fresh_state(spark, table)
     counted, seen = _counted(_clustered(rows, partition_by))
     counted.write.format(fmt).partitionBy(*partition_by).save(fresh)
+    if touched is not None:
+        touched.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in partition_by]).write.parquet(f"{fresh}__touched")
+    values = {_PENDING: json.dumps({"state": fresh, "format": fmt, "touched": touched is not None})}
+    spark.sql(f"ALTER TABLE {table} SET{_properties(values)}")
+    _repoint(spark, table, values[_PENDING])
+    return observed(seen, "rows") or 0
+
+
+def _moves(spark: SparkSession, table: str, partition_by: list[str], pending: str) -> DataFrame:
+    """Where each partition is to point: ``(partition columns as text, __folder)``, NULL for those to drop."""
+    try:
+        told = json.loads(pending)
+    except ValueError:
+        return spark.read.parquet(pending)  # a list, as it was stored before
     texts = [F.col(f"`{c}`").cast("string").alias(c) for c in partition_by]
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1).alias("__folder")
-    written = spark.read.schema(spark.table(table).schema).format(fmt).load(fresh).select(*texts, folder).distinct()
-    gone = touched.select(*texts, F.lit(None).cast("string").alias("__folder"))
-    moves = written.unionByName(gone).groupBy(*partition_by).agg(F.max("__folder").alias("__folder"))
-    moves.write.parquet(f"{fresh}__pending")
-    spark.sql(f"ALTER TABLE {table} SET{_properties({_PENDING: fresh + '__pending'})}")
-    _repoint(spark, table, f"{fresh}__pending")
-    return observed(seen, "rows") or 0
+    state = spark.read.schema(spark.table(table).schema).format(told["format"]).load(told["state"])
+    moves = state.select(*texts, folder).distinct()
+    if not told["touched"]:
+        return moves
+    gone = spark.read.parquet(f"{told['state']}__touched").withColumn("__folder", F.lit(None).cast("string"))
+    return moves.unionByName(gone).groupBy(*partition_by).agg(F.max("__folder").alias("__folder"))
 
 
 def _repoint(spark: SparkSession, table: str, pending: str) -> None:
-    """Point partitions where a stored list says; doing it again changes nothing."""
+    """Point partitions at a new state, as the table was told; doing it again changes nothing."""
     partition_by = _partition_columns(spark, table)
     there = {unquote(r[0]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    added = []
-    for row in spark.read.parquet(pending).toLocalIterator():  # partition metadata
+    added, dropped = [], []
+    for row in _moves(spark, table, partition_by, pending).toLocalIterator():  # partition metadata
         spec = ", ".join(f"`{c}` = {'NULL' if row[c] is None else _text(row[c])}" for c in partition_by)
         known = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in partition_by) in there
         where = None if row["__folder"] is None else _text(unquote(row["__folder"]))
         if where is None:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+            dropped.append(f"PARTITION ({spec})")
         elif known:
             spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {where}")
         else:
             added.append(f"PARTITION ({spec}) LOCATION {where}")
     for i in range(0, len(added), 200):
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added[i:i + 200])}")
+    for i in range(0, len(dropped), 200):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(dropped[i:i + 200])}")
     spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{_PENDING}')")
     spark.catalog.refreshTable(table)
 
@@ -464,7 +485,7 @@ def delete_rows(
 ) -> int:
     """Delete the rows a condition with named binds holds for; all rows without one.
 
-    Returns how many, counted while the kept rows are written. A row for which the
+    Returns how many. The content is read once, to write the kept rows. A row for which the
     condition is NULL stays.
     """
     recover(spark, table)
@@ -484,13 +505,9 @@ def delete_rows(
         doomed = spark.sql(f"SELECT * FROM {{t}} WHERE {condition}", args=dict(params or {}), t=target)
         touched = settle(doomed.select(*partition_by).distinct(), "touched")
         target = _only_touched(target, touched, partition_by)
-    flagged = spark.sql(
-        f"SELECT *, NOT coalesce({condition}, false) AS __keep FROM {{t}}", args=dict(params or {}), t=target
-    )
-    before = flagged.agg(F.count_if(~F.col("__keep"))).first()[0]
-    kept = flagged.filter("__keep").select(*target.columns)
+    # Numbers of rows come from the files' footers: what is gone is what was there and has not been written again.
+    before = target.count()
+    kept = spark.sql(f"SELECT * FROM {{t}} WHERE NOT coalesce({condition}, false)", args=dict(params or {}), t=target)
     if touched is None:
-        _swap(kept, table, fmt)
-    else:
-        _rewrite_partitions(kept, table, fmt, partition_by, touched)
-    return before
+        return before - _swap(kept, table, fmt)
+    return before - _rewrite_partitions(kept, table, fmt, partition_by, touched)
