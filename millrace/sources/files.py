@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.coerce import NULL_WORDS, NUMBER_PATTERN, null_words_to_null, ntz, to_timestamp, utc_ntz
 from millrace.session import settle, sized
-from millrace.sources.opened import broken_files, footers, header_lines, layouts, listed, one_of_each_layout, openable
+from millrace.sources.opened import footers, header_lines, layouts, listed, openable, paths_of, some_of_each_layout
 from millrace.sources.workbook import read_workbooks
 from millrace.sources.xmltags import path_rows
 
@@ -607,6 +607,20 @@ def _widened(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(cast, parts))
 
 
+def _broken(seen: DataFrame, lenient: list[DataFrame]) -> DataFrame:
+    """Files without a footer, and those that scans which pass over broken ones read fewer rows of than their footers name."""
+    counts = []
+    for rows in lenient:
+        columns = [F.col(f"`{c}`") for c in rows.columns if c != _PATH]
+        # Every column is looked at, so that all of them are decoded; maps have no hash of their own.
+        value = F.to_json(F.struct(*columns)) if "map<" in rows.schema.simpleString() else F.struct(*columns)
+        counts.append(rows.groupBy(_PATH).agg(F.count(F.lit(1)).alias("n"), F.max(F.xxhash64(value)).alias("h")))
+    read = reduce(DataFrame.unionByName, counts)
+    short = F.col("n").isNull() | F.col("h").isNull() | (F.col("n") < F.col("rows"))
+    found = seen.join(read, seen["path"] == read[_PATH], "left").filter(F.col("error").isNotNull() | ((F.col("rows") > 0) & short))
+    return found.select(F.col("path").alias(_PATH))
+
+
 # Broken files up to this number are left out of the listing by name.
 MOST_NAMED = 500
 
@@ -615,10 +629,10 @@ def _columnar(fmt: str) -> Callable[..., DataFrame]:
     def read(spark, path, glob, kind, options, encoding, skip_errors, modified_after) -> DataFrame:
         """One scan with Spark's merged schema; where types differ between files, one scan for each layout, widened.
 
-        With ``skip_errors`` every row group is read once before, side by side, and files with a broken one are left
-        out whole: by name in the listing, which keeps the scan strict, or, beyond ``MOST_NAMED`` of them, by a join
-        behind a scan that passes over what is broken. Avro, and files that only Spark's readers can open, are left
-        to ``ignoreCorruptFiles``.
+        With ``skip_errors`` all files are read once before, and those that give fewer rows than their footers name are
+        left out whole: by name in the listing, which keeps the scan strict, or, beyond ``MOST_NAMED`` of them, by a
+        join behind a scan that passes over what is broken. Avro, and files that only Spark's readers can open, are
+        left to ``ignoreCorruptFiles``.
         """
         opts = dict(options)
         schema = opts.pop("schema", None)
@@ -631,6 +645,16 @@ def _columnar(fmt: str) -> Callable[..., DataFrame]:
             reader = reader if given is None else reader.schema(_struct(given))
             return reader.load(paths).withColumn(_PATH, F.col("_metadata.file_path"))
 
+        def first_readable(paths):
+            """A file whose footer Spark reads, too; others of its layout may be damaged there."""
+            for p in paths[:-1]:
+                try:
+                    scan([p])
+                    return p
+                except Exception:  # noqa: S112  the last one says what is wrong
+                    continue
+            return paths[-1]
+
         files = listed(_scan(spark, glob, modified_after), path)
         if fmt == "avro" or not openable(files):
             return scan(path, schema, skip_errors)
@@ -640,24 +664,32 @@ def _columnar(fmt: str) -> Callable[..., DataFrame]:
             except Exception as err:
                 if "CANNOT_MERGE_SCHEMA" not in str(err):
                     raise
-            return _widened([scan(paths) for paths in layouts(settle(footers(files, fmt), "footers"))])
+            return _widened([scan(paths_of(group)) for group in layouts(settle(footers(files, fmt), "footers"))])
         seen = settle(footers(files, fmt), "footers")
-        bad = settle(broken_files(seen, fmt), "broken").select(F.col("path").alias(_PATH))
-        good = seen.join(bad, F.col("path") == F.col(_PATH), "left_anti")
+        opened = seen.filter("error IS NULL")
+        parts = [(path, schema)]
         if schema is None:
-            some = one_of_each_layout(good)
+            some = some_of_each_layout(opened)
             if not some:
                 return spark.createDataFrame([], T.StructType([]))
             try:
-                schema = scan(some).drop(_PATH).schema
+                parts = [(path, scan([first_readable(paths) for paths in some]).drop(_PATH).schema)]
             except Exception as err:
                 if "CANNOT_MERGE_SCHEMA" not in str(err):
                     raise
-                return _widened([scan(paths) for paths in layouts(good)])
+                parts = [
+                    (paths_of(group), scan([first_readable(paths) for paths in some_of_each_layout(group)]).drop(_PATH).schema)
+                    for group in layouts(opened)
+                ]
+        bad = settle(_broken(seen, [scan(*p, True) for p in parts]), "broken")
         named = [r[0] for r in bad.limit(MOST_NAMED + 1).collect()]
-        if len(named) > MOST_NAMED:
-            return _without_files(scan(path, schema, ignore=True), bad)
-        return scan(path, schema).filter(~F.col(_PATH).isin(named)) if named else scan(path, schema)
+
+        def whole(part):
+            if len(named) > MOST_NAMED:
+                return _without_files(scan(*part, True), bad)
+            return scan(*part).filter(~F.col(_PATH).isin(named)) if named else scan(*part)
+
+        return _widened([whole(p) for p in parts]) if len(parts) > 1 else whole(parts[0])
 
     return read
 

@@ -1,4 +1,4 @@
-"""Facts about files that tasks find out by opening them: header lines, column layouts, and whether they can be read.
+"""Facts about files that tasks find out by opening them: header lines and column layouts.
 
 The list of files comes from Spark's listing (names only, no content); a task opens its files with Arrow's file
 systems and reads the bytes it needs: a header up to its line end, a footer, or one row group at a time. Each gives a
@@ -92,85 +92,63 @@ def header_lines(files: DataFrame, encoding: str, comment: str | None = None) ->
 # --- columnar files ---------------------------------------------------------------------------------------------
 
 
-def _columnar(uri: str, fmt: str):
-    """Schema, number of units (row groups or stripes) and a reader of one unit."""
+def _footer(uri: str, fmt: str):
+    """Schema and number of rows."""
     fs, path = _opened(uri)
-    if fmt == "parquet":
-        import pyarrow.parquet as pq
+    with fs.open_input_file(path) as file:
+        if fmt == "parquet":
+            import pyarrow.parquet as pq
 
-        file = pq.ParquetFile(fs.open_input_file(path), page_checksum_verification=True)
+            meta = pq.read_metadata(file)
+            return meta.schema.to_arrow_schema(), meta.num_rows
+        from pyarrow import orc
 
-        def read(unit):
-            for _ in file.iter_batches(8192, row_groups=[unit]):
-                pass
-
-        return file.schema_arrow, file.num_row_groups, read
-    from pyarrow import orc
-
-    file = orc.ORCFile(fs.open_input_file(path))
-    return file.schema, file.nstripes, file.read_stripe
+        found = orc.ORCFile(file)
+        return found.schema, found.nrows
 
 
 def footers(files: DataFrame, fmt: str) -> DataFrame:
-    """``(path, columns, units, error)``: column name to type, number of row groups, and why there is no footer."""
+    """``(path, columns, rows, error)``: column name to type, number of rows, and why there is no footer."""
 
     def work(batches):
         for batch in batches:
             out = []
             for uri in batch.column(0).to_pylist():
                 try:
-                    schema, units, _ = _columnar(uri, fmt)
-                    out.append((uri, [(f.name, str(f.type)) for f in schema], units, None))
+                    schema, rows = _footer(uri, fmt)
+                    out.append((uri, [(f.name, str(f.type)) for f in schema], rows, None))
                 except (OSError, ValueError, pa.ArrowException) as err:
                     out.append((uri, [], 0, str(err)))
-            kinds = (pa.string(), pa.map_(pa.string(), pa.string()), pa.int32(), pa.string())
+            kinds = (pa.string(), pa.map_(pa.string(), pa.string()), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["path", "columns", "units", "error"]
+                [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["path", "columns", "rows", "error"]
             )
 
-    return files.select("path").mapInArrow(work, "path string, columns map<string,string>, units int, error string")
-
-
-def broken_files(seen: DataFrame, fmt: str) -> DataFrame:
-    """``path`` of the files of a table of footers that cannot be read to their end.
-
-    Row groups are read side by side, also those of one file.
-    """
-    unit = F.explode_outer(F.when(F.col("units") > 0, F.sequence(F.lit(0), F.col("units") - 1)))
-    units = seen.select("path", "error", unit.alias("unit"))
-
-    def work(batches):
-        for batch in batches:
-            bad = []
-            for uri, error, unit in zip(*(c.to_pylist() for c in batch.columns)):
-                if error is None and unit is not None:
-                    try:
-                        _columnar(uri, fmt)[2](unit)
-                    except (OSError, ValueError, pa.ArrowException):
-                        error = "unreadable"
-                if error is not None:
-                    bad.append(uri)
-            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], ["path"])
-
-    tasks = seen.sparkSession.sparkContext.defaultParallelism
-    return units.repartition(tasks, "path", "unit").mapInArrow(work, "path string").distinct()
+    return files.select("path").mapInArrow(work, "path string, columns map<string,string>, rows bigint, error string")
 
 
-def one_of_each_layout(seen: DataFrame) -> list[str]:
-    """A path for each set of columns and types: as many as there are layouts, however many files."""
-    found = seen.groupBy(F.to_json("columns").alias("layout")).agg(F.min("path").alias("path"))
-    return sorted(r["path"] for r in found.select("path").collect())
+def some_of_each_layout(seen: DataFrame) -> list[list[str]]:
+    """Up to four paths for each set of columns and types: as many lists as there are layouts, however many files."""
+    mixed = F.xxhash64("path")
+    found = seen.groupBy(F.to_json("columns").alias("layout")).agg(
+        F.array_distinct(F.array(F.min("path"), F.max("path"), F.min_by("path", mixed), F.max_by("path", mixed))).alias("paths")
+    )
+    return sorted(r["paths"] for r in found.select("paths").collect())
 
 
-def layouts(seen: DataFrame) -> list[list[str]]:
-    """Files grouped by the types of those columns whose types differ between files: the paths of each group.
+def layouts(seen: DataFrame) -> list[DataFrame]:
+    """Rows of a table of footers, grouped by the types of those columns whose types differ between files.
 
-    Files that only lack columns are one group. To the driver come the distinct layouts, then file names, which
-    Spark's own listing holds there, too.
+    Files that only lack columns are one group. To the driver come the distinct layouts.
     """
     kinds = seen.select(F.explode("columns").alias("name", "type")).groupBy("name").agg(F.collect_set("type").alias("types"))
     differing = sorted(r["name"] for r in kinds.filter(F.size("types") > 1).collect())
     key = F.to_json(F.map_filter("columns", lambda name, _: name.isin(differing)))
-    keyed = seen.select("path", key.alias("key"))
+    keyed = seen.withColumn("key", key)
     keys = sorted(r["key"] for r in keyed.select("key").distinct().collect())
-    return [sorted(r["path"] for r in keyed.filter(F.col("key") == k).select("path").collect()) for k in keys]
+    return [keyed.filter(F.col("key") == k).drop("key") for k in keys]
+
+
+def paths_of(seen: DataFrame) -> list[str]:
+    """The files of one group, for a scan of just these; Spark's own listing holds them on the driver, too."""
+    return sorted(r["path"] for r in seen.select("path").collect())
