@@ -43,6 +43,11 @@ def local_session(cores: str = "*", **extra: str) -> SparkSession:
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process; the executors of ``local-cluster`` are not."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -52,7 +57,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get(_SCRATCH, "")
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.conf.set(_SCRATCH, root)

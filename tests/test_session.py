@@ -2,7 +2,7 @@
 
 import pytest
 
-from millrace.session import broadcast_limit, estimated_bytes, fits_broadcast, new_folder, shared_root, sized, spread
+from millrace.session import broadcast_limit, estimated_bytes, fits_broadcast, is_local, new_folder, shared_root, sized, spread
 
 
 @pytest.mark.parametrize(
@@ -45,3 +45,8 @@ def test_spread_shuffles_small_inputs_only(spark, folder):
     assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     huge = small.crossJoin(small).crossJoin(small).crossJoin(small).crossJoin(small).crossJoin(small)
     assert estimated_bytes(huge) > 1 << 40 and spread(huge) is huge
+
+
+def test_only_one_process_is_local():
+    assert all(map(is_local, ("local", "local[4]", "local[*]", "local[2,3]")))
+    assert not any(map(is_local, ("local-cluster[3,2,1024]", "yarn", "spark://h:7077", "k8s://https://h")))
