@@ -8,12 +8,18 @@ copies have several.) Templates are joined to the hashes of distinct pages, row
 no list grows with a host. A second parse deletes them, and what tags, roles and class names mark as menu, header,
 footer, sidebar, notice, advert, form or reader comments.
 
-What is left of the ``article`` elements (else of ``main``, else of the page) is the text: its blocks, each with
-white space as single spaces, in page order. Paragraphs and headings inside an article are never taken for template:
-copies of an article share them.
+What is left of the ``article`` elements and of ``main`` ones without an article (else of the page) is the text: its
+blocks, each with white space as single spaces, in page order. Paragraphs and headings inside an article are never
+taken for template: copies of an article share them. Inside an article a name that prose may bear, too (related,
+comment, notice, share), leaves out only what recurs, consists of links for the most part or, for comments, holds a
+thread's parts; headings go by no name and paragraphs by no id.
+
+A page is read in one pass, in time linear in its length whatever its markup: open elements are found by name, and
+the first tag whose quotes never close ends the reading of quotes.
 
 Defined results: null or empty html gives an empty text; a page without url belongs to the host of no name, where
-nothing counts as template; unclosed elements end with their parents; an empty table gives no rows.
+nothing counts as template; unclosed elements end with their parents; a tag without an end is text; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -33,9 +39,10 @@ from millrace.session import settle
 
 MIN_PAGES = 5
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>", re.S
-)
+# A quote has a meaning after an equals sign only.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_LONG_NUMBER = re.compile(r"&#0*([0-9]{8})[0-9]*;?")
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript iframe template svg math canvas object".split())
@@ -72,6 +79,12 @@ def _named(words: str) -> re.Pattern:
 
 
 _MARKED, _HEADING = _named(_WORDS), _named(_TOP)
+# Words that alone, as a whole class or id, may as well name a part of an article.
+_WEAK = re.compile(
+    r"comments?|notices?|notifications?|related|recommend[a-z]*|share|sharing|social|search|widgets?|reply|replies|overlay|skip|"
+    r"menu|login|signup|respond", re.I,
+)
+_THREAD = re.compile(r"(?:^|[\s_-])(?:authors?|avatars?|byline|reply|user(?:name)?|votes?|timestamp|permalink)(?:$|[\s_-])", re.I)
 _COMMENTS = _named(r"comment[a-z0-9]*|disqus[a-z0-9]*|repl(?:y|ies)|respond")
 
 
@@ -85,6 +98,9 @@ class Page:
         self.end: list[int] = []
         self.digest: list[int] = []
         self._open: list[tuple[int, str, list[bytes]]] = []
+        self._depths: dict[str, list[int]] = {}
+        self._roots: list[int] | None = None
+        self._running: tuple[list[int], list[int], list[int]] | None = None
         self._parse(source)
 
     def _add(self, kind: str, value: str, attrs: str = "") -> int:
@@ -103,22 +119,23 @@ class Page:
             if tag in ("dt", "dd"):
                 self._close_open("dd" if tag == "dt" else "dt", ("dl",))
         i = self._add("<", tag, attrs)
+        self._depths.setdefault(tag, []).append(len(self._open))
         self._open.append((i, tag, []))
         if tag in _VOID:
             self._pop()
 
     def _close_open(self, tag: str, holders: tuple[str, ...]) -> None:
-        for depth in range(len(self._open) - 1, -1, -1):
-            name = self._open[depth][1]
-            if name == tag:
-                while len(self._open) > depth:
-                    self._pop()
-                return
-            if name in holders:
-                return
+        own = self._depths.get(tag)
+        if own and not any(above and above[-1] > own[-1] for above in map(self._depths.get, holders)):
+            self._close_from(own[-1])
+
+    def _close_from(self, depth: int) -> None:
+        while len(self._open) > depth:
+            self._pop()
 
     def _pop(self) -> None:
         i, tag, parts = self._open.pop()
+        self._depths[tag].pop()
         self.end[i] = self._add(">", tag)
         digest = hashlib.blake2b(b"\0".join([tag.encode(), *parts]), digest_size=8).digest()
         self.digest[i] = int.from_bytes(digest, "little", signed=True)
@@ -127,7 +144,8 @@ class Page:
 
     def _text(self, text: str) -> None:
         if text and not text.isspace():
-            text = entities.unescape(text)
+            # A number of many digits is no character; as a number it would be costly, or too long to read.
+            text = entities.unescape(_LONG_NUMBER.sub(r"&#\1;", text) if "&#" in text else text)
             self._add("t", text)
             if self._open:
                 self._open[-1][2].append(b"t" + " ".join(text.split()).encode("utf-8", "surrogatepass"))
@@ -135,31 +153,43 @@ class Page:
             self._add("t", " ")
 
     def _parse(self, source: str) -> None:
-        at = 0
-        while True:
-            m = _TOKEN.search(source, at)
-            if m is None:
-                self._text(source[at:])
+        at = text = 0
+        quoted, last = True, source.rfind(">")
+        while (at := source.find("<", at)) >= 0:
+            found = None
+            if source.startswith("<!--", at):
+                end = source.find("-->", at + 4)
+                end = len(source) if end < 0 else end + 3
+            elif at > last:
                 break
-            self._text(source[at:m.start()])
-            at = m.end()
-            tag = (m[2] or m[5] or "").lower()
-            if not tag:
-                continue
-            if m[1] or m[4]:
-                if any(o[1] == tag for o in self._open):
-                    while self._open[-1][1] != tag:
-                        self._pop()
-                    self._pop()
-                continue
-            attrs = m[3] if m[2] else m[6]
-            self._start(tag, attrs)
-            if tag in _RAW and not attrs.rstrip().endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-                at = len(source) if close is None else close.end()
-                self._pop()
-        while self._open:
+            elif source[at + 1] in "!?":
+                end = source.index(">", at) + 1
+            else:
+                found = _TAG.match(source, at) if quoted else None
+                if found is None and (found := _PLAIN_TAG.match(source, at)) is not None:
+                    quoted = False
+                if found is None:
+                    at += 1
+                    continue
+                end = found.end()
+            self._text(source[text:at])
+            at = text = end if found is None else self._tag(source, found)
+        self._text(source[text:])
+        self._close_from(0)
+
+    def _tag(self, source: str, found: re.Match) -> int:
+        """Take a tag in; returns where reading goes on."""
+        tag, attrs, at = found[2].lower(), found[3], found.end()
+        if found[1]:
+            if self._depths.get(tag):
+                self._close_from(self._depths[tag][-1])
+            return at
+        self._start(tag, attrs)
+        if tag in _RAW and not attrs.rstrip().endswith("/"):
+            close = re.compile(rf"</{re.escape(tag)}\s*+>", re.I).search(source, at)
+            at = len(source) if close is None else close.end()
             self._pop()
+        return at
 
     def attributes(self, i: int) -> dict[str, str]:
         return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(self.attrs[i])} if self.attrs[i].strip() else {}
@@ -181,19 +211,64 @@ class Page:
         a = self.attributes(i)
         if not a:
             return False
-        names = self._names(i) if by_name else ""
-        return (
+        if (
             a.get("role", "").lower() in _ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
             or "display:none" in a.get("style", "").replace(" ", "").lower()
-            or _MARKED.search(names) is not None or (not inside and _HEADING.search(names) is not None)
-        )
+        ):
+            return True
+        if not by_name:
+            return False
+        names = self._names(i)
+        if inside:
+            return self._named_in_article(i, tag, names, a.get("class", ""))
+        return _MARKED.search(names) is not None or _HEADING.search(names) is not None
+
+    def _named_in_article(self, i: int, tag: str, names: str, classes: str) -> bool:
+        if _MARKED.search(names) is None or re.fullmatch("h[1-6]", tag):
+            return False
+        marked = [n for n in (classes if tag in _PROSE else names).split() if _MARKED.search(n)]
+        weak = [n.lower() for n in marked if _WEAK.fullmatch(n)]
+        if len(weak) < len(marked):
+            return True
+        if not weak or tag in _PROSE:
+            return False
+        chars, linked, thread = (sums[self.end[i]] - sums[i] for sums in self._sums())
+        if 2 * linked > chars:
+            return True
+        of_comments = any(n.startswith(("comment", "repl", "respond")) for n in weak)
+        return of_comments and (thread > 0 or tag in ("section", "ol", "ul") and "comments" in weak)
+
+    def _sums(self) -> tuple[list[int], list[int], list[int]]:
+        """Before each event: characters of text, those in links, and elements that tell of a comment thread."""
+        if self._running is None:
+            chars, linked, thread = [0], [0], [0]
+            depth = 0
+            for kind, value, attrs in zip(self.kind, self.value, self.attrs):
+                size = len("".join(value.split())) if kind == "t" else 0
+                if kind != "t" and value == "a":
+                    depth += 1 if kind == "<" else -1
+                told = kind == "<" and (
+                    value in ("form", "textarea", "time", "button") or bool(attrs) and any(
+                        m[1].lower() == "class" and _THREAD.search(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)
+                    )
+                )
+                chars.append(chars[-1] + size)
+                linked.append(linked[-1] + (size if depth else 0))
+                thread.append(thread[-1] + told)
+            self._running = chars, linked, thread
+        return self._running
 
     def roots(self) -> list[int]:
-        """The elements whose text is the page's: outermost articles, else main elements, else all.
+        """The elements whose text is the page's: outermost articles, main elements without one; none: all of it.
 
         Class words alone never leave out an article or what holds one or a main element; only articles in a
         container of reader comments stand back behind others.
         """
+        if self._roots is None:
+            self._roots = self._find_roots()
+        return self._roots
+
+    def _find_roots(self) -> list[int]:
         starts = [i for i, k in enumerate(self.kind) if k == "<"]
         main = {
             i for i in starts if self.value[i] == "main" or "main" in self.attrs[i] and self.attributes(i).get("role") == "main"
@@ -207,7 +282,8 @@ class Page:
                 at = bisect_left(held, i)
                 holds = at < len(held) and held[at] < self.end[i]
                 if i in main:
-                    mains.append(i)
+                    if not mains or i > self.end[mains[-1]]:
+                        mains.append(i)
                 elif tag not in ("html", "body") and self.dropped(i, False, not holds):
                     i = self.end[i]
                 elif tag == "article":
@@ -216,7 +292,8 @@ class Page:
                 elif holds and i > remarks and tag not in ("html", "body") and _COMMENTS.search(self._names(i)):
                     remarks = self.end[i]
             i += 1
-        return articles or mains[:1] or comments
+        without = [m for m in mains if bisect_left(articles, m) == bisect_left(articles, self.end[m])]
+        return sorted(articles + without) or comments
 
     def subtrees(self) -> set[int]:
         """Hashes of the elements that may be template, each once."""
@@ -227,9 +304,10 @@ class Page:
         }
 
     def _may_be_template(self, i: int, holders: list[tuple[int, int]]) -> bool:
-        if any(i <= a and b <= self.end[i] for a, b in holders) or self.value[i] in ("html", "body", "head"):
+        at = bisect_left(holders, (i,))
+        if at < len(holders) and holders[at][1] <= self.end[i] or self.value[i] in ("html", "body", "head"):
             return False
-        inside = any(a < i < b for a, b in holders)
+        inside = at > 0 and i < holders[at - 1][1]
         return not (inside and self.value[i] in _PROSE)
 
     def blocks(self, template: frozenset[int] = frozenset()) -> list[str]:

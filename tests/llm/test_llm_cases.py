@@ -1,6 +1,7 @@
 """Edge cases of every operator: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -524,6 +525,65 @@ def test_comments_outside_the_article():
     assert one(page) == "Kept." and one(page.replace("article", "main", 2).replace("</article>", "</main>", 1)) == "Kept."
 
 
+@pytest.mark.parametrize("part", [
+    '<section id="recommendations"><p>We advise a rest.</p></section>',
+    '<section id="related"><h2>Related work</h2><p>Others did so.</p></section>',
+    '<div class="comment">The author remarks.</div>',
+    '<h2 id="notice">Notice of intent</h2>',
+    '<p id="search">How we searched.</p>',
+    '<p class="text share">A share of it.</p>',
+    '<div class="menu"><p>Soup, then fish.</p></div>',
+])
+def test_prose_is_never_dropped_by_name(part):
+    text = re.sub("<[^>]+>", "\n", part).strip().replace("\n\n", "\n").split("\n")
+    assert one(f"<article><h1>T</h1>{part}<p>End.</p></article>") == "\n\n".join(["T", *filter(None, text), "End."])
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="related"><a href=1>One more</a> <a href=2>And one</a></div>',
+    '<div class="ad">Buy.</div>', '<p class="advert">Buy.</p>', '<div class="related-posts">More</div>',
+    '<div class="comment"><span class="author">J</span><p>First!</p></div>',
+    '<div class="notice" hidden>n</div>', '<div class="share"><button>S</button><a>mail</a></div>',
+])
+def test_clutter_in_an_article_goes(part):
+    assert one(f"<article><p>Kept.</p>{part}</article>") == "Kept."
+
+
+def test_all_main_elements_count():
+    assert one("<body><main><p>a</p></main><div>x</div><main><p>b</p></main></body>") == "a\n\nb"
+    assert one("<main><article>a</article><p>x</p></main><main><main>b</main>c</main>") == "a\n\nb\n\nc"
+
+
+def test_quotes_without_an_end_lose_no_text():
+    assert one("<p title='it's'>a</p><p>it's</p>") == "a\n\nit's"
+    assert one('<p title="x>y">a</p><p title="z>b</p>') == "a\n\nb" and one("a < b <c") == "a < b <c"
+    assert one("<p>&#" + "9" * 10_000 + "; &#" + "0" * 10_000 + "65;</p>") in ("\ufffd A", "\ufffd \ufffd")
+
+
+@pytest.mark.parametrize("unit,tail", [
+    ("<a ", ""), ("<a ", ">"), ('<a b=">"', ""), ("<b>", "<hr>" * 100_000), ("<p><div><b>", "<hr>" * 100_000), ("<!", ""), ("</", ""),
+    ("<a b='", ""), ("<article>x</article>", ""), ("<li>", "</ul>" * 100_000), ("<article><div class=comment>", "x"), ("<" + "a" * 50, ""),
+])
+def test_hostile_markup_takes_linear_time(unit, tail):
+    html = unit * (600_000 // len(unit)) + tail
+    start = time.process_time()
+    page = page_text.Page(html)
+    page.blocks(), page.subtrees()
+    assert time.process_time() - start < 20
+
+
+def test_templates_without_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    made = [(i, f"http://h.example/{i}", f"<body><article><p>Text {i}.</p><div>Block</div></article></body>") for i in range(12)]
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        got = page_text.extract(table(spark, made, PAGES))
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        assert {r["text"] for r in rows(got)} == {f"Text {i}." for i in range(12)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_templates_are_found_per_host(spark):
     made = [
         (i, f"http://h.example/{i}", f"<body><div>Site slogan</div><div><p>Own text {i} of this page.</p></div><div><p>Terms apply</p></div></body>")
