@@ -1,17 +1,20 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Each source gets a target in words; a document's expected number of copies is its source's target divided by the
-source's size. Whole copies are certain. What is left is an inclusion probability ``p``: documents are ranked by
-``(u / (1 - u)) / (p / (1 - p))`` with ``u`` a random number that the id fixes, and the first ones are taken until
-the source's remaining words are reached. The size of the sample is thus fixed in words, and misses its target by
-half of the document at the cut at most.
+Each source gets a target in words. As many whole copies of all its documents as fit below it are certain. The words
+left are drawn with inclusion probabilities ``p`` in proportion to a document's importance (by default the binary
+digits of its size, so that longer texts are likelier): a document whose share is 1 or more is certain, too, and the
+others share what it leaves, which sums over a source's distinct importances settle without iterating. The rest is
+ranked by ``(u / (1 - u)) / (p / (1 - p))`` with ``u`` a random number that the id fixes, and the first ones are taken
+until the source's remaining words are reached. The size of the sample is thus fixed in words, and misses its target
+by half of the document at the cut at most.
 
 The cut needs no sorted source: two rounds of 4,096 bins of the rank, summed map-side, narrow it to the rows of one
 bin in 2^24, so a source with a third of all rows is summed by all tasks.
 
 Defined results: null text has size 0; a null source is a source of its own, the last one; a source without words
-has target 0; rows that repeat a ``doc_id`` share a rank and are taken together or not at all; with a null
-``doc_id`` the rank is that of the text ``null``; an empty table gives no rows.
+has target 0; rows that repeat a ``doc_id`` share ``u``, and with equal importance are taken together or not at all;
+with a null ``doc_id`` it is that of the text ``null``; importances are rounded down and kept within 1 and 1,024, null
+counts as 1; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from millrace.session import settle
 BIN_BITS = 12
 RANK_BITS = 36
 MAX_COPIES = 3
+MAX_IMPORTANCE = 1024
+MAX_P = 0.999999999999
 SEED = "mix"
 
 
@@ -105,36 +110,53 @@ def _narrow(rows: DataFrame, cuts: DataFrame, bin_of: Column, name: str) -> Data
     )
 
 
+def inclusion(sizes: DataFrame, targets: DataFrame) -> DataFrame:
+    """``(source, least, odds)``: the importance from which on a document is certain, and ``p`` per unit of importance below.
+
+    With R words to draw and weights w over sizes s, ``p = min(1, c * w)`` and ``sum(s * p) = R``. By falling
+    importance a class is certain if R less the words above it, times its w, is at least the sum of s * w from it on.
+    """
+    classes = _with_source(
+        sizes.groupBy("source", "importance").agg(F.sum("size").alias("words")), targets.select("source", "rest")
+    )
+    falling = Window.partitionBy("source").orderBy(F.desc("importance"))
+    above = F.coalesce(F.sum("words").over(falling.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    from_it = F.sum(F.col("words") * F.col("importance")).over(falling.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    marked = classes.withColumn(
+        "certain", (F.col("rest") > 0) & ((F.col("rest") - above) * F.col("importance") >= from_it)
+    )
+    open_weight = F.sum(F.when(~F.col("certain"), F.col("words") * F.col("importance")))
+    left = F.max("rest") - F.coalesce(F.sum(F.when(F.col("certain"), F.col("words"))), F.lit(0))
+    return marked.groupBy("source").agg(
+        F.min(F.when(F.col("certain"), F.col("importance"))).alias("least"), left.alias("left"), open_weight.alias("open_weight"),
+    ).select("source", "least", F.when(F.col("open_weight") > 0, F.col("left") / F.col("open_weight")).alias("odds"))
+
+
 def mix_plan(
     docs: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED, importance: Column | None = None
 ) -> DataFrame:
     """``(doc_id, source, size, source_size, target, copies, taken)``, one row per row of ``docs``.
 
-    ``importance`` (a positive number; null or none: 1) makes inclusion unequal within a source: a document's
-    expected copies are in proportion to it, up to ``max_copies``.
+    ``importance`` (whole numbers from 1 to 1,024) makes inclusion unequal within a source; ``F.lit(1)`` makes it
+    equal, None takes the binary digits of the size.
     """
-    weight = F.lit(1.0) if importance is None else F.coalesce(importance.cast("double"), F.lit(1.0))
-    sizes = settle(
-        docs.select("doc_id", "source", word_count(text_of(docs)).alias("size"), weight.alias("importance")), "sizes"
-    )
-    means = sizes.groupBy("source").agg(F.sum(F.col("importance") * F.col("size")).alias("important"))
+    size = word_count(text_of(docs))
+    given = F.length(F.bin(size)) if importance is None else F.coalesce(importance, F.lit(1))
+    kept = F.least(F.greatest(given.cast("long"), F.lit(1)), F.lit(MAX_IMPORTANCE)).cast("long")
+    sizes = settle(docs.select("doc_id", "source", size.alias("size"), kept.alias("importance")), "sizes")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    targets = settle(
-        _with_source(source_targets(sizes.select("source", "size"), max_copies), means).select(
-            "source", "source_size", "target", ratio.alias("ratio"),
-            F.when(F.col("important") > 0, F.col("source_size") / F.col("important")).otherwise(F.lit(1.0)).alias("scale"),
-        ),
-        "targets",
-    )
-    expected = F.least(
-        F.col("ratio") if importance is None else F.col("ratio") * F.col("scale") * F.col("importance"),
-        F.lit(float(max_copies)),
-    )
+    whole = F.floor("ratio").cast("long")
+    targets = source_targets(sizes.select("source", "size"), max_copies).select(
+        "source", "source_size", "target", ratio.alias("ratio")
+    ).withColumn("rest", F.col("target") - whole * F.col("source_size"))
+    targets = settle(targets, "targets")
+    drawn = settle(_with_source(targets, inclusion(sizes, targets)), "drawn")
+    certain_too = F.coalesce(F.col("importance") >= F.col("least"), F.lit(False))
+    p = F.when(certain_too, F.lit(0.0)).otherwise(F.least(F.col("odds") * F.col("importance"), F.lit(MAX_P)))
     rank = pareto_rank(F.col("doc_id"), F.col("p"), F.greatest(F.lit(1e-9), F.col("ratio") - F.floor("ratio")), seed)
     ranked = settle(
-        _with_source(sizes, targets).withColumn("expected", expected)
-        .withColumn("whole", F.floor("expected").cast("long")).withColumn("p", F.col("expected") - F.col("whole"))
-        .select("doc_id", "source", "size", "whole", rank.alias("rank")),
+        _with_source(sizes, drawn).withColumn("p", p)
+        .select("doc_id", "source", "size", (whole + certain_too.cast("long")).alias("whole"), rank.alias("rank")),
         "ranked",
     )
     certain = ranked.groupBy("source").agg(F.sum(F.col("whole") * F.col("size")).alias("certain"))
@@ -149,6 +171,8 @@ def mix_plan(
     # The cut's own cell, a 2^24th of a source, is ordered exactly.
     in_cell = (first == F.col("bin1")) & (second == F.col("bin2"))
     cell = _with_source(open_rows, cuts).filter(in_cell)
+    # Rows that repeat an id are one item of the cell, however many they are.
+    cell = cell.groupBy("source", "rank", "doc_id", "base", "rest").agg(F.sum("size").alias("size"))
     upto = F.col("base") + F.sum("size").over(Window.partitionBy("source").orderBy("rank", "doc_id"))
     last = (
         cell.withColumn("upto", upto).filter(F.col("upto") * 2 - F.col("size") <= F.col("rest") * 2)
@@ -169,13 +193,15 @@ def mix_plan(
     )
 
 
-def mix(docs: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
+def mix(
+    docs: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED, importance: Column | None = None
+) -> DataFrame:
     """The mix itself: each document as often as it is taken, with the columns of ``docs``.
 
     Copies are planned per ``doc_id``, so rows that repeat an id are each taken that often.
     """
     names = docs.columns
-    plan = mix_plan(docs, max_copies, seed).filter("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(
+    plan = mix_plan(docs, max_copies, seed, importance).filter("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(
         F.max("copies").alias("_copies")
     )
     joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"]))
@@ -207,18 +233,46 @@ def mix(docs: DataFrame, max_copies: int = MAX_COPIES, seed: str = SEED) -> Data
     r AS (
         SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS ratio FROM t),
     e AS (
-        SELECT *, CAST(floor(ratio) AS BIGINT) AS whole, ratio - floor(ratio) AS p,
+        SELECT *, CAST(floor(ratio) AS BIGINT) AS whole,
                target - CAST(floor(ratio) AS BIGINT) * source_size AS rest FROM r),
+    i AS (SELECT *, CAST(length(bin(size)) AS BIGINT) AS importance FROM d),
+    c AS (SELECT source, importance, CAST(sum(size) AS BIGINT) AS words FROM i GROUP BY source, importance),
+    f AS (
+        SELECT c.*, e.rest,
+               e.rest > 0 AND (e.rest - coalesce(sum(words) OVER (
+                   PARTITION BY c.source ORDER BY importance DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                   * importance
+               >= sum(words * importance) OVER (
+                   PARTITION BY c.source ORDER BY importance DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+               AS certain
+        FROM c JOIN e ON c.source IS NOT DISTINCT FROM e.source),
+    g AS (
+        SELECT source, min(CASE WHEN certain THEN importance END) AS least,
+               (max(rest) - coalesce(sum(CASE WHEN certain THEN words END), 0))
+               / CAST(nullif(sum(CASE WHEN NOT certain THEN words * importance END), 0) AS DOUBLE) AS odds
+        FROM f GROUP BY source),
     k AS (
-        SELECT d.doc_id, d.source, d.size, e.source_size, e.target, e.whole, e.p, e.rest,
-               (CAST('0x' || substr(md5('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null')), 1, 9) AS BIGINT) + 0.5::DOUBLE)
+        SELECT i.doc_id, i.source, i.size, e.source_size, e.target, e.ratio,
+               e.whole + CASE WHEN i.importance >= g.least THEN 1 ELSE 0 END AS whole,
+               CASE WHEN i.importance >= g.least THEN 0.0::DOUBLE
+                    WHEN g.odds IS NOT NULL THEN least(g.odds * i.importance, 0.999999999999::DOUBLE) END AS p,
+               (CAST('0x' || substr(md5('mix:' || coalesce(CAST(i.doc_id AS VARCHAR), 'null')), 1, 9) AS BIGINT) + 0.5::DOUBLE)
                / 68719476736::DOUBLE AS u
-        FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source),
+        FROM i JOIN e ON i.source IS NOT DISTINCT FROM e.source JOIN g ON i.source IS NOT DISTINCT FROM g.source),
+    -- The odds u / (1 - u) over the odds p / (1 - p), scaled to a whole number.
+    q AS (
+        SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p))
+                      * (greatest(1e-9::DOUBLE, ratio - floor(ratio)) / (1 - greatest(1e-9::DOUBLE, ratio - floor(ratio)))) END AS q
+        FROM k),
     o AS (
-        SELECT *, sum(size) OVER (PARTITION BY source, p > 0 ORDER BY u, doc_id) AS upto FROM k)
+        SELECT *, least(CAST(floor(q / (1 + q) * 68719476736::DOUBLE) AS BIGINT), 68719476735) AS rank,
+               target - sum(whole * size) OVER (PARTITION BY source) AS rest
+        FROM q),
+    t2 AS (
+        SELECT *, sum(size) OVER (PARTITION BY source, rank IS NOT NULL ORDER BY rank, doc_id) AS upto FROM o)
     SELECT doc_id, size, source_size, target,
-           (whole + CASE WHEN p > 0 AND upto * 2 - size <= rest * 2 THEN 1 ELSE 0 END) * size AS taken
-    FROM o
+           (whole + CASE WHEN rank IS NOT NULL AND upto * 2 - size <= rest * 2 THEN 1 ELSE 0 END) * size AS taken
+    FROM t2
     """,
 )
 def op6_mixing(spark, sf_dir):

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import brown_lm, dedup_exact, language, mixing, ngram_join, packing, page_text, pii, quality_rules, toxicity
 
@@ -200,6 +201,29 @@ def test_mix_comes_near_its_targets(spark):
     assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] for r in rows(mixing.mix_plan(docs)))
 
 
+def test_inclusion_is_in_proportion_to_importance(spark):
+    """Over 300 sources of like documents, each with random numbers of its own: frequencies near p, certain ones always."""
+    made = [(s * 100 + i, "w " * 10, "en", f"s{s:03d}", i) for s in range(300) for i in range(60)]
+    docs = table(spark, made)
+    # One of a source's documents is so important that its share is over 1.
+    weight = F.when(docs["n_chars"] == 0, 900).otherwise(docs["n_chars"] % 4 + 1)
+    for importance, by in ((weight, lambda i: 900 if i == 0 else i % 4 + 1), (F.lit(1), lambda i: 1)):
+        more, ps = defaultdict(list), {}
+        for r in rows(mixing.mix_plan(docs, importance=importance)):
+            ratio = r["target"] / r["source_size"]
+            more[int(ratio), round(ratio % 1, 6), by(r["doc_id"] % 100)].append(r["copies"] - int(ratio))
+        assert len({k[:2] for k in more}) == 3
+        for whole, rest in {k[:2] for k in more}:
+            weights, sure = sorted((by(i) for i in range(60)), reverse=True), 0
+            while sure < 60 and (60 * rest - sure) * weights[sure] >= sum(weights[sure:]):
+                sure += 1
+            c = (60 * rest - sure) / max(1, sum(weights[sure:]))
+            for w in set(weights):
+                p = 1 if w in weights[:sure] else c * w
+                seen = more[whole, rest, w]
+                assert set(seen) <= {0, 1} and abs(sum(seen) / len(seen) - p) < 0.03, (whole, rest, w)
+
+
 # --- quality ----------------------------------------------------------------------------------------------------
 
 
