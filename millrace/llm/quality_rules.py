@@ -1,8 +1,10 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Each rule is a condition that rejects a document. On a bounded sample the cost (seconds of a run that computes only
-that rule) and the selectivity (share rejected) of each rule are measured; rules then run in order of rejections per
-cost, as one CASE expression, so a document pays only for the rules up to the one that rejects it. The verdict is
+Each rule is a condition that rejects a document. On a sample, rows whose ids hash lowest, the cost (its work on each
+text, in characters passed over) and the selectivity (share rejected) of each rule are measured in one aggregation;
+rules then run in order of rejections per cost, ties by name, so the order is the same in each run. They are the
+branches of one CASE expression, in which what a rule looks for in the text stands itself, so a document pays only for
+the rules up to the one that rejects it. Measures that are returned are computed for every document. The verdict is
 that of all rules together and so the same in any order.
 
 Repeats: every 8-word window has a 64-bit hash, built by doubling (pairs, fours, eights). A text whose hashes are
@@ -16,37 +18,49 @@ no words are 0.
 
 from __future__ import annotations
 
-import time
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import SPACE, load, query, text_of
-from millrace.session import settle
 
 WINDOW = 8
-SAMPLE_ROWS = 400
+SAMPLE_ROWS = 2000
 SYMBOLS = "[#*$%&|<>]"
 SPLITTER = f"[{SPACE}]+"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``rejects`` is SQL over the columns of ``measured``; ``needs`` names the measures it reads."""
+    """``rejects`` is SQL over measures, ``text`` and its words, ``_words``; ``needs`` names the measures it reads.
+
+    ``cost`` is SQL, too: the rule's work on a document, about the time of one character in a regular expression.
+    """
 
     name: str
     rejects: str
     needs: tuple[str, ...]
+    cost: str = "length(text)"
 
 
+_LETTER = r"[A-Za-z\x{80}-\x{10FFFF}]"
+_BULLET = r"(?:^|\n)[ \t]*[-*•]"
+_CUT_OFF = r"(?:\.\.\.|…)(?:\n|\z)"
+
 # The rules of the query: conservative, so that ordinary prose passes.
 RULES = (
-    Rule("few_words", "n_words < 20", ("n_words",)),
-    Rule("repeated_words", "100 * n_repeat_words > 30 * n_words", ("n_repeat_words", "n_words")),
-    Rule("symbols", "2 * n_symbols > n_words", ("n_symbols", "n_words")),
-    Rule("word_length", "word_chars > 25 * n_words OR word_chars < 2 * n_words", ("word_chars", "n_words")),
-    Rule("repeated_lines", "2 * n_dup_lines > n_lines", ("n_dup_lines", "n_lines")),
+    Rule("few_words", "n_words < 20", ("n_words",), "2 * length(text)"),
+    Rule("repeated_words", "100 * n_repeat_words > 30 * n_words", ("n_repeat_words", "n_words"), "2 * length(text) + 50 * n_words"),
+    Rule("symbols", "2 * n_symbols > n_words", ("n_symbols", "n_words"), "3 * length(text)"),
+    Rule("word_length", "word_chars > 25 * n_words OR word_chars < 2 * n_words", ("word_chars", "n_words"), "3 * length(text)"),
+    Rule("repeated_lines", "2 * n_dup_lines > n_lines", ("n_dup_lines", "n_lines"), "3 * length(text)"),
+    # What these look for is no returned measure, and is looked for only where no rule before them rejects.
+    Rule("few_kinds", "20 * size(array_distinct(_words)) < n_words", ("n_words",), "2 * length(text) + 10 * n_words"),
+    Rule("few_letters", f"3 * regexp_count(text, r'{_LETTER}') < word_chars", ("word_chars",), "3 * length(text)"),
+    Rule("bullets", f"n_lines > 2 AND 10 * regexp_count(text, r'{_BULLET}') > 9 * n_lines", ("n_lines",), "2 * length(text)"),
+    Rule("cut_off_lines", f"n_lines > 2 AND 2 * regexp_count(text, r'{_CUT_OFF}') > n_lines", ("n_lines",), "2 * length(text)"),
 )
 
 
@@ -112,59 +126,77 @@ def measures(text: Column) -> dict[str, Column]:
 
 def measured(docs: DataFrame, names: list[str] | None = None) -> DataFrame:
     """``docs`` with the measures (all of them, or those named)."""
-    text = text_of(docs)
-    kept = docs.withColumn("_words", words_of(text))
+    return _measured(docs, names).drop("_words", "_text")
+
+
+def _measured(docs: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """As ``measured``, with the text, null as empty, in ``_text`` and its words in ``_words``."""
+    kept = docs.withColumn("_text", text_of(docs)).withColumn("_words", words_of(F.col("_text")))
     if names is None or "n_repeat_words" in names:
         kept = with_repeated_words(kept)
-    found = {n: c for n, c in measures(text).items() if names is None or n in names}
-    return kept.withColumns(found).drop("_words")
+    return kept.withColumns({n: c for n, c in measures(F.col("_text")).items() if names is None or n in names})
+
+
+def _expr(sql: str) -> Column:
+    return F.expr(re.sub(r"\btext\b", "_text", sql))
+
+
+def _hit(rule: Rule) -> Column:
+    return F.coalesce(_expr(rule.rejects), F.lit(False))
 
 
 @dataclass(frozen=True)
 class Estimate:
     rule: Rule
-    seconds: float
+    cost: float
     rejected: float
 
 
 def estimate(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
-    """Cost and selectivity of each rule on the first ``sample_rows`` rows that Spark finds."""
-    sample = settle(docs.select("text").limit(sample_rows), "sample")
-    found = []
-    for rule in rules:
-        began = time.perf_counter()
-        row = measured(sample, list(rule.needs)).agg(
-            F.count("*").alias("n"), F.count_if(F.expr(rule.rejects)).alias("rejected")
-        ).first()
-        found.append(Estimate(rule, time.perf_counter() - began, row["rejected"] / max(row["n"], 1)))
-    return found
+    """Cost and selectivity of each rule on about ``sample_rows`` rows, those whose ids hash lowest (all, if fewer).
+
+    The sample is summed where it lies, so its size needs no bound but this.
+    """
+    total = docs.count()
+    sample = docs.select("doc_id", "text")
+    if total > sample_rows:
+        bits = 32
+        sample = sample.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)) < int(sample_rows / total * (1 << bits)))
+    sums = [F.count("*").alias("n")]
+    for i, rule in enumerate(rules):
+        sums += [F.sum(_expr(rule.cost)).alias(f"cost{i}"), F.count_if(_hit(rule)).alias(f"rejected{i}")]
+    row = _measured(sample).agg(*sums).first()
+    n = max(row["n"], 1)
+    return [Estimate(rule, (row[f"cost{i}"] or 0) / n, row[f"rejected{i}"] / n) for i, rule in enumerate(rules)]
 
 
 def cascade(estimates: list[Estimate]) -> tuple[list[Rule], Column]:
     """The rules by rejection per cost, and the name of the first that rejects (null: kept)."""
-    order = [e.rule for e in sorted(estimates, key=lambda e: (-e.rejected / max(e.seconds, 1e-9), e.rule.name))]
+    order = [e.rule for e in sorted(estimates, key=lambda e: (-e.rejected / max(e.cost, 1e-9), e.cost, e.rule.name))]
     first = None
     for rule in order:
-        hit = F.expr(f"coalesce({rule.rejects}, false)")
-        first = F.when(hit, F.lit(rule.name)) if first is None else first.when(hit, F.lit(rule.name))
+        first = F.when(_hit(rule), F.lit(rule.name)) if first is None else first.when(_hit(rule), F.lit(rule.name))
     return order, F.lit(None).cast("string") if first is None else first
 
 
+def apply_rules(docs: DataFrame, estimates: list[Estimate]) -> DataFrame:
+    """``docs`` with all measures, ``rejected_by`` (null: kept; the first rule of the order that rejects) and ``kept``."""
+    _, first = cascade(estimates)
+    return _measured(docs).withColumn("rejected_by", first).withColumn("kept", F.col("rejected_by").isNull()).drop("_words", "_text")
+
+
 def judge(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` with all measures, ``rejected_by`` (null: kept; which of several depends on the order) and ``kept``."""
-    _, first = cascade(estimate(docs, rules, sample_rows))
-    return measured(docs).withColumn("rejected_by", first).withColumn("kept", F.col("rejected_by").isNull())
+    """``apply_rules`` with estimates from ``docs``."""
+    return apply_rules(docs, estimate(docs, rules, sample_rows))
 
 
 def keep_good(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The documents that no rule rejects; measures are computed inside the CASE, so later rules cost nothing once one rejects."""
+    """The documents that no rule rejects: a filter for each rule, in order, which computes what that rule needs."""
     names = docs.columns
     order, _ = cascade(estimate(docs, rules, sample_rows))
     kept = docs
     for rule in order:
-        kept = measured(kept, list(rule.needs)).filter(~F.expr(f"coalesce({rule.rejects}, false)")).select(
-            *[F.col(f"`{c}`") for c in names]
-        )
+        kept = _measured(kept, list(rule.needs)).filter(~_hit(rule)).select(*[F.col(f"`{c}`") for c in names])
     return kept
 
 
@@ -185,7 +217,10 @@ def keep_good(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> D
         FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
         WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
     m AS (
-        SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+        SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, len(list_distinct(words)) AS n_kinds,
+               len(regexp_extract_all(text, '{_LETTER}')) AS n_letters,
+               len(regexp_extract_all(text, '{_BULLET}')) AS n_bullets,
+               len(regexp_extract_all(text, '{_CUT_OFF}')) AS n_cut_off,
                CAST(len(array_to_string(words, '')) AS BIGINT) AS word_chars,
                CAST(len(regexp_extract_all(text, '{SYMBOLS}')) AS BIGINT) AS n_symbols,
                coalesce(n_lines, 0) AS n_lines, CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines,
@@ -194,7 +229,9 @@ def keep_good(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> D
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
            n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
            NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 2 * n_symbols > n_words
-                OR word_chars > 25 * n_words OR word_chars < 2 * n_words OR 2 * n_dup_lines > n_lines) AS kept
+                OR word_chars > 25 * n_words OR word_chars < 2 * n_words OR 2 * n_dup_lines > n_lines
+                OR 20 * n_kinds < n_words OR 3 * n_letters < word_chars
+                OR (n_lines > 2 AND (10 * n_bullets > 9 * n_lines OR 2 * n_cut_off > n_lines))) AS kept
     FROM m
     """,
 )

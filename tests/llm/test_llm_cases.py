@@ -246,10 +246,40 @@ def test_quality_measures(odd, none):
 
 def test_cascade_order_is_rejections_per_cost():
     rules = quality_rules.RULES[:3]
-    estimates = [quality_rules.Estimate(rules[0], 2.0, 0.2), quality_rules.Estimate(rules[1], 1.0, 0.5), quality_rules.Estimate(rules[2], 4.0, 0.9)]
-    estimates.sort(key=lambda e: e.rule.name)
-    order = sorted(estimates, key=lambda e: -e.rejected / e.seconds)
-    assert [e.rule.name for e in order] == [rules[1].name, rules[2].name, rules[0].name]
+    estimates = [quality_rules.Estimate(rules[0], 2.0, 0.2), quality_rules.Estimate(rules[1], 1.0, 0.5), quality_rules.Estimate(rules[2], 4.0, 0.4)]
+    order, _ = quality_rules.cascade(estimates)
+    assert [r.name for r in order] == ["repeated_words", "few_words", "symbols"]
+
+
+def test_cascade_stops_at_the_first_rejection(spark):
+    """A rule that fails when it is reached never is for what a rule before it rejects."""
+    docs = table(spark, [(i, "few", "en", "a", 1) for i in range(5)])
+    few = quality_rules.RULES[0]
+    trap = quality_rules.Rule("trap", "regexp_count(text, if(n_words < 20, raise_error('reached'), 'x')) > 99", ("n_words",))
+    before = quality_rules.apply_rules(docs, [quality_rules.Estimate(trap, 2.0, 0.5), quality_rules.Estimate(few, 1.0, 0.5)])
+    assert {r["rejected_by"] for r in rows(before)} == {"few_words"}
+    after = quality_rules.apply_rules(docs, [quality_rules.Estimate(trap, 1.0, 0.5), quality_rules.Estimate(few, 2.0, 0.5)])
+    with pytest.raises(Exception, match="reached"):
+        rows(after)
+
+
+def test_rules_and_their_estimates(spark):
+    prose = " ".join(f"word{i}" for i in range(60))
+    bad = {
+        "few_words": "one two", "repeated_words": "a bc def gh ij kl mn op " * 9, "symbols": prose + " #" * 200,
+        "word_length": "x" * 3000 + " " + prose, "repeated_lines": "\n".join([prose, "k", "k", "k", "k"]),
+        "few_letters": " ".join(f"{i}{i * i + 10**5}" for i in range(50)), "bullets": "\n".join(f"- {prose[i:]}" for i in range(4)),
+        "cut_off_lines": "\n".join(f"{prose[i:]}..." for i in range(4)),
+        "few_kinds": " ".join(str("ab"[int(c)]) + "cd" for i in range(300) for c in f"{i * i * 7919 % 4096:012b}"),
+    }
+    docs = table(spark, [(i, t, "en", "a", 1) for i, t in enumerate(bad.values())] + [(99, prose, "en", "a", 1)])
+    for i, (name, text) in enumerate(bad.items()):
+        rule = next(r for r in quality_rules.RULES if r.name == name)
+        got = {r["doc_id"]: r["rejected_by"] for r in rows(quality_rules.judge(docs, [rule]))}
+        assert got[i] == name and got[99] is None
+    first, again = (quality_rules.estimate(docs, sample_rows=6) for _ in range(2))
+    assert first == again and all(e.cost > 0 for e in quality_rules.estimate(docs))
+    assert [r["doc_id"] for r in rows(quality_rules.keep_good(docs))] == [99]
 
 
 # --- personal data ----------------------------------------------------------------------------------------------
