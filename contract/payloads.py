@@ -99,12 +99,15 @@ def pages_by_cursor(spark, sf_dir):
 # For the data source: eight feeds whose pages grow with the data.
 _FEEDS = 8
 _BLOCK = 10
+# Pages of a feed that lie in one file, about 10 MB of bodies.
+_FILE_PAGES = 1000
 
 
 def _served(spark, sf_dir, feeds: int, body):
-    """A fetch function over orders landed as page bodies in blocks: ``(feed, page number) -> body``, None past the end.
+    """A fetch function over orders landed as page bodies in files of many pages: ``(feed, page number) -> body``, None past the end.
 
     ``body`` makes the response text from ``items_json``, ``number`` (of the page in its feed) and ``last``.
+    A task keeps the pages of the file it last read, so a file that is asked for page by page is opened once.
     """
     folder = new_folder(spark, "bodies")
     pages = order_pages(spark, sf_dir)
@@ -112,23 +115,35 @@ def _served(spark, sf_dir, feeds: int, body):
     number = F.expr(f"page_no div {feeds} + 1")
     landed = pages.select(
         F.concat(F.lit("feed-"), F.col("page_no") % feeds).alias("feed"), number.alias("number"),
-        F.expr(f"(page_no div {feeds} + 1) div {_BLOCK}").alias("block"), "items_json",
+        F.expr(f"(page_no div {feeds} + 1) div {_FILE_PAGES}").alias("block"), "items_json",
         (F.col("page_no") + feeds > final).alias("last"),
     )
     landed = landed.select("feed", "number", "block", body.alias("body"))
     landed.repartition("feed", "block").write.partitionBy("feed", "block").parquet(folder)
     root = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
 
+    kept: dict = {}
+
+    def block_of(feed: str, block: int) -> dict[int, str]:
+        import pyarrow.parquet as pq
+        from pyarrow.fs import FileSelector, FileSystem
+
+        fs, path = FileSystem.from_uri(f"{root}/feed={feed}/block={block}")
+        found: dict[int, str] = {}
+        for file in fs.get_file_info(FileSelector(path, allow_not_found=True)):
+            if file.base_name.endswith(".parquet"):
+                with fs.open_input_file(file.path) as source:
+                    rows = pq.ParquetFile(source).read(["number", "body"], use_threads=False)
+                found.update(zip(rows.column("number").to_pylist(), rows.column("body").to_pylist()))
+        return found
+
     def serve(feed: str, number: int) -> str | None:
-        import pyarrow.dataset as ds
-        from pyarrow.fs import FileSystem, FileType
-
-        fs, path = FileSystem.from_uri(f"{root}/feed={feed}/block={number // _BLOCK}")
-        if fs.get_file_info(path).type == FileType.NotFound:
-            return None
-        found = ds.dataset(path, filesystem=fs, format="parquet")
-        rows = found.to_table(columns=["body"], filter=ds.field("number") == number)
-        return rows.column("body")[0].as_py() if rows.num_rows else None
+        place = (feed, number // _FILE_PAGES)
+        if place not in kept:
+            found = block_of(*place)
+            kept.clear()
+            kept[place] = found
+        return kept[place].get(number)
 
     return serve
 

@@ -28,7 +28,10 @@ Fetch = Callable[[str, dict], str | None]
 
 def cursor_in(body: str, path: str):
     """The next cursor at a dotted path of a body, or None."""
-    value = json.loads(body)
+    return _at_path(json.loads(body), path)
+
+
+def _at_path(value, path: str):
     for part in path.split("."):
         if not isinstance(value, dict) or part not in value:
             return None
@@ -49,10 +52,20 @@ def has_items(body: str, data_key: str) -> bool:
         value = json.loads(body)
     except ValueError:
         return True
+    return _lists_items(value, data_key)
+
+
+def _lists_items(value, data_key: str) -> bool:
     listed = value.get(data_key, [None]) if isinstance(value, dict) else value
     return not isinstance(listed, list) or bool(listed)
 
 
+def next_cursor(body: str, data_key: str, path: str):
+    """The cursor that follows a body, or None where the feed ends: without items or without a cursor."""
+    value = json.loads(body)
+    return _at_path(value, path) if _lists_items(value, data_key) else None
+
+
 class _Reader(DataSourceReader):
     def __init__(self, fetch: Fetch, options: dict):
         self.fetch = fetch
@@ -90,12 +103,12 @@ class _Reader(DataSourceReader):
             if body is None:  # past the end
                 return
             yield part.feed, self.order(number), body
-            if self.strategy == "none" or not has_items(body, self.data_key):
-                return
             if self.strategy == "cursor":
-                cursor = cursor_in(body, self.cursor_path)
+                cursor = next_cursor(body, self.data_key, self.cursor_path)
                 if cursor is None:
                     return
+            elif self.strategy == "none" or not has_items(body, self.data_key):
+                return
             number += part.step
 
 
@@ -218,10 +231,12 @@ class _SpanStream(DataSourceStreamReader):
         return self.pages.fetch(feed, self.pages.params(at["page"], at["cursor"]))
 
     def _after(self, at: dict, body: str) -> dict:
-        more = self.pages.strategy != "none" and has_items(body, self.pages.data_key)
-        cursor = cursor_in(body, self.pages.cursor_path) if self.pages.strategy == "cursor" and more else None
+        cursor = None
         if self.pages.strategy == "cursor":
+            cursor = next_cursor(body, self.pages.data_key, self.pages.cursor_path)
             more = cursor is not None
+        else:
+            more = self.pages.strategy != "none" and has_items(body, self.pages.data_key)
         return {"page": at["page"] + 1, "cursor": cursor, "last": at["cursor"], "ended": not more}
 
     def _once_more(self, feed: str, at: dict) -> dict:

@@ -241,3 +241,31 @@ def test_extracts_called_from_sql(spark):
         with pytest.raises(Exception):
             spark.sql(bad).collect()
     spark.catalog.dropTempView("bodies")
+
+
+def test_served_files_are_opened_once_while_their_pages_are_asked_for(spark, folder, monkeypatch):
+    import pyarrow.fs
+
+    from contract import payloads
+
+    monkeypatch.setattr(payloads, "_FILE_PAGES", 10, raising=False)
+    pages = 43
+    spark.range(pages * 100).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "cast(id AS double) AS o_totalprice", "'p' AS o_orderpriority"
+    ).write.parquet(f"{folder}/orders.parquet")
+    serve = payloads._served(spark, folder, 1, payloads._cursor_body())
+    opened = []
+
+    class Counted:
+        @staticmethod
+        def from_uri(uri):
+            opened.append(uri)
+            return real.from_uri(uri)
+
+    real = pyarrow.fs.FileSystem
+    monkeypatch.setattr(pyarrow.fs, "FileSystem", Counted)
+    bodies = [json.loads(serve("feed-0", number)) for number in range(1, pages + 1)]
+    assert serve("feed-0", pages + 1) is None and serve("feed-0", 10 * pages) is None and serve("feed-9", 1) is None
+    assert [b["data"][0]["o_orderkey"] for b in bodies] == [100 * i for i in range(pages)]
+    assert [b["page"]["after"] for b in bodies] == [f"at-{n}" for n in range(2, pages + 1)] + [None]
+    assert len(opened) == 5 + 2
