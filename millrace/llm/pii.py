@@ -9,7 +9,8 @@ as personal data, others don't. What makes a span strictly valid but is only a w
 number, how a mail address spells at and dot, how many digits a card has) is no feature, so number groups written like
 phone numbers, spelled-out addresses and cards of 13 to 15 digits are found without it. Of the latter two, those that
 have what makes a base span (a dot, the check digit) have no label and are left out of the fit. All others are counted
-by their features in Spark; the fit reads at most ``FIT_ROWS`` distinct feature vectors a kind, the most frequent ones.
+by their features in Spark, and all counts go into the fit: a kind with up to ``FIT_ROWS`` different feature vectors
+is fitted on the driver, one with more by sums over nodes, features and values that Spark makes, to the same trees.
 
 Spans are code points, end exclusive. Base spans always stay; added ones overlap neither these nor each other.
 
@@ -188,28 +189,45 @@ def _overlaps(x: Column, y: Column) -> Column:
 # --- boosted trees over counted feature vectors ---------------------------------------------------------------
 
 
-def _best_split(x, grad, hess, rows):
-    """(gain, feature, threshold) of the split ``feature <= threshold`` with the most gain, or None."""
+# Probabilities are whole multiples of 1 / SCALE, so sums of gradients are exact in any order.
+SCALE = 1 << 16
+_HALVED = 14  # binary digits left out of p * (SCALE - p), so that its sums stay exact, too
+_HESS_SCALE = SCALE * SCALE >> _HALVED
+
+
+def _best_split(tables):
+    """(gain, feature, threshold, low sums) of the split ``feature <= threshold`` with the most gain, or None.
+
+    ``tables`` has per feature its values in ascending order with the gradients and second derivatives of each.
+    """
     best = None
-    g, h = grad[rows].sum(), hess[rows].sum()
-    for f in range(x.shape[1]):
-        values, place = np.unique(x[rows, f], return_inverse=True)
+    for f, values, grads, hesses in tables:
         if len(values) < 2:
             continue
-        gl = np.cumsum(np.bincount(place, grad[rows]))[:-1]
-        hl = np.cumsum(np.bincount(place, hess[rows]))[:-1]
+        gs, hs = np.cumsum(grads), np.cumsum(hesses)
+        g, h = gs[-1] / SCALE, hs[-1] / _HESS_SCALE
+        gl, hl = gs[:-1] / SCALE, hs[:-1] / _HESS_SCALE
         gain = gl**2 / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g**2 / (h + 1)
         k = int(np.argmax(gain))
         if gain[k] > 1e-6 and (best is None or gain[k] > best[0]):
-            best = (float(gain[k]), f, int(values[k]))
+            best = (float(gain[k]), f, int(values[k]), (int(gs[k]), int(hs[k])))
     return best
 
 
+def _leaf(grad: int, hess: int) -> float:
+    return float(-RATE * (grad / SCALE) / (hess / _HESS_SCALE + 1))
+
+
 def _grow(x, grad, hess, rows, depth):
-    split = _best_split(x, grad, hess, rows) if depth else None
+    def tables():
+        for f in range(x.shape[1]):
+            values, place = np.unique(x[rows, f], return_inverse=True)
+            yield f, values, np.bincount(place, grad[rows]), np.bincount(place, hess[rows])
+
+    split = _best_split(tables()) if depth else None
     if split is None:
-        return float(-RATE * grad[rows].sum() / (hess[rows].sum() + 1))
-    _, f, t = split
+        return _leaf(int(grad[rows].sum()), int(hess[rows].sum()))
+    _, f, t, _ = split
     low = x[rows, f] <= t
     return (f, t, _grow(x, grad, hess, rows[low], depth - 1), _grow(x, grad, hess, rows[~low], depth - 1))
 
@@ -221,16 +239,80 @@ def _value(tree, x):
     return np.where(x[:, f] <= t, _value(low, x), _value(high, x))
 
 
+def _prior(pos: float, n: float) -> float:
+    return math.log((pos + 1) / (n - pos + 1))
+
+
+def _probability(score: np.ndarray) -> np.ndarray:
+    """In multiples of 1 / SCALE."""
+    return np.clip(np.floor(SCALE / (1 + np.exp(-score)) + 0.5), 1, SCALE - 1).astype(np.int64)
+
+
+def _probability_column(score: Column) -> Column:
+    p = F.floor(SCALE / (1 + F.exp(-score)) + 0.5)
+    return F.least(F.greatest(p, F.lit(1)), F.lit(SCALE - 1)).cast("long")
+
+
 def fit_trees(x: np.ndarray, pos: np.ndarray, n: np.ndarray, rounds: int = ROUNDS):
     """Gradient boosting of the logistic loss over feature vectors that occur ``n`` times, ``pos`` times positive."""
-    prior = math.log((pos.sum() + 1) / (n.sum() - pos.sum() + 1))
+    pos, n = pos.astype(np.int64), n.astype(np.int64)
+    prior = _prior(int(pos.sum()), int(n.sum()))
     score, trees = np.full(len(x), prior), []
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-score))
-        tree = _grow(x, n * p - pos, n * p * (1 - p), np.arange(len(x)), DEPTH)
+        p = _probability(score)
+        tree = _grow(x, n * p - pos * SCALE, n * (p * (SCALE - p) >> _HALVED), np.arange(len(x)), DEPTH)
         trees.append(tree)
         score = score + _value(tree, x)
-    return prior, trees, 1 / (1 + np.exp(-score))
+    return prior, trees, _probability(score) / SCALE
+
+
+def _grow_spread(scored: DataFrame):
+    """A tree from sums by node, feature and value; only these, a few thousand at most, reach the driver."""
+    p = _probability_column(F.col("score"))
+    grad, hess = F.col("n") * p - F.col("pos") * SCALE, F.col("n") * F.shiftright(p * (SCALE - p), _HALVED)
+    splits, sums = {}, {}
+
+    def node(i):
+        if i not in splits:
+            return F.lit(i)
+        f, t = splits[i]
+        return F.when(F.col(FEATURES[f]) <= t, node(2 * i)).otherwise(node(2 * i + 1))
+
+    def tree(i):
+        return (*splits[i], tree(2 * i), tree(2 * i + 1)) if i in splits else _leaf(*sums[i])
+
+    values = F.array(*[F.struct(F.lit(f).alias("f"), F.col(c).alias("v")) for f, c in enumerate(FEATURES)])
+    for depth in range(DEPTH):
+        found = scored.select(node(1).alias("node"), grad.alias("g"), hess.alias("h"), F.explode(values).alias("c"))
+        found = found.filter(F.col("node") >= 1 << depth).groupBy("node", "c.f", "c.v").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+        tables: dict = {}
+        for r in sorted(tuple(r) for r in found.collect()):
+            tables.setdefault(r[0], {}).setdefault(r[1], []).append(r[2:])
+        for i, features in tables.items():
+            whole = [sum(r[k] for r in features[0]) for k in (1, 2)]
+            sums[i] = tuple(whole)
+            split = _best_split((f, *(np.array(c, np.int64) for c in zip(*rows))) for f, rows in features.items())
+            if split is not None:
+                _, f, t, low = split
+                splits[i] = (f, t)
+                sums[2 * i], sums[2 * i + 1] = low, (whole[0] - low[0], whole[1] - low[1])
+    return tree(1)
+
+
+def fit_spread(counted: DataFrame, rounds: int = ROUNDS) -> tuple:
+    """``fit_trees`` and ``threshold`` over any number of feature vectors, which stay on executors: the same model.
+
+    Equal probabilities are counted together, so at most ``SCALE`` rows decide on the threshold.
+    """
+    pos, n = counted.agg(F.sum("pos"), F.sum("n")).first()
+    prior, trees = _prior(pos, n), []
+    scored = counted.withColumn("score", F.lit(prior))
+    for _ in range(rounds):
+        trees.append(_grow_spread(scored))
+        scored = settle(scored.withColumn("score", F.col("score") + _tree_column(trees[-1], scored)), "scored")
+    ranked = scored.groupBy(_probability_column(F.col("score")).alias("p")).agg(F.sum("pos"), F.sum("n")).orderBy("p").collect()
+    p, pos, n = (np.array(c, float) for c in zip(*ranked))
+    return prior, trees, threshold(p / SCALE, pos, n)
 
 
 def threshold(p: np.ndarray, pos: np.ndarray, n: np.ndarray, precision: float = PRECISION) -> float:
@@ -250,18 +332,26 @@ def _tree_column(tree, c: Column) -> Column:
 
 
 def fit(spans: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
-    """Kind → (prior, trees, threshold), from ``proposed`` and the base spans of all documents."""
+    """Kind → (prior, trees, threshold), from ``proposed`` and the base spans of all documents.
+
+    Every labelled proposal counts. Only where the work is done depends on ``fit_rows``: a kind with up to as many
+    different feature vectors is fitted on the driver, one with more by sums that Spark makes.
+    """
     rows = spans.select(F.explode("proposed").alias("c"), "base").filter("c.labelled").select(
         "c.kind", *[F.col(f"c.{f}").alias(f) for f in FEATURES],
         F.exists("base", lambda b: (b["kind"] == F.col("c.kind")) & (b["s"] < F.col("c.e")) & (F.col("c.s") < b["e"])).alias("y"),
     )
     counted = settle(rows.groupBy("kind", *FEATURES).agg(F.count_if("y").alias("pos"), F.count("*").alias("n")), "counted")
+    sizes = {r["kind"]: r["count"] for r in counted.groupBy("kind").count().collect()}
     models = {}
     for kind in KINDS:
-        own = counted.filter(F.col("kind") == kind).orderBy(F.desc("n"), *FEATURES).limit(fit_rows).collect()
-        if own:
-            x = np.array([[r[f] for f in FEATURES] for r in own], np.int64)
-            pos, n = (np.array([r[c] for r in own], float) for c in ("pos", "n"))
+        own = counted.filter(F.col("kind") == kind)
+        if sizes.get(kind, 0) > fit_rows:
+            models[kind] = fit_spread(own.select(*FEATURES, "pos", "n"))
+        elif kind in sizes:
+            vectors = own.orderBy(*FEATURES).collect()
+            x = np.array([[r[f] for f in FEATURES] for r in vectors], np.int64)
+            pos, n = (np.array([r[c] for r in vectors], float) for c in ("pos", "n"))
             prior, trees, p = fit_trees(x, pos, n)
             models[kind] = (prior, trees, threshold(p, pos, n))
     return models
@@ -276,7 +366,7 @@ def _placed_kind(kind: str):
 def _chosen(kind: str, prior: float, trees: list, least: float):
     def keep(c):
         score = sum((_tree_column(t, c) for t in trees), F.lit(prior))
-        return (c["kind"] == kind) & (1 / (1 + F.exp(-score)) >= least)
+        return (c["kind"] == kind) & (_probability_column(score) >= round(least * SCALE))
 
     return keep
 

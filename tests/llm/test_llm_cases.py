@@ -339,6 +339,24 @@ def test_trees_add_spelled_addresses_and_short_cards(spark):
     assert got[made[6]] == {("card", "378282246310005")} and got[made[7]] == got[made[1]] == got[made[3]] == set()
 
 
+def test_all_feature_vectors_go_into_the_fit(spark):
+    """Wherever the trees are grown, they and the thresholds come from all counts."""
+    made = []
+    for i in range(120):
+        made += [f"call +1 ({200 + i}) 555-{1000 + i} now", f"total {i}.{i % 7}.{i % 5}.{i}{i} done", f"id {10 ** (i % 4 + 7) + i}"]
+        made += [f"tel +46 {i % 10} {100 + i} {200 + i}", f"no {'-'.join(str(100 + i + k) for k in range(2 + i % 3))}: x"]
+    docs = table(spark, [(i, t, "en", "a", 1) for i, t in enumerate(made)])
+    base = pii.base_spans(F.col("text"))
+    spans = docs.select(
+        F.concat(*[F.transform(base[k], pii._placed_kind(k)) for k in pii.KINDS]).alias("base"),
+        pii.proposals(F.col("text")).alias("proposed"),
+    )
+    whole, spread = pii.fit(spans), pii.fit(spans, fit_rows=8)
+    assert whole["phone"][2] <= 1 and len(whole["phone"][1]) == pii.ROUNDS
+    assert {k: (prior, least) for k, (prior, _, least) in spread.items()} == {k: (prior, least) for k, (prior, _, least) in whole.items()}
+    assert all(str(spread[k][1]) == str(whole[k][1]) for k in whole)
+
+
 def test_boosting_learns_and_thresholds_hold():
     x = np.array([[a, b] for a in range(8) for b in range(8)])
     n = np.full(len(x), 10.0)
