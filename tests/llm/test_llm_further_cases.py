@@ -1,4 +1,4 @@
-"""Edge cases of the fill-in-the-middle transformation, the secret scan and the ranked search."""
+"""Edge cases of the fill-in-the-middle transformation, the secret scan, the ranked search and the language model's classes."""
 
 import base64
 import hashlib
@@ -18,7 +18,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 
-from millrace.llm import fill_middle, ranked_search, secret_scan
+from millrace.llm import brown_lm, fill_middle, ranked_search, secret_scan
+from millrace.llm.bytewords import byte_chunks, hashed_words
 from test_llm_cases import clashing, none, odd, rows, table  # noqa: F401
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
@@ -289,3 +290,102 @@ def test_treaps_survive_writing():
     lengths, found = np.array([2, 2, 3])[back.columns], back.maxima[back.masks == 0]
     once, twice = (ranked_search.impacts(np.full(6, k), lengths, 3, 7) for k in (1, 2))
     assert len(found) == 6 and (found == once).sum() == 5 and (found == twice).sum() == 1
+
+
+# --- language model ---------------------------------------------------------------------------------------------
+
+
+def test_rare_words_get_classes_from_their_neighbours(spark):
+    """Two kinds of text that share no word: a rare word of one kind fits texts of that kind only."""
+    draw = random.Random(2)
+    texts = []
+    for kind in "ab":
+        often = [f"{kind}{i}" for i in range(540)] * 12
+        draw.shuffle(often)
+        for i in range(30):
+            for _ in range(4):
+                often.insert(draw.randrange(len(often)), f"rare{kind}{i}z")
+        texts += [" ".join(often[i:i + 12]) for i in range(0, len(often), 12)]
+    asked = [f"{a}{i} rare{b}{i}z {a}{i + 9}" for i in range(30) for a in "ab" for b in "ab"]
+    docs = table(spark, [(i, t, i < len(texts)) for i, t in enumerate(texts + asked)], "doc_id long, text string, train boolean")
+    score = {r["doc_id"]: r["score"] for r in rows(brown_lm.score_texts(docs))}
+    got = np.array([score[len(texts) + i] for i in range(len(asked))]).reshape(30, 2, 2)
+    assert (got[:, 0, 0] > got[:, 0, 1] + 1).mean() > 0.9 and (got[:, 1, 1] > got[:, 1, 0] + 1).mean() > 0.9
+
+
+def likelihood(n):
+    x = lambda v: np.where(v > 0, v * np.log(np.maximum(v, 1)), 0).sum()
+    return x(n) - x(n.sum(0)) - x(n.sum(1))
+
+
+def class_table(tokens, of, size):
+    n = np.zeros((size, size), np.int64)
+    np.add.at(n, ([of[a] for a in tokens[:-1]], [of[b] for b in tokens[1:]]), 1)
+    return n
+
+
+def brute_class(tokens, of, size, classes, word):
+    """Moves the word to each class in turn and looks at the likelihood of the whole text."""
+    got = [likelihood(class_table(tokens, {**of, word: d}, size)) for d in range(classes)]
+    return int(np.argmax(got >= np.max(got) - 1e-6))
+
+
+def test_best_class_by_brute_force():
+    draw = np.random.default_rng(3)
+    tokens = draw.zipf(1.3, 1500)
+    tokens = [0, *np.where(tokens > 60, 0, tokens).tolist(), 40, 40, 40, 0]
+    of = {w: 8 if w == 0 else w % 5 if w < 9 else 5 + w % 3 for w in range(61)}
+    words = sorted(w for w in set(tokens) if w > 8)
+    counts = np.zeros((len(words), 19), np.int64)
+    for i, w in enumerate(words):
+        for a, b in zip(tokens, tokens[1:]):
+            if b == w:
+                counts[i, 18 if a == w else of[a]] += 1
+            if a == w and b != w:
+                counts[i, 9 + of[b]] += 1
+    got = brown_lm.best_classes(class_table(tokens, of, 9).astype(float), 5, np.array([of[w] for w in words]), counts)
+    assert got.tolist() == [brute_class(tokens, of, 9, 5, w) for w in words] and len(set(got.tolist())) > 2 and counts[:, 18].any()
+
+
+def test_class_scores_by_brute_force(spark, monkeypatch):
+    """Classes and scores of a small corpus worked out text by text; several chunks and fragments."""
+    monkeypatch.setattr(brown_lm, "FREQUENT", 25)
+    monkeypatch.setattr(brown_lm, "FRAGMENT_WORDS", 60)
+    monkeypatch.setattr(brown_lm, "BLOCK_WORDS", 7)
+    draw = random.Random(11)
+    vocabulary = [f"w{i}" if i % 3 else f"W{i}é" for i in range(150)]
+    weight = [1 / (i + 1) for i in range(150)]
+    texts = [" ".join(draw.choices(vocabulary, weight, k=draw.randrange(40))) for _ in range(90)] + [None, "", "new words w3", "w90 w90 w90"]
+    train = [i % 5 != 2 for i in range(len(texts))]
+    docs = table(spark, [(i, t, k) for i, (t, k) in enumerate(zip(texts, train))], "doc_id long, text string, train boolean")
+    got = {r["doc_id"]: r for r in rows(brown_lm.score_texts(docs.repartition(3)))}
+
+    words = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    known = sorted({w for ws in words for w in ws})
+    ((_, _, data, offsets),) = byte_chunks(pa.array(known, pa.large_string()))
+    hashes, _, last = hashed_words(data, offsets)
+    hashes, tail = dict(zip(known, hashes.tolist())), {w: int(x) % 32 for w, x in zip(known, last)}
+    counts = Counter(w for ws, k in zip(words, train) if k for w in ws)
+    frequent = sorted(counts, key=lambda w: (-counts[w], hashes[w].to_bytes(8, "little")))[:25]
+    place = {w: i for i, w in enumerate(sorted(frequent, key=hashes.get))}
+    trained = [None, *(w for ws, k in zip(words, train) if k for w in [*ws, None])]
+
+    symbols = {None: 57} | {w: place.get(w, 25 + tail[w]) for w in known}
+    of = brown_lm.exchange(class_table(trained, symbols, 58), 25)
+    begun = {w: of[s] for w, s in symbols.items()}
+    size, classes = of[57] + 1, of[57] - 32
+    moved = {w: brute_class(trained, begun, size, classes, w) for w in counts if w not in place}
+    final = {**begun, **moved}
+    n = class_table(trained, final, size)
+    transition = np.log10((n + brown_lm.CLASS_ADD) / (n.sum(1, keepdims=True) + brown_lm.CLASS_ADD * size))
+    room = np.zeros(size)
+    for w, c in counts.items():
+        room[final[w]] += c + brown_lm.WORD_ADD
+    room = np.log10(room + brown_lm.WORD_ADD)
+    for i, ws in enumerate(words):
+        of_text = [final[w] for w in [None, *ws, None]]
+        want = sum(transition[a, b] for a, b in zip(of_text, of_text[1:]))
+        want += sum(math.log10(counts[w] + brown_lm.WORD_ADD) - room[final[w]] for w in ws)
+        assert math.isclose(got[i]["score"], want, rel_tol=1e-9)
+        assert got[i]["n_known"] == sum(counts[w] > 0 for w in ws) + 1 and got[i]["train_tokens"] == len(trained) - 1
+    assert {final[w] for w in counts} <= set(range(classes)) and len(counts) > 100
