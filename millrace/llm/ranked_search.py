@@ -6,7 +6,8 @@ a document, which depends on both counts and on the average length over all docu
 quadtree halves rows and columns at each step; empty quadrants have no node, one with a single posting is a leaf at
 once, and every node stores its quadrant's greatest impact, as the difference from its parent's. Children stand side
 by side in order of levels, so that pointers follow from the 4-bit masks by running sums and are not stored. Shards
-are rows of a Parquet table in the shared folder: a lost executor's shards are read again.
+are rows of a Parquet table in the shared folder: a lost executor's shards are read again. A task holds a shard or two
+at a time, in row groups and Arrow batches of about ``BATCH_BYTES``, however many its file has.
 
 Searching. Document frequencies are sums over the shards' rows. An item descends the paths of all its terms' rows
 jointly over ranges of columns: a range's bound is the weighted sum of its nodes' maxima; ranges with the greatest
@@ -34,11 +35,14 @@ from pyspark.sql import types as T
 
 from millrace.llm.bytewords import byte_chunks, word_hashes
 from millrace.llm.common import load, query
-from millrace.session import new_folder, settle
+from millrace.session import batches_within, new_folder, settle
 
 TOP = 10
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 SHARD_DOCS = 1 << 15
+# Of an Arrow batch and a row group, which end with the row that reaches it; of text that is hashed at once.
+BATCH_BYTES = 4 << 20
+HASHED_BYTES = 1 << 19
 BLOCK_TERMS = 1 << 20
 # Ranges halved at once; bounds are looked at again after each round.
 WIDTH = 128
@@ -50,7 +54,7 @@ ENDS[:128] = True
 for _first, _last in (("0", "9"), ("A", "Z"), ("a", "z")):
     ENDS[ord(_first):ord(_last) + 1] = False
 
-_MASK_BITS = np.array([bin(m).count("1") for m in range(16)], np.int64)
+_MASK_BITS = np.array([bin(m).count("1") for m in range(16)], np.int8)
 # Children that stand before quadrant q under mask m.
 _BEFORE = np.array([[bin(m & ((1 << q) - 1)).count("1") for q in range(4)] for m in range(16)], np.int64)
 
@@ -61,7 +65,7 @@ SHARD = (
 
 def terms_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, last row + 1, term hashes, each text's place in them)`` for runs of texts."""
-    for i, j, data, offsets in byte_chunks(column):
+    for i, j, data, offsets in byte_chunks(column, HASHED_BYTES):
         yield i, j, *word_hashes(data, offsets, ENDS)
 
 
@@ -95,7 +99,10 @@ class Treap:
         counts = _MASK_BITS[masks]
         leaf = masks == 0
         # The first child of a node; of a leaf, its place among leaves.
-        self.first = np.where(leaf, np.cumsum(leaf) - 1, 1 + np.cumsum(counts) - counts)
+        self.first = np.cumsum(counts, dtype=np.int32)
+        self.first -= counts
+        self.first += 1
+        self.first[leaf] = np.arange(np.count_nonzero(leaf), dtype=np.int32)
         self.maxima = maxima
 
     @classmethod
@@ -244,16 +251,15 @@ def shard_of(ids: pa.Array, texts: pa.Array, documents: int, total: int) -> dict
 
 def treap_of(row: dict) -> Treap:
     masks = np.frombuffer(row["masks"], np.uint8)
-    treap = Treap(
-        row["side"], masks, np.frombuffer(row["maxima"], np.int32).astype(np.int64), np.frombuffer(row["leaf_rows"], np.int32),
-        np.frombuffer(row["leaf_columns"], np.int32),
-    )
+    maxima, rows, columns = (np.frombuffer(row[c], np.int32) for c in ("maxima", "leaf_rows", "leaf_columns"))
+    maxima = maxima.copy()
     # From differences to maxima, level by level: a level's children are the next level.
-    first, last, parents = 0, 1, treap.parents()
+    first, last = 0, 1
     while last < len(masks):
-        first, last = last, last + int(_MASK_BITS[masks[first:last]].sum())
-        treap.maxima[first:last] = treap.maxima[parents[first - 1:last - 1]] - treap.maxima[first:last]
-    return treap
+        above = np.repeat(maxima[first:last], _MASK_BITS[masks[first:last]])
+        first, last = last, last + len(above)
+        maxima[first:last] = above - maxima[first:last]
+    return Treap(row["side"], masks, maxima, rows, columns)
 
 
 # --- the index --------------------------------------------------------------------------------------------------
@@ -281,10 +287,18 @@ def _counts(docs: DataFrame) -> tuple[int, int]:
         yield pa.RecordBatch.from_arrays([pa.array([documents]), pa.array([total])], ["documents", "total"])
 
     sums = docs.select(docs["text"].cast("string").alias("text")).mapInArrow(count, "documents bigint, total bigint")
-    found = sums.agg(F.sum("documents"), F.sum("total")).first()
+    with batches_within(docs.sparkSession, BATCH_BYTES):
+        found = sums.agg(F.sum("documents"), F.sum("total")).first()
     return found[0] or 0, found[1] or 0
 
 
+# A shard's columns are looked at after each row, not after 100; no two of their values are alike.
+_ROW_GROUPS = {
+    "compression": "zstd", "parquet.block.size": str(BATCH_BYTES), "parquet.page.size.row.check.min": "1",
+    "parquet.block.size.row.check.min": "1", "parquet.enable.dictionary": "false",
+}
+
+
 def build(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> Index:
     """Index all rows of ``docs (doc_id, text)``; the shards are written to the shared folder."""
     documents, total = _counts(docs)
@@ -317,7 +331,8 @@ def build(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> Index:
 
     shards = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(work, SHARD)
     folder = new_folder(docs.sparkSession, "treaps")
-    shards.write.option("compression", "zstd").parquet(folder)
+    with batches_within(docs.sparkSession, BATCH_BYTES):
+        shards.write.options(**_ROW_GROUPS).parquet(folder)
     return Index(docs.sparkSession.read.schema(SHARD).parquet(folder), documents, total)
 
 
@@ -348,7 +363,8 @@ def _frequencies(index: Index, wanted: np.ndarray) -> dict[int, int]:
                 yield pa.RecordBatch.from_arrays([pa.array(terms[held]), pa.array(own)], ["term", "n"])
 
     sums = index.shards.select("terms", "frequencies").mapInArrow(work, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    return {r["term"]: r["n"] for r in sums.collect()}
+    with batches_within(index.shards.sparkSession, BATCH_BYTES):
+        return {r["term"]: r["n"] for r in sums.collect()}
 
 
 def _block(index: Index, rows: list, top: int) -> DataFrame:
@@ -367,7 +383,9 @@ def _block(index: Index, rows: list, top: int) -> DataFrame:
     def work(batches):
         best: list[list[tuple[int, float]]] = [[] for _ in shared.value]
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = {c: batch.column(c)[at] for c in batch.schema.names}
+                row = {c: v.as_buffer() if isinstance(v, pa.BinaryScalar) else v.as_py() for c, v in row.items()}
                 treap = treap_of(row)
                 # A null id ranks last: above every id, as a float that no id reaches.
                 ids = np.array([math.inf if i is None else i for i in row["doc_ids"]], object)
@@ -386,7 +404,8 @@ def _block(index: Index, rows: list, top: int) -> DataFrame:
 
     found = index.shards.mapInArrow(work, "item int, doc_id bigint, score bigint")
     # Written out: what follows looks at a few rows of each task.
-    found = settle(found.withColumn("bucket", F.spark_partition_id() % BUCKETS), "found")
+    with batches_within(index.shards.sparkSession, BATCH_BYTES):
+        found = settle(found.withColumn("bucket", F.spark_partition_id() % BUCKETS), "found")
     for keys in (["item", "bucket"], ["item"]):
         ranked = Window.partitionBy(*keys).orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
         found = found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= top)

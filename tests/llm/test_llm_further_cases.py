@@ -8,18 +8,21 @@ import random
 import re
 import sys
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 
 from millrace.llm import brown_lm, fill_middle, ranked_search, secret_scan
 from millrace.llm.bytewords import byte_chunks, hashed_words
+from millrace.session import batches_within
 from test_llm_cases import clashing, none, odd, rows, table  # noqa: F401
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
@@ -292,6 +295,35 @@ def test_treaps_survive_writing():
     assert len(found) == 6 and (found == once).sum() == 5 and (found == twice).sum() == 1
 
 
+def test_shards_stand_in_row_groups_of_their_own(spark):
+    """A task that reads one of a file's shards does not hold all of them."""
+    draw = np.random.default_rng(2)
+    docs = [(i, " ".join(map(str, draw.integers(0, 1 << 40, 80_000)))) for i in range(24)]
+    index = ranked_search.build(table(spark, docs, "doc_id long, text string").coalesce(1))
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.shards.inputFiles()]
+    groups = [(m.row_group(k).num_rows, m.row_group(k).total_byte_size) for m in files for k in range(m.num_row_groups)]
+    assert len(groups) > 2 and max(size / n for n, size in groups) > ranked_search.BATCH_BYTES and max(n for n, _ in groups) == 1
+    batches = index.shards.mapInArrow(lambda batches: (pa.RecordBatch.from_pylist([{"n": b.num_rows}]) for b in batches), "n bigint")
+    with batches_within(spark, ranked_search.BATCH_BYTES):
+        assert [r["n"] for r in batches.collect()] == [1] * len(groups)
+
+
+def test_a_read_shard_takes_few_bytes_a_node():
+    cells = np.unique(np.random.default_rng(3).integers(0, 30_000 * 1_000, 300_000))
+    treap = ranked_search.Treap.of(*np.divmod(cells, 1_000), np.ones(len(cells), np.int64))
+    gaps = np.zeros(len(treap.masks), np.int32)
+    gaps[0] = 1
+    row = {"side": treap.side, "masks": treap.masks.tobytes(), "maxima": gaps.tobytes()}
+    row |= {"leaf_rows": treap.rows.astype(np.int32).tobytes(), "leaf_columns": treap.columns.astype(np.int32).tobytes()}
+    tracemalloc.start()
+    try:
+        back = ranked_search.treap_of(row)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (back.maxima == 1).all() and (back.first == treap.first).all() and most < 16 * len(treap.masks)
+
+
 # --- language model ---------------------------------------------------------------------------------------------
 
 

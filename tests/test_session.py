@@ -1,8 +1,9 @@
 """Session helpers: sizes, the shared folder, spreading small inputs."""
 
+import pyarrow as pa
 import pytest
 
-from millrace.session import broadcast_limit, estimated_bytes, fits_broadcast, is_local, new_folder, shared_root, sized, spread
+from millrace.session import batches_within, broadcast_limit, estimated_bytes, fits_broadcast, is_local, new_folder, shared_root, sized, spread
 
 
 @pytest.mark.parametrize(
@@ -17,6 +18,22 @@ def test_broadcast_limit(spark, text, want):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_batches_end_with_the_row_that_reaches_their_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    counted = spark.range(0, 6, 1, 1).selectExpr("repeat('x', 30000) AS text").mapInArrow(
+        lambda batches: (pa.RecordBatch.from_pylist([{"n": b.num_rows}]) for b in batches), "n bigint"
+    )
+    with batches_within(spark, 50_000):
+        assert max(r["n"] for r in counted.collect()) < 6
+        with batches_within(spark, 1 << 30):
+            assert spark.conf.get(key) == "50000"
+    assert spark.conf.get(key) == before
+    with pytest.raises(ZeroDivisionError), batches_within(spark, 1):
+        1 / 0
+    assert spark.conf.get(key) == before
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")
